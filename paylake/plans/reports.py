@@ -110,9 +110,12 @@ def chargeback_total(operations: DataFrame) -> DataFrame:
 
 
 def merchant_account_pairs(merchants: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Each merchant that has accounts with one of them, the smallest account id."""
-    chosen = accounts.groupBy("merchant_id").agg(F.min("account_id").alias("account_id"))
-    return merchants.join(chosen, "merchant_id")
+    """Each merchant that has accounts, with one of them: the smallest account id.
+
+    The account is a struct column, since both sides share column names.
+    """
+    smallest = F.min_by(F.struct(*accounts.columns), "account_id").alias("account")
+    return merchants.join(accounts.groupBy("merchant_id").agg(smallest), "merchant_id")
 
 
 def lifecycle_violations(payment_performance: DataFrame) -> DataFrame:

@@ -19,6 +19,11 @@ from paylake.functions.scalars import transform_event, whole_number
 from paylake.specs import ENTITIES, TRANSPORT, EntitySpec, entity_for_topic
 
 CORRUPT = "_corrupt_record"
+_WRITE_JSON = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def prepare_bronze(records: DataFrame) -> DataFrame:
@@ -36,7 +41,7 @@ def to_envelope(event_time: Column, payload: Sequence[str | Column]) -> Column:
     """The JSON text of one event; NULL fields are written as null."""
     return F.to_json(
         F.struct(event_time.alias("timestamp"), F.struct(*payload).alias("payload")),
-        {"ignoreNullFields": "false"},
+        _WRITE_JSON,
     )
 
 
@@ -47,8 +52,12 @@ def table_to_events(
     partition: Column,
     offset: Column,
     kafka_timestamp: Column,
+    payload: Sequence[str] | None = None,
 ) -> DataFrame | None:
-    """Replay a table as raw log records; None for a table that has no topic."""
+    """Replay a table as raw log records; None for a table that has no topic.
+
+    ``payload`` names the columns to send, all by default.
+    """
     spec = next((s for s in ENTITIES if s.table == table), None)
     if spec is None:
         return None
@@ -57,7 +66,7 @@ def table_to_events(
         partition.cast("int").alias("partition"),
         offset.cast("bigint").alias("offset"),
         kafka_timestamp.alias("kafka_timestamp"),
-        to_envelope(event_time, df.columns).alias("raw_payload"),
+        to_envelope(event_time, payload or df.columns).alias("raw_payload"),
     )
 
 

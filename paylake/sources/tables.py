@@ -312,12 +312,19 @@ def overwrite_table(
 
 
 class Lake:
-    """Where the tables of the layers live: a folder root, or a catalog with MERGE."""
+    """Where the tables of the layers live: a folder root, or a catalog with MERGE.
 
-    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
+    ``newer_wins`` tells how entity state resolves an event that arrives late:
+    ignore it if a later one is stored, or (the default) let the last arrival win.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, fmt: str = "parquet", newer_wins: bool = False
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.fmt = fmt
+        self.newer_wins = newer_wins
 
     def location(self, layer: str, table: str) -> str:
         separator = "/" if self.fmt == "parquet" else "."

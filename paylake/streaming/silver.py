@@ -24,7 +24,6 @@ class SilverOptions:
 
     on_bad: str = "fail"
     numbers: str = "strict"
-    newer_wins: bool = False
     specs: Sequence[EntitySpec] = ENTITIES
 
 
@@ -38,18 +37,15 @@ def batch_name(batch: DataFrame, batch_id: int) -> str:
     return f"{query or 'manual'}-{batch_id}"
 
 
-def entity_table(
-    lake: Lake, spec: EntitySpec, newer_wins: bool = False
-) -> FolderTable | MergeTable:
-    return lake.keyed("silver", spec.table, spec.keys, spec.state_schema, newer_wins)
+def entity_table(lake: Lake, spec: EntitySpec) -> FolderTable | MergeTable:
+    return lake.keyed("silver", spec.table, spec.keys, spec.state_schema, lake.newer_wins)
 
 
 def write_silver(
-    rows: DataFrame, lake: Lake, spec: EntitySpec, batch: str | None = None,
-    newer_wins: bool = False,
+    rows: DataFrame, lake: Lake, spec: EntitySpec, batch: str | None = None
 ) -> None:
     """Reduce the rows to the latest per key and upsert them."""
-    entity_table(lake, spec, newer_wins).upsert(keep_latest(rows, spec.keys), batch)
+    entity_table(lake, spec).upsert(keep_latest(rows, spec.keys), batch)
 
 
 def process_batch(
@@ -75,7 +71,7 @@ def process_batch(
             else:
                 quality.refuse_batch(counts)
             rows = events.entity_rows(accepted, spec)
-            write_silver(rows, lake, spec, name, options.newer_wins)
+            write_silver(rows, lake, spec, name)
     finally:
         parsed.unpersist()
 
