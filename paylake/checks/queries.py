@@ -377,7 +377,7 @@ def _records(lake: Lake, raw_log: DataFrame) -> DataFrame:
         F.col("raw_payload").cast("binary").alias("value"),
     )
     folder = f"{lake.root}/drop"
-    records.write.mode("overwrite").parquet(folder)
+    records.repartition(16).write.mode("overwrite").parquet(folder)
     return stream_folder(lake.spark, folder, records.schema)
 
 
@@ -425,7 +425,7 @@ def _whole_run(v: Views) -> Lake:
             _records(lake, v.raw_log()),
             f"{lake.root}/checkpoints",
             _static_csv(v, lake),
-            max_files=16,
+            max_files=48,
         )
 
     return _once(v, "pipeline", run)

@@ -7,12 +7,12 @@ give one row (or one per topic); the gates collect only those rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paylake.sources import events
 from paylake.specs import EntitySpec
 
 MISSING_COLUMN = -1
@@ -22,10 +22,6 @@ class QualityError(ValueError):
     """A batch or dataset that a gate refuses."""
 
 
-def _or(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
-
-
 # --- measurements on one frame -------------------------------------------------
 
 
@@ -95,47 +91,65 @@ def check_duplicate_events(df: DataFrame) -> int:
 # --- one report for a whole event batch ----------------------------------------
 
 
-def event_report(parsed: DataFrame, specs: Sequence[EntitySpec]) -> DataFrame:
+def event_report(
+    parsed: DataFrame, specs: Sequence[EntitySpec], numbers: str = "strict"
+) -> DataFrame:
     """One row per topic of a batch parsed by ``events.parse_all``.
 
     ``null_<column>`` and ``negative_<column>`` count within the topics that
     require the column; ``duplicate_records`` counts repeats of
-    (topic, partition, offset); ``malformed`` counts records that are no JSON object of
-    the declared types.
+    (topic, partition, offset); ``malformed`` counts records that are no JSON
+    object of the declared types.
+
+    The counts combine map-side to a row per topic and task. The distinct count
+    runs beside them on three narrow columns, so the counters are not shuffled
+    with every record.
     """
     required = sorted({c for s in specs for c in s.required})
     money = sorted({c for s in specs for c in s.money})
 
-    def hits(column: str, kind: str, test) -> Column:
-        return _or(
-            [
-                (F.col("topic") == s.topic) & test(F.col(s.table)[column])
-                for s in specs
-                if column in getattr(s, kind)
-            ]
-        )
-
-    report = parsed.groupBy("topic").agg(
+    def within(kind: str, column: str, test: Callable[[Column], Column]) -> Column:
+        hits = F.lit(False)
+        for s in specs:
+            if column in getattr(s, kind):
+                value = events.payload_field(s, column, numbers)
+                hits = F.when(F.col("topic") == s.topic, test(value)).otherwise(hits)
+        return hits
+
+    broken = F.lit(False)
+    for s in specs:
+        broken = F.when(F.col("topic") == s.topic, events.malformed(s)).otherwise(broken)
+    counts = parsed.groupBy("topic").agg(
         F.count(F.lit(1)).alias("record_count"),
-        F.count_distinct(F.struct("partition", "offset")).alias("_distinct"),
-        F.count_if("malformed").alias("malformed"),
+        F.count_if(broken).alias("malformed"),
         *[
-            F.count_if(hits(c, "required", lambda v: v.isNull())).alias(f"null_{c}")
+            F.count_if(within("required", c, Column.isNull)).alias(f"null_{c}")
             for c in required
         ],
-        *[F.count_if(hits(c, "money", lambda v: v < 0)).alias(f"negative_{c}") for c in money],
+        *[
+            F.count_if(within("money", c, lambda v: v < 0)).alias(f"negative_{c}")
+            for c in money
+        ],
+    )
+    records = parsed.groupBy("topic").agg(
+        F.count_distinct(F.struct("partition", "offset")).alias("_records")
+    )
+    return (
+        counts.join(records, "topic")
+        .withColumn("duplicate_records", F.col("record_count") - F.col("_records"))
+        .drop("_records")
     )
-    return report.withColumn(
-        "duplicate_records", F.col("record_count") - F.col("_distinct")
-    ).drop("_distinct")
 
 
-def row_errors(spec: EntitySpec) -> Column:
+def row_errors(spec: EntitySpec, numbers: str = "strict") -> Column:
     """Reasons why a parsed record of the entity is refused, as an array of text."""
-    value = F.col(spec.table)
-    reasons = [F.when(F.col("malformed"), F.lit("malformed"))]
-    reasons += [F.when(value[c].isNull(), F.lit(f"missing:{c}")) for c in spec.required]
-    reasons += [F.when(value[c] < 0, F.lit(f"negative:{c}")) for c in spec.money]
+    reasons = [F.when(events.malformed(spec), F.lit("malformed"))]
+    for c in spec.required:
+        value = events.payload_field(spec, c, numbers)
+        reasons.append(F.when(value.isNull(), F.lit(f"missing:{c}")))
+    for c in spec.money:
+        value = events.payload_field(spec, c, numbers)
+        reasons.append(F.when(value < 0, F.lit(f"negative:{c}")))
     return F.array_compact(F.array(*reasons))
 
 

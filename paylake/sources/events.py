@@ -139,36 +139,39 @@ def parse_all(
 ) -> DataFrame:
     """Parse all topics in one pass.
 
-    Adds one struct column per entity (named after its table, NULL for records
-    of other topics) and a flag ``malformed``. Each record is parsed once, with
-    the schema of its own topic.
+    Adds one struct column per entity, named after its table and NULL for
+    records of other topics. Each record is parsed once, with the schema of its
+    own topic. One flat projection keeps the generated code small enough for the
+    JVM to compile.
     """
-    is_topic = {s.table: F.col("topic") == s.topic for s in specs}
-    raw = bronze.where(F.col("topic").isin(*[s.topic for s in specs])).withColumns(
-        {
-            f"_{s.table}": F.when(is_topic[s.table], _read_json(s, numbers, corrupt=True))
-            for s in specs
-        }
-    )
-    entities = []
-    broken = F.lit(False)
-    for s in specs:
-        event = F.col(f"_{s.table}")
-        entities.append(
-            F.when(
-                is_topic[s.table],
-                F.struct(
-                    event["timestamp"].alias("event_timestamp"),
-                    *_payload_columns(s, event, numbers),
-                ),
-            ).alias(s.table)
-        )
-        no_payload = event["payload"].isNull() | event[CORRUPT].isNotNull()
-        broken = F.when(is_topic[s.table], F.coalesce(no_payload, F.lit(True))).otherwise(broken)
-    return raw.select(*TRANSPORT, "raw_payload", broken.alias("malformed"), *entities)
-
-
-def entity_rows(parsed: DataFrame, spec: EntitySpec) -> DataFrame:
+    parsed = [
+        F.when(F.col("topic") == s.topic, _read_json(s, numbers, corrupt=True)).alias(s.table)
+        for s in specs
+    ]
+    known = bronze.where(F.col("topic").isin(*[s.topic for s in specs]))
+    return known.select(*TRANSPORT, "raw_payload", *parsed)
+
+
+def malformed(spec: EntitySpec) -> Column:
+    """Whether a record of the entity is no JSON object of the declared types."""
+    event = F.col(spec.table)
+    return event["payload"].isNull() | event[CORRUPT].isNotNull()
+
+
+def payload_field(spec: EntitySpec, name: str, numbers: str = "strict") -> Column:
+    """A payload field of a record parsed by ``parse_all``, with its declared type."""
+    value = F.col(spec.table)["payload"][name]
+    if numbers == "tolerant" and isinstance(spec.payload_schema[name].dataType, T.LongType):
+        return whole_number(value)
+    return value
+
+
+def entity_rows(parsed: DataFrame, spec: EntitySpec, numbers: str = "strict") -> DataFrame:
     """The typed rows of one entity out of a frame made by ``parse_all``."""
-    rows = parsed.where(F.col("topic") == spec.topic).select(*TRANSPORT, f"{spec.table}.*")
+    names = spec.payload_schema.fieldNames()
+    rows = parsed.where(F.col("topic") == spec.topic).select(
+        *TRANSPORT,
+        F.col(spec.table)["timestamp"].alias("event_timestamp"),
+        *[payload_field(spec, c, numbers).alias(c) for c in names],
+    )
     return transform_event(rows)

@@ -48,8 +48,8 @@ class _Folder:
 class FolderTable:
     """A keyed table in a folder of parquet folders. One writer at a time.
 
-    Folder names are ``<sequence>-full-<batch>`` or ``<sequence>-part-<batch>``.
-    A folder counts once Spark has written its ``_SUCCESS`` marker, so a write
+    Folder names are ``<sequence>-full-<batch>`` or ``<sequence>-part-<batch>``;
+    the first write makes a full one. A folder counts once Spark has written its ``_SUCCESS`` marker, so a write
     cut short is invisible and is overwritten by the next attempt. A batch that
     is already there is not written again.
     """
@@ -75,7 +75,7 @@ class FolderTable:
             if files.exists(self.spark, f"{self.path}/{n}/_SUCCESS")
         ]
         starts = [i for i, f in enumerate(done) if f.is_full]
-        return done[starts[-1]:] if starts else done
+        return done[starts[-1]:] if starts else []
 
     def exists(self) -> bool:
         return bool(self._folders())
@@ -115,11 +115,11 @@ class FolderTable:
         """The current state, one row per key."""
         folders = self._folders()
         columns = self.schema.fieldNames()
-        full = self._scan([f for f in folders if f.is_full]).select(*columns)
         parts = [f for f in folders if not f.is_full]
         if not parts:
-            return full
+            return self._scan(folders).select(*columns)
         changes = self._scan(parts)
+        full = self._scan(folders[:1])
         # Rows with a NULL key equal nothing, so those of different batches stay apart.
         any_null = F.lit(False)
         for key in self.keys:
@@ -127,10 +127,7 @@ class FolderTable:
         apart = F.when(any_null, F.col(SEQUENCE))
         if self.newer_wins:
             touched = changes.select(*self.keys).distinct()
-            old = self._scan([f for f in folders if f.is_full]).join(
-                touched, self.keys, "left_semi"
-            )
-            changes = changes.unionByName(old)
+            changes = changes.unionByName(full.join(touched, self.keys, "left_semi"))
         order = [*ARRIVAL_ORDER, SEQUENCE] if self.newer_wins else [SEQUENCE]
         latest = keep_latest(changes, [*self.keys, apart], order)
         untouched = full.join(latest.select(*self.keys), self.keys, "left_anti")
@@ -150,15 +147,18 @@ class FolderTable:
         folders = self._folders()
         if batch is not None and any(f.batch == batch for f in folders):
             return False
-        columns = self.schema.fieldNames() if folders or self._schema else rows.columns
-        changed = rows.select(*columns, F.lit(False).alias(REMOVED))
+        if not folders:
+            self._write(rows.select(*(self._schema or rows.schema).fieldNames()), 0, "full", batch)
+            return True
+        changed = rows.select(*self.schema.fieldNames(), F.lit(False).alias(REMOVED))
         if remove is not None:
             gone = key_rows_without(rows, remove, self.keys)
             changed = changed.unionByName(
                 gone.withColumn(REMOVED, F.lit(True)), allowMissingColumns=True
             )
-        sequence = folders[-1].sequence + 1 if folders else 0
-        self._write(changed.withColumn(SEQUENCE, F.lit(sequence)), sequence, "part", batch)
+        sequence = folders[-1].sequence + 1
+        changed = changed.withColumn(SEQUENCE, F.lit(sequence).cast("bigint"))
+        self._write(changed, sequence, "part", batch)
         return True
 
     def overwrite(self, rows: DataFrame) -> None:

@@ -57,8 +57,8 @@ def process_batch(
     parsed = events.parse_all(batch, options.specs, options.numbers)
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        report = quality.event_report(parsed, options.specs).collect()  # a row per topic
-        by_topic = {row["topic"]: row.asDict() for row in report}
+        report = quality.event_report(parsed, options.specs, options.numbers)
+        by_topic = {row["topic"]: row.asDict() for row in report.collect()}  # a row per topic
         for spec in options.specs:
             if spec.topic not in by_topic:
                 continue
@@ -67,17 +67,17 @@ def process_batch(
                 on_report(counts)
             accepted = parsed
             if options.on_bad == "quarantine":
-                accepted = _set_aside(lake, parsed, spec, counts, name)
+                accepted = _set_aside(lake, parsed, spec, counts, name, options.numbers)
             else:
                 quality.refuse_batch(counts)
-            rows = events.entity_rows(accepted, spec)
+            rows = events.entity_rows(accepted, spec, options.numbers)
             write_silver(rows, lake, spec, name)
     finally:
         parsed.unpersist()
 
 
 def _set_aside(
-    lake: Lake, parsed: DataFrame, spec: EntitySpec, counts: dict, name: str
+    lake: Lake, parsed: DataFrame, spec: EntitySpec, counts: dict, name: str, numbers: str
 ) -> DataFrame:
     """Write the topic's bad records to its quarantine table; return the others."""
     problems = counts["malformed"] + sum(
@@ -86,7 +86,7 @@ def _set_aside(
     if not problems:
         return parsed
     judged = parsed.where(F.col("topic") == spec.topic).withColumn(
-        "errors", quality.row_errors(spec)
+        "errors", quality.row_errors(spec, numbers)
     )
     bad = judged.where(F.size("errors") > 0)
     table = lake.keyed(QUARANTINE, spec.table, ("topic", "partition", "offset"))
