@@ -31,12 +31,12 @@ QUERIES: dict[str, Query] = {}
 
 def _register(build: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
     name = build.__name__
-    QUERIES[name] = lambda spark, folder: build(Views(spark, folder))
+    QUERIES[name] = lambda spark, folder: build(Views.of(spark, folder))
     return build
 
 
 def _add(name: str, build: Callable[[Views], DataFrame]) -> None:
-    QUERIES[name] = lambda spark, folder: build(Views(spark, folder))
+    QUERIES[name] = lambda spark, folder: build(Views.of(spark, folder))
 
 
 # --- aggregates ------------------------------------------------------------------

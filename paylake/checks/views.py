@@ -6,6 +6,9 @@ of distinct ids differ from row counts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,16 +26,41 @@ def days_after(column: str, days: int) -> Column:
     return F.col(column) + F.expr(f"INTERVAL {days} DAY")
 
 
+def _built_once(method: Callable) -> Callable:
+    """Keep the (lazy) frame that a method builds, per instance and arguments."""
+
+    @wraps(method)
+    def kept(self, *args):
+        key = (method.__name__, args)
+        if key not in self._frames:
+            self._frames[key] = method(self, *args)
+        return self._frames[key]
+
+    return kept
+
+
 class Views:
     """Lazy frames over one folder of test tables."""
 
+    _instances: dict[tuple[str, str], "Views"] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, folder: str) -> "Views":
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in cls._instances:
+            cls._instances[key] = cls(spark, folder)
+        return cls._instances[key]
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._frames: dict[tuple, DataFrame] = {}
 
+    @_built_once
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @_built_once
     def payments(self) -> DataFrame:
         key, status = F.col("o_orderkey"), F.col("o_orderstatus")
         return self.table("orders").select(
@@ -54,6 +82,7 @@ class Views:
             ((key * 37) % 5000).alias("processing_time_ms"),
         )
 
+    @_built_once
     def merchants(self) -> DataFrame:
         balance = F.col("c_acctbal")
         places = self.table("nation").join(
@@ -78,6 +107,7 @@ class Views:
             )
         )
 
+    @_built_once
     def gateways(self) -> DataFrame:
         return (
             self.table("nation")
@@ -91,6 +121,7 @@ class Views:
             )
         )
 
+    @_built_once
     def payment_methods(self) -> DataFrame:
         return (
             self.table("orders")
@@ -102,6 +133,7 @@ class Views:
             .distinct()
         )
 
+    @_built_once
     def accounts(self) -> DataFrame:
         return self.table("orders").select(
             F.concat(F.lit("ACC"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias(
@@ -111,6 +143,7 @@ class Views:
             F.col("o_orderpriority").alias("bank_name"),
         )
 
+    @_built_once
     def attempts(self) -> DataFrame:
         flag = F.col("l_returnflag")
         return self.table("lineitem").select(
@@ -124,6 +157,7 @@ class Views:
             .alias("attempt_status"),
         )
 
+    @_built_once
     def payment_events(self) -> DataFrame:
         return self.table("events").select(
             "event_id",
@@ -145,6 +179,7 @@ class Views:
             .withColumn("_arrival", F.col("l_partkey") * 1000000000 + F.col("l_suppkey"))
         )
 
+    @_built_once
     def refund_lines(self) -> DataFrame:
         return self._lines(F.col("l_returnflag") == "R").select(
             F.col("_id").alias("refund_id"),
@@ -158,9 +193,11 @@ class Views:
             "_arrival",
         )
 
+    @_built_once
     def refunds(self) -> DataFrame:
         return self.refund_lines().drop("_arrival")
 
+    @_built_once
     def chargeback_lines(self) -> DataFrame:
         late = (F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F")
         return self._lines(late).select(
@@ -172,9 +209,11 @@ class Views:
             "_arrival",
         )
 
+    @_built_once
     def chargebacks(self) -> DataFrame:
         return self.chargeback_lines().drop("_arrival")
 
+    @_built_once
     def settlement_lines(self) -> DataFrame:
         return self._lines(F.col("l_returnflag") == "N").select(
             F.col("_id").alias("settlement_id"),
@@ -189,6 +228,7 @@ class Views:
             "_arrival",
         )
 
+    @_built_once
     def settlements(self) -> DataFrame:
         return self.settlement_lines().drop("_arrival")
 
@@ -206,23 +246,29 @@ class Views:
             payload=[c for c in rows.columns if c != "_arrival"],
         )
 
+    @_built_once
     def payment_log(self) -> DataFrame:
         return self._log(self.payments(), "payments", "initiated_at", "payment_id")
 
+    @_built_once
     def refund_log(self) -> DataFrame:
         return self._log(self.refund_lines(), "refunds", "requested_at", "_arrival")
 
+    @_built_once
     def chargeback_log(self) -> DataFrame:
         return self._log(self.chargeback_lines(), "chargebacks", "created_at", "_arrival")
 
+    @_built_once
     def settlement_log(self) -> DataFrame:
         return self._log(self.settlement_lines(), "settlements", "initiated_at", "_arrival")
 
+    @_built_once
     def merchant_log(self) -> DataFrame:
         arrived = F.to_timestamp(F.lit("2020-01-01 00:00:00"))
         key = F.col("merchant_id")
         return table_to_events(self.merchants(), "merchants", arrived, key % 3, key, arrived)
 
+    @_built_once
     def raw_log(self) -> DataFrame:
         """Merchants, payments, refunds, chargebacks and settlements as raw records."""
         return (

@@ -6,15 +6,15 @@ key is in K.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylake.operators.keys import distinct_keys, restrict, restrict_by
 from paylake.plans import gold
-from paylake.specs import PAYMENT_TOPICS
+from paylake.specs import ENTITIES, PAYMENT_TOPICS
 
 # Timestamps that may set the day of a payment, refund, chargeback or settlement.
 DAY_SOURCES = {
@@ -24,30 +24,40 @@ DAY_SOURCES = {
     "settlement-events": ("completed_at", "initiated_at"),
 }
 KEY_COLUMNS = ("payment_id", "merchant_id", "gateway_id")
+ENTITY_IDS = {e.topic: e.keys[0] for e in ENTITIES if e.topic in (*PAYMENT_TOPICS, "merchant-events")}
 _TIMES = ("completed_at", "initiated_at", "requested_at", "created_at")
 
 
-def touched_rows(bronze: DataFrame, topics: Iterable[str] = PAYMENT_TOPICS) -> DataFrame:
-    """Per raw record of the topics: its payment, merchant, gateway and candidate days.
+def candidate_days(topic: str, day_of: Callable[[str], Column]) -> Column:
+    """Days of all timestamps that may set the grain of a row of the topic."""
+    days = F.array(*[day_of(c) for c in DAY_SOURCES.get(topic, ())])
+    return F.array_compact(days.cast("array<date>"))
+
+
+def touched_rows(bronze: DataFrame, topics: Sequence[str] = PAYMENT_TOPICS) -> DataFrame:
+    """Per raw record of the topics: its id, payment, merchant, gateway and candidate days.
 
     One pass, and the JSON is read for these few fields only. ``operation_dates``
     holds the day of every timestamp that may set the grain, so that a record
     whose later timestamp has just been filled in also names the day it leaves.
     """
-    fields = [T.StructField(n, T.StringType()) for n in (*KEY_COLUMNS, *_TIMES)]
-    schema = T.StructType([T.StructField("payload", T.StructType(fields))])
-    payload = F.from_json("raw_payload", schema)["payload"]
+    names = dict.fromkeys([*KEY_COLUMNS, *_TIMES, *ENTITY_IDS.values()])
+    fields = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    schema = T.StructType([T.StructField("payload", fields)])
     parsed = (
         bronze.where(F.col("topic").isin(*topics))
-        .select("topic", payload.alias("payload"))
-        .select("topic", "payload.*")
+        .select("topic", F.from_json("raw_payload", schema).alias("event"))
+        .select("topic", "event.payload.*")
     )
-    days = F.array()
+    entity_id, days = F.lit(None).cast("string"), candidate_days("", F.col)
     for topic in topics:
-        if topic in DAY_SOURCES:
-            found = F.array(*[F.to_date(F.try_to_timestamp(F.col(c))) for c in DAY_SOURCES[topic]])
-            days = F.when(F.col("topic") == topic, F.array_compact(found)).otherwise(days)
-    return parsed.select("topic", *KEY_COLUMNS, days.cast("array<date>").alias("operation_dates"))
+        here = F.col("topic") == topic
+        entity_id = F.when(here, F.col(ENTITY_IDS[topic])).otherwise(entity_id)
+        own_days = candidate_days(topic, lambda c: F.to_date(F.try_to_timestamp(F.col(c))))
+        days = F.when(here, own_days).otherwise(days)
+    return parsed.select(
+        "topic", entity_id.alias("entity_id"), *KEY_COLUMNS, days.alias("operation_dates")
+    )
 
 
 def affected_payments(touched: DataFrame) -> DataFrame:

@@ -107,6 +107,10 @@ class FolderTable:
             return self.spark.createDataFrame([], stored)
         return self.spark.read.schema(stored).parquet(*self._paths(folders))
 
+    def has_history(self) -> bool:
+        """Whether ``versions`` may hold more than the current rows."""
+        return len(self._folders()) > 1
+
     def versions(self) -> DataFrame:
         """Every stored row since the last full copy, replaced ones included."""
         return self._scan(self._folders()).select(*self.schema.fieldNames())
@@ -233,6 +237,9 @@ class MergeTable:
 
     versions = read
 
+    def has_history(self) -> bool:
+        return False
+
     def create_if_absent(self, schema: T.StructType) -> None:
         if not self.exists():
             empty = self.spark.createDataFrame([], schema)

@@ -7,6 +7,7 @@ arrives as a CSV file. Both have a table name and a business key.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import types as T
 
@@ -39,9 +40,24 @@ STATIC_TIMESTAMPS = (
 )
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+@cache
+def flat_schema(columns: str) -> T.StructType:
+    """Schema of ``"name type, name type, ..."``; needs no running session."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
 @dataclass(frozen=True)
 class EntitySpec:
-    """One entity fed by a topic. ``payload`` is a DDL string."""
+    """One entity fed by a topic. ``payload`` lists names and types."""
 
     topic: str
     table: str
@@ -52,7 +68,7 @@ class EntitySpec:
 
     @property
     def payload_schema(self) -> T.StructType:
-        return T.StructType.fromDDL(self.payload)
+        return flat_schema(self.payload)
 
     @property
     def envelope_schema(self) -> T.StructType:
@@ -76,7 +92,7 @@ class EntitySpec:
 
 @dataclass(frozen=True)
 class StaticSpec:
-    """One entity fed by a CSV file. ``columns`` is a DDL string."""
+    """One entity fed by a CSV file. ``columns`` lists names and types."""
 
     table: str
     keys: tuple[str, ...]
@@ -84,7 +100,7 @@ class StaticSpec:
 
     @property
     def schema(self) -> T.StructType:
-        return T.StructType.fromDDL(self.columns)
+        return flat_schema(self.columns)
 
 
 # Topics, tables, keys, payload fields, required and money columns.

@@ -8,17 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylake.operators.keys import restrict, union_keys
+from paylake.operators.keys import distinct_keys, restrict, union_keys
 from paylake.plans import incremental
 from paylake.sources.tables import FolderTable, Lake, MergeTable
 from paylake.specs import PAYMENT_TOPICS, entity_for_topic, static_for_table
 from paylake.streaming.silver import batch_name, entity_table
 
+MERCHANTS = "merchant-events"
+
 GRAINS = {
     "payment_performance": "payment_id",
     "merchant_performance": "merchant_id",
@@ -51,7 +54,7 @@ def write_gold(
 
 
 def _state(lake: Lake) -> dict[str, DataFrame]:
-    topics = (*PAYMENT_TOPICS, "merchant-events")
+    topics = (*PAYMENT_TOPICS, MERCHANTS)
     state = {
         e.table: entity_table(lake, e).read() for e in (entity_for_topic(t) for t in topics)
     }
@@ -61,72 +64,73 @@ def _state(lake: Lake) -> dict[str, DataFrame]:
     return state
 
 
-def _earlier_versions(lake: Lake, batch: DataFrame) -> DataFrame:
-    """Keys that stored versions of the batch's entities name: where rows came from."""
+def _earlier_versions(lake: Lake, touched: DataFrame) -> list[DataFrame]:
+    """What the replaced versions of the touched rows name: the groups that rows left."""
     found = []
     for topic in PAYMENT_TOPICS:
         spec = entity_for_topic(topic)
+        table = entity_table(lake, spec)
+        if not table.has_history():
+            continue
         (key,) = spec.keys
-        ids = F.get_json_object("raw_payload", f"$.payload.{key}").alias(key)
-        touched = batch.where(F.col("topic") == topic).select(ids).distinct()
-        stored = restrict(entity_table(lake, spec).versions(), touched, key)
-        days = F.array_compact(
-            F.array(*[F.to_date(c) for c in incremental.DAY_SOURCES[topic]])
-        )
-        gateway = "gateway_id" if "gateway_id" in stored.columns else None
+        ids = touched.where(F.col("topic") == topic).select(F.col("entity_id").alias(key))
+        stored = restrict(table.versions(), distinct_keys(ids, key), key)
+        gateway = F.col("gateway_id") if "gateway_id" in stored.columns else F.lit(None)
         found.append(
             stored.select(
                 F.lit(topic).alias("topic"),
+                F.col(key).alias("entity_id"),
                 "payment_id",
                 "merchant_id",
-                (F.col(gateway) if gateway else F.lit(None).cast("string")).alias("gateway_id"),
-                days.alias("operation_dates"),
+                gateway.cast("string").alias("gateway_id"),
+                incremental.candidate_days(topic, F.to_date).alias("operation_dates"),
             )
         )
-    result = found[0]
-    for more in found[1:]:
-        result = result.unionByName(more)
-    return result
+    return found
+
+
+def _affected(
+    table: str, touched: DataFrame, state: dict[str, DataFrame], options: GoldOptions
+) -> DataFrame:
+    if table == "merchant_performance":
+        return incremental.affected_merchants(touched)
+    if table == "gateway_performance":
+        return incremental.affected_gateways(touched)
+    if table == "financial_operations":
+        return incremental.affected_days(touched)
+    keys = incremental.affected_payments(touched)
+    if not options.follow_dimensions:
+        return keys
+    merchants = touched.where(F.col("topic") == MERCHANTS)
+    moved = incremental.payments_of(state["payments"], merchants, "merchant_id")
+    return union_keys([keys, moved], "payment_id")
 
 
 def process_batch(lake: Lake, options: GoldOptions, batch: DataFrame, batch_id: int) -> None:
+    """One microbatch: parse the keys once, then rebuild and upsert each table."""
     name = batch_name(batch, batch_id)
-    topics = list(PAYMENT_TOPICS)
-    records = batch.select("topic", "raw_payload").where(
-        F.col("topic").isin(*topics, "merchant-events")
-    )
-    records = records.persist(StorageLevel.MEMORY_AND_DISK)
-    touched = incremental.touched_rows(records, topics)
-    if options.track_moves:
-        touched = touched.unionByName(_earlier_versions(lake, records))
-    touched = touched.persist(StorageLevel.MEMORY_AND_DISK)
-    state = _state(lake)
-    merchants_changed = incremental.touched_rows(records, ["merchant-events"])
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return kept[-1]
+
     try:
+        touched = keep(incremental.touched_rows(batch, [*PAYMENT_TOPICS, MERCHANTS]))
+        if options.track_moves:
+            earlier = _earlier_versions(lake, touched)
+            if earlier:
+                touched = keep(reduce(DataFrame.unionByName, earlier, touched))
+        state = _state(lake)
         for table in options.tables:
-            grain = GRAINS[table]
-            if grain == "payment_id":
-                keys = incremental.affected_payments(touched)
-                if options.follow_dimensions:
-                    moved = incremental.payments_of(
-                        state["payments"], merchants_changed, "merchant_id"
-                    )
-                    keys = union_keys([keys, moved], grain)
-            elif grain == "merchant_id":
-                keys = union_keys([touched, merchants_changed], grain)
-            elif grain == "gateway_id":
-                keys = incremental.affected_gateways(touched)
-            else:
-                keys = incremental.affected_days(touched)
-            keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                if not keys.isEmpty():
-                    write_gold(_rebuild(table, keys, state), lake, table, name, keys)
-            finally:
-                keys.unpersist()
+            keys = keep(_affected(table, touched, state, options))
+            # Counting fills the cache, so Spark knows the size of the key set
+            # when it chooses how to join it.
+            if keys.count() > 0:
+                write_gold(_rebuild(table, keys, state), lake, table, name, keys)
     finally:
-        touched.unpersist()
-        records.unpersist()
+        for df in kept:
+            df.unpersist()
 
 
 def _rebuild(table: str, keys: DataFrame, s: dict[str, DataFrame]) -> DataFrame:
