@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -18,6 +18,7 @@ from paylake.operators.keys import distinct_keys, restrict, union_keys
 from paylake.plans import incremental
 from paylake.sources.tables import FolderTable, Lake, MergeTable
 from paylake.specs import PAYMENT_TOPICS, entity_for_topic, static_for_table
+from paylake.streaming.parallel import run_together
 from paylake.streaming.silver import batch_name, entity_table
 
 MERCHANTS = "merchant-events"
@@ -122,12 +123,15 @@ def process_batch(lake: Lake, options: GoldOptions, batch: DataFrame, batch_id:
             if earlier:
                 touched = keep(reduce(DataFrame.unionByName, earlier, touched))
         state = _state(lake)
-        for table in options.tables:
+
+        def update(table: str) -> None:
             keys = keep(_affected(table, touched, state, options))
             # Counting fills the cache, so Spark knows the size of the key set
             # when it chooses how to join it.
             if keys.count() > 0:
                 write_gold(_rebuild(table, keys, state), lake, table, name, keys)
+
+        run_together(lake.spark, [partial(update, table) for table in options.tables])
     finally:
         for df in kept:
             df.unpersist()

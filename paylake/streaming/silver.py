@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from paylake.operators.latest import keep_latest
 from paylake.sources import events
 from paylake.sources.tables import FolderTable, Lake, MergeTable
 from paylake.specs import ENTITIES, EntitySpec
+from paylake.streaming.parallel import run_together
 
 QUARANTINE = "quarantine"
 
@@ -52,26 +54,32 @@ def process_batch(
     lake: Lake, options: SilverOptions, batch: DataFrame, batch_id: int,
     on_report: Callable[[dict], None] | None = None,
 ) -> None:
-    """One microbatch: parse once, one report over all topics, one write per topic."""
+    """One microbatch: parse once, one report over all topics, one write per topic.
+
+    In fail mode every topic passes its gate before any is written.
+    """
     name = batch_name(batch, batch_id)
     parsed = events.parse_all(batch, options.specs, options.numbers)
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         report = quality.event_report(parsed, options.specs, options.numbers)
         by_topic = {row["topic"]: row.asDict() for row in report.collect()}  # a row per topic
-        for spec in options.specs:
-            if spec.topic not in by_topic:
-                continue
-            counts = by_topic[spec.topic]
+        present = [s for s in options.specs if s.topic in by_topic]
+        for spec in present:
             if on_report is not None:
-                on_report(counts)
+                on_report(by_topic[spec.topic])
+            if options.on_bad == "fail":
+                quality.refuse_batch(by_topic[spec.topic])
+
+        def update(spec: EntitySpec) -> None:
             accepted = parsed
             if options.on_bad == "quarantine":
-                accepted = _set_aside(lake, parsed, spec, counts, name, options.numbers)
-            else:
-                quality.refuse_batch(counts)
-            rows = events.entity_rows(accepted, spec, options.numbers)
-            write_silver(rows, lake, spec, name)
+                accepted = _set_aside(
+                    lake, parsed, spec, by_topic[spec.topic], name, options.numbers
+                )
+            write_silver(events.entity_rows(accepted, spec, options.numbers), lake, spec, name)
+
+        run_together(lake.spark, [partial(update, spec) for spec in present])
     finally:
         parsed.unpersist()
 

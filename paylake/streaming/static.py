@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -11,19 +12,24 @@ from paylake.operators import quality
 from paylake.sources.static import read_csv
 from paylake.sources.tables import Lake
 from paylake.specs import static_for_table
+from paylake.streaming.parallel import run_together
 
 
 def ingest(lake: Lake, paths: Mapping[str, str], infer: bool = False) -> None:
     """Load each dataset's CSV into its raw table, with the declared types by default."""
-    for name, path in paths.items():
+
+    def load(name: str, path: str) -> None:
         spec = static_for_table(name)
         rows = read_csv(lake.spark, path, None if infer else spec.schema)
         lake.keyed("bronze", name, spec.keys).overwrite(rows)
 
+    run_together(lake.spark, [partial(load, name, path) for name, path in paths.items()])
+
 
 def process(lake: Lake, names: list[str]) -> None:
     """Type the raw tables, refuse repeated keys, replace the state tables."""
-    for name in names:
+
+    def replace(name: str) -> None:
         spec = static_for_table(name)
         rows = transform_static(lake.keyed("bronze", name, spec.keys).read())
         rows = rows.select(
@@ -31,3 +37,5 @@ def process(lake: Lake, names: list[str]) -> None:
         )
         quality.refuse_duplicates(name, quality.count_duplicates(rows, spec.keys))
         lake.keyed("silver", name, spec.keys).overwrite(rows)
+
+    run_together(lake.spark, [partial(replace, name) for name in names])

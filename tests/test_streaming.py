@@ -8,12 +8,24 @@ from pyspark.errors import StreamingQueryException
 
 from paylake.sources.events import prepare_bronze
 from paylake.sources.tables import Lake, stream_folder
-from paylake.specs import entity_for_topic
+from paylake.specs import entity_for_topic, static_for_table
 from paylake.streaming import bronze, gold, pipeline, silver, static
 
 RECORDS = "topic string, partition int, offset bigint, timestamp timestamp, value binary"
 
 
+@pytest.fixture(autouse=True, scope="module")
+def small_data(spark):
+    """A handful of rows: compiling generated code would take longer than it saves."""
+    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.shuffle.partitions": "1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
 class Feed:
     """A folder that receives one file of records per call of ``drop``."""
 
@@ -65,8 +77,6 @@ def make_lake(spark, root, **options):
         "payment_attempts": [("a1", "p1", "g1", "Success", 1)],
         "payment_events": [],
     }
-    from paylake.specs import static_for_table
-
     for name, rows in frames.items():
         spec = static_for_table(name)
         lake.keyed("silver", name, spec.keys).overwrite(
