@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylake.operators.keys import distinct_keys, restrict, union_keys
-from paylake.plans import incremental
+from paylake.plans import gold, incremental
 from paylake.sources.tables import FolderTable, Lake, MergeTable
 from paylake.specs import PAYMENT_TOPICS, entity_for_topic, static_for_table
 from paylake.streaming.parallel import run_together
@@ -31,6 +31,19 @@ GRAINS = {
 }
 
 
+_FACTS = ("refunds", "chargebacks", "settlements")
+# The state tables that the builder of each metric table takes, in order.
+_INPUTS = {
+    "payment_performance": (
+        "payments", "merchants", "payment_gateways", "payment_methods", "payment_attempts",
+        "payment_events", *_FACTS,
+    ),
+    "merchant_performance": ("merchants", "payments", *_FACTS),
+    "gateway_performance": ("payment_gateways", "payments", "payment_attempts"),
+    "financial_operations": ("payments", *_FACTS),
+}
+
+
 @dataclass(frozen=True)
 class GoldOptions:
     """``track_moves``: also rebuild the groups that a changed row has left.
@@ -137,25 +150,26 @@ def process_batch(lake: Lake, options: GoldOptions, batch: DataFrame, batch_id:
             df.unpersist()
 
 
-def _rebuild(table: str, keys: DataFrame, s: dict[str, DataFrame]) -> DataFrame:
+def _full(table: str, s: dict[str, DataFrame]) -> DataFrame:
     # The state tables hold one row per id, so plain counts equal distinct counts.
-    if table == "payment_performance":
-        return incremental.payment_performance(
-            keys, s["payments"], s["merchants"], s["payment_gateways"], s["payment_methods"],
-            s["payment_attempts"], s["payment_events"], s["refunds"], s["chargebacks"],
-            s["settlements"], ids_unique=True,
-        )
-    if table == "merchant_performance":
-        return incremental.merchant_performance(
-            keys, s["merchants"], s["payments"], s["refunds"], s["chargebacks"],
-            s["settlements"], ids_unique=True,
-        )
-    if table == "gateway_performance":
-        return incremental.gateway_performance(
-            keys, s["payment_gateways"], s["payments"], s["payment_attempts"], ids_unique=True
-        )
-    return incremental.financial_operations(
-        keys, s["payments"], s["refunds"], s["chargebacks"], s["settlements"], ids_unique=True
+    return getattr(gold, table)(*[s[name] for name in _INPUTS[table]], ids_unique=True)
+
+
+def _rebuild(table: str, keys: DataFrame, s: dict[str, DataFrame]) -> DataFrame:
+    inputs = [s[name] for name in _INPUTS[table]]
+    return getattr(incremental, table)(keys, *inputs, ids_unique=True)
+
+
+def rebuild_all(lake: Lake, tables: Sequence[str] = tuple(GRAINS)) -> None:
+    """Build metric tables from the whole state and replace the stored ones.
+
+    For a first load or a repair: with most keys affected, one full build is
+    cheaper than reducing every input to its affected keys.
+    """
+    state = _state(lake)
+    run_together(
+        lake.spark,
+        [partial(gold_table(lake, t).overwrite, _full(t, state)) for t in tables],
     )
 
 
