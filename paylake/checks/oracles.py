@@ -358,7 +358,7 @@ ORACLES: dict[str, str] = {
             count(*) FILTER (WHERE event_type IN ('error', 'view')) AS null_event_id,
             count(*) FILTER (WHERE event_type = 'signup' AND {_ACTIVITY_CENTS} > 0)
                 AS negative_value,
-            CAST(0 AS BIGINT) AS duplicate_records
+            CAST(0 AS BIGINT) AS duplicate_records, CAST(0 AS BIGINT) AS repeated_keys
         FROM events GROUP BY event_type""",
     "refused_events": f"""SELECT event_type || '-events' AS topic, event_id AS "offset",
             CASE WHEN event_type = 'signup' THEN 'negative:value'

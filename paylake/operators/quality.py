@@ -98,12 +98,12 @@ def event_report(
 
     ``null_<column>`` and ``negative_<column>`` count within the topics that
     require the column; ``duplicate_records`` counts repeats of
-    (topic, partition, offset); ``malformed`` counts records that are no JSON
-    object of the declared types.
+    (topic, partition, offset) and ``repeated_keys`` those of a business key;
+    ``malformed`` counts records that are no JSON object of the declared types.
 
-    The counts combine map-side to a row per topic and task. The distinct count
-    runs beside them on three narrow columns, so the counters are not shuffled
-    with every record.
+    The counts combine map-side to a row per topic and task. The distinct counts
+    run beside them on narrow columns, so the counters are not shuffled with
+    every record.
     """
     required = sorted({c for s in specs for c in s.required})
     money = sorted({c for s in specs for c in s.money})
@@ -134,10 +134,21 @@ def event_report(
     records = parsed.groupBy("topic").agg(
         F.count_distinct(F.struct("partition", "offset")).alias("_records")
     )
+    key = F.lit(None).cast("string")
+    for s in specs:
+        parts = [events.payload_field(s, c, numbers) for c in s.keys]
+        own = parts[0].cast("string") if len(parts) == 1 else F.to_json(F.struct(*parts))
+        key = F.when(F.col("topic") == s.topic, own).otherwise(key)
+    repeats = (
+        parsed.select("topic", key.alias("_key"))
+        .groupBy("topic")
+        .agg((F.count("_key") - F.count_distinct(F.col("_key"))).alias("repeated_keys"))
+    )
     return (
         counts.join(records, "topic")
         .withColumn("duplicate_records", F.col("record_count") - F.col("_records"))
         .drop("_records")
+        .join(repeats, "topic")
     )
 
 

@@ -10,6 +10,7 @@ from paylake.sources.events import prepare_bronze
 from paylake.sources.tables import Lake, stream_folder, stream_table
 from paylake.specs import BRONZE_SCHEMA, ENTITIES
 from paylake.streaming import bronze, gold, silver, static
+from paylake.streaming.parallel import run_together
 
 
 def raw_log(lake: Lake, max_files: int | None = None) -> DataFrame:
@@ -48,7 +49,6 @@ def compact(lake: Lake) -> None:
     Not during one: the Gold step reads replaced versions to find the groups
     that a row has left.
     """
-    for spec in ENTITIES:
-        silver.entity_table(lake, spec).compact()
-    for name in gold.GRAINS:
-        gold.gold_table(lake, name).compact()
+    tables = [silver.entity_table(lake, spec) for spec in ENTITIES]
+    tables += [gold.gold_table(lake, name) for name in gold.GRAINS]
+    run_together(lake.spark, [table.compact for table in tables])

@@ -114,6 +114,7 @@ def test_report_and_row_errors(spark):
     pay = report["payment-events"]
     assert pay["record_count"] == 7 and pay["duplicate_records"] == 1
     assert pay["malformed"] == 3 and pay["null_payment_id"] == 3 and pay["null_gateway_id"] == 3
+    assert pay["repeated_keys"] == 3  # four records have the key "p"
     assert pay["negative_amount"] == 1 and pay["null_refund_id"] == 0
     assert report["refund-events"]["null_merchant_id"] == 1
     assert report["refund-events"]["malformed"] == 0

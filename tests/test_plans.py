@@ -90,3 +90,53 @@ def test_metric_tables_without_any_broadcast(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_hot_merchant_is_split_across_tasks(spark):
+    """A third of the payments belong to one merchant, and merchants are too many to broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        n = 120_000
+        merchant = "if(id % 3 = 0, 'm1', concat('m', id % 900))"
+        payments = spark.range(0, n, 1, 8).selectExpr(
+            "concat('p', id) payment_id", f"{merchant} merchant_id", "'c' customer_id",
+            "'i' invoice_id", "'g' gateway_id", "'pm' payment_method_id", "id amount",
+            "'INR' currency", "'Captured' payment_status", "uuid() payment_reference",
+            "timestamp'2024-01-01' initiated_at", "timestamp'2024-01-01' completed_at",
+            "id processing_time_ms",
+        )
+        merchants = spark.range(900).selectExpr(
+            "concat('m', id) merchant_id", "concat('name ', id) merchant_name",
+            "'x' industry", "'Low' risk_level",
+        )
+        gateways = spark.sql("SELECT 'g' gateway_id, 'G' gateway_name, 'P' provider, 'C' gateway_type")
+        methods = spark.sql("SELECT 'pm' payment_method_id, 'U' payment_method_name, 'D' category")
+        child = spark.range(0)
+        performance = gold.payment_performance(
+            payments, merchants, gateways, methods,
+            child.selectExpr("'' payment_id", "id attempt_id", "'' attempt_status", "1 attempt_number"),
+            child.selectExpr("'' payment_id", "id event_id", "1 retry_count",
+                             "timestamp'2024-01-01' event_timestamp"),
+            child.selectExpr("'' payment_id", "id refund_id", "id refund_amount"),
+            child.selectExpr("'' payment_id", "id chargeback_id", "id amount"),
+            child.selectExpr("'' payment_id", "id settlement_id", "id settlement_amount"),
+        )
+        rows = performance.groupBy("merchant_name").count().where("merchant_name = 'name 1'")
+        assert rows.collect()[0]["count"] > n // 3
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

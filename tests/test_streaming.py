@@ -16,8 +16,12 @@ RECORDS = "topic string, partition int, offset bigint, timestamp timestamp, valu
 
 @pytest.fixture(autouse=True, scope="module")
 def small_data(spark):
-    """A handful of rows: compiling generated code would take longer than it saves."""
-    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.shuffle.partitions": "1"}
+    """A handful of rows: compiling code and planning again would cost more than they save."""
+    settings = {
+        "spark.sql.codegen.wholeStage": "false",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "1",
+    }
     before = {k: spark.conf.get(k) for k in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
