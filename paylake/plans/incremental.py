@@ -75,7 +75,7 @@ def affected_gateways(touched: DataFrame) -> DataFrame:
 
 
 def affected_days(touched: DataFrame) -> DataFrame:
-    days = touched.select(F.explode("operation_dates").alias("operation_date"))
+    days = touched.select(F.explode_outer("operation_dates").alias("operation_date"))
     return distinct_keys(days, "operation_date")
 
 

@@ -129,12 +129,12 @@ class FolderTable:
         for key in self.keys:
             any_null = any_null | F.col(key).isNull()
         apart = F.when(any_null, F.col(SEQUENCE))
+        touched = changes.select(*self.keys).distinct()
+        untouched = full.join(touched, self.keys, "left_anti")
         if self.newer_wins:
-            touched = changes.select(*self.keys).distinct()
             changes = changes.unionByName(full.join(touched, self.keys, "left_semi"))
         order = [*ARRIVAL_ORDER, SEQUENCE] if self.newer_wins else [SEQUENCE]
         latest = keep_latest(changes, [*self.keys, apart], order)
-        untouched = full.join(latest.select(*self.keys), self.keys, "left_anti")
         current = latest.where(~F.coalesce(REMOVED, F.lit(False))).select(*columns)
         return untouched.select(*columns).unionByName(current)
 
