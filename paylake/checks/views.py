@@ -288,7 +288,10 @@ class Views:
             F.col("ts").cast("timestamp").alias("kafka_timestamp"),
             to_envelope(
                 F.col("ts"),
-                ["event_id", "user_id", value.alias("value"), "props", F.col("ts").alias("created_at")],
+                [
+                    "event_id", "user_id", value.alias("value"), "props",
+                    F.col("ts").alias("created_at"),
+                ],
             ).alias("raw_payload"),
         )
 

@@ -26,7 +26,9 @@ DAY_SOURCES = {
     "settlement-events": ("completed_at", "initiated_at"),
 }
 KEY_COLUMNS = ("payment_id", "merchant_id", "gateway_id")
-ENTITY_IDS = {e.topic: e.keys[0] for e in ENTITIES if e.topic in (*PAYMENT_TOPICS, "merchant-events")}
+ENTITY_IDS = {
+    e.topic: e.keys[0] for e in ENTITIES if e.topic in (*PAYMENT_TOPICS, "merchant-events")
+}
 _TIMES = ("completed_at", "initiated_at", "requested_at", "created_at")
 
 

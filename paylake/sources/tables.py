@@ -49,9 +49,9 @@ class FolderTable:
     """A keyed table in a folder of parquet folders. One writer at a time.
 
     Folder names are ``<sequence>-full-<batch>`` or ``<sequence>-part-<batch>``;
-    the first write makes a full one. A folder counts once Spark has written its ``_SUCCESS`` marker, so a write
-    cut short is invisible and is overwritten by the next attempt. A batch that
-    is already there is not written again.
+    the first write makes a full one. A folder counts once Spark has written its
+    ``_SUCCESS`` marker, so a write cut short is invisible and is overwritten by
+    the next attempt. A batch that is already there is not written again.
     """
 
     def __init__(

@@ -50,5 +50,6 @@ def differences(spark_df, con, sql: str) -> list[str]:
     if ours != theirs:
         extra, missing = list((ours - theirs).items()), list((theirs - ours).items())
         found.append(f"rows: {len(spark_rows)} against {len(sql_rows)}")
-        found.append(f"only in Spark {len(extra)}: {extra[:2]}; only in SQL {len(missing)}: {missing[:2]}")
+        found.append(f"only in Spark {len(extra)}: {extra[:2]}")
+        found.append(f"only in SQL {len(missing)}: {missing[:2]}")
     return found
