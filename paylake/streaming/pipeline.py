@@ -7,8 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from paylake.sources.events import prepare_bronze
-from paylake.sources.tables import Lake, stream_folder, stream_table
-from paylake.specs import BRONZE_SCHEMA, ENTITIES
+from paylake.sources.tables import FolderTable, Lake, MergeTable, stream_folder, stream_table
+from paylake.specs import BRONZE_SCHEMA, ENTITIES, STATIC
 from paylake.streaming import bronze, gold, silver, static
 from paylake.streaming.parallel import run_together
 
@@ -49,6 +49,20 @@ def compact(lake: Lake) -> None:
     Not during one: the Gold step reads replaced versions to find the groups
     that a row has left.
     """
-    tables = [silver.entity_table(lake, spec) for spec in ENTITIES]
-    tables += [gold.gold_table(lake, name) for name in gold.GRAINS]
-    run_together(lake.spark, [table.compact for table in tables])
+    run_together(lake.spark, [table.compact for table in _upserted(lake)])
+
+
+def clean(lake: Lake) -> None:
+    """Delete the folders that a later full copy has replaced; run it between pipeline runs."""
+    static_tables = [
+        lake.keyed(layer, spec.table, spec.keys)
+        for layer in ("bronze", "silver")
+        for spec in STATIC
+    ]
+    for table in [*_upserted(lake), *static_tables]:
+        table.clean()
+
+
+def _upserted(lake: Lake) -> list[FolderTable | MergeTable]:
+    entities = [silver.entity_table(lake, spec) for spec in ENTITIES]
+    return entities + [gold.gold_table(lake, name) for name in gold.GRAINS]

@@ -28,6 +28,10 @@ class SilverOptions:
     numbers: str = "strict"
     specs: Sequence[EntitySpec] = ENTITIES
 
+    def __post_init__(self) -> None:
+        if self.on_bad not in ("fail", "quarantine"):
+            raise ValueError(f"on_bad must be 'fail' or 'quarantine', not {self.on_bad!r}")
+
 
 def batch_name(batch: DataFrame, batch_id: int) -> str:
     """Names a microbatch across restarts: id of the streaming query, then batch number.
@@ -60,6 +64,8 @@ def process_batch(
     """
     name = batch_name(batch, batch_id)
     parsed = events.parse_all(batch, options.specs, options.numbers)
+    if options.on_bad == "fail":
+        parsed = parsed.drop("raw_payload")  # only the quarantine needs the text
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         report = quality.event_report(parsed, options.specs, options.numbers)

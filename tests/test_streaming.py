@@ -153,6 +153,8 @@ def test_whole_pipeline_drain_and_rerun(spark, tmp_path):
     # Folding the changes alters no result, and the next run builds on it.
     kept = {n: sorted(map(repr, metric(lake, n).collect())) for n in gold.GRAINS}
     pipeline.compact(lake)
+    pipeline.clean(lake)
+    assert not state(lake, "payment-events").isEmpty()
     assert {n: sorted(map(repr, metric(lake, n).collect())) for n in gold.GRAINS} == kept
     feed.drop(refund("r2"))
     run(lake, feed)
@@ -197,6 +199,11 @@ def test_bad_record_fails_the_batch_and_every_rerun(spark, tmp_path):
     assert state(lake, "payment-events").count() == 0
 
 
+def test_options_are_checked():
+    with pytest.raises(ValueError):
+        silver.SilverOptions(on_bad="ignore")
+
+
 def test_negative_amount_fails(spark, tmp_path):
     feed, lake = Feed(spark, tmp_path), make_lake(spark, tmp_path / "lake")
     feed.drop(payment("p1", amount=-1))
