@@ -1,0 +1,72 @@
+import hashlib
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from paylake.llm import bpe
+from paylake.llm.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+LIBRARY = Tokenizer.from_file(bpe.WORD_BPE)
+HARD = [
+    None, "", " ", "\n\n", "<|endoftext|> a<|startoftext|>B <|ENDOFTEXT|>", "aaaa aaaaaaa " * 30,
+    "İSTANBUL ΣΑΣ Å é 日本語 😀😀 ﬁ ½²", "it's I'LL we'd '' 'sx", "\x1c\x1f\x85\xa0x y\x00z", "́á Å",
+]
+
+
+def lists(texts):
+    ids, counts = bpe.load().encode(texts)
+    return [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+def by_library(texts):
+    return [e.ids for e in LIBRARY.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def test_every_low_character():
+    texts = [chr(i) + "a" + chr(i) + " " + chr(i) for i in range(0x3100)]
+    assert lists(texts) == by_library(texts)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(max_size=60), min_size=1, max_size=5))
+def test_any_text(texts):
+    assert lists(texts) == by_library(texts)
+
+
+def test_forgotten_words_come_back(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED_WORDS", 3)
+    for _ in range(3):
+        assert lists(HARD) == by_library(HARD)
+
+
+def expected(text):
+    ids = LIBRARY.encode(text or "", add_special_tokens=False).ids
+    sha = lambda data: hashlib.sha256(data).hexdigest()
+    return len(ids), sha(np.array(ids, "<u4").tobytes()), sha(LIBRARY.decode(ids, skip_special_tokens=False).encode())
+
+
+def check(rows, result):
+    assert sorted(tuple(r) for r in result.collect()) == sorted((i, *expected(t)) for i, t in rows)
+
+
+def test_query_on_unusual_rows(spark, documents, folder):
+    rows = [*enumerate(HARD), (3, "twice"), (3, "twice"), (50, "very long " * 60_000 + "x" * 30_000)]
+    check(rows, QUERIES["op1_bpe"](spark, folder(documents=documents(rows))))
+
+
+def test_query_on_empty_table(spark, documents, folder):
+    check([], QUERIES["op1_bpe"](spark, folder(documents=documents([]))))
+
+
+def test_query_on_table(spark):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    check([tuple(r) for r in rows], QUERIES["op1_bpe"](spark, SMALL))
+
+
+def test_decode_operator(spark):
+    rows = spark.createDataFrame([(1, "Hello, world"), (2, None)], "doc_id long, text string")
+    back = bpe.decode(bpe.encode(rows).drop("n_tokens")).orderBy("doc_id").collect()
+    assert [r.decoded for r in back] == ["hello</w> ,</w> world</w>", ""]
