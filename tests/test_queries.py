@@ -3,7 +3,9 @@
 import compare
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from paylake.checks.oracles import ORACLES
+from paylake.checks.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,12 +16,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    assert compare.differences(queries()[name](spark, FOLDER), con, oracle_sql()[name]) == []
+    assert compare.differences(QUERIES[name](spark, FOLDER), con, ORACLES[name]) == []
 
 
 def test_entry_has_rows(spark):
