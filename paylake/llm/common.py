@@ -13,6 +13,9 @@ from paylake.session import scratch_dir
 #: Characters of text that one step inside a task handles at once; a longer text goes alone.
 STEP_CHARS = 1 << 20
 
+#: What map_texts reads as the numbers of the texts that the new rows are of.
+ROW = object()
+
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The named columns alone, matched by exact case.
@@ -69,7 +72,8 @@ def map_texts(
 
     ``prepare`` runs once in each task and returns the function, which gets a list of
     texts, a bounded number of characters at a time, and returns new columns by name.
-    ``schema`` is theirs.
+    ``schema`` is theirs. A further entry ``ROW`` makes other rows than one for each
+    text: it says which text each is of.
     """
     kept = [c for c in df.columns if c != text]
     full = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept), schema])
@@ -78,7 +82,6 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = prepare()
         for batch in batches:
-            sizes = batch.column(text)
             done = 0
             # Rows go to Python objects a slice at a time.
             while done < batch.num_rows:
@@ -87,12 +90,14 @@ def map_texts(
                 texts = part.column(text).to_pylist()
                 for a, b in steps(texts):
                     out = work(texts[a:b])
+                    own = part.slice(a, b - a)
+                    if ROW in out:
+                        own = own.take(pa.array(out[ROW]))
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(c).slice(a, b - a) for c in kept]
+                        [own.column(c) for c in kept]
                         + [v if isinstance(v, pa.Array) else pa.array(v) for v in (out[m] for m in made)],
                         names=[*kept, *made],
                     )
-            del sizes
 
     return df.mapInArrow(run, full)
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm import bpe
-from paylake.llm.common import read
+from paylake.llm import bpe, packing, token_files
+from paylake.llm.common import read, stored
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,8 +21,22 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(read(spark, sf_dir, "documents", "doc_id", "text"))
+    rows = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(stored(rows, "pieces"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    listed = token_files.write(docs, token_files.token_folder(docs))
+    return token_files.read(listed).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op7_token_files": op7_token_files,
 }
 
 ORACLES: dict[str, str] = {}
