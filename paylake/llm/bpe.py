@@ -52,7 +52,7 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-class _Runs:
+class Runs:
     """Keys numbered in the order they come, each with a run of ids in one flat array."""
 
     def __init__(self):
@@ -127,7 +127,7 @@ class WordBpe:
         self._forget()
 
     def _forget(self) -> None:
-        self.chunks, self.words = _Runs(), _Runs()
+        self.chunks, self.words = Runs(), Runs()
 
     def chunk_list(self, text: str) -> list[str]:
         """The parts of a text between white space as the library sees it."""

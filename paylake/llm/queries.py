@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm import bpe, packing, token_files
+from paylake.llm import bpe, langid, packing, quality, secrets, token_files
 from paylake.llm.common import read, stored
 
 
@@ -27,16 +27,45 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(stored(rows, "pieces"))
 
 
+def op3_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    bands = quality.fit_bands(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return quality.judge(quality.measure(docs), bands).select("doc_id", *counts, "base_failed", "kept", *quality.FITTED, "script")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     listed = token_files.write(docs, token_files.token_folder(docs))
     return token_files.read(listed).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read(spark, sf_dir, "documents", "doc_id", "text"))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *(secrets.number(spans, k).alias(f"n_{k}") for k in secrets.BASE_KINDS),
+        F.sha2(secrets.joined(spans, secrets.BASE_KINDS), 256).alias("base_sha256"),
+        secrets.joined(spans).alias("spans"),
+    )
+
+
+def op10_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    dictionaries = langid.fit(docs.where(~langid.held_out()))
+    judged = langid.predict(docs.select("doc_id", "text"), dictionaries)
+    accepted = F.col("score") >= langid.MIN_MARGIN
+    return judged.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", accepted.alias("accepted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_fertility_rules": op3_fertility_rules,
     "op7_token_files": op7_token_files,
+    "op9_credential_linking": op9_credential_linking,
+    "op10_compression_langid": op10_compression_langid,
 }
 
 ORACLES: dict[str, str] = {}

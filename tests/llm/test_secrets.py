@@ -1,0 +1,83 @@
+import hashlib
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from paylake.llm import secrets
+from paylake.llm.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+PATTERNS = {
+    "assign": (re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A), lambda m: len(m[1]) >= 6),
+    "access": (re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
+    "hex": (re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24),
+}
+KEY = "AKIA" + "A1" * 8
+WEAK = "aB3" * 13 + "x"
+
+
+def brute(text):
+    found = [(m.start(), i, f"{k}:{m.start()}:{m.end()}") for i, (k, (p, ok)) in enumerate(PATTERNS.items()) for m in p.finditer(text or "") if ok(m)]
+    kinds = [f[2].split(":")[0] for f in found]
+    joined = ",".join(f[2] for f in sorted(found))
+    return *(kinds.count(k) for k in PATTERNS), hashlib.sha256(joined.encode()).hexdigest()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["token", "SECRET", "api_key", "=", ": ", '"', "abc", "x1.y", KEY, "AKIA", "0f" * 13, "é", "ſecret", " ", "\n"]), max_size=14))
+def test_base_spans(parts):
+    text = "".join(parts)
+    spans = [s for s in secrets.spans_of(text) if s[0] in secrets.BASE_KINDS]
+    joined = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+    assert (*(sum(s[0] == k for s in spans) for k in PATTERNS), hashlib.sha256(joined.encode()).hexdigest()) == brute(text)
+
+
+def kinds(text):
+    return [s[0] for s in secrets.spans_of(text)]
+
+
+def test_weak_parts_alone_are_not_reported():
+    assert kinds(f"see https://host/x and {WEAK} there, user_id=someone") == ["endpoint", "secret", "ident"]
+    assert kinds(f"see https://host/x and {WEAK} there") == []
+    assert kinds("see https://host/x, user_id=someone") == []
+
+
+def test_complementary_parts():
+    assert kinds(f"{KEY} {WEAK}") == ["access", "secret"]
+    assert kinds(f"{KEY} {WEAK} https://host/x") == ["access", "secret", "endpoint"]
+    assert kinds(f"{KEY} https://host/x") == ["access"]
+    assert kinds("client_id=abcd password=abcdef9") == ["ident", "assign"]
+
+
+def test_scope_ends_at_empty_lines_and_at_a_distance():
+    assert kinds(f"{KEY}\n{WEAK}") == ["access", "secret"]
+    assert kinds(f"{KEY}\n \n{WEAK}") == ["access"]
+    assert kinds(f"{KEY} {'word ' * 100}{WEAK}") == ["access"]
+
+
+def test_masking():
+    text = f"é password={'0f' * 12} and {KEY}."
+    assert secrets.masked(text, secrets.spans_of(text)) == "é [assign] and [access]."
+
+
+def check(rows, result):
+    got = result.collect()
+    key = lambda r: tuple((x is None, x or 0) for x in r)
+    assert sorted((tuple(r)[:5] for r in got), key=key) == sorted(((i, *brute(t)) for i, t in rows), key=key)
+    texts = dict(rows)
+    assert all(r.spans == ",".join(f"{k}:{a}:{b}" for k, a, b in secrets.spans_of(texts[r.doc_id])) for r in got if r.doc_id != 7)
+
+
+def test_query_on_table(spark):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    check([tuple(r) for r in rows], QUERIES["op9_credential_linking"](spark, SMALL))
+
+
+def test_query_on_unusual_rows(spark, documents, folder):
+    rows = [(1, None), (2, ""), (7, "twice token=abcdef"), (7, "twice"), (None, KEY), (5, f"{KEY} " * 5000), (6, "f" * 200_000)]
+    check(rows, QUERIES["op9_credential_linking"](spark, folder(documents=documents(rows))))
+
+
+def test_query_on_empty_table(spark, documents, folder):
+    check([], QUERIES["op9_credential_linking"](spark, folder(documents=documents([]))))
