@@ -12,13 +12,14 @@ handled one by one, so repeated rows give repeated results.
 
 from __future__ import annotations
 
+import copy
 import itertools
 import json
 import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Sequence
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -89,9 +90,7 @@ class WordBpe:
     """A word-end BPE vocabulary; ``encode`` and ``decode`` take many texts at once."""
 
     def __init__(self, path: str = WORD_BPE):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             content = json.load(f)
         model, vocab = content["model"], content["model"]["vocab"]
@@ -126,6 +125,19 @@ class WordBpe:
         self.beyond = re.compile(f"[^\x00-{chr(PLAIN_BELOW - 1)}]").search
         self._forget()
 
+    @cached_property
+    def library(self):
+        """Read only where a text needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
+    def fresh(self) -> WordBpe:
+        """The same vocabulary with nothing remembered."""
+        other = copy.copy(self)
+        other._forget()
+        return other
+
     def _forget(self) -> None:
         self.chunks, self.words = Runs(), Runs()
 
@@ -244,11 +256,16 @@ class WordBpe:
 
 
 @lru_cache(maxsize=2)
-def load(path: str = WORD_BPE) -> WordBpe:
-    """One instance in each Python worker."""
+def _vocabulary(path: str) -> WordBpe:
+    """One in each Python worker."""
     return WordBpe(path)
 
 
+def load(path: str = WORD_BPE) -> WordBpe:
+    """An encoder for one task: what it remembers goes when the task ends."""
+    return _vocabulary(path).fresh()
+
+
 def encode(docs: DataFrame, path: str = WORD_BPE, text: str = "text") -> DataFrame:
     """Replaces the text column by ``n_tokens`` and ``ids``: little-endian unsigned 32-bit integers."""
 

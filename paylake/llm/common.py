@@ -48,6 +48,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """Has Spark send rows to Python in batches of bounded size, however long the texts are."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    return df
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -99,7 +107,7 @@ def map_texts(
                         names=[*kept, *made],
                     )
 
-    return df.mapInArrow(run, full)
+    return bounded_batches(df).mapInArrow(run, full)
 
 
 def ragged(counts) -> pa.Array:

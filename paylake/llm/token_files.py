@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylake.llm.bpe import WORD_BPE, load
-from paylake.llm.common import binaries, partitions, pick, steps, stored
+from paylake.llm.common import binaries, bounded_batches, partitions, pick, steps, stored
 from paylake.session import scratch_dir
 
 BLOCK = 1024
@@ -182,7 +182,7 @@ def write(docs: DataFrame, folder: str, path: str = WORD_BPE, end_id: int | None
                 {"part": [part], "file": [f"{folder.rstrip('/')}/{name}"], "n_docs": [n_docs], "n_tokens": [n_ids]}
             )
 
-    listed = stored(ordered.mapInArrow(run, "part long, file string, n_docs long, n_tokens long"), "token-files")
+    listed = stored(bounded_batches(ordered).mapInArrow(run, "part long, file string, n_docs long, n_tokens long"), "token-files")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # One row for each file, so this list is short.
     return listed.withColumn("first_token", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
