@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm import bpe, langid, packing, quality, secrets, token_files
+from paylake.llm import bpe, langid, neardup, packing, quality, secrets, token_files
 from paylake.llm.common import read, stored
 
 
@@ -40,6 +40,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(listed).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.group(read(spark, sf_dir, "documents", "doc_id", "text"), words=2)
+
+
 def op9_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(read(spark, sf_dir, "documents", "doc_id", "text"))
     spans = F.col("spans")
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_fertility_rules": op3_fertility_rules,
     "op7_token_files": op7_token_files,
+    "op8_superminhash": op8_superminhash,
     "op9_credential_linking": op9_credential_linking,
     "op10_compression_langid": op10_compression_langid,
 }
