@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm import bpe, langid, neardup, packing, quality, secrets, token_files
+from paylake.llm import ann, bpe, chat, langid, neardup, packing, quality, secrets, token_files, urlfilter
 from paylake.llm.common import read, stored
 
 
@@ -34,6 +34,32 @@ def op3_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(quality.measure(docs), bands).select("doc_id", *counts, "base_failed", "kept", *quality.FITTED, "script")
 
 
+def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return chat.link(chat.calls_of_turns(turns), chat.results_of_turns(turns), chat.TURN_SCHEMA)
+
+
+#: The rules of the query.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+def op5_url_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stored(urlfilter.prepare(read(spark, sf_dir, "pages", "page_id", "url"), URL_RULES), "urls")
+    judged = urlfilter.score(rows, urlfilter.fit(rows))
+    own = F.when(F.col("log_odds") >= urlfilter.THRESHOLD, "block").otherwise("allow")
+    return judged.select("page_id", "host", "path", "rule", F.coalesce("action", own).alias("verdict"), "log_odds")
+
+
+def op6_one_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("id") % 20 == 0)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     listed = token_files.write(docs, token_files.token_folder(docs))
@@ -67,10 +93,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_fertility_rules": op3_fertility_rules,
+    "op4_tool_calls": op4_tool_calls,
+    "op5_url_words": op5_url_words,
+    "op6_one_bit_codes": op6_one_bit_codes,
     "op7_token_files": op7_token_files,
     "op8_superminhash": op8_superminhash,
     "op9_credential_linking": op9_credential_linking,
     "op10_compression_langid": op10_compression_langid,
 }
 
-ORACLES: dict[str, str] = {}
+#: The other operators use tokenizers, compressors, hashes or models that SQL does not have;
+#: tests/llm compares them with brute force.
+ORACLES: dict[str, str] = {"op4_tool_calls": chat.TURNS_SQL}

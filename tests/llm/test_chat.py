@@ -1,0 +1,96 @@
+import json
+
+import compare
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from paylake.llm import chat
+from paylake.llm.queries import ORACLES, QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+NAME = "op4_tool_calls"
+COLUMNS = "conv_id long, turn long, role string, text string, status string, id string"
+
+
+def against_sql(spark, folder):
+    con = duckdb.connect()
+    path = f"{folder}/conversations.parquet"
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{path if folder == SMALL else path + '/*.parquet'}')")
+    return compare.differences(QUERIES[NAME](spark, folder), con, ORACLES[NAME])
+
+
+def test_query_matches_sql(spark):
+    assert against_sql(spark, SMALL) == []
+
+
+def rows_frame(spark, rows):
+    return spark.createDataFrame([(*r, "x", "y") for r in rows], COLUMNS)
+
+
+def test_query_on_unusual_rows(spark, folder, monkeypatch):
+    monkeypatch.setattr(chat, "STRETCH", 4)
+    rows = [(1, 0, "system", "be kind"), (1, 1, "user", 'say "é"\n\ttab \\ / \x01'), (1, 2, "assistant", "x"), (1, 2, "assistant", "x")]
+    rows += [(2, 0, "assistant", "first"), (2, 5, "user", ""), (2, 5, "user", None), (2, 6, "assistant", None), (3, 0, None, "no role")]
+    rows += [(4, i, "user" if i % 2 == 0 else "assistant", f"text {i}" * 100) for i in range(50)] + [(4, 10, "user", "text")] * 9
+    rows += [(5, 1, "system", "late"), (6, -1, "user", "early")]
+    assert against_sql(spark, folder(conversations=rows_frame(spark, rows))) == []
+
+
+def test_rows_without_identifier_stay(spark, folder):
+    rows = [(None, 0, "user", "a"), (1, None, "user", "b"), (1, None, "assistant", "c"), (None, None, "assistant", None)]
+    got = QUERIES[NAME](spark, folder(conversations=rows_frame(spark, rows))).collect()
+    assert len(got) == 4
+    assert {(r.status, r.place) for r in got} == {("unidentified", None)}
+
+
+def test_query_on_empty_table(spark, folder):
+    assert QUERIES[NAME](spark, folder(conversations=rows_frame(spark, []))).collect() == []
+
+
+def test_no_python_in_the_plan(spark):
+    plan = QUERIES[NAME](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+SCHEMA = {"find": {"what": ("string", True, 1, 5), "most": ("integer", False, 1, 10)}}
+
+
+@pytest.mark.parametrize(
+    ("arguments", "expected"),
+    [
+        ('{"what":"abc","most":3}', ""),
+        ('{"most": 3, "what": "abcdef"}', "range what"),
+        ('{"most": "3", "what": "a"}', "type most"),
+        ('{"most": 2.5, "what": 7}', "type what; type most"),
+        ('{"most": 11}', "missing what; range most"),
+        ('{"what": null, "z": 1, "b": {}}', "missing what; unknown b; unknown z"),
+        ("[1]", "not an object"),
+        ("{broken", "not an object"),
+        (None, "not an object"),
+    ],
+)
+def test_argument_errors(spark, arguments, expected):
+    row = spark.createDataFrame([(arguments, "find")], "a string, n string")
+    assert row.select(F.array_join(chat.errors(F.col("a"), F.col("n"), SCHEMA), "; ").alias("e")).first().e == expected
+
+
+def test_messages_with_tool_calls(spark):
+    call = {"tool_calls": [{"id": "b", "name": "find", "arguments": {"what": "x", "most": 2}}, {"id": "a", "name": "other", "arguments": {}}]}
+    rows = [
+        (1, 0, "tool", json.dumps({"tool_call_id": "b", "content": "early"})),
+        (1, 1, "assistant", json.dumps(call)),
+        (1, 2, "tool", json.dumps({"tool_call_id": "c", "content": "lost"})),
+        (1, 3, "assistant", "plain text"),
+    ]
+    messages = rows_frame(spark, rows)
+    got = {r.call_id: r for r in chat.link(chat.calls_of_messages(messages), chat.results_of_messages(messages), SCHEMA).collect()}
+    assert {i: (r.status, r.place, r.errors) for i, r in got.items()} == {
+        "a": ("unanswered", 0, "unknown tool other"),
+        "b": ("linked", 1, ""),
+        "c": ("orphan", 2, ""),
+    }
+    # The result written before its call stands behind it; keys are sorted and there is no white space.
+    assert got["b"].json == (
+        '{"call":{"arguments":{"most":2,"what":"x"},"id":"b","name":"find"},"result":{"content":"early","tool_call_id":"b"}}'
+    )
