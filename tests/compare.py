@@ -31,7 +31,7 @@ def _bag(names, rows):
 # Spark type -> the DuckDB type that holds the same values.
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
-    "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
 }
 
 
