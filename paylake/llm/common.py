@@ -37,6 +37,20 @@ def read(spark: SparkSession, sf_dir: str, table: str, *names: str) -> DataFrame
     return pick(spark.read.parquet(f"{sf_dir}/{table}.parquet"), *names)
 
 
+def sampled(rows: DataFrame, group: str, number: int) -> DataFrame:
+    """About ``number`` rows of each group, or all if there are fewer, by a hash of ``doc_id``.
+
+    The groups are few. Each gets a bound for the hash from its number of rows, so no group is
+    sorted or brought together. Rows without group or id are left out.
+    """
+    sizes = {r[0]: r[1] for r in rows.groupBy(group).count().collect() if r[0] is not None}
+    within = F.lit(False)
+    for name, size in sizes.items():
+        share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(min(1, number / size) * (1 << 30))
+        within = within | ((F.col(group) == name) & share)
+    return rows.where(within & F.col("doc_id").isNotNull())
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared scratch folder and read from there.
 

@@ -17,12 +17,12 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import map_texts, pick
+from paylake.llm.common import map_texts, pick, sampled
 
-#: Labelled documents for each language, at most, that a dictionary is made of.
+#: Labelled documents for each language, about, that a dictionary is made of.
 SAMPLE_PER_LANGUAGE = 200
 
 #: Longer documents are passed over for dictionaries.
@@ -55,15 +55,13 @@ def levelled(text: str) -> bytes:
 def fit(docs: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> dict[str, bytes]:
     """A dictionary for each language, from (doc_id, text, lang) rows.
 
-    What reaches the driver is bounded: ``sample`` documents of ``SAMPLE_CHARS``
-    characters for each language.
+    What reaches the driver is bounded: about ``sample`` documents of at most
+    ``SAMPLE_CHARS`` characters for each language.
     """
     usable = pick(docs, "doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.length("text").between(1, SAMPLE_CHARS)
     )
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text"))
-    # The texts of the chosen documents alone are sent: the rank filter works before the shuffle.
-    chosen = usable.withColumn("rank", rank).where(F.col("rank") <= sample).orderBy("lang", "rank").collect()
+    chosen = sampled(usable, "lang", sample).orderBy("lang", F.xxhash64("doc_id"), "doc_id", "text").collect()
     made: dict[str, dict[str, None]] = {}
     for row in chosen:
         if any(map(str.isalpha, row.text)):

@@ -27,13 +27,13 @@ def make(spark, rows):
 def test_query_on_unusual_rows(spark, folder):
     english, german = "the house and the garden are there " * 20, "das haus und der garten sind dort zu sehen " * 20
     train = [(i, english if i % 2 else german, "en" if i % 2 else "de") for i in range(100, 140)]
-    odd = [(1, None, "en"), (2, "", "en"), (3, "123 !", None), (4, english, None), (4, english, None), (5, german * 300, None), (None, german, "xx")]
+    odd = [(1, None, "en"), (2, "", "en"), (3, "123 !", None), (4, english, None), (4, english, None), (5, german * 300, None), (None, german, "yy"), (6, german, "xx")]
     got = QUERIES["op10_compression_langid"](spark, folder(documents=make(spark, train + odd))).collect()
     assert len(got) == len(train) + len(odd)
     assert {r.lang_pred for r in got if r.doc_id in (1, 2, 3)} == {"und"}
     assert [r.lang_pred for r in got if r.doc_id == 4] == ["en", "en"]
     assert [r.lang_pred for r in got if r.doc_id == 5] == ["de"]
-    assert [r.held_out for r in got if r.doc_id is None] == [False]
+    assert [(r.held_out, r.lang_pred) for r in got if r.doc_id is None] == [(False, "de")]
 
 
 def test_query_learns_from_documents_not_held_out(spark, folder):
