@@ -1,16 +1,82 @@
-"""From raw documents to packed token sequences: the stages of a training corpus."""
+"""From raw documents to packed token sequences: the stages of a training corpus.
+
+Each stage gets all documents that the one before it kept, as a stored table, and returns
+the columns of ``documents``; the last one returns packed pieces. Columns that
+``documents`` does not have are left out by the first stage.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paylake.llm.common import stored
+from paylake.llm import langid, neardup, packing, quality, secrets
+from paylake.llm.common import pick, read, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+#: Words of a shingle in the near-duplicate stage.
+SHINGLE_WORDS = 5
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and lie inside the bands of their language."""
+    docs = pick(docs, *COLUMNS)
+    bands = quality.fit_bands(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.judge(quality.measure(docs, keep_text=True), bands).where("kept").select(*COLUMNS)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told with a clear margin; a missing language is filled in.
+
+    Where no document has a language to learn from, nothing is rejected.
+    """
+    docs = pick(docs, *COLUMNS)
+    dictionaries = langid.fit(docs.where(~langid.held_out()))
+    if not dictionaries:
+        return docs
+    judged = langid.predict(docs, dictionaries, keep_text=True)
+    clear = judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= langid.MIN_MARGIN))
+    return clear.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group of near copies, and documents without an id."""
+    docs = pick(docs, *COLUMNS)
+    dropped = neardup.group(docs, SHINGLE_WORDS).where(~F.col("kept")).select("doc_id").distinct()
+    left = docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    # Rows that repeat an id and its text are copies too.
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return left
+    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(repeated, "doc_id", "left_anti").unionByName(once).select(*COLUMNS)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets masked."""
+    masked = secrets.redact(pick(docs, *COLUMNS))
+    return masked.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The places of all pieces in sequences of 4096 tokens."""
+    cut = packing.pieces(pick(docs, "doc_id", "text"))
+    rows = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(stored(rows, "pieces"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_rules),
+    ("language ID", language_id),
+    ("MinHash near-dedup", near_dedup),
+    ("secret scans", secret_scan),
+    ("best-fit packing", best_fit_packing),
+]
 
 #: Tokenisers and compressors cannot be expressed in SQL; tests/llm compares with brute force.
 ORACLE_SQL = None
@@ -18,6 +84,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -88,16 +88,20 @@ def steps(texts: list[str | None], most: int = STEP_CHARS) -> Iterator[tuple[int
 
 
 def map_texts(
-    df: DataFrame, schema: str, prepare: Callable[[], Callable[[list[str | None]], dict[str, Iterable]]], text: str = "text"
+    df: DataFrame,
+    schema: str,
+    prepare: Callable[[], Callable[[list[str | None]], dict[str, Iterable]]],
+    text: str = "text",
+    keep_text: bool = False,
 ) -> DataFrame:
-    """The other columns of ``df`` followed by what a function makes of the text column.
+    """The other columns of ``df``, or all, followed by what a function makes of the text column.
 
     ``prepare`` runs once in each task and returns the function, which gets a list of
     texts, a bounded number of characters at a time, and returns new columns by name.
     ``schema`` is theirs. A further entry ``ROW`` makes other rows than one for each
     text: it says which text each is of.
     """
-    kept = [c for c in df.columns if c != text]
+    kept = [c for c in df.columns if keep_text or c != text]
     full = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept), schema])
     made = [f.name for f in df.sparkSession.createDataFrame([], schema).schema]
 

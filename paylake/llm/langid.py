@@ -102,9 +102,9 @@ class _Predict:
         return {"lang_pred": pa.array([f[0] for f in found], pa.string()), "score": pa.array([f[1] for f in found], pa.float64())}
 
 
-def predict(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
-    """Replaces the text column by ``lang_pred`` and ``score``, the margin to the second language."""
-    return map_texts(docs, "lang_pred string, score double", lambda: _Predict(dictionaries))
+def predict(docs: DataFrame, dictionaries: dict[str, bytes], keep_text: bool = False) -> DataFrame:
+    """Adds ``lang_pred`` and ``score``, the margin to the second language; the text goes unless it is to be kept."""
+    return map_texts(docs, "lang_pred string, score double", lambda: _Predict(dictionaries), keep_text=keep_text)
 
 
 def held_out(doc_id: str = "doc_id"):
