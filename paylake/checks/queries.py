@@ -325,7 +325,8 @@ _add(
 
 @_register
 def incremental_payment_performance(v: Views) -> DataFrame:
-    return incremental.payment_performance(
+    return incremental.rebuild(
+        "payment_performance",
         _as_number(incremental.affected_payments(_touched(v)), "bigint"),
         v.payments(), v.merchants(), v.gateways(), v.payment_methods(), v.attempts(),
         v.payment_events(), v.refunds(), v.chargebacks(), v.settlements(),
@@ -334,7 +335,8 @@ def incremental_payment_performance(v: Views) -> DataFrame:
 
 @_register
 def incremental_merchant_performance(v: Views) -> DataFrame:
-    return incremental.merchant_performance(
+    return incremental.rebuild(
+        "merchant_performance",
         _as_number(incremental.affected_merchants(_touched(v)), "bigint"),
         v.merchants(), v.payments(), v.refunds(), v.chargebacks(), v.settlements(),
     )
@@ -343,12 +345,14 @@ def incremental_merchant_performance(v: Views) -> DataFrame:
 @_register
 def incremental_gateway_performance(v: Views) -> DataFrame:
     failed = v.attempts().where(F.col("attempt_status") == "Failed")
-    return incremental.gateway_performance(failed, v.gateways(), v.payments(), v.attempts())
+    return incremental.rebuild(
+        "gateway_performance",failed, v.gateways(), v.payments(), v.attempts())
 
 
 @_register
 def incremental_financial_operations(v: Views) -> DataFrame:
-    return incremental.financial_operations(
+    return incremental.rebuild(
+        "financial_operations",
         incremental.affected_days(_touched(v)),
         v.payments(), v.refunds(), v.chargebacks(), v.settlements(),
     )

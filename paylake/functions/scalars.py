@@ -22,9 +22,15 @@ def to_instant(column: str) -> Column:
 
 
 def whole_number(text: Column) -> Column:
-    """Read ``77``, ``77.0`` or ``"77"`` as a bigint; NULL if there is a fraction."""
-    number = text.try_cast("decimal(38,6)")
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
+    """Read ``77``, ``77.0``, ``7.7E1`` or ``"77"`` as a bigint; NULL if there is a fraction.
+
+    The fraction is judged in the text, where no cast has rounded it away; with an
+    exponent, by a decimal of eighteen places.
+    """
+    plain = F.regexp_extract(text, r"^\s*([+-]?\d+)(\.0*)?\s*$", 1)
+    number = text.try_cast("decimal(38,18)")
+    exponent = F.when(text.rlike("[eE]") & (number == F.floor(number)), number.try_cast("bigint"))
+    return F.when(plain != "", plain.try_cast("bigint")).otherwise(exponent)
 
 
 def operation_date(*timestamps: str) -> Column:

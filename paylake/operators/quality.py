@@ -11,9 +11,10 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paylake.sources import events
-from paylake.specs import EntitySpec
+from paylake.specs import EVENT_TIMESTAMPS, EntitySpec
 
 MISSING_COLUMN = -1
 
@@ -99,7 +100,8 @@ def event_report(
     ``null_<column>`` and ``negative_<column>`` count within the topics that
     require the column; ``duplicate_records`` counts repeats of
     (topic, partition, offset) and ``repeated_keys`` those of a business key;
-    ``malformed`` counts records that are no JSON object of the declared types.
+    ``malformed`` counts records that are no JSON object of the declared types;
+    ``unreadable_<column>`` counts texts that should be a number or a time and are none.
 
     The counts combine map-side to a row per topic and task. The distinct counts
     run beside them on narrow columns, so the counters are not shuffled with
@@ -116,6 +118,11 @@ def event_report(
                 hits = F.when(F.col("topic") == s.topic, test(value)).otherwise(hits)
         return hits
 
+    lost: dict[str, Column] = {}
+    for s in specs:
+        for c, test in _unreadable(s, numbers).items():
+            lost[c] = F.when(F.col("topic") == s.topic, test).otherwise(lost.get(c, F.lit(False)))
+
     broken = F.lit(False)
     for s in specs:
         broken = F.when(F.col("topic") == s.topic, events.malformed(s)).otherwise(broken)
@@ -130,6 +137,7 @@ def event_report(
             F.count_if(within("money", c, lambda v: v < 0)).alias(f"negative_{c}")
             for c in money
         ],
+        *[F.count_if(test).alias(f"unreadable_{c}") for c, test in sorted(lost.items())],
     )
     records = parsed.groupBy("topic").agg(
         F.count_distinct(F.struct("partition", "offset")).alias("_records")
@@ -161,9 +169,32 @@ def row_errors(spec: EntitySpec, numbers: str = "strict") -> Column:
     for c in spec.money:
         value = events.payload_field(spec, c, numbers)
         reasons.append(F.when(value < 0, F.lit(f"negative:{c}")))
+    for c, test in _unreadable(spec, numbers).items():
+        reasons.append(F.when(test, F.lit(f"unreadable:{c}")))
     return F.array_compact(F.array(*reasons))
 
 
+def batch_errors(specs: Sequence[EntitySpec], numbers: str = "strict") -> Column:
+    """``row_errors`` of each record's own topic, in one pass over a batch of all topics."""
+    errors = F.array().cast("array<string>")
+    for s in specs:
+        errors = F.when(F.col("topic") == s.topic, row_errors(s, numbers)).otherwise(errors)
+    return errors
+
+
+def _unreadable(spec: EntitySpec, numbers: str) -> dict[str, Column]:
+    """For fields sent as text: whether there is text that gives no value."""
+    tests = {}
+    for field in spec.payload_schema.fields:
+        text = F.col(spec.table)["payload"][field.name]
+        if field.name in EVENT_TIMESTAMPS and isinstance(field.dataType, T.StringType):
+            tests[field.name] = text.isNotNull() & F.try_to_timestamp(text).isNull()
+        elif numbers == "tolerant" and isinstance(field.dataType, T.LongType):
+            value = events.payload_field(spec, field.name, numbers)
+            tests[field.name] = text.isNotNull() & value.isNull()
+    return tests
+
+
 # --- gates ----------------------------------------------------------------------
 
 
@@ -180,6 +211,12 @@ def refuse_negative(name: str, counts: Mapping[str, int]) -> None:
         raise QualityError(f"{name}: negative amounts: {bad}")
 
 
+def refuse_unreadable(name: str, counts: Mapping[str, int]) -> None:
+    bad = {c: n for c, n in counts.items() if n > 0}
+    if bad:
+        raise QualityError(f"{name}: cells that are no value of their type: {bad}")
+
+
 def refuse_duplicates(name: str, duplicate_rows: int) -> None:
     if duplicate_rows > 0:
         raise QualityError(f"{name}: {duplicate_rows} rows repeat a key")
@@ -194,3 +231,7 @@ def refuse_batch(topic_report: Mapping[str, int]) -> None:
     refuse_negative(
         topic, {k[9:]: v for k, v in topic_report.items() if k.startswith("negative_")}
     )
+    # A time that cannot be read is empty, as everywhere; an amount must not be lost.
+    lost = {k[11:]: v for k, v in topic_report.items() if k.startswith("unreadable_") and v > 0}
+    if lost := {c: n for c, n in lost.items() if c not in EVENT_TIMESTAMPS}:
+        raise QualityError(f"{topic}: numbers that cannot be read: {lost}")

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from paylake.operators.latest import keep_latest
 from paylake.specs import ARRIVAL_ORDER
 
+SIDE = "_side"
+
 
 def upsert(
     target: DataFrame,
@@ -28,7 +30,7 @@ def upsert(
     ``source`` holds at most one row per key (use ``keep_latest``). A NULL key
     equals nothing, so such rows are always added. By default the source
     replaces the target row whatever its age; with ``newer_wins`` the target
-    row stays if it is later in ``order``.
+    row stays if it is later in ``order``. Of equals the source wins.
 
     Target rows with untouched keys are never shuffled when the source keys are
     small enough to broadcast.
@@ -40,8 +42,9 @@ def upsert(
     if not newer_wins:
         return untouched.unionByName(source)
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    contested = target.join(touched, keys, "left_semi").unionByName(source.where(has_key))
+    old = target.join(touched, keys, "left_semi").withColumn(SIDE, F.lit(0))
+    contested = old.unionByName(source.where(has_key).withColumn(SIDE, F.lit(1)))
     return (
-        untouched.unionByName(keep_latest(contested, keys, order))
+        untouched.unionByName(keep_latest(contested, keys, [*order, SIDE]).drop(SIDE))
         .unionByName(source.where(~has_key))
     )

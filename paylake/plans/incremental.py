@@ -1,7 +1,7 @@
 """Affected keys of a batch, and rebuilds of the metric tables for them only.
 
 For any key set K an incremental rebuild gives the rows of the full build whose
-key is in K. Each rebuild uses the key set once per input: persist it first. A
+key is in K. A rebuild may use the key set once per input: persist it first. A
 persisted and counted set also has an exact size, by which Spark decides whether
 to broadcast it.
 """
@@ -82,96 +82,40 @@ def affected_days(touched: DataFrame) -> DataFrame:
 
 
 def payments_of(payments: DataFrame, dimension_keys: DataFrame, on: str) -> DataFrame:
-    """Payments that refer to a changed dimension row, as a key set."""
-    keys = distinct_keys(dimension_keys, on)
-    return distinct_keys(restrict(payments.select("payment_id", on), keys, on), "payment_id")
-
-
-def payment_performance(
-    payment_ids: DataFrame,
-    payments: DataFrame,
-    merchants: DataFrame,
-    gateways: DataFrame,
-    payment_methods: DataFrame,
-    attempts: DataFrame,
-    events: DataFrame,
-    refunds: DataFrame,
-    chargebacks: DataFrame,
-    settlements: DataFrame,
-    build=gold.payment_performance,
-    **options,
-) -> DataFrame:
-    keys = distinct_keys(payment_ids, "payment_id")
-    return build(
-        payments=restrict(payments, keys, "payment_id"),
-        merchants=merchants,
-        gateways=gateways,
-        payment_methods=payment_methods,
-        attempts=restrict(attempts, keys, "payment_id"),
-        events=restrict(events, keys, "payment_id"),
-        refunds=restrict(refunds, keys, "payment_id"),
-        chargebacks=restrict(chargebacks, keys, "payment_id"),
-        settlements=restrict(settlements, keys, "payment_id"),
-        **options,
-    )
+    """Payments that refer to a changed dimension row, as a key set.
 
+    The dimension keys may repeat: a semi-join needs no distinct ones, and without an
+    aggregate between shuffle and join a hot key can be split.
+    """
+    named = dimension_keys.select(on)
+    return distinct_keys(restrict(payments.select("payment_id", on), named, on), "payment_id")
 
-def merchant_performance(
-    merchant_ids: DataFrame,
-    merchants: DataFrame,
-    payments: DataFrame,
-    refunds: DataFrame,
-    chargebacks: DataFrame,
-    settlements: DataFrame,
-    build=gold.merchant_performance,
-    **options,
-) -> DataFrame:
-    keys = distinct_keys(merchant_ids, "merchant_id")
-    return build(
-        merchants=restrict(merchants, keys, "merchant_id"),
-        payments=restrict(payments, keys, "merchant_id"),
-        refunds=restrict(refunds, keys, "merchant_id"),
-        chargebacks=restrict(chargebacks, keys, "merchant_id"),
-        settlements=restrict(settlements, keys, "merchant_id"),
-        **options,
-    )
 
+def rebuild(table: str, keys: DataFrame, *inputs: DataFrame, **options) -> DataFrame:
+    """The rows of a metric table whose key is in ``keys``.
 
-def gateway_performance(
-    gateway_ids: DataFrame,
-    gateways: DataFrame,
-    payments: DataFrame,
-    attempts: DataFrame,
-    build=gold.gateway_performance,
-    **options,
-) -> DataFrame:
-    keys = distinct_keys(gateway_ids, "gateway_id")
-    return build(
-        gateways=restrict(gateways, keys, "gateway_id"),
-        payments=restrict(payments, keys, "gateway_id"),
-        attempts=restrict(attempts, keys, "gateway_id"),
-        **options,
-    )
+    ``inputs`` and ``options`` are those of the builder of the same name in ``gold``.
 
-
-def financial_operations(
-    operation_dates: DataFrame,
-    payments: DataFrame,
-    refunds: DataFrame,
-    chargebacks: DataFrame,
-    settlements: DataFrame,
-    build=gold.financial_operations,
-    **options,
-) -> DataFrame:
-    # Days are few and hot: a shuffle on them would gather whole days in one task.
-    # The type bounds the set at 3.7 million four-byte values, so it always fits a
-    # broadcast, and the facts are filtered where they are read.
-    keys = F.broadcast(distinct_keys(operation_dates, "operation_date"))
-    on = "operation_date"
-    return build(
-        payments=restrict_by(payments, keys, gold.payment_day(), on),
-        refunds=restrict_by(refunds, keys, gold.refund_day(), on),
-        chargebacks=restrict_by(chargebacks, keys, gold.chargeback_day(), on),
-        settlements=restrict_by(settlements, keys, gold.settlement_day(), on),
-        **options,
-    )
+    Payments: facts are reduced to the keys first; a payment has few rows of each.
+    Days: few and hot, so a shuffle on them would gather whole days in one task. The type
+    bounds the set at 3.7 million four-byte values, so it always fits a broadcast, and the
+    facts are filtered where they are read.
+    Merchants and gateways: one may hold a third of all facts, so the facts are rolled up,
+    combined before the shuffle, and the rows of the result are reduced. Spark moves
+    the semi-join below the roll-up only if the key set is small enough to broadcast. A batch
+    touches nearly all gateways, so there the reduction saves little.
+    """
+    build = getattr(gold, table)
+    if table == "payment_performance":
+        on = "payment_id"
+        # The three dimension tables behind the payments have no payment id.
+        inputs = [restrict(i, keys, on) if on in i.columns else i for i in inputs]
+        return build(*inputs, **options)
+    if table == "financial_operations":
+        on = "operation_date"
+        days = F.broadcast(distinct_keys(keys, on))
+        grains = (gold.payment_day(), gold.refund_day(), gold.chargeback_day(), gold.settlement_day())
+        inputs = [restrict_by(i, days, g, on) for i, g in zip(inputs, grains, strict=True)]
+        return build(*inputs, **options)
+    on = "merchant_id" if table == "merchant_performance" else "gateway_id"
+    return restrict(build(*inputs, **options), keys.select(on), on)

@@ -8,6 +8,7 @@ therefore writes only what changed, never the whole table.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -23,9 +24,28 @@ SEQUENCE = "_sequence"
 REMOVED = "_removed"
 
 
-def key_rows_without(rows: DataFrame, remove: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys of ``remove`` that have no row in ``rows``: what to delete."""
-    return remove.select(*keys).distinct().join(rows.select(*keys), list(keys), "left_anti")
+def with_removals(
+    rows: DataFrame, remove: DataFrame | None, keys: Sequence[str]
+) -> DataFrame:
+    """``rows``, and the keys of ``remove`` that have no row, marked as removed.
+
+    One full join on the keys, by which ``rows`` has been made as a rule: it is
+    evaluated once and not shuffled again.
+    """
+    present = rows.withColumn(REMOVED, F.lit(False))
+    if remove is None:
+        return present
+    named = remove.select(*keys).distinct()
+    return present.join(named, list(keys), "full").withColumn(
+        REMOVED, F.coalesce(REMOVED, F.lit(True))
+    )
+
+
+_NAME = re.compile(r"\d{12}-(full|part)-.+")
+
+
+class LostWriteError(RuntimeError):
+    """A write ended without the marker by which readers know it."""
 
 
 @dataclass(frozen=True)
@@ -51,7 +71,9 @@ class FolderTable:
     Folder names are ``<sequence>-full-<batch>`` or ``<sequence>-part-<batch>``;
     the first write makes a full one. A folder counts once Spark has written its
     ``_SUCCESS`` marker, so a write cut short is invisible and is overwritten by
-    the next attempt. A batch that is already there is not written again.
+    the next attempt. A batch that is already there is not written again. A write
+    that leaves no marker (``mapreduce.fileoutputcommitter.marksuccessfuljobs`` is
+    off) raises. Folders of other names are left alone.
     """
 
     def __init__(
@@ -72,7 +94,7 @@ class FolderTable:
         done = [
             _Folder(n)
             for n in files.subfolders(self.spark, self.path)
-            if files.exists(self.spark, f"{self.path}/{n}/_SUCCESS")
+            if _NAME.fullmatch(n) and files.exists(self.spark, f"{self.path}/{n}/_SUCCESS")
         ]
         starts = [i for i, f in enumerate(done) if f.is_full]
         return done[starts[-1]:] if starts else []
@@ -107,14 +129,6 @@ class FolderTable:
             return self.spark.createDataFrame([], stored)
         return self.spark.read.schema(stored).parquet(*self._paths(folders))
 
-    def has_history(self) -> bool:
-        """Whether ``versions`` may hold more than the current rows."""
-        return len(self._folders()) > 1
-
-    def versions(self) -> DataFrame:
-        """Every stored row since the last full copy, replaced ones included."""
-        return self._scan(self._folders()).select(*self.schema.fieldNames())
-
     def read(self) -> DataFrame:
         """The current state, one row per key."""
         folders = self._folders()
@@ -154,12 +168,8 @@ class FolderTable:
         if not folders:
             self._write(rows.select(*(self._schema or rows.schema).fieldNames()), 0, "full", batch)
             return True
-        changed = rows.select(*self.schema.fieldNames(), F.lit(False).alias(REMOVED))
-        if remove is not None:
-            gone = key_rows_without(rows, remove, self.keys)
-            changed = changed.unionByName(
-                gone.withColumn(REMOVED, F.lit(True)), allowMissingColumns=True
-            )
+        names = self.schema.fieldNames()
+        changed = with_removals(rows.select(*names), remove, self.keys).select(*names, REMOVED)
         sequence = folders[-1].sequence + 1
         changed = changed.withColumn(SEQUENCE, F.lit(sequence).cast("bigint"))
         self._write(changed, sequence, "part", batch)
@@ -193,7 +203,7 @@ class FolderTable:
         old = [
             n
             for n in files.subfolders(self.spark, self.path)
-            if _Folder(n).sequence < folders[0].sequence
+            if _NAME.fullmatch(n) and _Folder(n).sequence < folders[0].sequence
         ]
         for name in old:
             files.delete(self.spark, f"{self.path}/{name}")
@@ -202,6 +212,8 @@ class FolderTable:
     def _write(self, rows: DataFrame, sequence: int, kind: str, batch: str | None) -> None:
         name = f"{sequence:012d}-{kind}-{batch or 'manual'}"
         rows.write.mode("overwrite").parquet(f"{self.path}/{name}")
+        if not files.exists(self.spark, f"{self.path}/{name}/_SUCCESS"):
+            raise LostWriteError(f"no _SUCCESS marker in {self.path}/{name}; readers would miss it")
 
 
 class MergeTable:
@@ -235,11 +247,6 @@ class MergeTable:
             return self.spark.createDataFrame([], self._schema)
         return self.spark.read.table(self.name)
 
-    versions = read
-
-    def has_history(self) -> bool:
-        return False
-
     def create_if_absent(self, schema: T.StructType) -> None:
         if not self.exists():
             empty = self.spark.createDataFrame([], schema)
@@ -250,16 +257,12 @@ class MergeTable:
     ) -> bool:
         """MERGE on the keys. Running the same batch twice leaves the same table."""
         self.create_if_absent(rows.schema)
-        source = rows.withColumn(REMOVED, F.lit(False))
-        if remove is not None:
-            source = source.unionByName(
-                key_rows_without(rows, remove, self.keys).withColumn(REMOVED, F.lit(True)),
-                allowMissingColumns=True,
-            )
-        self.spark.sql(self.merge_statement(), source=source)
+        source = with_removals(rows, remove, self.keys)
+        self.spark.sql(self.merge_statement(rows.columns), source=source)
         return True
 
-    def merge_statement(self) -> str:
+    def merge_statement(self, columns: Sequence[str]) -> str:
+        """The helper column of the source stays out, also where the schema may evolve."""
         on = " AND ".join(f"target.{k} = source.{k}" for k in self.keys)
         newer = ""
         if self.newer_wins:
@@ -268,11 +271,15 @@ class MergeTable:
                 for side in ("source", "target")
             ]
             newer = f" AND {sides[0]} >= {sides[1]}"
+        quoted = [f"`{c}`" for c in columns]
+        update = ", ".join(f"target.{c} = source.{c}" for c in quoted)
+        values = ", ".join(f"source.{c}" for c in quoted)
         return (
             f"MERGE INTO {self.name} AS target USING {{source}} AS source ON {on} "
             f"WHEN MATCHED AND source.{REMOVED} THEN DELETE "
-            f"WHEN MATCHED AND NOT source.{REMOVED}{newer} THEN UPDATE SET * "
-            f"WHEN NOT MATCHED AND NOT source.{REMOVED} THEN INSERT *"
+            f"WHEN MATCHED AND NOT source.{REMOVED}{newer} THEN UPDATE SET {update} "
+            f"WHEN NOT MATCHED AND NOT source.{REMOVED} "
+            f"THEN INSERT ({', '.join(quoted)}) VALUES ({values})"
         )
 
     def overwrite(self, rows: DataFrame) -> None:
@@ -289,9 +296,12 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 
 
-def stream_table(spark: SparkSession, name: str) -> DataFrame:
-    """A catalog table as a stream of its appended rows."""
-    return spark.readStream.table(name)
+def stream_table(spark: SparkSession, name: str, max_files: int | None = None) -> DataFrame:
+    """A catalog table as a stream of its appended rows. ``max_files`` bounds a microbatch."""
+    reader = spark.readStream
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.table(name)
 
 
 def stream_folder(

@@ -8,16 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import partial, reduce
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylake.operators.keys import distinct_keys, restrict, union_keys
+from paylake.operators.keys import union_keys
 from paylake.plans import gold, incremental
 from paylake.sources.tables import FolderTable, Lake, MergeTable
 from paylake.specs import PAYMENT_TOPICS, entity_for_topic, static_for_table
+from paylake.streaming import moves
 from paylake.streaming.parallel import run_together
 from paylake.streaming.silver import batch_name, entity_table
 
@@ -78,29 +79,12 @@ def _state(lake: Lake) -> dict[str, DataFrame]:
     return state
 
 
-def _earlier_versions(lake: Lake, touched: DataFrame) -> list[DataFrame]:
-    """What the replaced versions of the touched rows name: the groups that rows left."""
-    found = []
-    for topic in PAYMENT_TOPICS:
-        spec = entity_for_topic(topic)
-        table = entity_table(lake, spec)
-        if not table.has_history():
-            continue
-        (key,) = spec.keys
-        ids = touched.where(F.col("topic") == topic).select(F.col("entity_id").alias(key))
-        stored = restrict(table.versions(), distinct_keys(ids, key), key)
-        gateway = F.col("gateway_id") if "gateway_id" in stored.columns else F.lit(None)
-        found.append(
-            stored.select(
-                F.lit(topic).alias("topic"),
-                F.col(key).alias("entity_id"),
-                "payment_id",
-                "merchant_id",
-                gateway.cast("string").alias("gateway_id"),
-                incremental.candidate_days(topic, F.to_date).alias("operation_dates"),
-            )
-        )
-    return found
+def _groups_left(lake: Lake, touched: DataFrame) -> DataFrame | None:
+    """What the touched rows named before: the groups that they may have left."""
+    log = moves.read(lake)
+    if log is None:
+        return None
+    return log.join(touched.select("topic", "entity_id"), ["topic", "entity_id"], "left_semi")
 
 
 def _affected(
@@ -109,7 +93,9 @@ def _affected(
     if table == "merchant_performance":
         return incremental.affected_merchants(touched)
     if table == "gateway_performance":
-        return incremental.affected_gateways(touched)
+        # Few rows, and a gateway without payments has one too.
+        every = state["payment_gateways"].select("gateway_id")
+        return union_keys([incremental.affected_gateways(touched), every], "gateway_id")
     if table == "financial_operations":
         return incremental.affected_days(touched)
     keys = incremental.affected_payments(touched)
@@ -132,9 +118,9 @@ def process_batch(lake: Lake, options: GoldOptions, batch: DataFrame, batch_id:
     try:
         touched = keep(incremental.touched_rows(batch, [*PAYMENT_TOPICS, MERCHANTS]))
         if options.track_moves:
-            earlier = _earlier_versions(lake, touched)
-            if earlier:
-                touched = keep(reduce(DataFrame.unionByName, earlier, touched))
+            left = _groups_left(lake, touched)
+            if left is not None:
+                touched = keep(touched.unionByName(left))
         state = _state(lake)
 
         def update(table: str) -> None:
@@ -157,7 +143,7 @@ def _full(table: str, s: dict[str, DataFrame]) -> DataFrame:
 
 def _rebuild(table: str, keys: DataFrame, s: dict[str, DataFrame]) -> DataFrame:
     inputs = [s[name] for name in _INPUTS[table]]
-    return getattr(incremental, table)(keys, *inputs, ids_unique=True)
+    return incremental.rebuild(table, keys, *inputs, ids_unique=True)
 
 
 def rebuild_all(lake: Lake, tables: Sequence[str] = tuple(GRAINS)) -> None:

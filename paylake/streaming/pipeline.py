@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from paylake.sources.events import prepare_bronze
 from paylake.sources.tables import FolderTable, Lake, MergeTable, stream_folder, stream_table
 from paylake.specs import BRONZE_SCHEMA, ENTITIES, STATIC
-from paylake.streaming import bronze, gold, silver, static
+from paylake.streaming import bronze, gold, moves, silver, static
 from paylake.streaming.parallel import run_together
 
 
@@ -18,7 +18,7 @@ def raw_log(lake: Lake, max_files: int | None = None) -> DataFrame:
     where = lake.location("bronze", bronze.RAW_EVENTS)
     if lake.fmt == "parquet":
         return stream_folder(lake.spark, where, BRONZE_SCHEMA, max_files)
-    return stream_table(lake.spark, where)
+    return stream_table(lake.spark, where, max_files)
 
 
 def run(
@@ -41,14 +41,11 @@ def run(
         static.process(lake, list(static_paths))
     silver.run(raw_log(lake, max_files), lake, f"{checkpoints}/silver", silver_options)
     gold.run(raw_log(lake, max_files), lake, f"{checkpoints}/gold", gold_options)
+    moves.clear(lake)
 
 
 def compact(lake: Lake) -> None:
-    """Fold pending changes into full copies; run it between pipeline runs.
-
-    Not during one: the Gold step reads replaced versions to find the groups
-    that a row has left.
-    """
+    """Fold pending changes into full copies; run it between pipeline runs."""
     run_together(lake.spark, [table.compact for table in _upserted(lake)])
 
 

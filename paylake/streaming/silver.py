@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import partial
@@ -15,6 +16,7 @@ from paylake.operators.latest import keep_latest
 from paylake.sources import events
 from paylake.sources.tables import FolderTable, Lake, MergeTable
 from paylake.specs import ENTITIES, EntitySpec
+from paylake.streaming import moves
 from paylake.streaming.parallel import run_together
 
 QUARANTINE = "quarantine"
@@ -43,6 +45,17 @@ def batch_name(batch: DataFrame, batch_id: int) -> str:
     return f"{query or 'manual'}-{batch_id}"
 
 
+def warn(report: dict) -> None:
+    """Log what a batch has that is no reason to refuse it: repeats and unreadable values."""
+    odd = {
+        c: n
+        for c, n in report.items()
+        if n and c.startswith(("duplicate_", "repeated_", "unreadable_"))
+    }
+    if odd:
+        logging.getLogger(__name__).warning("%s: %s", report["topic"], odd)
+
+
 def entity_table(lake: Lake, spec: EntitySpec) -> FolderTable | MergeTable:
     return lake.keyed("silver", spec.table, spec.keys, spec.state_schema, lake.newer_wins)
 
@@ -50,8 +63,11 @@ def entity_table(lake: Lake, spec: EntitySpec) -> FolderTable | MergeTable:
 def write_silver(
     rows: DataFrame, lake: Lake, spec: EntitySpec, batch: str | None = None
 ) -> None:
-    """Reduce the rows to the latest per key and upsert them."""
-    entity_table(lake, spec).upsert(keep_latest(rows, spec.keys), batch)
+    """Reduce the rows to the latest per key and upsert them; log what they replace first."""
+    table = entity_table(lake, spec)
+    if batch is not None:
+        moves.record(lake, spec, table, rows, batch)
+    table.upsert(keep_latest(rows, spec.keys), batch)
 
 
 def process_batch(
@@ -72,8 +88,7 @@ def process_batch(
         by_topic = {row["topic"]: row.asDict() for row in report.collect()}  # a row per topic
         present = [s for s in options.specs if s.topic in by_topic]
         for spec in present:
-            if on_report is not None:
-                on_report(by_topic[spec.topic])
+            (on_report or warn)(by_topic[spec.topic])
             if options.on_bad == "fail":
                 quality.refuse_batch(by_topic[spec.topic])
 
@@ -95,7 +110,7 @@ def _set_aside(
 ) -> DataFrame:
     """Write the topic's bad records to its quarantine table; return the others."""
     problems = counts["malformed"] + sum(
-        n for c, n in counts.items() if c.startswith(("null_", "negative_"))
+        n for c, n in counts.items() if c.startswith(("null_", "negative_", "unreadable_"))
     )
     if not problems:
         return parsed

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,7 +143,7 @@ def test_null_dates(spark):
     row = merged.where("operation_date IS NULL").collect()
     assert len(row) == 1 and row[0]["net_payment_amount"] == 3
     days = spark.createDataFrame([(None,), (dt.date(2024, 1, 4),)], "operation_date date")
-    part = incremental.financial_operations(days, *t.day_inputs())
+    part = incremental.rebuild("financial_operations", days, *t.day_inputs())
     assert [r["operation_date"] for r in part.collect()] == [dt.date(2024, 1, 4)]
 
 
@@ -208,13 +209,13 @@ def test_incremental_equals_full_for_the_keys(spark, seed):
     t = random_tables(spark, seed, unique=False)
     cases = [
         ("payment_id", ["p0", "p3", "p7", None, "p3"], gold.payment_performance,
-         incremental.payment_performance, t.payment_inputs()),
+         partial(incremental.rebuild, "payment_performance"), t.payment_inputs()),
         ("merchant_id", ["m1", "m3"], gold.merchant_performance,
-         incremental.merchant_performance, t.merchant_inputs()),
+         partial(incremental.rebuild, "merchant_performance"), t.merchant_inputs()),
         ("gateway_id", ["g2"], gold.gateway_performance,
-         incremental.gateway_performance, t.gateway_inputs()),
+         partial(incremental.rebuild, "gateway_performance"), t.gateway_inputs()),
         ("operation_date", [dt.date(2024, 1, 2), dt.date(2024, 1, 5)],
-         gold.financial_operations, incremental.financial_operations, t.day_inputs()),
+         gold.financial_operations, partial(incremental.rebuild, "financial_operations"), t.day_inputs()),
     ]
     for key, values, full, part, inputs in cases:
         kind = "date" if key == "operation_date" else "string"

@@ -55,8 +55,8 @@ def test_only_needed_columns_are_read(spark):
 def test_day_keys_are_broadcast(spark):
     v = Views.of(spark, FOLDER)
     days = v.chargebacks().selectExpr("to_date(created_at) AS operation_date")
-    part = incremental.financial_operations(
-        days, v.payments(), v.refunds(), v.chargebacks(), v.settlements(), ids_unique=True
+    part = incremental.rebuild(
+        "financial_operations", days, v.payments(), v.refunds(), v.chargebacks(), v.settlements(), ids_unique=True
     )
     text = plan(part)
     assert "SortMergeJoin [operation_date" not in text

@@ -2,14 +2,17 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
+from paylake.operators.upsert import upsert
 from paylake.sources.events import prepare_bronze
 from paylake.sources.tables import Lake, stream_folder
 from paylake.specs import entity_for_topic, static_for_table
-from paylake.streaming import bronze, gold, pipeline, silver, static
+from paylake.streaming import bronze, gold, moves, pipeline, silver, static
 
 RECORDS = "topic string, partition int, offset bigint, timestamp timestamp, value binary"
 
@@ -259,6 +262,118 @@ def test_static_path(spark, tmp_path):
     assert lake.keyed("silver", "payment_events", ["event_id"]).read().count() == 2
 
 
+def test_wide_and_bad_csv(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    wide = tmp_path / "wide.csv"
+    wide.write_text("note,attempt_number,attempt_id,payment_id,gateway_id,attempt_status,amount\n"
+                    "x,2,a1,p1,g1,Failed,5\n,,a2,p1,g1,Success,\n")
+    static.ingest(lake, {"payment_attempts": str(wide)})
+    static.process(lake, ["payment_attempts"])
+    spec = static_for_table("payment_attempts")
+    rows = lake.keyed("silver", "payment_attempts", spec.keys).read()
+    assert rows.schema == spec.schema
+    assert sorted(map(tuple, rows.collect())) == [("a1", "p1", "g1", "Failed", 2), ("a2", "p1", "g1", "Success", None)]
+    assert "note" in lake.keyed("bronze", "payment_attempts", spec.keys).read().columns
+    bad = tmp_path / "bad.csv"
+    bad.write_text("attempt_number,attempt_id,payment_id,gateway_id,attempt_status\none,a1,p1,g1,Failed\n")
+    static.ingest(lake, {"payment_attempts": str(bad)})
+    with pytest.raises(ValueError, match="attempt_number"):
+        static.process(lake, ["payment_attempts"])
+    assert lake.keyed("silver", "payment_attempts", spec.keys).read().count() == 2
+
+
+class SnapshotTable:
+    """A keyed table that keeps nothing but its current rows, as a MERGE leaves it."""
+
+    def __init__(self, spark, path, keys, schema=None):
+        self.spark, self.path, self.keys, self.schema = spark, path, list(keys), schema
+
+    def _versions(self):
+        return sorted(os.listdir(self.path)) if os.path.isdir(self.path) else []
+
+    def read(self):
+        found = self._versions()
+        if not found:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.parquet(f"{self.path}/{found[-1]}")
+
+    def overwrite(self, rows):
+        rows.write.parquet(f"{self.path}/{len(self._versions()):06d}")
+
+    def upsert(self, rows, batch=None, remove=None):
+        if not self._versions():
+            return self.overwrite(rows)
+        kept = upsert(self.read(), rows, self.keys)
+        if remove is not None:
+            gone = remove.join(rows, self.keys, "left_anti")
+            kept = kept.join(gone, self.keys, "left_anti").select(*kept.columns)
+        return self.overwrite(kept)
+
+
+class SnapshotLake(Lake):
+    def keyed(self, layer, table, keys, schema=None, newer_wins=False):
+        return SnapshotTable(self.spark, self.location(layer, table), keys, schema)
+
+
+def test_moves_are_followed_without_a_history(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    lake = SnapshotLake(spark, str(tmp_path / "lake"))
+    spec = static_for_table("payment_gateways")
+    gates = [("g1", "Gate", "P", "Card", "Active"), ("g2", "Other", "P", "Card", "Active"), ("g3", "Idle", "P", "Card", "Active")]
+    lake.keyed("silver", "payment_gateways", spec.keys).overwrite(spark.createDataFrame(gates, spec.schema))
+    feed.drop(merchant("m1", "A"), merchant("m2", "B"), payment("p1"), payment("p2"), refund("r1"))
+    run(lake, feed)
+    # The gateway without any payment has a row too.
+    assert by_key(metric(lake, "gateway_performance"))["g3"]["payment_count"] == 0
+    feed.drop(payment("p2", merchant_id="m2", gateway_id="g2", initiated_at="2024-01-09T00:00:00Z"),
+              refund("r1", pid="p2", merchant_id="m2", requested_at="2024-01-10T00:00:00Z"))
+    run(lake, feed)
+    payments = by_key(metric(lake, "payment_performance"))
+    assert (payments["p1"]["refund_count"], payments["p2"]["refund_count"]) == (0, 1)
+    merchants = by_key(metric(lake, "merchant_performance"))
+    assert (merchants["m1"]["payment_count"], merchants["m2"]["payment_count"]) == (1, 1)
+    assert (merchants["m1"]["refund_count"], merchants["m2"]["refund_count"]) == (0, 1)
+    gateways = by_key(metric(lake, "gateway_performance"))
+    assert (gateways["g1"]["payment_count"], gateways["g2"]["payment_count"]) == (1, 1)
+    days = by_key(metric(lake, "financial_operations"))
+    assert set(days) == {dt.date(2024, 1, 1), dt.date(2024, 1, 9), dt.date(2024, 1, 10)}
+
+
+def test_log_of_moves_survives_a_second_attempt(spark, tmp_path):
+    feed, lake = Feed(spark, tmp_path), make_lake(spark, tmp_path / "lake")
+    feed.drop(payment("p1"))
+    run(lake, feed)
+    assert moves.read(lake) is None
+    spec = entity_for_topic("payment-events")
+    new = state(lake, "payment-events").withColumn("merchant_id", F.lit("m9"))
+    new = spark.createDataFrame(new.collect(), new.schema)
+    silver.write_silver(new, lake, spec, "q-7")
+    moves.record(lake, spec, silver.entity_table(lake, spec), new, "q-7")
+    assert [r["merchant_id"] for r in moves.read(lake).collect()] == ["m1"]
+    moves.clear(lake)
+    assert moves.read(lake) is None
+
+
+def test_unreadable_values(spark, tmp_path, caplog):
+    feed, lake = Feed(spark, tmp_path), make_lake(spark, tmp_path / "lake")
+    feed.drop(payment("p1", amount="abc"), payment("p2", amount=5.0000001), payment("p3", amount=10**20),
+              payment("p4", completed_at="not a date"), payment("p5", amount="7.0"), payment("p5", amount=1.5e1))
+    bronze.ingest(prepare_bronze(feed.stream()), lake, f"{tmp_path}/cb")
+    refusing = silver.SilverOptions(numbers="tolerant")
+    with pytest.raises(StreamingQueryException, match="cannot be read"):
+        silver.run(pipeline.raw_log(lake), lake, f"{tmp_path}/c1", refusing)
+    options = silver.SilverOptions(on_bad="quarantine", numbers="tolerant")
+    silver.run(pipeline.raw_log(lake), lake, f"{tmp_path}/c2", options)
+    assert state(lake, "payment-events").select("payment_id", "amount").collect() == [("p5", 15)]
+    aside = lake.keyed("quarantine", "payments", ("topic", "partition", "offset")).read()
+    assert {r["offset"]: r["errors"] for r in aside.collect()} == {
+        1: ["unreadable:amount"], 2: ["unreadable:amount"], 3: ["unreadable:amount"],
+        4: ["unreadable:completed_at"],
+    }
+    # Repeats and unreadable values are logged where nobody asks for the report.
+    assert "repeated_keys" in caplog.text and "unreadable_amount" in caplog.text
+
+
 def test_append_stream_to_a_catalog_table(spark, tmp_path):
     feed = Feed(spark, tmp_path)
     feed.drop(payment("p1"), refund("r1"))
