@@ -247,6 +247,44 @@ _DONE = _LINE_STATE.format(condition="l_linestatus = 'F'")
 
 _ACTIVITY_CENTS = "CAST(ROUND(value * 100) AS BIGINT)"
 
+# The records that arrive in one week.
+WEEK = {
+    **VIEWS,
+    **{
+        f"week_{table}": f"""SELECT * FROM {table}
+            WHERE {time} >= DATE '1995-03-01' AND {time} < DATE '1995-03-08'"""
+        for table, time in (
+            ("payments", "initiated_at"), ("refunds", "requested_at"),
+            ("chargebacks", "created_at"), ("settlements", "initiated_at"),
+        )
+    },
+}
+_AFFECTED = """SELECT {key} FROM week_payments UNION SELECT {key} FROM week_refunds
+    UNION SELECT {key} FROM week_chargebacks UNION SELECT {key} FROM week_settlements"""
+_AFFECTED_DAYS = """SELECT CAST(initiated_at AS DATE) AS operation_date FROM week_payments
+    UNION SELECT CAST(completed_at AS DATE) FROM week_payments WHERE completed_at IS NOT NULL
+    UNION SELECT CAST(requested_at AS DATE) FROM week_refunds
+    UNION SELECT CAST(completed_at AS DATE) FROM week_refunds WHERE completed_at IS NOT NULL
+    UNION SELECT CAST(created_at AS DATE) FROM week_chargebacks
+    UNION SELECT CAST(initiated_at AS DATE) FROM week_settlements
+    UNION SELECT CAST(completed_at AS DATE) FROM week_settlements
+          WHERE completed_at IS NOT NULL"""
+
+# Every fourth payment with another merchant, gateway and day.
+MOVED = {
+    **{k: v for k, v in VIEWS.items() if k != "payments"},
+    "payments_before": VIEWS["payments"],
+    "payments": """
+        SELECT * REPLACE (
+            CASE WHEN payment_id % 4 = 0 THEN 1 ELSE merchant_id END AS merchant_id,
+            CASE WHEN payment_id % 4 = 0 THEN 7 ELSE gateway_id END AS gateway_id,
+            CASE WHEN payment_id % 4 = 0 THEN initiated_at + INTERVAL 10 DAY
+                 ELSE initiated_at END AS initiated_at,
+            CASE WHEN payment_id % 4 = 0 THEN completed_at + INTERVAL 10 DAY
+                 ELSE completed_at END AS completed_at)
+        FROM payments_before""",
+}
+
 ORACLES: dict[str, str] = {
     "attempts_by_payment": _with(_by("attempts", "payment_id", _ATTEMPTS)),
     "events_by_payment": _with(_by("lifecycle", "payment_id", _LIFECYCLE)),
@@ -352,19 +390,32 @@ ORACLES: dict[str, str] = {
     "tolerant_numbers": """SELECT event_id,
             CASE WHEN value = floor(value) THEN CAST(value AS BIGINT) END AS value
         FROM events""",
-    "strict_numbers": "SELECT event_id, user_id, CAST(NULL AS BIGINT) AS value FROM events",
+    "strict_numbers": f"""SELECT event_id, user_id,
+            CASE WHEN event_id % 2 = 0 THEN {_ACTIVITY_CENTS} END AS value
+        FROM events""",
     "malformed_events": f"""SELECT event_type || '-events' AS topic, count(*) AS record_count,
             count(*) FILTER (WHERE event_type IN ('error', 'view')) AS malformed,
             count(*) FILTER (WHERE event_type IN ('error', 'view')) AS null_event_id,
             count(*) FILTER (WHERE event_type = 'signup' AND {_ACTIVITY_CENTS} > 0)
                 AS negative_value,
-            CAST(0 AS BIGINT) AS duplicate_records, CAST(0 AS BIGINT) AS repeated_keys
-        FROM events GROUP BY event_type""",
+            count(*) FILTER (WHERE event_type = 'purchase') AS unreadable_created_at,
+            count(*) FILTER (WHERE copy = 1 AND event_id % 10 = 0) AS duplicate_records,
+            count(*) FILTER (WHERE copy = 1 AND event_type NOT IN ('error', 'view'))
+                AS repeated_keys
+        FROM events, (VALUES (0), (1)) AS copies(copy)
+        WHERE copy = 0 OR event_id % 10 IN (0, 1)
+        GROUP BY event_type""",
+    "unreadable_values": """SELECT event_type || '-events' AS topic, event_id AS "offset",
+            CASE WHEN value - 100 <> floor(value - 100) THEN 'unreadable:value'
+                 ELSE 'negative:value' END AS errors
+        FROM events
+        WHERE value - 100 <> floor(value - 100) OR value - 100 < 0""",
     "refused_events": f"""SELECT event_type || '-events' AS topic, event_id AS "offset",
-            CASE WHEN event_type = 'signup' THEN 'negative:value'
+            CASE event_type WHEN 'signup' THEN 'negative:value'
+                 WHEN 'purchase' THEN 'unreadable:created_at'
                  ELSE 'malformed,missing:event_id' END AS errors
         FROM events
-        WHERE event_type IN ('error', 'view')
+        WHERE event_type IN ('error', 'view', 'purchase')
            OR (event_type = 'signup' AND {_ACTIVITY_CENTS} > 0)""",
     "bad_event_times": """SELECT count(*) FILTER (WHERE event_type = 'error') AS bad_created_at,
             CAST(0 AS BIGINT) AS bad_due_date FROM events""",
@@ -415,32 +466,31 @@ ORACLES: dict[str, str] = {
             SELECT 1 FROM source s
             WHERE s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber)""",
     "upsert_newer_wins": _ALL_LINES,
-    "affected_payments": _with("SELECT DISTINCT payment_id FROM chargebacks"),
-    "affected_merchants": _with("SELECT DISTINCT merchant_id FROM chargebacks"),
-    "affected_gateways": _with("SELECT DISTINCT gateway_id FROM payments"),
-    "affected_days": _with(
-        """SELECT CAST(initiated_at AS DATE) AS operation_date FROM payments
-        UNION SELECT CAST(completed_at AS DATE) FROM payments WHERE completed_at IS NOT NULL
-        UNION SELECT CAST(requested_at AS DATE) FROM refunds
-        UNION SELECT CAST(completed_at AS DATE) FROM refunds WHERE completed_at IS NOT NULL
-        UNION SELECT CAST(created_at AS DATE) FROM chargebacks
-        UNION SELECT CAST(initiated_at AS DATE) FROM settlements
-        UNION SELECT CAST(completed_at AS DATE) FROM settlements
-              WHERE completed_at IS NOT NULL"""
+    "upsert_ties": f"""SELECT * REPLACE (
+            CASE WHEN l_orderkey % 2 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity)
+        FROM ({_ALL_LINES})""",
+    "affected_payments": _with(_AFFECTED.format(key="payment_id"), WEEK),
+    "affected_merchants": _with(_AFFECTED.format(key="merchant_id"), WEEK),
+    "affected_gateways": _with(
+        """SELECT DISTINCT gateway_id FROM payments
+        WHERE gateway_id IN (SELECT gateway_id FROM gateways WHERE provider = 'ASIA')"""
     ),
+    "affected_days": _with(_AFFECTED_DAYS, WEEK),
     "incremental_payment_performance": _with(
-        f"SELECT * FROM ({PP}) WHERE payment_id IN (SELECT payment_id FROM chargebacks)"
+        f"""SELECT * FROM ({PP})
+        WHERE payment_id IN ({_AFFECTED.format(key="payment_id")})""",
+        WEEK,
     ),
     "incremental_merchant_performance": _with(
-        f"SELECT * FROM ({MP}) WHERE merchant_id IN (SELECT merchant_id FROM chargebacks)"
+        f"""SELECT * FROM ({MP})
+        WHERE merchant_id IN ({_AFFECTED.format(key="merchant_id")})""",
+        WEEK,
     ),
     "incremental_gateway_performance": _with(
-        f"""SELECT * FROM ({GP}) WHERE gateway_id IN
-            (SELECT gateway_id FROM attempts WHERE attempt_status = 'Failed')"""
+        f"SELECT * FROM ({GP}) WHERE provider = 'ASIA'"
     ),
     "incremental_financial_operations": _with(
-        f"""SELECT * FROM ({FO}) WHERE operation_date IN
-            (SELECT CAST(created_at AS DATE) FROM chargebacks)"""
+        f"SELECT * FROM ({FO}) WHERE operation_date IN ({_AFFECTED_DAYS})", WEEK
     ),
     "bronze_stream_counts": """SELECT event_type || '-events' AS topic, count(*) AS event_count
         FROM events GROUP BY event_type ORDER BY topic""",
@@ -461,6 +511,59 @@ ORACLES: dict[str, str] = {
         FROM settlements""",
         STATE,
     ),
+    "silver_all_entities": _with(
+        """SELECT 'merchants' AS entity, CAST(merchant_id AS VARCHAR) AS id,
+               CAST(NULL AS BIGINT) AS amount, TIMESTAMP '2020-01-01' AS kafka_timestamp
+        FROM merchants
+        UNION ALL SELECT 'customers', CAST(c_custkey AS VARCHAR), NULL, TIMESTAMP '2020-01-02'
+        FROM customer
+        UNION ALL SELECT 'invoices', CAST(invoice_id AS VARCHAR), amount, initiated_at
+        FROM payments
+        UNION ALL SELECT 'payments', CAST(payment_id AS VARCHAR), amount, initiated_at
+        FROM payments
+        UNION ALL SELECT 'refunds', CAST(refund_id AS VARCHAR), refund_amount, requested_at
+        FROM refunds
+        UNION ALL SELECT 'chargebacks', CAST(chargeback_id AS VARCHAR), amount, created_at
+        FROM chargebacks
+        UNION ALL SELECT 'settlements', CAST(settlement_id AS VARCHAR), settlement_amount,
+               initiated_at FROM settlements""",
+        STATE,
+    ),
+    "silver_last_arrival_state": _with(
+        """SELECT CAST(payment_id AS VARCHAR) AS payment_id,
+               CASE WHEN payment_id % 3 = 0 THEN amount + 1 ELSE amount END AS amount,
+               CASE WHEN payment_id % 3 = 0 THEN initiated_at - INTERVAL 30 DAY
+                    ELSE initiated_at END AS kafka_timestamp
+        FROM payments"""
+    ),
+    "silver_replay_state": _with(
+        """SELECT CAST(payment_id AS VARCHAR) AS payment_id, amount,
+               initiated_at AS kafka_timestamp
+        FROM payments"""
+    ),
+    "gold_after_moves": _with(
+        f"""SELECT 'merchant_performance' AS metric, CAST(merchant_id AS VARCHAR) AS key,
+               payment_count, total_payment_amount FROM ({MP})
+        UNION ALL SELECT 'gateway_performance', CAST(gateway_id AS VARCHAR),
+               payment_count, total_payment_amount FROM ({GP})
+        UNION ALL SELECT 'financial_operations', CAST(operation_date AS VARCHAR),
+               payment_count, total_payment_amount
+        FROM ({_by_day("payments", _VOLUME)})""",
+        MOVED,
+    ),
+    "static_typed_state": _with(
+        """SELECT 'merchant_bank_accounts' AS dataset,
+               'ACC' || lpad(CAST(payment_id AS VARCHAR), 12, '0') AS id,
+               CAST(merchant_id AS VARCHAR) AS detail, payment_id AS number,
+               initiated_at AS time
+        FROM payments
+        UNION ALL SELECT 'payment_methods', payment_method_id, category, NULL, NULL FROM methods
+        UNION ALL SELECT 'payment_gateways', CAST(gateway_id AS VARCHAR), provider, NULL, NULL
+        FROM gateways
+        UNION ALL SELECT 'payment_attempts', CAST(attempt_id AS VARCHAR), attempt_status,
+               attempt_number, NULL FROM attempts""",
+        STATE,
+    ),
     "static_silver_state": """SELECT CAST(event_id AS VARCHAR) AS event_id,
             CAST(user_id AS VARCHAR) AS payment_id,
             CAST(json_extract_string(props, '$.k') AS INT) AS retry_count,
@@ -471,9 +574,7 @@ ORACLES: dict[str, str] = {
         f"""SELECT * FROM ({_merchant_performance("CAST({} AS VARCHAR)")})""", STATE
     ),
     "gold_stream_gateways": _with(
-        f"""SELECT * FROM ({_gateway_performance("CAST({} AS VARCHAR)")})
-        WHERE payment_count > 0""",
-        STATE,
+        f"""SELECT * FROM ({_gateway_performance("CAST({} AS VARCHAR)")})""", STATE
     ),
     "gold_stream_days": _with(FO, STATE),
 }

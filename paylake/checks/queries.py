@@ -18,7 +18,7 @@ from paylake.plans import gold, incremental, reports
 from paylake.session import scratch_dir
 from paylake.sources import events
 from paylake.sources.tables import Lake, stream_folder
-from paylake.specs import STATIC, entity_for_table
+from paylake.specs import ENTITIES, STATIC, entity_for_table, static_for_table
 from paylake.streaming import bronze as bronze_job
 from paylake.streaming import gold as gold_job
 from paylake.streaming import pipeline
@@ -176,14 +176,20 @@ def tolerant_numbers(v: Views) -> DataFrame:
 
 @_register
 def strict_numbers(v: Views) -> DataFrame:
-    """The same under the declared bigint type: no float is read, and none is lost else."""
-    log = v.activity_log(F.col("value"))
+    """The same under the declared bigint type, every other amount a whole number.
+
+    No float is read, and nothing else is lost.
+    """
+    even = F.col("offset") % 2 == 0
+    whole, floats = v.activity_log(cents("value")), v.activity_log(F.col("value"))
+    log = whole.where(even).unionByName(floats.where(~even))
     parts = [events.read_entity(log, spec) for spec in ACTIVITY]
     return reduce(DataFrame.unionByName, parts).select("event_id", "user_id", "value")
 
 
 def _damaged_log(v: Views) -> DataFrame:
-    """Errors carry text that is no JSON, views no payload, sign-ups a negative amount."""
+    """Errors carry text that is no JSON, views no payload, sign-ups a negative amount,
+    purchases a time that is none."""
     kind = F.col("topic")
     log = v.activity_log(
         F.when(F.col("event_type") == "signup", -cents("value")).otherwise(cents("value"))
@@ -192,28 +198,47 @@ def _damaged_log(v: Views) -> DataFrame:
         "raw_payload",
         F.when(kind == "error-events", F.lit("garbage"))
         .when(kind == "view-events", F.lit('{"timestamp":"t"}'))
+        .when(
+            kind == "purchase-events",
+            F.regexp_replace(
+                "raw_payload", '"created_at":"[^"]*"', '"created_at":"notadate"'
+            ),
+        )
         .otherwise(F.col("raw_payload")),
     )
 
 
 @_register
 def malformed_events(v: Views) -> DataFrame:
-    """The report over a damaged log, a row per topic."""
-    return quality.event_report(events.parse_all(_damaged_log(v), ACTIVITY), ACTIVITY)
+    """The report over a damaged log, a row per topic.
+
+    Every tenth record comes twice, and every tenth again with another offset.
+    """
+    log = _damaged_log(v)
+    log = log.unionByName(log.where(F.col("offset") % 10 == 0)).unionByName(
+        log.where(F.col("offset") % 10 == 1).withColumn("offset", F.col("offset") + 10**9)
+    )
+    return quality.event_report(events.parse_all(log, ACTIVITY), ACTIVITY)
+
+
+def _errors(log: DataFrame, numbers: str = "strict") -> DataFrame:
+    judged = events.parse_all(log, ACTIVITY, numbers).select(
+        "topic", "offset", quality.batch_errors(ACTIVITY, numbers).alias("errors")
+    )
+    bad = judged.where(F.size("errors") > 0)
+    return bad.select("topic", "offset", F.array_join("errors", ",").alias("errors"))
 
 
 @_register
 def refused_events(v: Views) -> DataFrame:
     """The records that quarantine mode sets aside, with the reasons."""
-    parsed = events.parse_all(_damaged_log(v), ACTIVITY)
-    judged = [
-        parsed.where(F.col("topic") == s.topic).select(
-            "topic", "offset", quality.row_errors(s).alias("errors")
-        )
-        for s in ACTIVITY
-    ]
-    bad = reduce(DataFrame.unionByName, judged).where(F.size("errors") > 0)
-    return bad.select("topic", "offset", F.array_join("errors", ",").alias("errors"))
+    return _errors(_damaged_log(v))
+
+
+@_register
+def unreadable_values(v: Views) -> DataFrame:
+    """Amounts with a fraction where whole numbers are expected, and negative ones."""
+    return _errors(v.activity_log(F.col("value") - 100), "tolerant")
 
 
 @_register
@@ -290,12 +315,34 @@ _add(
 )
 
 
+_add(
+    "upsert_ties",
+    lambda v: upsert(
+        _lines(v),
+        _lines(v).where("l_orderkey % 2 = 0").withColumn("l_quantity", F.col("l_quantity") + 1),
+        _LINE_KEY, newer_wins=True, order=_LINE_ORDER,
+    ),
+)
+
+
 # --- incremental -----------------------------------------------------------------
-# The batch: all chargeback events. Keys in JSON are text; the views hold numbers.
+# The batch: the events of all four topics that arrive in one week; for gateways the
+# payments through those of one region. Keys in JSON are text; the views hold numbers.
+
+WEEK = ("1995-03-01", "1995-03-08")
+REGION = "ASIA"
 
 
 def _touched(v: Views) -> DataFrame:
-    return incremental.touched_rows(v.chargeback_log())
+    logs = (v.payment_log(), v.refund_log(), v.chargeback_log(), v.settlement_log())
+    start, end = (F.lit(day).cast("timestamp") for day in WEEK)
+    arrived = F.col("kafka_timestamp")
+    week = reduce(DataFrame.unionByName, logs).where((arrived >= start) & (arrived < end))
+    return incremental.touched_rows(week)
+
+
+def _gateways_of_region(v: Views) -> DataFrame:
+    return v.gateways().where(F.col("provider") == REGION).select("gateway_id")
 
 
 def _as_number(keys: DataFrame, kind: str) -> DataFrame:
@@ -314,12 +361,19 @@ _add(
 _add(
     "affected_gateways",
     lambda v: _as_number(
-        incremental.affected_gateways(incremental.touched_rows(v.raw_log())), "int"
+        incremental.affected_gateways(
+            incremental.touched_rows(
+                v.log_of_payments(
+                    v.payments().join(_gateways_of_region(v), "gateway_id", "left_semi")
+                )
+            )
+        ),
+        "int",
     ),
 )
 _add(
     "affected_days",
-    lambda v: incremental.affected_days(incremental.touched_rows(v.raw_log())),
+    lambda v: incremental.affected_days(_touched(v)),
 )
 
 
@@ -344,9 +398,10 @@ def incremental_merchant_performance(v: Views) -> DataFrame:
 
 @_register
 def incremental_gateway_performance(v: Views) -> DataFrame:
-    failed = v.attempts().where(F.col("attempt_status") == "Failed")
     return incremental.rebuild(
-        "gateway_performance",failed, v.gateways(), v.payments(), v.attempts())
+        "gateway_performance",_gateways_of_region(v), v.gateways(), v.payments(),
+        v.attempts(),
+    )
 
 
 @_register
@@ -363,29 +418,30 @@ def incremental_financial_operations(v: Views) -> DataFrame:
 _RUNS: dict[tuple[str, str, str], Lake] = {}
 
 
-def _once(v: Views, kind: str, run: Callable[[Lake], None]) -> Lake:
+def _once(
+    v: Views, kind: str, run: Callable[[Lake], None], newer_wins: bool = True
+) -> Lake:
     """Run a job into a new folder, once per session and data folder."""
     key = (v.spark.sparkContext.applicationId, v.folder, kind)
     if key not in _RUNS:
-        lake = Lake(v.spark, scratch_dir(v.spark, kind), newer_wins=True)
+        lake = Lake(v.spark, scratch_dir(v.spark, kind), newer_wins=newer_wins)
         run(lake)
         _RUNS[key] = lake
     return _RUNS[key]
 
 
 def _records(lake: Lake, raw_log: DataFrame) -> DataFrame:
-    """Drop the log as files of Kafka-shaped records; return the stream over them."""
+    """Drop the log as files of Kafka-shaped records; return the stream over all dropped so far."""
     records = raw_log.select(
         "topic", "partition", "offset",
         F.col("kafka_timestamp").alias("timestamp"),
         F.col("raw_payload").cast("binary").alias("value"),
     )
     folder = f"{lake.root}/drop"
-    records.repartition(16).write.mode("overwrite").parquet(folder)
+    records.repartition(16).write.mode("append").parquet(folder)
     return stream_folder(lake.spark, folder, records.schema)
 
 
-
 def _static_csv(v: Views, lake: Lake) -> dict[str, str]:
     """The static datasets as CSV folders; attempts reduced to one row per id."""
     lines = v.table("lineitem").withColumn(
@@ -410,6 +466,17 @@ def _static_csv(v: Views, lake: Lake) -> dict[str, str]:
         "payment_events": v.payment_events().withColumn(
             "event_timestamp", F.col("event_timestamp").cast("string")
         ),
+        "merchant_bank_accounts": v.accounts().join(
+            v.payments().select(
+                F.concat(F.lit("ACC"), F.lpad("payment_reference", 12, "0")).alias("account_id"),
+                F.col("payment_id").alias("account_number"),
+                F.lit("IFSC").alias("ifsc_code"),
+                F.lit("Current").alias("account_type"),
+                F.lit("Active").alias("account_status"),
+                F.date_format("initiated_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
+            ),
+            "account_id",
+        ),
     }
     paths = {}
     for spec in STATIC:
@@ -468,20 +535,151 @@ def silver_stream_state(v: Views) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _entity(lake: Lake, table: str, *columns) -> DataFrame:
+    """Entity, id and some columns of its current state."""
+    spec = entity_for_table(table)
+    rows = silver_job.entity_table(lake, spec).read()
+    return rows.select(F.lit(table).alias("entity"), F.col(spec.keys[0]).alias("id"), *columns)
+
+
+def _to_silver(lake: Lake, raw_log: DataFrame, checkpoint: str = "silver") -> None:
+    """Drop the log, take it into the raw log and from there into the state."""
+    stream = events.prepare_bronze(_records(lake, raw_log))
+    bronze_job.ingest(stream, lake, f"{lake.root}/checkpoints/bronze")
+    silver_job.run(pipeline.raw_log(lake), lake, f"{lake.root}/checkpoints/{checkpoint}")
+
+
 @_register
-def static_silver_state(v: Views) -> DataFrame:
-    """Lifecycle events after CSV -> raw table -> typed table."""
+def silver_all_entities(v: Views) -> DataFrame:
+    """Current state of all seven entities, the last arrival winning."""
 
+    def run(lake: Lake) -> None:
+        _to_silver(
+            lake, v.raw_log().unionByName(v.customer_log()).unionByName(v.invoice_log())
+        )
+
+    lake = _once(v, "entities", run, newer_wins=False)
+    parts = []
+    for spec in ENTITIES:
+        amount = F.col(spec.money[0]) if spec.money else F.lit(None).cast("bigint")
+        parts.append(_entity(lake, spec.table, amount.alias("amount"), _local_time("kafka_timestamp")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _later_arrivals(v: Views) -> Lake:
+    """All payments, and in a second drop every third one again, with an older event."""
+
+    def run(lake: Lake) -> None:
+        _to_silver(lake, v.payment_log())
+        _to_silver(lake, v.log_of_payments(_older_payments(v)))
+
+    return _once(v, "arrivals", run, newer_wins=False)
+
+
+def _older_payments(v: Views) -> DataFrame:
+    return v.payments().where("payment_id % 3 = 0").withColumns(
+        {"amount": F.col("amount") + 1, "initiated_at": F.expr("initiated_at - INTERVAL 30 DAYS")}
+    )
+
+
+def _payment_state(lake: Lake) -> DataFrame:
+    rows = _entity(lake, "payments", "amount", _local_time("kafka_timestamp"))
+    return rows.drop("entity").withColumnRenamed("id", "payment_id")
+
+
+_add("silver_last_arrival_state", lambda v: _payment_state(_later_arrivals(v)))
+
+
+@_register
+def silver_replay_state(v: Views) -> DataFrame:
+    """The raw log of both drops once more, under a new checkpoint: one batch, so its latest
+    event by arrival order wins."""
+
+    def run(lake: Lake) -> None:
+        log = v.payment_log().unionByName(v.log_of_payments(_older_payments(v)))
+        _to_silver(lake, log)
+        silver_job.run(pipeline.raw_log(lake), lake, f"{lake.root}/checkpoints/again")
+
+    return _payment_state(_once(v, "replay", run, newer_wins=False))
+
+
+@_register
+def gold_after_moves(v: Views) -> DataFrame:
+    """Metric rows after a second drop moves every fourth payment to another merchant,
+    gateway and day."""
+
+    def run(lake: Lake) -> None:
+        gateways = lake.keyed("silver", "payment_gateways", ["gateway_id"])
+        gateways.overwrite(v.gateways().withColumn("gateway_id", F.col("gateway_id").cast("string")))
+        for log in (v.merchant_log().unionByName(v.payment_log()), v.log_of_payments(_moved_payments(v))):
+            pipeline.run(lake, _records(lake, log), f"{lake.root}/checkpoints")
+
+    lake = _once(v, "moves", run, newer_wins=False)
+    parts = [
+        gold_job.gold_table(lake, table).read().select(
+            F.lit(table).alias("metric"),
+            F.col(key).cast("string").alias("key"),
+            "payment_count",
+            "total_payment_amount",
+        )
+        for table, key in gold_job.GRAINS.items()
+        if table != "payment_performance"
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _moved_payments(v: Views) -> DataFrame:
+    return v.payments().where("payment_id % 4 = 0").withColumns(
+        {
+            "merchant_id": F.lit(1).cast("bigint"),
+            "gateway_id": F.lit(7),
+            "initiated_at": F.expr("initiated_at + INTERVAL 10 DAYS"),
+            "completed_at": F.expr("completed_at + INTERVAL 10 DAYS"),
+        }
+    )
+
+
+def _static_state(v: Views) -> Lake:
     def run(lake: Lake) -> None:
         paths = _static_csv(v, lake)
         static_job.ingest(lake, paths)
         static_job.process(lake, list(paths))
 
-    lake = _once(v, "static", run)
-    rows = lake.keyed("silver", "payment_events", ["event_id"]).read()
+    return _once(v, "static", run)
+
+
+@_register
+def static_silver_state(v: Views) -> DataFrame:
+    """Lifecycle events after CSV -> raw table -> typed table."""
+    rows = _static_state(v).keyed("silver", "payment_events", ["event_id"]).read()
     return rows.select("event_id", "payment_id", "retry_count", _local_time("event_timestamp"))
 
 
+@_register
+def static_typed_state(v: Views) -> DataFrame:
+    """The other four datasets; their raw tables hold text alone."""
+    lake = _static_state(v)
+    shown = {
+        "merchant_bank_accounts": ("merchant_id", "account_number", "created_at"),
+        "payment_methods": ("category", None, None),
+        "payment_gateways": ("provider", None, None),
+        "payment_attempts": ("attempt_status", "attempt_number", None),
+    }
+    parts = []
+    for table, (text, number, time) in shown.items():
+        (key,) = static_for_table(table).keys
+        parts.append(
+            lake.keyed("silver", table, [key]).read().select(
+                F.lit(table).alias("dataset"),
+                F.col(key).alias("id"),
+                F.col(text).alias("detail"),
+                (F.col(number) if number else F.lit(None)).cast("bigint").alias("number"),
+                (F.col(time) if time else F.lit(None)).cast("timestamp_ntz").alias("time"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _gold_state(v: Views, name: str) -> DataFrame:
     rows = gold_job.gold_table(_whole_run(v), name).read()
     times = {"initiated_at", "completed_at", "last_event_timestamp", "last_payment_completed_at"}

@@ -246,9 +246,29 @@ class Views:
             payload=[c for c in rows.columns if c != "_arrival"],
         )
 
+    def log_of_payments(self, rows: DataFrame) -> DataFrame:
+        return self._log(rows, "payments", "initiated_at", "payment_id")
+
     @_built_once
     def payment_log(self) -> DataFrame:
-        return self._log(self.payments(), "payments", "initiated_at", "payment_id")
+        return self.log_of_payments(self.payments())
+
+    @_built_once
+    def customer_log(self) -> DataFrame:
+        rows = self.table("customer").select(
+            F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name")
+        )
+        arrived = F.to_timestamp(F.lit("2020-01-02 00:00:00"))
+        key = F.col("customer_id")
+        return table_to_events(rows, "customers", arrived, key % 3, key, arrived)
+
+    @_built_once
+    def invoice_log(self) -> DataFrame:
+        rows = self.payments().select(
+            "invoice_id", "customer_id", "merchant_id", F.col("amount").alias("invoice_amount"),
+            F.col("initiated_at").alias("created_at"),
+        )
+        return self._log(rows, "invoices", "created_at", "invoice_id")
 
     @_built_once
     def refund_log(self) -> DataFrame:
