@@ -8,12 +8,14 @@ modulo a prime, of which any two slots get all pairs of ranks equally often, as
 shuffled ones. After some ranks all slots are filled, and the rest is not looked at.
 
 Classes that agree in a band of slots share a bucket. Pairs within a bucket are not
-listed: some members, the pivots, are compared with the others, on their full sets;
-what is linked becomes one component; and only buckets that still hold several
-components go on with further pivots, until none is left. So a group of copies
-costs a comparison for each member, and no pair of a bucket that could join two
-components is left out. A pair at the threshold shares no bucket with a
-probability of 3 in a million (32 bands of 5 slots at 0.8).
+listed. First the least member is compared with the others, on their full sets, and what
+is linked becomes one component: a group of copies costs a comparison for each
+member. Then, in buckets that still hold several components, members outside the
+largest one are compared with the members of other components, unless their sketches,
+four bits of each slot, put them far below the threshold. So no pair of a bucket that could
+join two components is left out. Errors at the threshold: a pair shares no bucket with a
+probability of 3 in a million (32 bands of 5 slots at 0.8); its sketches are ``SLACK``
+apart with one of about 1 in 5000.
 
 Defined results: a document is its ``doc_id``; rows that repeat an id are one document
 with several texts. Without words or text the set is empty and the document alone.
@@ -27,22 +29,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylake.llm.common import binaries, bounded_batches, map_texts, pick, ragged, stored
 
-#: Slots of a signature, a prime. Bands times rows of them are used.
-SLOTS = 163
+#: Slots of a signature, a prime. Bands times rows of them make the buckets.
+SLOTS = 653
 BANDS = 32
 ROWS = 5
 
+#: 64-bit words of a sketch, with four bits of sixteen slots each, and those looked at first.
+WORDS, FIRST_WORDS = 40, 10
+
+#: How far estimates may be below the threshold: by the whole sketch, and by its first words.
+SLACK, FIRST_SLACK = 0.06, 0.12
+
 #: A link needs 100 * intersection >= PERCENT * union.
 PERCENT = 80
 
-#: Pivots of a bucket in the first, second and further rounds.
-PIVOTS = (1, 8, 64)
-
 _UNSET = np.uint64(2**64 - 1)
 
 
@@ -112,24 +117,54 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
     return keys.view(np.int64)
 
 
+def sketches(signature: np.ndarray) -> np.ndarray:
+    """The low four bits of the first slots, sixteen in a word."""
+    low = (signature[:, : WORDS * 16] & np.uint64(15)).reshape(-1, WORDS, 16)
+    return np.bitwise_or.reduce(low << (np.uint64(4) * np.arange(16, dtype=np.uint64)), axis=2).view(np.int64)
+
+
 def fingerprint(elements: np.ndarray) -> bytes:
     return hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
 
 
 def sign(docs: DataFrame, words: int) -> DataFrame:
-    """Replaces the text by ``n_shingles``, ``print`` (of the set) and ``bands`` (keys of its buckets)."""
+    """Replaces the text by ``n_shingles``, ``print`` (of the set), ``bands`` (keys of its buckets) and ``sketch``."""
+
+    def lists(values: np.ndarray) -> pa.Array:
+        edges = ragged(np.full(len(values), values.shape[1]))
+        return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(values.ravel()))
 
     def work(texts):
         sets = shingle_sets(texts, words)
-        keys = band_keys(signatures(sets))
-        counts = np.full(len(sets), BANDS)
+        signature = signatures(sets)
         return {
             "n_shingles": np.fromiter(map(len, sets), np.int64, len(sets)),
             "print": pa.array(map(fingerprint, sets), pa.binary()),
-            "bands": pa.ListArray.from_arrays(pa.array(ragged(counts), pa.int32()), pa.array(keys.ravel())),
+            "bands": lists(band_keys(signature)),
+            "sketch": lists(sketches(signature)),
         }
 
-    return map_texts(docs, "n_shingles long, print binary, bands array<bigint>", lambda: work)
+    return map_texts(docs, "n_shingles long, print binary, bands array<bigint>, sketch array<bigint>", lambda: work)
+
+
+def _differing(one: Column, two: Column) -> Column:
+    """How many of sixteen slots differ between two words."""
+    x = one.bitwiseXOR(two)
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+    return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+
+
+def _most_differing(words: int, slack: float) -> int:
+    """Slots that may differ if the similarity is ``slack`` below the threshold; equal by chance: one in sixteen."""
+    return int(words * 16 * (1 - (PERCENT / 100 - slack)) * 15 / 16)
+
+
+def alike(one: Column, two: Column) -> Column:
+    """Whether two sketches leave a link possible: a glance at the first words, then all."""
+    first = sum((_differing(one[i], two[i]) for i in range(1, FIRST_WORDS)), _differing(one[0], two[0]))
+    every = F.aggregate(F.zip_with(one, two, _differing), F.lit(0), lambda a, x: a + x)
+    return (first <= _most_differing(FIRST_WORDS, FIRST_SLACK)) & (every <= _most_differing(WORDS, SLACK))
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,20 +204,24 @@ def components(links: DataFrame) -> DataFrame:
     Links are pairs (u, v) of numbers. Every task first joins what it has by union-find;
     then large and small stars alternate until each component is one star.
     """
-    links = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v")
-    links = stored(links.mapInArrow(_forest, "u long, v long").distinct(), "forest")
-    before = None
-    while True:
+    links = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct()
+    # Few links are few partitions after the shuffle, and the forest of a single one is the result.
+    links = stored(links.mapInArrow(_forest, "u long, v long"), "forest")
+    while not _stars(links):
         both = stored(links.union(links.select("v", "u")), "both")
         large = _least(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
         large = stored(large.distinct(), "large")
         beside = _least(large)
         small = beside.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(beside.select("u", F.col("m").alias("v")))
         links = stored(small.distinct(), "small")
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return links
-        before = now
+    return links
+
+
+def _stars(links: DataFrame) -> bool:
+    """Whether every node has one link, and that to a node without one."""
+    several = links.groupBy("u").count().where("count > 1").select("u")
+    chained = links.join(links.select(F.col("v").alias("u")), "u", "left_semi").select("u")
+    return several.union(chained).isEmpty()
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +255,9 @@ def group(docs: DataFrame, words: int) -> DataFrame:
     known = signed.where("doc_id is not null and n_shingles > 0")
     classes = stored(
         known.groupBy("print").agg(
-            F.min("doc_id").alias("node"), F.max("doc_id").alias("last"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands")
+            F.min("doc_id").alias("node"),
+            F.max("doc_id").alias("last"),
+            *(F.any_value(c).alias(c) for c in ("n_shingles", "bands", "sketch")),
         ),
         "classes",
     )
@@ -227,42 +268,21 @@ def group(docs: DataFrame, words: int) -> DataFrame:
         .select("u", "v")
     )
 
-    rows = classes.select("node", "n", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
-    members = stored(rows.join(stored(shared, "shared"), "key"), "members")
+    rows = classes.select("node", F.explode("bands").alias("key"))
+    shared = rows.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("pivot")).where("members > 1")
+    members = stored(rows.join(stored(shared.drop("members"), "shared"), "key"), "members")
     # Full sets of the classes that share a bucket. A repeated id may have several texts: the print tells them apart.
-    wanted = stored(members.select("node").distinct().join(classes.select("node", "print"), "node"), "wanted")
-    texts = docs.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id").select(F.col("doc_id").alias("node"), F.col("print").alias("wanted"), "text")
-
-    def full(found: list[str | None]) -> dict:
-        own = shingle_sets(found, words)
-        counts = np.fromiter(map(len, own), np.int64, len(own))
-        return {
-            "print": pa.array(map(fingerprint, own), pa.binary()),
-            "elements": binaries(np.concatenate([*own, np.zeros(0, np.uint64)]), counts, 8),
-        }
-
-    sets = map_texts(texts, "print binary, elements binary", lambda: full).where("print = wanted")
-    sets = stored(sets.select("node", "elements"), "sets")
-
-    spark = docs.sparkSession
-    none = spark.createDataFrame([], "u long, v long")
-    links, found, tested = none, none, none
-    for turn in range(2**31):
-        # What is open: members of buckets with several components, with their component.
-        open_rows = members if turn == 0 else _still_open(members, found)
-        if turn:
-            open_rows = stored(open_rows, "open")
-            if open_rows.isEmpty():
-                break
-        else:
-            open_rows = open_rows.withColumn("component", F.col("node"))
-        pairs, members = _pivot_pairs(open_rows, PIVOTS[min(turn, len(PIVOTS) - 1)])
-        pairs = stored(pairs.distinct().join(tested, ["u", "v"], "left_anti"), "pairs")
-        new = stored(verify(pairs, sets), "links")
-        tested = tested.union(pairs)
-        links = links.union(new)
-        found = components(found.union(new))
+    about = classes.join(members.select("node").distinct(), "node", "left_semi")
+    about = stored(about.select("node", "print", F.col("n_shingles").alias("n"), "bands", "sketch"), "about")
+    sets = full_sets(docs, about.select("node", "print"), words)
+
+    pairs = members.where("node > pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
+    first = stored(_likely(pairs, about), "pairs")
+    links = stored(verify(first, sets), "links")
+    found = components(links)
+    rest = stored(_cross_pairs(members, about, found).join(first, ["u", "v"], "left_anti"), "cross")
+    # Links and stars have the same components.
+    found = found.union(stored(verify(rest, sets), "links"))
     every = components(found.union(copies))
     return (
         signed.select("doc_id", "n_shingles")
@@ -276,28 +296,60 @@ def group(docs: DataFrame, words: int) -> DataFrame:
     )
 
 
-def _still_open(members: DataFrame, found: DataFrame) -> DataFrame:
-    """The members of buckets that hold more than one component."""
-    named = members.join(found.select(F.col("u").alias("node"), "v"), "node", "left")
-    named = named.select("key", "node", "n", F.coalesce("v", "node").alias("component"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    return named.join(mixed.select("key"), "key", "left_semi")
+def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """``node`` and ``elements`` (its sorted shingle hashes) of the wanted nodes and prints."""
 
+    def work(found: list[str | None]) -> dict:
+        own = shingle_sets(found, words)
+        counts = np.fromiter(map(len, own), np.int64, len(own))
+        return {
+            "found": pa.array(map(fingerprint, own), pa.binary()),
+            "elements": binaries(np.concatenate([*own, np.zeros(0, np.uint64)]), counts, 8),
+        }
+
+    texts = docs.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id")
+    sets = map_texts(texts, "found binary, elements binary", lambda: work).where("found = print")
+    return stored(sets.select(F.col("doc_id").alias("node"), "elements"), "sets")
+
+
+def _sizes_fit(one: Column, two: Column) -> Column:
+    """Sizes alone may rule a link out."""
+    return 100 * F.least(one, two) >= PERCENT * F.greatest(one, two)
 
-def _pivot_pairs(rows: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of the first members of each bucket with the others, and the members without those first.
 
-    Pairs of one component, and those whose sizes alone rule a link out, are left out.
+def _likely(pairs: DataFrame, about: DataFrame) -> DataFrame:
+    """The pairs that sizes and sketches leave possible."""
+    sides = [about.select(F.col("node").alias(c), F.struct("n", "sketch").alias(f"of_{c}")) for c in ("u", "v")]
+    both = pairs.join(sides[0], "u").join(sides[1], "v")
+    fit = _sizes_fit(F.col("of_u.n"), F.col("of_v.n")) & alike(F.col("of_u.sketch"), F.col("of_v.sketch"))
+    return both.where(fit).select("u", "v")
+
+
+def _cross_pairs(members: DataFrame, about: DataFrame, found: DataFrame) -> DataFrame:
+    """Likely pairs of different components that share a bucket, each once.
+
+    Of the largest component of a bucket no two members are compared, and a pair comes out of
+    its first common bucket only.
     """
-    place = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-    pivots = rows.select("key", "node", "n", "component", place.alias("place")).where(F.col("place") <= number)
-    pivots = stored(pivots.drop("place"), "pivots")
-    a, b = pivots.alias("a"), rows.alias("b")
-    pairs = (
-        b.join(a, "key")
-        .where("a.node < b.node and a.component <> b.component")
-        .where(f"100 * least(a.n, b.n) >= {PERCENT} * greatest(a.n, b.n)")
-        .select(F.col("b.node").alias("u"), F.col("a.node").alias("v"))
+    named = members.select("key", "node").join(found.select(F.col("u").alias("node"), "v"), "node", "left")
+    named = stored(named.select("key", "node", F.coalesce("v", "node").alias("component")), "named")
+    mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    rows = named.join(stored(mixed.select("key"), "mixed"), "key")
+    sizes = rows.groupBy("key", "component").count()
+    largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("largest"))
+    rows = rows.join(stored(largest, "largest"), "key")
+    rows = stored(rows.join(about.drop("print"), "node"), "open")
+    a, b = rows.where("component <> largest").alias("a"), rows.alias("b")
+    each_once = (F.col("b.component") == F.col("b.largest")) | (F.col("a.node") < F.col("b.node"))
+    place = F.array_position("a.bands", F.col("a.key"))
+    earlier = [F.slice(f"{side}.bands", F.lit(1), place.cast("int") - 1) for side in "ab"]
+    cross = b.join(
+        a,
+        (F.col("a.key") == F.col("b.key"))
+        & (F.col("a.component") != F.col("b.component"))
+        & each_once
+        & _sizes_fit(F.col("a.n"), F.col("b.n"))
+        & alike(F.col("a.sketch"), F.col("b.sketch"))
+        & ~F.arrays_overlap(*earlier),
     )
-    rest = rows.join(pivots.select("key", "node"), ["key", "node"], "left_anti").drop("component")
-    return pairs, stored(rest, "rest")
+    return cross.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v"))
