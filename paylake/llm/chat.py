@@ -108,6 +108,25 @@ def errors(arguments: Column, name: Column, schema: Schema) -> Column:
     return F.when(keys.isNull(), F.array(F.lit("not an object"))).otherwise(by_tool)
 
 
+def _places(calls: DataFrame, results: DataFrame) -> DataFrame:
+    """The place of each identifier in its conversation, from 0.
+
+    A call's position is its own; a result is never in front of its call and goes with it.
+    """
+    sides = [r.groupBy("conv_id", "id").agg(F.min("position").alias(c)) for r, c in ((calls, "c_at"), (results, "r_at"))]
+    joined = sides[0].join(sides[1], ["conv_id", "id"], "full")
+    rows = joined.select("conv_id", "id", F.coalesce("c_at", "r_at").alias("position"))
+    rows = rows.withColumn("stretch", F.floor(F.col("position") / STRETCH))
+    sizes = rows.groupBy("conv_id", "stretch").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("conv_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(
+        F.col("conv_id").alias("b_conv"), F.col("stretch").alias("b_stretch"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+    )
+    inside = F.row_number().over(Window.partitionBy("conv_id", "stretch").orderBy("position", "id")) - 1
+    same = (F.col("conv_id") == F.col("b_conv")) & F.col("stretch").eqNullSafe(F.col("b_stretch"))
+    return rows.withColumn("inside", inside).join(before, same).select("conv_id", "id", (F.col("before") + F.col("inside")).alias("place"))
+
+
 def link(calls: DataFrame, results: DataFrame, schema: Schema) -> DataFrame:
     """One row for each call with its result: place in the conversation, status, errors and JSON.
 
@@ -120,22 +139,14 @@ def link(calls: DataFrame, results: DataFrame, schema: Schema) -> DataFrame:
     given = _unique(results.where(known), "content").select("conv_id", "id", F.col("first").alias("r"), F.col("copies").alias("r_copies"))
     joined = asked.join(given, ["conv_id", "id"], "full")
     joined = joined.withColumn("status", F.when(F.col("r").isNull(), "unanswered").when(F.col("c").isNull(), "orphan").otherwise("linked"))
-    # A call's place is its own; a result is never in front of its call and goes with it.
-    joined = joined.withColumn("position", F.coalesce("c.position", "r.position"))
     unnamed = (
         calls.where(~known).select("conv_id", "id", F.struct("position", "name", "arguments").alias("c"), F.lit(None).alias("r"))
     ).unionByName(results.where(~known).select("conv_id", "id", F.lit(None).alias("c"), F.struct("position", "content").alias("r")))
 
-    stretch = joined.withColumn("stretch", F.floor(F.col("position") / STRETCH))
-    sizes = stretch.groupBy("conv_id", "stretch").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("conv_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select("conv_id", "stretch", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("conv_id", "stretch").orderBy("position", "id")
-    placed = stretch.withColumn("inside", F.row_number().over(inside) - 1).join(
-        before.withColumnsRenamed({"conv_id": "b_conv", "stretch": "b_stretch"}),
-        (F.col("conv_id") == F.col("b_conv")) & F.col("stretch").eqNullSafe(F.col("b_stretch")),
-    )
-    rows = placed.select("conv_id", "id", "c", "r", "status", (F.col("before") + F.col("inside")).alias("place"), (F.coalesce("c_copies", F.lit(0)) + F.coalesce("r_copies", F.lit(0))).alias("copies"))
+    # Places need no texts, so these are not shuffled for them: they stay with their identifier.
+    placed = joined.join(_places(calls.where(known), results.where(known)), ["conv_id", "id"])
+    copies = F.coalesce("c_copies", F.lit(0)) + F.coalesce("r_copies", F.lit(0))
+    rows = placed.select("conv_id", "id", "c", "r", "status", "place", copies.alias("copies"))
     rows = rows.unionByName(
         unnamed.select("conv_id", "id", "c", "r", F.lit("unidentified").alias("status"), F.lit(None).cast("long").alias("place"), F.lit(1).cast("long").alias("copies"))
     )
