@@ -2,6 +2,8 @@
 
 import re
 
+import pytest
+
 from paylake.checks.queries import QUERIES
 from paylake.checks.views import Views
 from paylake.functions import measures as M
@@ -92,8 +94,9 @@ def test_metric_tables_without_any_broadcast(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_hot_merchant_is_split_across_tasks(spark):
-    """A third of the payments belong to one merchant, and merchants are too many to broadcast."""
+@pytest.fixture
+def no_broadcasts(spark):
+    """Every side too large to broadcast, and partitions skewed beyond a low limit."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -105,38 +108,96 @@ def test_hot_merchant_is_split_across_tasks(spark):
     before = {k: spark.conf.get(k, None) for k in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
+
+
+N = 120_000
+
+
+def hot_payments(spark):
+    """A third of the payments belong to one merchant."""
+    merchant = "if(id % 3 = 0, 'm1', concat('m', id % 900))"
+    return spark.range(0, N, 1, 8).selectExpr(
+        "concat('p', id) payment_id", f"{merchant} merchant_id", "'c' customer_id",
+        "'i' invoice_id", "'g' gateway_id", "'pm' payment_method_id", "id amount",
+        "'INR' currency", "'Captured' payment_status", "uuid() payment_reference",
+        "timestamp'2024-01-01' initiated_at", "timestamp'2024-01-01' completed_at",
+        "id processing_time_ms",
+    )
+
+
+def merchants_and_children(spark):
+    merchants = spark.range(900).selectExpr(
+        "concat('m', id) merchant_id", "concat('name ', id) merchant_name", "'x' business_type",
+        "'x' country", "'x' city", "'x' industry", "'Low' risk_level", "'x' settlement_cycle",
+        "'x' verification_status",
+    )
+    child = spark.range(0)
+    children = (
+        child.selectExpr("'' payment_id", "'' merchant_id", "id refund_id", "id refund_amount"),
+        child.selectExpr("'' payment_id", "'' merchant_id", "id chargeback_id", "id amount"),
+        child.selectExpr("'' payment_id", "'' merchant_id", "id settlement_id", "id settlement_amount"),
+    )
+    return merchants, children
+
+
+def test_hot_merchant_is_split_across_tasks(spark, no_broadcasts):
+    merchants, children = merchants_and_children(spark)
+    gateways = spark.sql("SELECT 'g' gateway_id, 'G' gateway_name, 'P' provider, 'C' gateway_type")
+    methods = spark.sql("SELECT 'pm' payment_method_id, 'U' payment_method_name, 'D' category")
+    child = spark.range(0)
+    performance = gold.payment_performance(
+        hot_payments(spark), merchants, gateways, methods,
+        child.selectExpr("'' payment_id", "id attempt_id", "'' attempt_status", "1 attempt_number"),
+        child.selectExpr("'' payment_id", "id event_id", "1 retry_count",
+                         "timestamp'2024-01-01' event_timestamp"),
+        *children,
+    )
+    rows = performance.groupBy("merchant_name").count().where("merchant_name = 'name 1'")
+    assert rows.collect()[0]["count"] > N // 3
+    assert "skew=true" in plan(rows)
+
+
+def below_exchanges(df, key):
+    """What stands right below each shuffle by the key."""
+    lines = [re.sub(r"^[\s:|+*()0-9-]*", "", x) for x in plan(df).splitlines()]
+    return [lines[i + 1] for i, x in enumerate(lines) if x.startswith(f"Exchange hashpartitioning({key}#")]
+
+
+@pytest.mark.parametrize("ids_unique", [True, False])
+def test_hot_merchant_in_a_partial_rebuild(spark, no_broadcasts, ids_unique):
+    merchants, children = merchants_and_children(spark)
+    keys = spark.range(0, 900, 2).selectExpr("concat('m', id + 1) merchant_id").distinct().persist()
+    keys.count()
+    inputs = (merchants, hot_payments(spark), *children)
     try:
-        n = 120_000
-        merchant = "if(id % 3 = 0, 'm1', concat('m', id % 900))"
-        payments = spark.range(0, n, 1, 8).selectExpr(
-            "concat('p', id) payment_id", f"{merchant} merchant_id", "'c' customer_id",
-            "'i' invoice_id", "'g' gateway_id", "'pm' payment_method_id", "id amount",
-            "'INR' currency", "'Captured' payment_status", "uuid() payment_reference",
-            "timestamp'2024-01-01' initiated_at", "timestamp'2024-01-01' completed_at",
-            "id processing_time_ms",
-        )
-        merchants = spark.range(900).selectExpr(
-            "concat('m', id) merchant_id", "concat('name ', id) merchant_name",
-            "'x' industry", "'Low' risk_level",
-        )
-        gateways = spark.sql("SELECT 'g' gateway_id, 'G' gateway_name, 'P' provider, 'C' gateway_type")
-        methods = spark.sql("SELECT 'pm' payment_method_id, 'U' payment_method_name, 'D' category")
-        child = spark.range(0)
-        performance = gold.payment_performance(
-            payments, merchants, gateways, methods,
-            child.selectExpr("'' payment_id", "id attempt_id", "'' attempt_status", "1 attempt_number"),
-            child.selectExpr("'' payment_id", "id event_id", "1 retry_count",
-                             "timestamp'2024-01-01' event_timestamp"),
-            child.selectExpr("'' payment_id", "id refund_id", "id refund_amount"),
-            child.selectExpr("'' payment_id", "id chargeback_id", "id amount"),
-            child.selectExpr("'' payment_id", "id settlement_id", "id settlement_amount"),
-        )
-        rows = performance.groupBy("merchant_name").count().where("merchant_name = 'name 1'")
-        assert rows.collect()[0]["count"] > n // 3
-        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+        part = incremental.rebuild("merchant_performance", keys, *inputs, ids_unique=ids_unique)
+        below = below_exchanges(part, "merchant_id")
+        whole = gold.merchant_performance(*inputs, ids_unique=ids_unique)
+        wanted = {r.merchant_id: r.payment_count for r in whole.join(keys, "merchant_id", "left_semi").collect()}
+        assert {r.merchant_id: r.payment_count for r in part.collect()} == wanted
+        assert wanted["m1"] > N // 3
+        # No raw payments are shuffled: each shuffle is of combined rows, of merchants or of keys.
+        facts = [x for x in below if "amount" in x]
+        assert facts
+        assert all(x.startswith("HashAggregate") and "partial_" in x for x in facts)
     finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+        keys.unpersist()
+
+
+def test_hot_merchant_among_payments_of(spark, no_broadcasts):
+    keys = spark.range(0, 900).selectExpr("concat('m', id) merchant_id").persist()
+    keys.count()
+    try:
+        found = incremental.payments_of(hot_payments(spark), keys, "merchant_id")
+        assert found.count() == N
+        counted = found.groupBy().count()
+        counted.collect()
+        assert "skew=true" in plan(counted)
+    finally:
+        keys.unpersist()
