@@ -14,8 +14,8 @@ member. Then, in buckets that still hold several components, members outside the
 largest one are compared with the members of other components, unless their sketches,
 four bits of each slot, put them far below the threshold. So no pair of a bucket that could
 join two components is left out. Errors at the threshold: a pair shares no bucket with a
-probability of 3 in a million (32 bands of 5 slots at 0.8); its sketches are ``SLACK``
-apart with one of about 1 in 5000.
+probability of 3 in a million (32 bands of 5 slots at 0.8); its sketches look ``SLACK``
+less alike than it is with one of about 1 in 5000.
 
 Defined results: a document is its ``doc_id``; rows that repeat an id are one document
 with several texts. Without words or text the set is empty and the document alone.
@@ -35,15 +35,15 @@ from pyspark.sql import functions as F
 from paylake.llm.common import binaries, bounded_batches, map_texts, pick, ragged, stored
 
 #: Slots of a signature, a prime. Bands times rows of them make the buckets.
-SLOTS = 653
+SLOTS = 1021
 BANDS = 32
 ROWS = 5
 
 #: 64-bit words of a sketch, with four bits of sixteen slots each, and those looked at first.
-WORDS, FIRST_WORDS = 40, 10
+WORDS, FIRST_WORDS = 63, 10
 
 #: How far estimates may be below the threshold: by the whole sketch, and by its first words.
-SLACK, FIRST_SLACK = 0.06, 0.12
+SLACK, FIRST_SLACK = 0.046, 0.12
 
 #: A link needs 100 * intersection >= PERCENT * union.
 PERCENT = 80
@@ -224,25 +224,30 @@ def _stars(links: DataFrame) -> bool:
     return several.union(chained).isEmpty()
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs whose full sets are similar enough."""
-    for batch in batches:
-        mine, other = batch.column("set_u"), batch.column("set_v")
-        keep = []
-        for i in range(batch.num_rows):
-            a = np.frombuffer(mine[i].as_buffer(), np.uint64)
-            b = np.frombuffer(other[i].as_buffer(), np.uint64)
-            both = np.sort(np.concatenate((a, b)), kind="stable")
-            shared = int(np.count_nonzero(both[1:] == both[:-1]))
-            keep.append(100 * shared >= PERCENT * (len(a) + len(b) - shared))
-        yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
+def verify(pairs: DataFrame, sets: DataFrame, column: str = "elements") -> DataFrame:
+    """Those pairs (u, v) that are linked. ``sets`` has the full set of every ``node``.
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those pairs (u, v) that are linked. ``sets`` has the full set of every ``node``."""
-    left = sets.select(F.col("node").alias("u"), F.col("elements").alias("set_u"))
-    right = sets.select(F.col("node").alias("v"), F.col("elements").alias("set_v"))
-    return bounded_batches(pairs.join(left, "u").join(right, "v")).mapInArrow(_linked, "u long, v long")
+    With the column ``short``, the lower halves of the hashes: all linked pairs and perhaps a few
+    more. Two elements that are equal in it can only add to what is shared.
+    """
+    kind = np.uint64 if column == "elements" else np.uint32
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mine, other = batch.column("set_u"), batch.column("set_v")
+            keep = []
+            for i in range(batch.num_rows):
+                a = np.frombuffer(mine[i].as_buffer(), kind)
+                b = np.frombuffer(other[i].as_buffer(), kind)
+                both = np.sort(np.concatenate((a, b)), kind="stable")
+                shared = int(np.count_nonzero(both[1:] == both[:-1]))
+                keep.append(100 * shared >= PERCENT * (len(a) + len(b) - shared))
+            found = pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], names=["u", "v"])
+            yield found.filter(pa.array(keep, pa.bool_()))
+
+    left = sets.select(F.col("node").alias("u"), F.col(column).alias("set_u"))
+    right = sets.select(F.col("node").alias("v"), F.col(column).alias("set_v"))
+    return bounded_batches(pairs.join(left, "u").join(right, "v")).mapInArrow(run, "u long, v long")
 
 
 def group(docs: DataFrame, words: int) -> DataFrame:
@@ -281,6 +286,8 @@ def group(docs: DataFrame, words: int) -> DataFrame:
     links = stored(verify(first, sets), "links")
     found = components(links)
     rest = stored(_cross_pairs(members, about, found).join(first, ["u", "v"], "left_anti"), "cross")
+    # Few of these are links, so half of the hashes goes first.
+    rest = stored(verify(rest, sets, "short"), "near")
     # Links and stars have the same components.
     found = found.union(stored(verify(rest, sets), "links"))
     every = components(found.union(copies))
@@ -297,19 +304,21 @@ def group(docs: DataFrame, words: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``node`` and ``elements`` (its sorted shingle hashes) of the wanted nodes and prints."""
+    """``node``, ``elements`` (its sorted shingle hashes) and ``short`` (their lower halves) of the wanted nodes and prints."""
 
     def work(found: list[str | None]) -> dict:
         own = shingle_sets(found, words)
         counts = np.fromiter(map(len, own), np.int64, len(own))
+        flat = np.concatenate([*own, np.zeros(0, np.uint64)])
         return {
             "found": pa.array(map(fingerprint, own), pa.binary()),
-            "elements": binaries(np.concatenate([*own, np.zeros(0, np.uint64)]), counts, 8),
+            "elements": binaries(flat, counts, 8),
+            "short": binaries(flat.astype(np.uint32), counts, 4),
         }
 
     texts = docs.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id")
-    sets = map_texts(texts, "found binary, elements binary", lambda: work).where("found = print")
-    return stored(sets.select(F.col("doc_id").alias("node"), "elements"), "sets")
+    sets = map_texts(texts, "found binary, elements binary, short binary", lambda: work).where("found = print")
+    return stored(sets.select(F.col("doc_id").alias("node"), "elements", "short"), "sets")
 
 
 def _sizes_fit(one: Column, two: Column) -> Column:

@@ -117,7 +117,7 @@ def test_sketches_tell_how_many_slots_differ(spark):
     used = slice(0, neardup.WORDS * 16)
     differing = ((one & np.uint64(15)) != (two & np.uint64(15)))[:, used]
     first = differing[:, : neardup.FIRST_WORDS * 16].sum(axis=1) <= 160 * 0.32 * 15 / 16
-    assert got == (first & (differing.sum(axis=1) <= 640 * 0.26 * 15 / 16)).tolist()
+    assert got == (first & (differing.sum(axis=1) <= 1008 * 0.246 * 15 / 16)).tolist()
     assert 5 < sum(got) < 35
 
 
