@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from paylake.functions import measures as M
 from paylake.functions.scalars import operation_date, or_zero
 
+# The columns that the metric tables take from their inputs.
 PAYMENT_COLUMNS = (
     "payment_id", "merchant_id", "customer_id", "invoice_id", "gateway_id",
     "payment_method_id", "amount", "currency", "payment_status", "payment_reference",
