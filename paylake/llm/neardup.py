@@ -11,11 +11,11 @@ Classes that agree in a band of slots share a bucket. Pairs within a bucket are
 listed. First the least member is compared with the others, on their full sets, and what
 is linked becomes one component: a group of copies costs a comparison for each
 member. Then, in buckets that still hold several components, members outside the
-largest one are compared with the members of other components, unless their sketches,
-four bits of each slot, put them far below the threshold. So no pair of a bucket that could
-join two components is left out. Errors at the threshold: a pair shares no bucket with a
-probability of 3 in a million (32 bands of 5 slots at 0.8); its sketches look ``SLACK``
-less alike than it is with one of about 1 in 5000.
+largest one are compared with the members of other components, unless sizes or parities
+prove that they are no link: a group of hashes of which one set has an odd and the other an
+even number holds an element that only one has. That is a bound, no estimate, so no linked
+pair of a bucket that could join two components is left out. The one error at the threshold: a
+pair shares no bucket with a probability of 3 in a million (32 bands of 5 slots at 0.8).
 
 Defined results: a document is its ``doc_id``; rows that repeat an id are one document
 with several texts. Without words or text the set is empty and the document alone.
@@ -39,6 +39,9 @@ SLOTS = 1021
 BANDS = 32
 ROWS = 5
 
+#: 64-bit words of the parities of a set, a bit for each group of hashes, and of their first fold.
+PARITY_WORDS, FOLDED_WORDS = 64, 8
+
 #: 64-bit words of a sketch, with four bits of sixteen slots each, and those looked at first.
 WORDS, FIRST_WORDS = 63, 10
 
@@ -118,17 +121,29 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
 
 
 def sketches(signature: np.ndarray) -> np.ndarray:
-    """The low four bits of the first slots, sixteen in a word."""
+    """The low four bits of the first slots, sixteen in a word: for estimates, ``group`` does not use them."""
     low = (signature[:, : WORDS * 16] & np.uint64(15)).reshape(-1, WORDS, 16)
     return np.bitwise_or.reduce(low << (np.uint64(4) * np.arange(16, dtype=np.uint64)), axis=2).view(np.int64)
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """Whether a set has an odd number of each group of hashes; in front the same for fewer, larger groups."""
+    element = np.concatenate([*sets, np.zeros(0, np.uint64)])
+    owner = np.repeat(np.arange(len(sets)), np.fromiter(map(len, sets), np.int64, len(sets)))
+    out = np.zeros(len(sets) * PARITY_WORDS, np.uint64)
+    word = (element >> np.uint64(6)) % np.uint64(PARITY_WORDS)
+    np.bitwise_xor.at(out, owner * PARITY_WORDS + word.astype(np.int64), np.uint64(1) << (element & np.uint64(63)))
+    out = out.reshape(-1, PARITY_WORDS)
+    folded = np.bitwise_xor.reduce(out.reshape(len(sets), PARITY_WORDS // FOLDED_WORDS, FOLDED_WORDS), axis=1)
+    return np.concatenate((folded, out), axis=1).view(np.int64)
+
+
 def fingerprint(elements: np.ndarray) -> bytes:
     return hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
 
 
 def sign(docs: DataFrame, words: int) -> DataFrame:
-    """Replaces the text by ``n_shingles``, ``print`` (of the set), ``bands`` (keys of its buckets) and ``sketch``."""
+    """Replaces the text by ``n_shingles``, ``print`` (of the set), ``bands`` (keys of its buckets) and ``parity``."""
 
     def lists(values: np.ndarray) -> pa.Array:
         edges = ragged(np.full(len(values), values.shape[1]))
@@ -136,15 +151,14 @@ def sign(docs: DataFrame, words: int) -> DataFrame:
 
     def work(texts):
         sets = shingle_sets(texts, words)
-        signature = signatures(sets)
         return {
             "n_shingles": np.fromiter(map(len, sets), np.int64, len(sets)),
             "print": pa.array(map(fingerprint, sets), pa.binary()),
-            "bands": lists(band_keys(signature)),
-            "sketch": lists(sketches(signature)),
+            "bands": lists(band_keys(signatures(sets))),
+            "parity": lists(parities(sets)),
         }
 
-    return map_texts(docs, "n_shingles long, print binary, bands array<bigint>, sketch array<bigint>", lambda: work)
+    return map_texts(docs, "n_shingles long, print binary, bands array<bigint>, parity array<bigint>", lambda: work)
 
 
 def _differing(one: Column, two: Column) -> Column:
@@ -161,7 +175,7 @@ def _most_differing(words: int, slack: float) -> int:
 
 
 def alike(one: Column, two: Column) -> Column:
-    """Whether two sketches leave a link possible: a glance at the first words, then all."""
+    """Whether two sketches make a link likely: a glance at the first words, then all. Links may look unlikely."""
     first = sum((_differing(one[i], two[i]) for i in range(1, FIRST_WORDS)), _differing(one[0], two[0]))
     every = F.aggregate(F.zip_with(one, two, _differing), F.lit(0), lambda a, x: a + x)
     return (first <= _most_differing(FIRST_WORDS, FIRST_SLACK)) & (every <= _most_differing(WORDS, SLACK))
@@ -262,7 +276,7 @@ def group(docs: DataFrame, words: int) -> DataFrame:
         known.groupBy("print").agg(
             F.min("doc_id").alias("node"),
             F.max("doc_id").alias("last"),
-            *(F.any_value(c).alias(c) for c in ("n_shingles", "bands", "sketch")),
+            *(F.any_value(c).alias(c) for c in ("n_shingles", "bands", "parity")),
         ),
         "classes",
     )
@@ -278,11 +292,11 @@ def group(docs: DataFrame, words: int) -> DataFrame:
     members = stored(rows.join(stored(shared.drop("members"), "shared"), "key"), "members")
     # Full sets of the classes that share a bucket. A repeated id may have several texts: the print tells them apart.
     about = classes.join(members.select("node").distinct(), "node", "left_semi")
-    about = stored(about.select("node", "print", F.col("n_shingles").alias("n"), "bands", "sketch"), "about")
+    about = stored(about.select("node", "print", F.col("n_shingles").alias("n"), "bands", "parity"), "about")
     sets = full_sets(docs, about.select("node", "print"), words)
 
     pairs = members.where("node > pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
-    first = stored(_likely(pairs, about), "pairs")
+    first = stored(_possible(pairs, about), "pairs")
     links = stored(verify(first, sets), "links")
     found = components(links)
     rest = stored(_cross_pairs(members, about, found).join(first, ["u", "v"], "left_anti"), "cross")
@@ -326,16 +340,30 @@ def _sizes_fit(one: Column, two: Column) -> Column:
     return 100 * F.least(one, two) >= PERCENT * F.greatest(one, two)
 
 
-def _likely(pairs: DataFrame, about: DataFrame) -> DataFrame:
-    """The pairs that sizes and sketches leave possible."""
-    sides = [about.select(F.col("node").alias(c), F.struct("n", "sketch").alias(f"of_{c}")) for c in ("u", "v")]
+def may_link(one: Column, two: Column, parity_one: Column, parity_two: Column) -> Column:
+    """Whether two sets, by their sizes and parities, may be linked; every linked pair may.
+
+    Let the sets have S elements together and D that only one of them has. At least as many
+    elements as groups with different parities are in D, and a link is (100 + PERCENT) * D <=
+    (100 - PERCENT) * S. The fold, which is quick to compare, comes first.
+    """
+    first = sum((F.bit_count(parity_one[i].bitwiseXOR(parity_two[i])) for i in range(1, FOLDED_WORDS)), F.bit_count(parity_one[0].bitwiseXOR(parity_two[0])))
+    each = F.zip_with(parity_one, parity_two, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    every = F.aggregate(each, F.lit(0), lambda a, x: a + x) - first
+    most = (100 - PERCENT) * (one + two)
+    return _sizes_fit(one, two) & ((100 + PERCENT) * first <= most) & ((100 + PERCENT) * every <= most)
+
+
+def _possible(pairs: DataFrame, about: DataFrame) -> DataFrame:
+    """The pairs that sizes and parities leave possible."""
+    sides = [about.select(F.col("node").alias(c), F.struct("n", "parity").alias(f"of_{c}")) for c in ("u", "v")]
     both = pairs.join(sides[0], "u").join(sides[1], "v")
-    fit = _sizes_fit(F.col("of_u.n"), F.col("of_v.n")) & alike(F.col("of_u.sketch"), F.col("of_v.sketch"))
+    fit = may_link(F.col("of_u.n"), F.col("of_v.n"), F.col("of_u.parity"), F.col("of_v.parity"))
     return both.where(fit).select("u", "v")
 
 
 def _cross_pairs(members: DataFrame, about: DataFrame, found: DataFrame) -> DataFrame:
-    """Likely pairs of different components that share a bucket, each once.
+    """Possible pairs of different components that share a bucket, each once.
 
     Of the largest component of a bucket no two members are compared, and a pair comes out of
     its first common bucket only.
@@ -357,8 +385,7 @@ def _cross_pairs(members: DataFrame, about: DataFrame, found: DataFrame) -> Data
         (F.col("a.key") == F.col("b.key"))
         & (F.col("a.component") != F.col("b.component"))
         & each_once
-        & _sizes_fit(F.col("a.n"), F.col("b.n"))
-        & alike(F.col("a.sketch"), F.col("b.sketch"))
+        & may_link(F.col("a.n"), F.col("b.n"), F.col("a.parity"), F.col("b.parity"))
         & ~F.arrays_overlap(*earlier),
     )
     return cross.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v"))

@@ -121,6 +121,47 @@ def test_sketches_tell_how_many_slots_differ(spark):
     assert 5 < sum(got) < 35
 
 
+def pairs_at_threshold(draw, sizes):
+    """Two word lists for each (shared, all) of ``sizes``: what only one has is dealt to the two at random."""
+    out = []
+    for shared, every in sizes:
+        words = [f"w{draw.randrange(10**12)}" for _ in range(every)]
+        side = [draw.random() < 0.5 for _ in words]
+        out.append(tuple(words[:shared] + [w for w, s in zip(words[shared:], side, strict=False) if s == x] for x in (True, False)))
+    return out
+
+
+def linked_ids(spark, documents, pairs):
+    rows = [(2 * i + k, " ".join(words)) for i, both in enumerate(pairs) for k, words in enumerate(both)]
+    found = neardup.group(documents(rows), 1).where("not kept").collect()
+    assert all((r.doc_id, r.component_id) == (r.component_id + 1, r.component_id) and r.component_id % 2 == 0 for r in found)
+    return {r.component_id // 2 for r in found}
+
+
+def test_pairs_of_a_bucket_at_the_threshold_are_linked(spark, documents):
+    pairs = pairs_at_threshold(random.Random(21), [(4 * k, 5 * k) for k in range(1, 13)] * 700)
+    keys = [neardup.band_keys(neardup.signatures(neardup.shingle_sets([" ".join(p[k]) for p in pairs], 1))) for k in (0, 1)]
+    share = (keys[0] == keys[1]).any(axis=1)
+    assert share.mean() > 0.99
+    assert set(np.flatnonzero(share).tolist()) <= linked_ids(spark, documents, pairs)
+
+
+def test_parities_never_rule_out_a_link(spark):
+    draw = np.random.default_rng(4)
+    rows = []
+    for shared, own in [(4, 1), (8, 2), (79, 20), (80, 20), (80, 21), (60, 40), (800, 200), (800, 300), (20_000, 5000)] * 20:
+        common = draw.integers(0, 2**63, shared, dtype=np.uint64)
+        extra = draw.integers(0, 2**63, own, dtype=np.uint64)
+        cut = draw.integers(0, own + 1)
+        a, b = (np.unique(np.concatenate((common, e))) for e in (extra[:cut], extra[cut:]))
+        one, two = neardup.parities([a, b])
+        rows.append((len(a), len(b), one.tolist(), two.tolist(), 100 * shared >= 80 * (shared + own), shared, own))
+    df = spark.createDataFrame(rows, "n long, m long, a array<bigint>, b array<bigint>, linked boolean, shared int, own int")
+    got = df.withColumn("may", neardup.may_link(F.col("n"), F.col("m"), F.col("a"), F.col("b"))).collect()
+    assert all(r.may for r in got if r.linked)
+    assert not any(r.may for r in got if (r.shared, r.own) in ((60, 40), (800, 300)))
+
+
 def test_components(spark):
     draw = random.Random(1)
     links = [(i, i + 1) for i in range(100, 300)] + [(0, i) for i in range(400, 700)] + [(draw.randrange(1000, 3000), draw.randrange(1000, 3000)) for _ in range(900)]
