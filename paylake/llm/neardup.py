@@ -7,7 +7,10 @@ a random fraction; a slot keeps the least offer. The orders are affine permutati
 modulo a prime, of which any two slots get all pairs of ranks equally often, as with
 shuffled ones. After some ranks all slots are filled, and the rest is not looked at.
 
-Classes that agree in a band of slots share a bucket. Pairs within a bucket are not
+Classes that agree in a band of slots share a bucket. Sets of up to ``SMALL`` elements, for which
+affine orders are not random enough, get exact keys in place of bands: of elements in one common
+order, the first ``SHARED`` that two linked sets share stand near the front of both, so each set
+has a key for every choice of ``SHARED`` of its first elements. Pairs within a bucket are not
 listed. First the least member is compared with the others, on their full sets, and what
 is linked becomes one component: a group of copies costs a comparison for each
 member. Then, in buckets that still hold several components, members outside the
@@ -15,7 +18,8 @@ largest one are compared with the members of other components, unless sizes or p
 prove that they are no link: a group of hashes of which one set has an odd and the other an
 even number holds an element that only one has. That is a bound, no estimate, so no linked
 pair of a bucket that could join two components is left out. The one error at the threshold: a
-pair shares no bucket with a probability of 3 in a million (32 bands of 5 slots at 0.8).
+pair whose smaller set has more than ``SMALL`` elements shares no bucket with a probability of 3 in
+a million for independent slots (32 bands of 5 slots at 0.8).
 
 Defined results: a document is its ``doc_id``; rows that repeat an id are one document
 with several texts. Without words or text the set is empty and the document alone.
@@ -26,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +56,12 @@ SLACK, FIRST_SLACK = 0.046, 0.12
 #: A link needs 100 * intersection >= PERCENT * union.
 PERCENT = 80
 
+#: Sets of up to so many elements are found by exact keys, of so many shared elements each.
+SMALL, SHARED = 24, 3
+
+#: The largest set that may be linked with a small one.
+LARGEST_PARTNER = 100 * SMALL // PERCENT
+
 _UNSET = np.uint64(2**64 - 1)
 
 
@@ -120,6 +131,41 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
     return keys.view(np.int64)
 
 
+def exact_keys(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """For each set of up to ``LARGEST_PARTNER`` elements keys of which it has one in common with every linked set of such a size.
+
+    Of n elements a linked set has at least PERCENT * n / 100. Behind the element that is the last of the
+    first ``SHARED`` common ones stand all other common ones, which bounds its place. Sets
+    of so few elements that only equal ones are linked have no keys.
+    """
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    out = [np.zeros(0, np.int64)] * len(sets)
+    for n in np.unique(sizes[sizes <= LARGEST_PARTNER]).tolist():
+        fewest = -(-PERCENT * n // 100)
+        # The smallest linked set that is not equal has an element less, or the largest one more.
+        if 100 * n < PERCENT * (n + 1) and 100 * (n - 1) < PERCENT * n:
+            continue
+        front = n - fewest + SHARED
+        at = np.flatnonzero(sizes == n)
+        first = np.stack([sets[i][:front] for i in at])
+        chosen = np.array(list(combinations(range(front), SHARED)))
+        keys = np.full((len(at), len(chosen)), mix(np.full(1, BANDS + 1, np.uint64))[0])
+        for k in range(SHARED):
+            keys = mix(keys + first[:, chosen[:, k]])
+        for i, own in zip(at, keys.view(np.int64), strict=True):
+            out[i] = own
+    return out
+
+
+def bucket_keys(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """The keys of each set's buckets: bands, exact keys if it is small, or both if it may be linked with small ones."""
+    out = exact_keys(sets)
+    banded = [i for i, s in enumerate(sets) if len(s) > SMALL]
+    for i, own in zip(banded, band_keys(signatures([sets[i] for i in banded])), strict=True):
+        out[i] = np.concatenate((own, out[i]))
+    return out
+
+
 def sketches(signature: np.ndarray) -> np.ndarray:
     """The low four bits of the first slots, sixteen in a word: for estimates, ``group`` does not use them."""
     low = (signature[:, : WORDS * 16] & np.uint64(15)).reshape(-1, WORDS, 16)
@@ -145,16 +191,16 @@ def fingerprint(elements: np.ndarray) -> bytes:
 def sign(docs: DataFrame, words: int) -> DataFrame:
     """Replaces the text by ``n_shingles``, ``print`` (of the set), ``bands`` (keys of its buckets) and ``parity``."""
 
-    def lists(values: np.ndarray) -> pa.Array:
-        edges = ragged(np.full(len(values), values.shape[1]))
-        return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(values.ravel()))
+    def lists(values) -> pa.Array:
+        edges = ragged(np.fromiter(map(len, values), np.int64, len(values)))
+        return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.concatenate([*values, np.zeros(0, np.int64)])))
 
     def work(texts):
         sets = shingle_sets(texts, words)
         return {
             "n_shingles": np.fromiter(map(len, sets), np.int64, len(sets)),
             "print": pa.array(map(fingerprint, sets), pa.binary()),
-            "bands": lists(band_keys(signatures(sets))),
+            "bands": lists(bucket_keys(sets)),
             "parity": lists(parities(sets)),
         }
 
@@ -366,7 +412,7 @@ def _cross_pairs(members: DataFrame, about: DataFrame, found: DataFrame) -> Data
     """Possible pairs of different components that share a bucket, each once.
 
     Of the largest component of a bucket no two members are compared, and a pair comes out of
-    its first common bucket only.
+    that of its common buckets only whose key is least.
     """
     named = members.select("key", "node").join(found.select(F.col("u").alias("node"), "v"), "node", "left")
     named = stored(named.select("key", "node", F.coalesce("v", "node").alias("component")), "named")
@@ -378,14 +424,13 @@ def _cross_pairs(members: DataFrame, about: DataFrame, found: DataFrame) -> Data
     rows = stored(rows.join(about.drop("print"), "node"), "open")
     a, b = rows.where("component <> largest").alias("a"), rows.alias("b")
     each_once = (F.col("b.component") == F.col("b.largest")) | (F.col("a.node") < F.col("b.node"))
-    place = F.array_position("a.bands", F.col("a.key"))
-    earlier = [F.slice(f"{side}.bands", F.lit(1), place.cast("int") - 1) for side in "ab"]
+    least = F.array_min(F.array_intersect("a.bands", "b.bands"))
     cross = b.join(
         a,
         (F.col("a.key") == F.col("b.key"))
         & (F.col("a.component") != F.col("b.component"))
         & each_once
         & may_link(F.col("a.n"), F.col("b.n"), F.col("a.parity"), F.col("b.parity"))
-        & ~F.arrays_overlap(*earlier),
+        & (F.col("a.key") == least),
     )
     return cross.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v"))

@@ -146,6 +146,26 @@ def test_pairs_of_a_bucket_at_the_threshold_are_linked(spark, documents):
     assert set(np.flatnonzero(share).tolist()) <= linked_ids(spark, documents, pairs)
 
 
+def test_small_sets_at_the_threshold_are_all_found(spark, documents):
+    # 4 of 5 elements shared, up to 24 of 30, also with one set inside the other; of 8 to 10 and more, the bands miss some.
+    sizes = [(4 * k, 5 * k) for k in (1, 1, 1, 2, 2, 3, 4, 5, 6)] + [(5, 6), (9, 11), (23, 28)]
+    pairs = pairs_at_threshold(random.Random(33), sizes * 700)
+    assert linked_ids(spark, documents, pairs) == set(range(len(pairs)))
+
+
+def test_linked_small_sets_share_an_exact_key():
+    draw = np.random.default_rng(12)
+    for small in range(1, neardup.SMALL + 1):
+        for large in range(small, neardup.LARGEST_PARTNER + 1):
+            for shared in range(1, small + 1):
+                if 100 * shared < 80 * (small + large - shared) or small == large == shared:
+                    continue
+                for _ in range(5):
+                    every = draw.integers(0, 2**63, small + large - shared, dtype=np.uint64)
+                    one, two = neardup.bucket_keys([np.sort(every[:small]), np.sort(every[small - shared :])])
+                    assert np.intersect1d(one, two).size
+
+
 def test_parities_never_rule_out_a_link(spark):
     draw = np.random.default_rng(4)
     rows = []
