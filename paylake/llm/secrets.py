@@ -5,7 +5,7 @@ anywhere. Weaker candidates, too common to report alone, are other identifiers,
 long random-looking strings and endpoints. They are joined by interval: the scope
 of a candidate reaches ``WITHIN`` characters to both sides, but not over an empty
 line. A weak identifier is reported with a secret in its scope, a weak secret with
-an identifier, an endpoint with both.
+an identifier, an endpoint with both. An identifier's own value is not its secret.
 
 Defined results: a null text counts as empty and has no spans; positions are code
 points, ends exclusive; spans stand by start, then kind as listed; repeated rows
@@ -36,9 +36,10 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api")
 ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile("[0-9a-f]{24,}")
 IDENT = re.compile(
-    r"""\b(?:client|key|account|user|tenant)_?(?:id|name)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@-]{4,}""", re.IGNORECASE | re.ASCII
+    r"""(?:client|key|account|user|tenant)_?(?:id|name)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@-]{4,}""", re.IGNORECASE | re.ASCII
 )
-SECRET = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{32,88}={0,2}(?![A-Za-z0-9+/=_-])")
+# Whole runs of any length, also of the URL alphabet and escaped, and also right behind a '='.
+SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]|%[0-9A-Fa-f]{2}){32,}+={0,2}(?![A-Za-z0-9+/=_-])")
 ENDPOINT = re.compile(r"""(?:https?|jdbc:[a-z]+|mongodb|redis|amqp|s3)://[^\s"'<>]+""")
 EMPTY_LINE = re.compile(r"\n[\x20\t\r]*\n")
 
@@ -62,8 +63,8 @@ def _random_looking(text: str) -> bool:
     return all(re.search(c, text) for c in ("[A-Z]", "[a-z]", "[0-9]"))
 
 
-def _near(own: list[Span], others: list[Span], breaks: np.ndarray) -> list[bool]:
-    """Whether each span has one of the others in its scope.
+def _near(own: list[Span], others: list[Span], breaks: np.ndarray, apart: bool = False) -> list[bool]:
+    """Whether each span has one of the others in its scope; one that does not overlap it, if ``apart``.
 
     Both are sorted and free of overlaps within a kind, so starts and ends are
     searched apart: an interval join without comparing pairs.
@@ -77,7 +78,10 @@ def _near(own: list[Span], others: list[Span], breaks: np.ndarray) -> list[bool]
     low = np.maximum(start - WITHIN, limits[section])
     high = np.minimum(end + WITHIN, limits[section + 1])
     before = np.searchsorted(others_end, low, side="right")
-    return (np.searchsorted(others_start, high, side="left") > before).tolist()
+    count = np.searchsorted(others_start, high, side="left") - before
+    if apart:
+        count -= np.searchsorted(others_start, end, side="left") - np.searchsorted(others_end, start, side="right")
+    return (count > 0).tolist()
 
 
 def linked_spans(text: str, base: list[Span]) -> list[Span]:
@@ -103,13 +107,13 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
     strong = [s for s in base if s[0] != "access"]
     breaks = np.array([m.start() for m in EMPTY_LINE.finditer(text)], np.int64)
 
-    def chosen(own: list[Span], *groups: list[Span]) -> list[Span]:
+    def chosen(own: list[Span], *groups: list[Span], apart: bool = False) -> list[Span]:
         """Those of ``own`` with one span of any of the groups in scope."""
-        hits = [_near(own, g, breaks) for g in groups]
+        hits = [_near(own, g, breaks, apart) for g in groups]
         return [s for s, *h in zip(own, *hits, strict=True) if any(h)]
 
-    found_idents = chosen(idents, weak, *_by_kind(strong))
-    found_secrets = chosen(weak, access, idents)
+    found_idents = chosen(idents, weak, *_by_kind(strong), apart=True)
+    found_secrets = chosen(weak, access, idents, apart=True)
     ends = free([("endpoint", *m.span()) for m in ENDPOINT.finditer(text)]) if "://" in text else []
     with_ident = chosen(ends, access, found_idents)
     found_ends = chosen(with_ident, found_secrets, *_by_kind(strong))

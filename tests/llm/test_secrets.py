@@ -56,6 +56,27 @@ def test_scope_ends_at_empty_lines_and_at_a_distance():
     assert kinds(f"{KEY} {'word ' * 100}{WEAK}") == ["access"]
 
 
+def test_key_value_files_without_spaces():
+    value = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY9"
+    assert kinds(f"aws_access_key_id={KEY}\naws_secret_access_key={value}") == ["access", "secret"]
+    text = f"AZURE_CLIENT_ID=1234abcd\nAccountKey={WEAK}==\noauth_client_id:abcd"
+    assert [text[a:b] for _, a, b in secrets.spans_of(text)] == ["CLIENT_ID=1234abcd", f"{WEAK}==", "client_id:abcd"]
+    assert kinds(f"aws_access_key_id=ASIA{'A1' * 8}\nvalue={value}") == ["ident", "secret"]
+    assert kinds(f"tenant_id=abcd\nhttps://host/x?sig={WEAK[:20]}%2F{WEAK}%3D&y") == ["ident", "endpoint", "secret"]
+
+
+def test_weak_secrets_of_any_length_and_alphabet():
+    for value in ("aB3" * 40, "aB3_" * 12, "aB3-" * 100, "_" + "aB3" * 13):
+        text = f"{KEY} x={value} "
+        assert [text[a:b] for _, a, b in secrets.spans_of(text)] == [KEY, value]
+    assert kinds(f"{KEY} {'aB3' * 10}") == ["access"]
+
+
+def test_an_identifier_is_not_linked_with_its_own_value():
+    assert kinds(f"client_id={WEAK}") == kinds(f"client_id: {WEAK}") == []
+    assert kinds(f"client_id={WEAK} user_id=abcd") == ["secret", "ident"]
+
+
 def test_masking():
     text = f"é password={'0f' * 12} and {KEY}."
     assert secrets.masked(text, secrets.spans_of(text)) == "é [assign] and [access]."
