@@ -91,16 +91,13 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
     access = [s for s in base if s[0] == "access"]
     if not idents and not access:
         return []
-    taken = sorted(s[1:] for s in base)
+    taken = np.array(sorted(s[1:] for s in base), np.int64).reshape(-1, 2)
+    reached = np.maximum.accumulate(taken[:, 1])
 
     def free(spans: list[Span]) -> list[Span]:
         """Those that overlap no base span."""
-        out = []
-        for s in spans:
-            i = np.searchsorted([t[0] for t in taken], s[2])
-            if not any(t[1] > s[1] for t in taken[max(0, i - 3) : i]):
-                out.append(s)
-        return out
+        begun = np.searchsorted(taken[:, 0], [s[2] for s in spans])
+        return [s for s, i in zip(spans, begun.tolist(), strict=True) if not i or reached[i - 1] <= s[1]]
 
     idents = free(idents)
     weak = free([("secret", *m.span()) for m in SECRET.finditer(text) if _random_looking(m[0])])

@@ -77,6 +77,11 @@ def test_an_identifier_is_not_linked_with_its_own_value():
     assert kinds(f"client_id={WEAK} user_id=abcd") == ["secret", "ident"]
 
 
+def test_a_weak_part_inside_a_long_base_span_is_not_reported_again():
+    text = f"user_id=abcd token={'.'.join(['0f' * 12] * 6)}.x={WEAK}"
+    assert kinds(text) == ["ident", "assign"] + ["hex"] * 6
+
+
 def test_masking():
     text = f"é password={'0f' * 12} and {KEY}."
     assert secrets.masked(text, secrets.spans_of(text)) == "é [assign] and [access]."
