@@ -13,6 +13,9 @@ those the least text, and ``copies`` says how many there were. A call without a
 ``unanswered``, a result without a call an ``orphan``. What has no conversation or no
 identifier is ``unidentified`` and has no place. Arguments that are no JSON object have
 the error ``not an object`` and null in the JSON.
+
+``link`` has one place for a call with its result. ``sequence`` has a row and a place for each
+of them and for each copy, from which a conversation can be written back.
 """
 
 from __future__ import annotations
@@ -173,6 +176,69 @@ def link(calls: DataFrame, results: DataFrame, schema: Schema) -> DataFrame:
     )
 
 
+def sequence(calls: DataFrame, results: DataFrame, schema: Schema) -> DataFrame:
+    """One row for each call and for each result, also those that repeat an identifier, in topological order.
+
+    A result stands at its own position or, if that is not behind its call's, behind the calls there.
+    Columns of the result: conv_id, id, kind (call or result), name, status (of further copies
+    ``duplicate``), position (as written), place (from 0), partner_place (of the linked
+    result or call), valid, errors, json.
+    """
+    sides = [
+        calls.select("conv_id", "id", F.lit(0).alias("side"), "position", "name", F.col("arguments").alias("body")),
+        results.select("conv_id", "id", F.lit(1).alias("side"), "position", F.lit(None).cast("string").alias("name"), F.col("content").alias("body")),
+    ]
+    rows = sides[0].unionByName(sides[1])
+    known = F.col("conv_id").isNotNull() & F.col("id").isNotNull()
+    # Equal rows are numbered from their count, so that no window has all copies of an identifier.
+    equal = rows.where(known).groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    one = F.struct("position", "name", "body")
+    firsts = equal.groupBy("conv_id", "id").agg(
+        *(F.min(F.when(F.col("side") == side, one)).alias(c) for side, c in ((0, "c"), (1, "r")))
+    )
+    joined = equal.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).join(firsts, ["conv_id", "id"])
+    is_first = (F.col("copy") == 1) & F.when(F.col("side") == 0, one.eqNullSafe(F.col("c"))).otherwise(one.eqNullSafe(F.col("r")))
+    both = F.col("c").isNotNull() & F.col("r").isNotNull()
+    status = F.when(~is_first, "duplicate").when(both, "linked").otherwise(F.when(F.col("side") == 0, "unanswered").otherwise("orphan"))
+    at = F.when(F.col("side") == 0, F.col("position")).otherwise(F.greatest("position", "c.position"))
+    nodes = joined.select(*rows.columns, "copy", status.alias("status"), at.alias("at")).withColumn("stretch", F.floor(F.col("at") / STRETCH))
+
+    sizes = nodes.groupBy("conv_id", "stretch").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("conv_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(
+        F.col("conv_id").alias("b_conv"), F.col("stretch").alias("b_stretch"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+    )
+    order = Window.partitionBy("conv_id", "stretch").orderBy("at", "side", "id", "position", "name", "body", "copy")
+    same = (F.col("conv_id") == F.col("b_conv")) & F.col("stretch").eqNullSafe(F.col("b_stretch"))
+    placed = nodes.withColumn("inside", F.row_number().over(order) - 1).join(before, same)
+    placed = placed.select(*rows.columns, "status", (F.col("before") + F.col("inside")).alias("place"))
+    partners = placed.where("status = 'linked'").select("conv_id", "id", (1 - F.col("side")).alias("side"), "status", F.col("place").alias("partner_place"))
+    placed = placed.join(partners, ["conv_id", "id", "side", "status"], "left").select(*rows.columns, "status", "place", "partner_place")
+    none = F.lit(None).cast("long")
+    unnamed = rows.where(~known).select(*rows.columns, F.lit("unidentified").alias("status"), none.alias("place"), none.alias("partner_place"))
+
+    every = placed.unionByName(unnamed)
+    is_call = F.col("side") == 0
+    every = every.withColumn("wrong", F.when(is_call, errors(F.col("body"), F.col("name"), schema)).otherwise(F.array().cast("array<string>")))
+    sound = F.when(~F.array_contains("wrong", "not an object"), F.try_parse_json("body"))
+    keep_nulls = {"ignoreNullFields": "false"}
+    call = F.to_json(F.struct(sound.alias("arguments"), "id", "name"), keep_nulls)
+    result = F.to_json(F.struct(F.col("body").alias("content"), F.col("id").alias("tool_call_id")), keep_nulls)
+    return every.select(
+        "conv_id",
+        "id",
+        F.when(is_call, "call").otherwise("result").alias("kind"),
+        "name",
+        "status",
+        "position",
+        "place",
+        "partner_place",
+        (F.size("wrong") == 0).alias("valid"),
+        F.array_join("wrong", "; ").alias("errors"),
+        F.when(is_call, call).otherwise(result).alias("json"),
+    )
+
+
 #: The rows of the query over plain conversations, in SQL. The limits are those of TURN_SCHEMA.
 TURNS_SQL = """
 WITH m AS (SELECT conv_id, turn, role, text FROM conversations),

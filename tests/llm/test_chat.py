@@ -94,3 +94,32 @@ def test_messages_with_tool_calls(spark):
     assert got["b"].json == (
         '{"call":{"arguments":{"most":2,"what":"x"},"id":"b","name":"find"},"result":{"content":"early","tool_call_id":"b"}}'
     )
+
+
+def test_sequence_keeps_the_order_of_results_and_all_copies(spark, monkeypatch):
+    monkeypatch.setattr(chat, "STRETCH", 3)
+    good, bad = '{"what":"x"}', '{"what":"too long"}'
+    calls = [(1, "a", 0, "find", good), (1, "b", 1, "find", good), (1, "a", 4, "find", bad), (1, "d", 6, "find", good), (1, "e", 9, "find", good), (1, None, 7, "find", good)]
+    results = [(1, "b", 2, "of b"), (1, "a", 3, "of a"), (1, "a", 5, "again"), (1, "a", 5, "again"), (1, "d", 1, "early"), (1, "z", 8, "lost"), (None, "a", 3, None)]
+    rows = chat.sequence(
+        spark.createDataFrame(calls, "conv_id long, id string, position long, name string, arguments string"),
+        spark.createDataFrame(results, "conv_id long, id string, position long, content string"),
+        SCHEMA,
+    ).collect()
+    got = sorted((r for r in rows if r.place is not None), key=lambda r: r.place)
+    assert [(r.place, r.kind, r.id, r.position, r.status, r.partner_place) for r in got] == [
+        (0, "call", "a", 0, "linked", 3),
+        (1, "call", "b", 1, "linked", 2),
+        (2, "result", "b", 2, "linked", 1),
+        (3, "result", "a", 3, "linked", 0),
+        (4, "call", "a", 4, "duplicate", None),
+        (5, "result", "a", 5, "duplicate", None),
+        (6, "result", "a", 5, "duplicate", None),
+        (7, "call", "d", 6, "linked", 8),
+        (8, "result", "d", 1, "linked", 7),
+        (9, "result", "z", 8, "orphan", None),
+        (10, "call", "e", 9, "unanswered", None),
+    ]
+    assert (got[4].errors, got[4].valid, got[4].json) == ("range what", False, '{"arguments":{"what":"too long"},"id":"a","name":"find"}')
+    assert got[5].json == '{"content":"again","tool_call_id":"a"}'
+    assert sorted((r.kind, r.status) for r in rows if r.place is None) == [("call", "unidentified"), ("result", "unidentified")]
