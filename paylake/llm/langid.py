@@ -25,7 +25,7 @@ from paylake.llm.common import map_texts, pick, sampled
 #: Labelled documents for each language, about, that a dictionary is made of.
 SAMPLE_PER_LANGUAGE = 200
 
-#: Longer documents are passed over for dictionaries.
+#: Of longer documents the beginning goes into dictionaries, behind the shorter documents.
 SAMPLE_CHARS = 8192
 
 #: Bytes of a dictionary, at most.
@@ -55,13 +55,16 @@ def levelled(text: str) -> bytes:
 def fit(docs: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> dict[str, bytes]:
     """A dictionary for each language, from (doc_id, text, lang) rows.
 
-    What reaches the driver is bounded: about ``sample`` documents of at most
-    ``SAMPLE_CHARS`` characters for each language.
+    What reaches the driver is bounded: about ``sample`` documents for each language, of each at
+    most ``SAMPLE_CHARS`` characters from its first letter on.
     """
     usable = pick(docs, "doc_id", "text", "lang").where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & F.length("text").between(1, SAMPLE_CHARS)
+        F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0)
     )
-    chosen = sampled(usable, "lang", sample).orderBy("lang", F.xxhash64("doc_id"), "doc_id", "text").collect()
+    is_long = F.length("text") > SAMPLE_CHARS
+    start = F.regexp_replace("text", r"^[^\p{L}]+", "").substr(1, SAMPLE_CHARS)
+    pieces = sampled(usable, "lang", sample).select("doc_id", "lang", is_long.alias("cut"), F.when(is_long, start).otherwise(F.col("text")).alias("text"))
+    chosen = pieces.orderBy("lang", "cut", F.xxhash64("doc_id"), "doc_id", "text").collect()
     made: dict[str, dict[str, None]] = {}
     for row in chosen:
         if any(map(str.isalpha, row.text)):

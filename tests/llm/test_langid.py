@@ -53,3 +53,12 @@ def test_dictionaries_are_bounded(spark):
     made = langid.fit(make(spark, rows), sample=20)
     assert list(made) == ["en"]
     assert 0 < len(made["en"]) <= langid.DICTIONARY_BYTES
+
+
+def test_a_language_of_long_documents_has_a_dictionary(spark):
+    german = "das haus und der garten sind dort zu sehen "
+    rows = [(i, "the house and the garden are there " * 20, "en") for i in range(20)] + [(100 + i, "0 " * 5000 + german * 300, "de") for i in range(5)]
+    made = langid.fit(make(spark, rows))
+    assert sorted(made) == ["de", "en"]
+    assert len(made["de"]) <= langid.SAMPLE_CHARS
+    assert [r.lang_pred for r in langid.predict(make(spark, [(1, german * 300, None)]).select("doc_id", "text"), made).collect()] == ["de"]
