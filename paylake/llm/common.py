@@ -34,7 +34,21 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str, *names: str) -> DataFrame:
-    return pick(spark.read.parquet(f"{sf_dir}/{table}.parquet"), *names)
+    """The named columns of a table, matched by exact case.
+
+    A table that has other columns with the same names in another case can be read by a
+    case-sensitive session alone, also later when the rows are wanted. Its named columns are copied to the
+    scratch folder under that setting, which is then put back.
+    """
+    setting = spark.conf.get("spark.sql.caseSensitive")
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        whole = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+        if len({c.lower() for c in whole.columns}) < len(whole.columns):
+            return stored(pick(whole, *names), table)
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", setting)
+    return pick(whole, *names)
 
 
 def sampled(rows: DataFrame, group: str, number: int) -> DataFrame:

@@ -1,6 +1,6 @@
 import test_neardup
 import test_packing
-import test_quality
+import test_fertility
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -25,7 +25,7 @@ def test_stages_against_brute_force(spark):
     names = ["n_words", "n_repeat_words", "chars_per_token", "tokens_per_word", "byte_share", "token_entropy", "script"]
 
     def good(row):
-        if test_quality.brute(row[1])[5]:
+        if test_fertility.brute(row[1])[5]:
             return False
         measured = quality._Measure(quality.PIECES)([row[1]])
         _, _, chars, words, in_bytes, entropy, script = (measured[n][0] for n in names)
@@ -91,3 +91,12 @@ def test_unusual_rows(spark, documents, folder):
 def test_empty_tables(spark, documents, folder):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert corpus_pipeline.run(spark, folder(documents=documents([]), labels=labels)).collect() == []
+
+
+def test_near_dedup_keeps_another_text_of_a_repeated_id(spark, documents):
+    words = [f"w{i}" for i in range(80)]
+    a, b, near = " ".join(words), " ".join(f"v{i}" for i in range(80)), " ".join([*words[:79], "x"])
+    rows = [(1, a), (2, a), (2, b), (2, b), (3, near), (4, None), (4, ""), (None, a)]
+    out = corpus_pipeline.near_dedup(spark, documents(rows), "")
+    key = lambda r: (str(r[0]), str(r[1]))
+    assert sorted(map(tuple, out.select("doc_id", "text").collect()), key=key) == sorted([(1, a), (2, b), (4, None), (4, ""), (None, a)], key=key)
