@@ -45,16 +45,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near copies, and documents without an id."""
+    """The row with the least id of each group of near copies, and rows without an id.
+
+    Where an id has several texts, each of them is judged on its own: one that is no copy stays.
+    """
     docs = pick(docs, *COLUMNS)
-    dropped = neardup.group(docs, SHINGLE_WORDS).where(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
-    # Rows that repeat an id and its text are copies too.
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if repeated.isEmpty():
-        return left
-    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(repeated, "doc_id", "left_anti").unionByName(once).select(*COLUMNS)
+    known = docs.where("doc_id is not null")
+    if known.groupBy("doc_id").count().where("count > 1").isEmpty():
+        dropped = neardup.group(docs, SHINGLE_WORDS).where(~F.col("kept")).select("doc_id").distinct()
+        return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    # Numbers for the distinct (id, text) rows that rise with the id, so the least row of a group has its least id.
+    ordered = known.dropDuplicates(["doc_id", "text"]).repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id")
+    rows = stored(ordered.withColumn("row", F.monotonically_increasing_id()), "rows")
+    kept = neardup.group(rows.select(F.col("row").alias("doc_id"), "text"), SHINGLE_WORDS).where("kept").select(F.col("doc_id").alias("row"))
+    return rows.join(kept, "row").select(*COLUMNS).unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -83,7 +87,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read(spark, sf_dir, "documents", *COLUMNS)
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
