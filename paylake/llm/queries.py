@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm import ann, bpe, chat, langid, neardup, packing, quality, secrets, token_files, urlfilter
+from paylake.llm import ann, bpe, chat, langid, neardup, packing, quality, secrets, token_files, turn_trie, urlfilter
 from paylake.llm.common import read, stored
 
 
@@ -89,6 +89,10 @@ def op10_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", accepted.alias("accepted"))
 
 
+def op13_double_array_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_trie.conversation_trie(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -100,8 +104,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_superminhash": op8_superminhash,
     "op9_credential_linking": op9_credential_linking,
     "op10_compression_langid": op10_compression_langid,
+    "op13_double_array_trie": op13_double_array_trie,
 }
 
 #: The other operators use tokenizers, compressors, hashes or models that SQL does not have;
 #: tests/llm compares them with brute force.
-ORACLES: dict[str, str] = {"op4_tool_calls": chat.TURNS_SQL}
+ORACLES: dict[str, str] = {"op4_tool_calls": chat.TURNS_SQL, "op13_double_array_trie": turn_trie.SQL}

@@ -1,0 +1,147 @@
+import hashlib
+import random
+import zlib
+
+import compare
+import duckdb
+import numpy as np
+import pytest
+
+from paylake.llm import turn_trie
+from paylake.llm.queries import ORACLES, QUERIES
+
+NAME = "op13_double_array_trie"
+SCHEMA = "conv_id long, turn long, role string, text string, CONV_IDS string, depth string"
+
+
+def brute(rows):
+    own = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append((turn is not None, turn or 0, (role or "").encode(), (text or "").encode()))
+    own = {c: [t[2:] for t in sorted(turns)] for c, turns in own.items()}
+    members = {}
+    ends = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - (abs(c) % 5) * (1 if c > 0 else -1)
+        sequence = tuple(own.get(base, [])[:h] + turns[h:])
+        for d in range(len(sequence) + 1):
+            members.setdefault(sequence[:d], []).append(c)
+        ends.setdefault(sequence, []).append(c)
+    children = {}
+    for node in members:
+        if node:
+            children[node[:-1]] = children.get(node[:-1], 0) + 1
+    leaves, saved = dict.fromkeys(members, 0), dict.fromkeys(members, 0)
+    for node in members:
+        value = (len(members[node]) - 1) * len(node[-1][1]) if node else 0
+        for d in range(len(node) + 1):
+            saved[node[:d]] += value
+            leaves[node[:d]] += node not in children
+    return sorted(
+        (min(m), len(node), min(members[node[:-1]]) if node else -(10**9), len(m), children.get(node, 0), leaves[node], saved[node],
+         hashlib.sha256(",".join(map(str, sorted(ends.get(node, [])))).encode()).hexdigest())
+        for node, m in members.items()
+    )
+
+
+def rows_of(df):
+    assert df.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    return sorted(tuple(-(10**9) if x is None else x for x in r) for r in df.collect())
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_query_matches_sql_and_brute_force(spark, sf):
+    folder = f"/root/testdata/sf{sf}"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{folder}/conversations.parquet'")
+    got = QUERIES[NAME](spark, folder)
+    assert compare.differences(got, con, ORACLES[NAME]) == []
+    rows = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()
+    assert rows_of(got) == brute(rows)
+
+
+def test_unusual_rows(spark, folder):
+    draw = random.Random(4)
+    rows = [(None, 0, "user", "lost"), (1, None, None, None), (1, 0, "user", ""), (1, 0, "user", ""), (-3, 2, "a", "é"), (-3, 2, "a", "a"), (0, 1, "ab", "c")]
+    rows += [(2, 1, "a", "bc"), (5, 7, "user", "x" * 100_000), (7, 1, None, "only"), (10**18 + 3, 0, "user", "hello"), (10**18, 3, "user", "hello")]
+    # Many conversations that share beginnings, copies, and one turn in a third of all rows.
+    for c in range(20, 160):
+        rows += [(c, t, "user" if t % 2 else "bot", "hello" if t == 0 else f"t{draw.randrange(2)}") for t in range(draw.randrange(1, 14))]
+    rows += [(c, t, "user", "same") for c in range(200, 260) for t in range(10)]
+    draw.shuffle(rows)
+    table = folder(conversations=frame(spark, rows))
+    got = QUERIES[NAME](spark, table)
+    expected = brute(rows)
+    assert rows_of(got) == expected
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{table}/conversations.parquet/*.parquet'")
+    assert compare.differences(got, con, ORACLES[NAME]) == []
+
+
+def test_long_conversations_are_cut_into_segments(spark):
+    draw = random.Random(9)
+    rows = []
+    for c in range(60):
+        # Families that part at any depth, also at the edges of segments.
+        own = draw.choice([0, 1, 2])
+        length = draw.choice([0, 6, 7, 8, 14, 15, 40, 41])
+        rows += [(c, t, "r", f"{own} {t}" if t < draw.choice([5, 7, 14, 30, 50]) else f"{c} {t}") for t in range(length)]
+    rows += [(500, t, "r", f"long {t % 3}") for t in range(900)] + [(505, t, "r", f"long {t % 3}") for t in range(901)]
+    assert rows_of(turn_trie.conversation_trie(frame(spark, rows), segment=7)) == brute(rows)
+
+
+def test_a_conversation_over_many_partitions(spark):
+    rows = [(15, t // 2, "r", f"t {t % 5}") for t in range(3000)] + [(16, t, "r", "u") for t in range(20)]
+    changed = {"spark.sql.shuffle.partitions": "13", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        placed, runs = turn_trie.placed(frame(spark, rows).repartition(5))
+        assert runs.where("conv_id = 15").count() > 3
+        assert rows_of(turn_trie.conversation_trie(frame(spark, rows))) == brute(rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_empty_table(spark, folder):
+    assert QUERIES[NAME](spark, folder(conversations=frame(spark, []))).collect() == []
+
+
+def test_conversations_without_turns(spark):
+    rows = [(1, t, "r", "x") for t in range(1)]  # crc32("1") % 9 turns are taken away; conversation 0 is absent.
+    assert zlib.crc32(b"1") % 9 > 0
+    assert rows_of(turn_trie.conversation_trie(frame(spark, rows))) == brute(rows) != []
+
+
+def test_double_array_holds_exactly_what_was_added():
+    draw = np.random.default_rng(6)
+    array, slots, seen = turn_trie.DoubleArray(), {(): 0}, {()}
+    for depth in range(4):
+        level = sorted((k for k in seen if len(k) == depth), key=lambda k: slots[k])
+        pairs = []
+        for key in level:
+            for code in sorted(set(draw.integers(0, 300, draw.integers(0, 6 if depth else 80)).tolist())):
+                pairs.append((slots[key], code, (*key, code)))
+        if not pairs:
+            break
+        parents, codes = (np.array([p[k] for p in pairs]) for k in (0, 1))
+        array.add(parents, codes)
+        for slot, (_, _, key) in zip(array.step(parents, codes).tolist(), pairs, strict=True):
+            assert slot not in slots.values()
+            slots[key] = slot
+            seen.add(key)
+    used = set(slots.values())
+    assert {i for i in range(len(array.check)) if array.check[i] != turn_trie.FREE} == used
+    # Symbols that were not added lead nowhere.
+    for key, slot in list(slots.items())[:50]:
+        for code in range(300):
+            if (*key, code) not in seen and 0 <= array.base[slot] + code < len(array.check):
+                assert array.check[array.base[slot] + code] != slot or not any(k[:-1] == key for k in seen if k)
