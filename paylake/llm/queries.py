@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm import ann, bpe, chat, langid, neardup, packing, quality, secrets, token_files, turn_trie, urlfilter
+from paylake.llm import ann, bpe, chat, langid, neardup, packing, quality, secrets, token_files, turn_trie, urlfilter, whitening
 from paylake.llm.common import read, stored
 
 
@@ -89,6 +89,10 @@ def op10_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", accepted.alias("accepted"))
 
 
+def op11_exact_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op13_double_array_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_trie.conversation_trie(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
@@ -104,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_superminhash": op8_superminhash,
     "op9_credential_linking": op9_credential_linking,
     "op10_compression_langid": op10_compression_langid,
+    "op11_exact_whitening": op11_exact_whitening,
     "op13_double_array_trie": op13_double_array_trie,
 }
 

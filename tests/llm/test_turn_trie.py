@@ -97,7 +97,7 @@ def test_long_conversations_are_cut_into_segments(spark):
 
 
 def test_a_conversation_over_many_partitions(spark):
-    rows = [(15, t // 2, "r", f"t {t % 5}") for t in range(3000)] + [(16, t, "r", "u") for t in range(20)]
+    rows = [(15, t // 2, "r", f"t {t % 5}") for t in range(400)] + [(16, t, "r", "u") for t in range(20)]
     changed = {"spark.sql.shuffle.partitions": "13", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     before = {k: spark.conf.get(k) for k in changed}
     for k, v in changed.items():
