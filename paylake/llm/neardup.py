@@ -284,7 +284,7 @@ def _stars(links: DataFrame) -> bool:
     return several.union(chained).isEmpty()
 
 
-def verify(pairs: DataFrame, sets: DataFrame, column: str = "elements") -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame, column: str = "elements", percent: int = PERCENT) -> DataFrame:
     """Those pairs (u, v) that are linked. ``sets`` has the full set of every ``node``.
 
     With the column ``short``, the lower halves of the hashes: all linked pairs and perhaps a few
@@ -301,7 +301,7 @@ def verify(pairs: DataFrame, sets: DataFrame, column: str = "elements") -> DataF
                 b = np.frombuffer(other[i].as_buffer(), kind)
                 both = np.sort(np.concatenate((a, b)), kind="stable")
                 shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(100 * shared >= PERCENT * (len(a) + len(b) - shared))
+                keep.append(100 * shared >= percent * (len(a) + len(b) - shared))
             found = pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], names=["u", "v"])
             yield found.filter(pa.array(keep, pa.bool_()))
 

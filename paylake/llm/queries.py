@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm import ann, bpe, chat, langid, neardup, packing, quality, secrets, token_files, turn_trie, urlfilter, whitening
+from paylake.llm import ann, bpe, chat, count_tree, langid, neardup, packing, quality, secrets, token_files, turn_trie, urlfilter, whitening
 from paylake.llm.common import read, stored
 
 
@@ -93,6 +93,10 @@ def op11_exact_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op12_count_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tree.group(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op13_double_array_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_trie.conversation_trie(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
@@ -109,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_credential_linking": op9_credential_linking,
     "op10_compression_langid": op10_compression_langid,
     "op11_exact_whitening": op11_exact_whitening,
+    "op12_count_tree": op12_count_tree,
     "op13_double_array_trie": op13_double_array_trie,
 }
 
