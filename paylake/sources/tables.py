@@ -102,6 +102,11 @@ class FolderTable:
     def exists(self) -> bool:
         return bool(self._folders())
 
+    def version(self) -> str:
+        """The last write that counts."""
+        folders = self._folders()
+        return folders[-1].name if folders else "none"
+
     def _paths(self, folders: Sequence[_Folder]) -> list[str]:
         return [f"{self.path}/{f.name}" for f in folders]
 

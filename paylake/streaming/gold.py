@@ -2,20 +2,26 @@
 
 Run it when the Silver job is through: the state is read inside the batch, so
 it includes the records of the batch.
+
+Payments and days are rebuilt for the affected keys. A merchant or a gateway may hold a third of all facts, so
+its parts (sums and greatest values) are stored beside its metric row, and the log of changes updates them:
+after the first run no facts are read for them, but where a greatest value went away. Parts
+and the names of the log entries that they include are one table and one write, so no entry counts twice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylake.operators.keys import union_keys
-from paylake.plans import gold, incremental
+from paylake.operators.keys import restrict, union_keys
+from paylake.plans import deltas, gold, incremental
 from paylake.sources.tables import FolderTable, Lake, MergeTable
 from paylake.specs import PAYMENT_TOPICS, entity_for_topic, static_for_table
 from paylake.streaming import moves
@@ -47,8 +53,9 @@ _INPUTS = {
 
 @dataclass(frozen=True)
 class GoldOptions:
-    """``track_moves``: also rebuild the groups that a changed row has left.
-    ``follow_dimensions``: also rebuild payments whose merchant has changed.
+    """``track_moves``: follow the log of changes, also into the groups that a row has left; without it
+    every affected key is rebuilt from its facts.
+    ``follow_dimensions``: also rebuild payments whose merchant, gateway or method has changed.
     """
 
     tables: Sequence[str] = tuple(GRAINS)
@@ -84,7 +91,74 @@ def _groups_left(lake: Lake, touched: DataFrame) -> DataFrame | None:
     log = moves.read(lake)
     if log is None:
         return None
-    return log.join(touched.select("topic", "entity_id"), ["topic", "entity_id"], "left_semi")
+    return log.join(touched.select("topic", "entity_id"), ["topic", "entity_id"], "left_semi").select(*touched.columns)
+
+
+# --- parts of hot keys ---
+
+ROW, ENTRY, BASE = "row", "entry", "base"
+
+
+def parts_table(lake: Lake, name: str) -> FolderTable | MergeTable:
+    """The parts of each key (kind ``row``) and the log entries that are in them (kind ``entry``)."""
+    parts = deltas.PARTS[name]
+    values = {n: "bigint" for n in parts.names()}
+    if name == "merchant_performance":
+        values["last_payment_completed_at"] = "timestamp"
+    fields = ", ".join(["kind string", f"{parts.key} string", *(f"{n} {t}" for n, t in values.items())])
+    schema = lake.spark.createDataFrame([], fields).schema
+    return lake.keyed("gold", f"{name}_parts", ["kind", parts.key], schema)
+
+
+def _parts_rows(lake: Lake, name: str, rows: DataFrame, entries: Sequence[str]) -> DataFrame:
+    parts = deltas.PARTS[name]
+    typed = parts_table(lake, name).schema
+    full = rows.withColumn("kind", F.lit(ROW)).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in typed.fields])
+    marks = lake.spark.createDataFrame([(ENTRY, e) for e in entries], f"kind string, {parts.key} string")
+    return full.unionByName(marks, allowMissingColumns=True)
+
+
+def _facts(name: str, state: dict[str, DataFrame], keys: DataFrame | None = None) -> DataFrame:
+    """The images of the facts behind a metric table, all or those of some keys."""
+    parts = deltas.PARTS[name]
+    made = []
+    for table, topic in deltas.FACTS.items():
+        if topic in parts.topics():
+            rows = state[table] if keys is None else restrict(state[table], keys, parts.key)
+            made.append(deltas.images(rows, topic))
+    return reduce(DataFrame.unionByName, made)
+
+
+def _marks(lake: Lake, name: str) -> set[str]:
+    stored = parts_table(lake, name).read().where(F.col("kind") == ENTRY)
+    return {r[0] for r in stored.select(deltas.PARTS[name].key).collect()}
+
+
+def refresh_parts(
+    lake: Lake, name: str, state: dict[str, DataFrame], keep: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Bring the parts up to date with the log; the first time, make them from all facts."""
+    parts, table = deltas.PARTS[name], parts_table(lake, name)
+    marks = _marks(lake, name)
+    logged = moves.entries(lake)
+    if BASE not in marks:
+        table.overwrite(_parts_rows(lake, name, deltas.accumulate(_facts(name, state), parts), [BASE, *logged]))
+        return
+    new = [e for e in logged if e not in marks]
+    if not new:
+        return
+    stored = table.read().where(F.col("kind") == ROW)
+    rows = deltas.update(stored, moves.changes(lake, new), parts, partial(_facts, name, state), keep)
+    # Names that have left the log need not be remembered.
+    old = lake.spark.createDataFrame([(ENTRY, e) for e in marks - {BASE, *logged}], f"kind string, {parts.key} string")
+    table.upsert(_parts_rows(lake, name, rows, new), None, remove=old)
+
+
+def _from_parts(lake: Lake, name: str, keys: DataFrame, state: dict[str, DataFrame]) -> DataFrame:
+    parts = deltas.PARTS[name]
+    stored = parts_table(lake, name).read().where(F.col("kind") == ROW).drop("kind")
+    dimension = restrict(state[parts.dimension], keys, parts.key)
+    return deltas.metric_rows(dimension, restrict(stored, keys, parts.key), parts)
 
 
 def _affected(
@@ -101,14 +175,45 @@ def _affected(
     keys = incremental.affected_payments(touched)
     if not options.follow_dimensions:
         return keys
-    merchants = touched.where(F.col("topic") == MERCHANTS)
-    moved = incremental.payments_of(state["payments"], merchants, "merchant_id")
-    return union_keys([keys, moved], "payment_id")
+    moved = [
+        incremental.payments_of(state["payments"], touched.where(F.col("topic") == topic), on)
+        for topic, on in ((MERCHANTS, "merchant_id"), ("payment_gateways", "gateway_id"))
+    ]
+    methods = touched.where(F.col("topic") == "payment_methods").select(F.col("entity_id").alias("payment_method_id"))
+    moved.append(incremental.payments_of(state["payments"], methods, "payment_method_id"))
+    return union_keys([keys, *moved], "payment_id")
 
 
 def process_batch(lake: Lake, options: GoldOptions, batch: DataFrame, batch_id: int) -> None:
-    """One microbatch: parse the keys once, then rebuild and upsert each table."""
-    name = batch_name(batch, batch_id)
+    """One microbatch: parse the keys once, then update each table."""
+    touched = incremental.touched_rows(batch, [*PAYMENT_TOPICS, MERCHANTS]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        left = _groups_left(lake, touched) if options.track_moves else None
+        _update(lake, options, touched, left, options.tables, batch_name(batch, batch_id))
+    finally:
+        touched.unpersist()
+
+
+def process_loads(lake: Lake, options: GoldOptions) -> bool:
+    """What loads of static datasets have changed; False if there is nothing.
+
+    Payments follow their attempts and lifecycle events, gateways their attempts and their own rows. The names of
+    the log entries name the batch.
+    """
+    entries = [e for e in moves.entries(lake) if e.startswith(moves.LOAD)]
+    changed = moves.changes(lake, entries)
+    if not entries or not options.track_moves or changed.isEmpty():
+        return False
+    touched = changed.select("topic", "entity_id", *incremental.KEY_COLUMNS, "operation_dates")
+    tables = [t for t in options.tables if t in ("payment_performance", "gateway_performance")]
+    name = "loads-" + hashlib.sha256(" ".join(entries).encode()).hexdigest()[:24]
+    _update(lake, options, touched, None, tables, name)
+    return True
+
+
+def _update(
+    lake: Lake, options: GoldOptions, touched: DataFrame, left: DataFrame | None, tables: Sequence[str], name: str
+) -> None:
     kept: list[DataFrame] = []
 
     def keep(df: DataFrame) -> DataFrame:
@@ -116,21 +221,21 @@ def process_batch(lake: Lake, options: GoldOptions, batch: DataFrame, batch_id:
         return kept[-1]
 
     try:
-        touched = keep(incremental.touched_rows(batch, [*PAYMENT_TOPICS, MERCHANTS]))
-        if options.track_moves:
-            left = _groups_left(lake, touched)
-            if left is not None:
-                touched = keep(touched.unionByName(left))
+        touched = keep(touched if left is None else touched.unionByName(left))
         state = _state(lake)
 
         def update(table: str) -> None:
             keys = keep(_affected(table, touched, state, options))
+            by_parts = options.track_moves and table in deltas.PARTS
+            if by_parts:
+                refresh_parts(lake, table, state, keep)
             # Counting fills the cache, so Spark knows the size of the key set
             # when it chooses how to join it.
             if keys.count() > 0:
-                write_gold(_rebuild(table, keys, state), lake, table, name, keys)
+                rows = _from_parts(lake, table, keys, state) if by_parts else _rebuild(table, keys, state)
+                write_gold(rows, lake, table, name, keys)
 
-        run_together(lake.spark, [partial(update, table) for table in options.tables])
+        run_together(lake.spark, [partial(update, table) for table in tables])
     finally:
         for df in kept:
             df.unpersist()
@@ -153,10 +258,13 @@ def rebuild_all(lake: Lake, tables: Sequence[str] = tuple(GRAINS)) -> None:
     cheaper than reducing every input to its affected keys.
     """
     state = _state(lake)
-    run_together(
-        lake.spark,
-        [partial(gold_table(lake, t).overwrite, _full(t, state)) for t in tables],
-    )
+    logged = [BASE, *moves.entries(lake)]
+    work = [partial(gold_table(lake, t).overwrite, _full(t, state)) for t in tables]
+    for t in tables:
+        if t in deltas.PARTS:
+            rows = deltas.accumulate(_facts(t, state), deltas.PARTS[t])
+            work.append(partial(parts_table(lake, t).overwrite, _parts_rows(lake, t, rows, logged)))
+    run_together(lake.spark, work)
 
 
 def run(
@@ -164,6 +272,8 @@ def run(
 ) -> None:
     """Rebuild what the raw log has touched since the last run, then stop."""
     chosen = options or GoldOptions()
+    # A first build reads the static data as they are.
+    built = any(BASE in _marks(lake, name) for name in deltas.PARTS)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         process_batch(lake, chosen, batch, batch_id)
@@ -175,3 +285,5 @@ def run(
         .start()
         .awaitTermination()
     )
+    if built:
+        process_loads(lake, chosen)

@@ -1,79 +1,110 @@
-"""What rows named before a batch replaced them: the groups that they may have left.
+"""The log of changes: the images of rows before and after each batch replaced them.
 
-The Silver job writes this log before it updates a table, once for each batch name,
-so a batch that is run again does not write its own result over it. It works with any
-kind of table, as it reads only the current rows. The Gold job reads it, and the pipeline
-empties it when Gold is through.
+The Silver job writes it before it updates a table, once for each batch name, so a batch that is run
+again does not write its own result over it. It works with any kind of table, as it reads only the
+current rows. Loads of static datasets write the rows that differ from the former load. The Gold job
+reads the log: for the groups that rows have left, and as signed changes of sums. The pipeline empties
+it when Gold is through.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from paylake.operators.keys import restrict
-from paylake.plans.incremental import KEY_COLUMNS, candidate_days
+from paylake.operators.latest import keep_latest
+from paylake.operators.snapshots import changed_keys, version_of
+from paylake.operators.upsert import upsert
+from paylake.plans import deltas
 from paylake.sources import files
 from paylake.sources.tables import FolderTable, Lake, LostWriteError, MergeTable
-from paylake.specs import PAYMENT_TOPICS, EntitySpec
+from paylake.specs import PAYMENT_TOPICS, EntitySpec, StaticSpec
 
 LAYER, TABLE = "silver", "moves"
 
-SCHEMA = T.StructType(
-    [
-        T.StructField("topic", T.StringType()),
-        T.StructField("entity_id", T.StringType()),
-        *[T.StructField(c, T.StringType()) for c in KEY_COLUMNS],
-        T.StructField("operation_dates", T.ArrayType(T.DateType())),
-    ]
-)
-
-
-def named_by(rows: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Id, payment, merchant, gateway and candidate days of typed rows of an entity."""
-    columns = [F.col(c) if c in rows.columns else F.lit(None) for c in KEY_COLUMNS]
-    return rows.select(
-        F.lit(spec.topic).alias("topic"),
-        F.col(spec.keys[0]).cast("string").alias("entity_id"),
-        *[c.cast("string").alias(n) for c, n in zip(columns, KEY_COLUMNS, strict=True)],
-        candidate_days(spec.topic, F.to_date).alias("operation_dates"),
-    )
+SCHEMA = deltas.IMAGE_SCHEMA
 
+#: Begins the names of entries that loads of static datasets write.
+LOAD = "load-"
 
-def record(
-    lake: Lake, spec: EntitySpec, table: FolderTable | MergeTable, rows: DataFrame, batch: str
-) -> None:
-    """Log what the stored rows name that ``rows`` will replace."""
-    if spec.topic not in PAYMENT_TOPICS:
-        return
-    (key,) = spec.keys
-    old = named_by(restrict(table.read(), rows.select(key), key), spec)
+#: Static datasets that metric rows depend on.
+LOADED = ("payment_attempts", "payment_events", "payment_gateways", "payment_methods")
+
+
+def _write(lake: Lake, entry: str, images: DataFrame, again: bool = False) -> None:
     where = lake.location(LAYER, TABLE)
     if lake.fmt == "parquet":
-        path = f"{where}/{spec.table}-{batch}"
-        if files.exists(lake.spark, f"{path}/_SUCCESS"):
+        path = f"{where}/{entry}"
+        if not again and files.exists(lake.spark, f"{path}/_SUCCESS"):
             return
-        old.write.mode("overwrite").parquet(path)
+        images.write.mode("overwrite").parquet(path)
         if not files.exists(lake.spark, f"{path}/_SUCCESS"):
             raise LostWriteError(f"no _SUCCESS marker in {path}")
         return
-    here = (F.col("batch") == batch) & (F.col("topic") == spec.topic)
-    if lake.spark.catalog.tableExists(where) and not lake.spark.table(where).where(here).isEmpty():
+    if entry in entries(lake):
         return
-    old.withColumn("batch", F.lit(batch)).write.format(lake.fmt).mode("append").saveAsTable(where)
+    images.withColumn("entry", F.lit(entry)).write.format(lake.fmt).mode("append").saveAsTable(where)
 
 
-def read(lake: Lake) -> DataFrame | None:
-    """The log, or None if there is none."""
+def record(
+    lake: Lake, spec: EntitySpec, table: FolderTable | MergeTable, rows: DataFrame, batch: str
+) -> None:
+    """Log the images of the stored rows that ``rows`` will replace, and of what will be there instead."""
+    if spec.topic not in PAYMENT_TOPICS:
+        return
+    (key,) = spec.keys
+    latest = keep_latest(rows, spec.keys).select(*spec.state_schema.fieldNames())
+    old = restrict(table.read(), latest.select(key), key)
+    new = upsert(old, latest, spec.keys, lake.newer_wins)
+    _write(lake, f"{spec.table}-{batch}", deltas.changes(old, new, spec.topic))
+
+
+def record_load(
+    lake: Lake, spec: StaticSpec, table: FolderTable | MergeTable, rows: DataFrame
+) -> None:
+    """Log the images of the rows of a static dataset that a new load inserts, changes or removes.
+
+    The entry is named for the stored rows that the load replaces, so a load that was cut short is logged
+    anew by the next one.
+    """
+    if spec.table not in LOADED:
+        return
+    old = table.read()
+    keys = changed_keys(old, rows, spec.keys).select(*spec.keys)
+    changes = deltas.changes(
+        old.join(keys, list(spec.keys), "left_semi"), rows.join(keys, list(spec.keys), "left_semi"), spec.table
+    )
+    _write(lake, f"{LOAD}{spec.table}-{version_of(table)}", changes, again=True)
+
+
+def entries(lake: Lake) -> list[str]:
+    """The names of what is in the log: a few for each batch."""
     where = lake.location(LAYER, TABLE)
     if lake.fmt != "parquet":
         if not lake.spark.catalog.tableExists(where):
-            return None
-        return lake.spark.table(where).select(*SCHEMA.fieldNames())
-    paths = [f"{where}/{n}" for n in files.subfolders(lake.spark, where)]
-    paths = [p for p in paths if files.exists(lake.spark, f"{p}/_SUCCESS")]
-    return lake.spark.read.schema(SCHEMA).parquet(*paths) if paths else None
+            return []
+        return sorted(r.entry for r in lake.spark.table(where).select("entry").distinct().collect())
+    names = files.subfolders(lake.spark, where)
+    return [n for n in names if files.exists(lake.spark, f"{where}/{n}/_SUCCESS")]
+
+
+def changes(lake: Lake, names: Sequence[str]) -> DataFrame:
+    """The signed images of the named entries."""
+    where = lake.location(LAYER, TABLE)
+    if not names:
+        return lake.spark.createDataFrame([], SCHEMA)
+    if lake.fmt != "parquet":
+        return lake.spark.table(where).where(F.col("entry").isin(list(names))).select(*SCHEMA.fieldNames())
+    return lake.spark.read.schema(SCHEMA).parquet(*[f"{where}/{n}" for n in names])
+
+
+def read(lake: Lake) -> DataFrame | None:
+    """What rows named before batches replaced them, or None if there is no log."""
+    names = [n for n in entries(lake) if not n.startswith(LOAD)]
+    return changes(lake, names).where("weight < 0") if names else None
 
 
 def clear(lake: Lake) -> None:

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from paylake.plans import deltas
 from paylake.sources.events import prepare_bronze
 from paylake.sources.tables import FolderTable, Lake, MergeTable, stream_folder, stream_table
 from paylake.specs import BRONZE_SCHEMA, ENTITIES, STATIC
@@ -62,4 +63,5 @@ def clean(lake: Lake) -> None:
 
 def _upserted(lake: Lake) -> list[FolderTable | MergeTable]:
     entities = [silver.entity_table(lake, spec) for spec in ENTITIES]
-    return entities + [gold.gold_table(lake, name) for name in gold.GRAINS]
+    parts = [gold.parts_table(lake, name) for name in deltas.PARTS]
+    return entities + [gold.gold_table(lake, name) for name in gold.GRAINS] + parts

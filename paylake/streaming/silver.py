@@ -65,9 +65,16 @@ def write_silver(
 ) -> None:
     """Reduce the rows to the latest per key and upsert them; log what they replace first."""
     table = entity_table(lake, spec)
-    if batch is not None:
-        moves.record(lake, spec, table, rows, batch)
-    table.upsert(keep_latest(rows, spec.keys), batch)
+    latest = keep_latest(rows, spec.keys)
+    if batch is None:
+        table.upsert(latest, batch)
+        return
+    latest = latest.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        moves.record(lake, spec, table, latest, batch)
+        table.upsert(latest, batch)
+    finally:
+        latest.unpersist()
 
 
 def process_batch(

@@ -1,4 +1,7 @@
-"""CSV -> static tables, in two batch steps."""
+"""CSV -> static tables, in two batch steps.
+
+A load that replaces another one logs the rows that differ, for the Gold job.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +13,7 @@ from paylake.operators import quality
 from paylake.sources.static import read_csv, read_text_csv, typed, unreadable_cells
 from paylake.sources.tables import Lake
 from paylake.specs import static_for_table
+from paylake.streaming import moves
 from paylake.streaming.parallel import run_together
 
 
@@ -33,6 +37,8 @@ def process(lake: Lake, names: list[str]) -> None:
         rows = typed(transform_static(raw), spec.schema)
         quality.refuse_unreadable(name, unreadable_cells(raw, spec.schema).first().asDict())
         quality.refuse_duplicates(name, quality.count_duplicates(rows, spec.keys))
-        lake.keyed("silver", name, spec.keys).overwrite(rows)
+        table = lake.keyed("silver", name, spec.keys, spec.schema)
+        moves.record_load(lake, spec, table, rows)
+        table.overwrite(rows)
 
     run_together(lake.spark, [partial(replace, name) for name in names])

@@ -384,3 +384,104 @@ def test_append_stream_to_a_catalog_table(spark, tmp_path):
     query.awaitTermination()
     assert spark.read.table("raw_stream_table").count() == 2
     spark.sql("DROP TABLE raw_stream_table")
+
+
+def test_parts_follow_changes_without_reading_facts(spark, tmp_path):
+    """Sums and greatest values of merchants and gateways after moves, replays and a second look."""
+    feed, lake = Feed(spark, tmp_path), make_lake(spark, tmp_path / "lake")
+    feed.drop(merchant("m1", "A"), merchant("m2", "B"),
+              payment("p1", completed_at="2024-01-03T00:00:00Z", processing_time_ms=10),
+              payment("p2", completed_at="2024-01-05T00:00:00Z", processing_time_ms=30), payment("p3"))
+    run(lake, feed)
+    # Twice within one run: first a later time, then an earlier one at another merchant.
+    feed.drop(payment("p2", completed_at="2024-01-09T00:00:00Z"))
+    feed.drop(payment("p2", merchant_id="m2", completed_at="2024-01-04T00:00:00Z", processing_time_ms=50, gateway_id="g2"))
+    feed.drop(refund("r1"))
+    read = []
+
+    def facts(name, state, keys=None, original=gold._facts):
+        read.append((name, keys is not None))
+        return original(name, state, keys)
+
+    gold._facts, original = facts, gold._facts
+    try:
+        run(lake, feed)
+        # The latest time of m1 went away, so its facts were read; nothing else was.
+        assert read == [("merchant_performance", True)]
+        read.clear()
+        feed.drop(refund("r1", refund_amount=25), payment("p3", completed_at="2024-02-01T00:00:00Z"))
+        run(lake, feed)
+        assert read == []
+    finally:
+        gold._facts = original
+    merchants = by_key(metric(lake, "merchant_performance"))
+    assert merchants["m1"]["payment_count"] == 2 and merchants["m2"]["payment_count"] == 1
+    assert merchants["m1"]["total_refund_amount"] == 25
+    assert merchants["m1"]["avg_processing_time_ms"] == 10 and merchants["m2"]["avg_processing_time_ms"] == 50
+    assert merchants["m1"]["last_payment_completed_at"] == dt.datetime(2024, 2, 1)
+    kept = {n: sorted(map(repr, metric(lake, n).collect())) for n in gold.GRAINS}
+    parts = {n: sorted(map(repr, gold.parts_table(lake, n).read().where("kind = 'row'").collect())) for n in gold.deltas.PARTS}
+    # The names of entries that were cleared are forgotten at the next update.
+    assert gold.parts_table(lake, "merchant_performance").read().where("kind = 'entry'").count() <= 4
+    gold.rebuild_all(lake)
+    assert {n: sorted(map(repr, metric(lake, n).collect())) for n in gold.GRAINS} == kept
+    assert {n: sorted(map(repr, gold.parts_table(lake, n).read().where("kind = 'row'").collect())) for n in gold.deltas.PARTS} == parts
+
+
+def test_a_second_gold_run_over_the_same_log_adds_nothing(spark, tmp_path):
+    feed, lake = Feed(spark, tmp_path), make_lake(spark, tmp_path / "lake")
+    feed.drop(merchant("m1", "A"), payment("p1"))
+    run(lake, feed)
+    feed.drop(payment("p1", amount=7), payment("p2", amount=9))
+    bronze.ingest(prepare_bronze(feed.stream()), lake, f"{feed.root}/checkpoints/bronze")
+    silver.run(pipeline.raw_log(lake), lake, f"{feed.root}/checkpoints/silver")
+    # Two jobs with checkpoints of their own, so both see all batches; the log is not cleared in between.
+    for checkpoint in ("checkpoints/gold", "other"):
+        gold.run(pipeline.raw_log(lake), lake, f"{feed.root}/{checkpoint}")
+        row = by_key(metric(lake, "merchant_performance"))["m1"]
+        assert (row["payment_count"], row["total_payment_amount"]) == (2, 16)
+
+
+def test_static_loads_reach_the_metrics(spark, tmp_path):
+    feed, lake = Feed(spark, tmp_path), Lake(spark, str(tmp_path / "lake"))
+
+    def load(**tables):
+        paths = {}
+        for name, lines in tables.items():
+            paths[name] = str(tmp_path / f"{name}.csv")
+            spec = static_for_table(name)
+            (tmp_path / f"{name}.csv").write_text("\n".join([",".join(spec.schema.fieldNames()), *lines]) + "\n")
+        run(lake, feed, static_paths=paths)
+
+    gates = ["g1,Gate,P,Card,Active", "g2,Other,P,Card,Active"]
+    feed.drop(merchant("m1", "A"), payment("p1"), payment("p2"), payment("p3", gateway_id="g2"))
+    load(payment_gateways=gates, payment_methods=["pm,UPI,Digital,NPCI,Active"], payment_events=["e1,p1,2,2024-01-01 10:00:00"],
+         payment_attempts=["a1,p1,g1,Success,1", "a2,p2,g1,Failed,4", "a3,p3,g2,Success,1"])
+    assert by_key(metric(lake, "payment_performance"))["p2"]["max_attempt_number"] == 4
+    assert by_key(metric(lake, "gateway_performance"))["g1"]["max_attempt_number"] == 4
+    before = metric(lake, "payment_performance").count()
+    # One attempt changes and moves to another gateway, one goes, one comes; no event arrives.
+    load(payment_attempts=["a1,p1,g1,Success,1", "a2,p2,g2,Failed,2", "a4,p2,g1,Success,3"],
+         payment_events=["e1,p1,2,2024-01-01 10:00:00"], payment_gateways=gates)
+    payments = by_key(metric(lake, "payment_performance"))
+    assert len(payments) == before
+    assert (payments["p2"]["attempt_count"], payments["p2"]["max_attempt_number"]) == (2, 3)
+    assert payments["p3"]["attempt_count"] == 0 and payments["p1"]["event_count"] == 1
+    gateways = by_key(metric(lake, "gateway_performance"))
+    assert (gateways["g1"]["attempt_count"], gateways["g1"]["max_attempt_number"]) == (2, 3)
+    assert (gateways["g2"]["attempt_count"], gateways["g2"]["max_attempt_number"]) == (1, 2)
+    # Only the payments of those attempts were written again.
+    table = gold.gold_table(lake, "payment_performance")
+    last = spark.read.parquet(*table._paths(table._folders()[-1:]))
+    assert sorted(r["payment_id"] for r in last.collect()) == ["p2", "p3"]
+    # The same files once more: nothing to do.
+    folders = table._folders()
+    load(payment_attempts=["a1,p1,g1,Success,1", "a2,p2,g2,Failed,2", "a4,p2,g1,Success,3"])
+    assert table._folders() == folders
+    # A dimension row: payments follow on request.
+    paths = {"payment_gateways": str(tmp_path / "payment_gateways.csv")}
+    (tmp_path / "payment_gateways.csv").write_text("gateway_id,gateway_name,provider,gateway_type,status\ng1,New,P,Card,Active\ng2,Other,P,Card,Active\n")
+    run(lake, feed, static_paths=paths, gold_options=gold.GoldOptions(follow_dimensions=True))
+    payments = by_key(metric(lake, "payment_performance"))
+    assert [payments[p]["gateway_name"] for p in ("p1", "p2", "p3")] == ["New", "New", "Other"]
+    assert by_key(metric(lake, "gateway_performance"))["g1"]["gateway_name"] == "New"
