@@ -65,7 +65,7 @@ def radius(size: int) -> int:
 def slices(band: int) -> tuple[int, int]:
     """Number of slices and margin for sets of less than 2 ** band elements; linked sets have 1 + margin equal slices."""
     most = radius((1 << band) - 1)
-    margin = max(1, most // 4)
+    margin = max(1, most // 8)
     return most + 1 + margin, margin
 
 
@@ -303,22 +303,22 @@ def _possible(pairs: DataFrame, about: DataFrame) -> DataFrame:
     return bounded_batches(pairs.join(sides[0], "u").join(sides[1], "v")).mapInArrow(run, "u long, v long").distinct()
 
 
-def _members(classes: DataFrame) -> DataFrame:
-    """(key, node) of all buckets with several sets, without those that a set may leave."""
+def _members(sets: DataFrame) -> DataFrame:
+    """(key, node, pivot) of all buckets with several sets, without those that a set may leave."""
     tagged = F.concat(
         F.transform("keys", lambda k: F.struct(k.alias("key"), F.lit(False).alias("low"))),
         F.transform("low_keys", lambda k: F.struct(k.alias("key"), F.lit(True).alias("low"))),
     )
-    rows = classes.select("node", F.explode(tagged).alias("k")).select("node", "k.key", "k.low")
+    rows = sets.select("node", F.explode(tagged).alias("k")).select("node", "k.key", "k.low")
     shared = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     found = stored(rows.join(stored(shared, "shared"), "key"), "members")
     crowded = found.where(F.col("members") > CROWDED)
     spare = F.when(F.col("low"), F.col("low_spare")).otherwise(F.col("spare"))
     # A repeated id may stand for several sets: the one with least room decides.
-    room = classes.groupBy("node").agg(F.min("spare").alias("spare"), F.min("low_spare").alias("low_spare"))
+    room = sets.groupBy("node").agg(F.min("spare").alias("spare"), F.min("low_spare").alias("low_spare"))
     leaving = crowded.groupBy("node", "low").count().join(room, "node").where(F.col("count") <= spare).select("node", "low")
     stay = crowded.join(stored(leaving, "leaving"), ["node", "low"], "left_anti")
-    left = stored(found.where(F.col("members") <= CROWDED).select("key", "node").union(stay.select("key", "node")), "staying")
+    left = stored(found.where(F.col("members") <= CROWDED).select("key", "node").union(stay.select("key", "node")).distinct(), "staying")
     several = left.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("pivot")).where("c > 1").select("key", "pivot")
     return stored(left.join(stored(several, "pivots"), "key"), "buckets")
 
@@ -331,34 +331,36 @@ def _open(members: DataFrame, about: DataFrame, found: DataFrame) -> DataFrame:
     return stored(named.join(stored(mixed, "mixed"), "key").join(about.select("node", "n", "point"), "node"), "open")
 
 
+def _linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, words: int) -> DataFrame:
+    """Those pairs that are links, by the full sets of their nodes, which are made from the texts again."""
+    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    wanted = stored(sets.select("node", "print").join(nodes, "node", "left_semi"), "wanted")
+    return stored(verify(pairs, full_sets(docs, wanted, words), percent=PERCENT), "links")
+
+
 def group(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of all documents: the least id that links reach."""
     docs = pick(docs, "doc_id", "text")
     signed = stored(sign(docs, words), "signed")
     known = signed.where("doc_id is not null and n_shingles > 0")
-    kept = ("n_shingles", "point", "keys", "low_keys", "spare", "low_spare")
-    classes = known.groupBy("print").agg(F.min("doc_id").alias("node"), F.max("doc_id").alias("last"), *(F.any_value(c).alias(c) for c in kept))
-    classes = stored(classes, "classes")
-    copies = (
-        known.select("print", F.col("doc_id").alias("u"))
-        .join(classes.where("last > node").select("print", F.col("node").alias("v")), "print")
-        .where("u > v")
-        .select("u", "v")
-    )
-    members = _members(classes)
-    about = classes.join(members.select("node").distinct(), "node", "left_semi")
-    about = stored(about.select("node", "print", F.col("n_shingles").alias("n"), "point"), "about")
-    sets = full_sets(docs, about.select("node", "print"), words)
+    classes = known.groupBy("print").agg(F.min("doc_id").alias("node"), F.max("doc_id").alias("last")).where("last > node")
+    copies = known.select("print", "doc_id").join(stored(classes.drop("last"), "classes"), "print").where("doc_id > node")
+    copies = stored(copies.distinct(), "copies")
+    sets = known.join(copies, ["doc_id", "print"], "left_anti").withColumnRenamed("doc_id", "node")
+    members = _members(sets)
+    about = sets.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("n_shingles").alias("n"), "point")
+    about = stored(about.distinct(), "about")
 
     tried = stored(_possible(members.where("node > pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct(), about), "pairs")
-    links = stored(verify(tried, sets, percent=PERCENT), "links")
-    found = components(links)
+    found = components(_linked(tried, docs, sets, words))
     for best in (True, False):
         pairs = stored(_join_buckets(_open(members, about, found), best).join(tried, ["u", "v"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            continue
         tried = tried.union(pairs)
         # Links and stars have the same components.
-        found = components(found.union(stored(verify(pairs, sets, percent=PERCENT), "links")))
-    every = components(found.union(copies))
+        found = components(found.union(_linked(pairs, docs, sets, words)))
+    every = components(found.union(copies.select(F.col("doc_id").alias("u"), F.col("node").alias("v"))))
     return (
         signed.select("doc_id", "n_shingles")
         .join(every.withColumnRenamed("u", "doc_id"), "doc_id", "left")
