@@ -285,6 +285,13 @@ MOVED = {
         FROM payments_before""",
 }
 
+# The same over state with one row for each id.
+MOVED_STATE = {
+    **{k: v for k, v in STATE.items() if k != "payments"},
+    "payments_before": MOVED["payments_before"],
+    "payments": MOVED["payments"],
+}
+
 ORACLES: dict[str, str] = {
     "attempts_by_payment": _with(_by("attempts", "payment_id", _ATTEMPTS)),
     "events_by_payment": _with(_by("lifecycle", "payment_id", _LIFECYCLE)),
@@ -551,6 +558,49 @@ ORACLES: dict[str, str] = {
         FROM ({_by_day("payments", _VOLUME)})""",
         MOVED,
     ),
+    "kept_up_merchant_performance": _with(MP, MOVED_STATE),
+    "kept_up_gateway_performance": _with(GP, MOVED_STATE),
+    "monthly_financial_operations": _with(
+        f"SELECT * FROM ({FO}) WHERE operation_date IN ({_AFFECTED_DAYS})", WEEK
+    ),
+    "bucketed_payment_performance": _with(PP),
+    "attempts_by_merged_days": _with(
+        "SELECT gateway_id, count(DISTINCT attempt_id) AS attempt_count FROM attempts GROUP BY gateway_id"
+    ),
+    "silver_winners_state": _with(
+        """SELECT CAST(payment_id AS VARCHAR) AS payment_id,
+               CASE WHEN payment_id % 3 = 0 THEN amount + 1 ELSE amount END AS amount,
+               CASE WHEN payment_id % 3 = 0 THEN initiated_at - INTERVAL 30 DAY
+                    ELSE initiated_at END AS kafka_timestamp
+        FROM payments"""
+    ),
+    "gold_after_loads": _with(
+        """SELECT CAST(p.payment_id AS VARCHAR) AS payment_id,
+               CASE WHEN p.payment_id % 7 = 0 THEN 0 ELSE coalesce(attempt_count, 0) END AS attempt_count,
+               CASE WHEN p.payment_id % 7 = 0 THEN 0 ELSE coalesce(failed_attempt_count, 0) END AS failed_attempt_count,
+               CAST(CASE WHEN p.payment_id % 7 = 0 THEN 0
+                    ELSE coalesce(max_attempt_number + CASE WHEN p.payment_id % 5 = 0 THEN 1 ELSE 0 END, 0) END AS INT)
+                   AS max_attempt_number,
+               CASE WHEN p.payment_id % 7 = 0 THEN 0 ELSE coalesce(event_count, 0) END AS event_count,
+               CASE WHEN p.payment_id % 7 = 0 THEN 0
+                    ELSE coalesce(total_retry_count + CASE WHEN p.payment_id % 5 = 0 THEN known ELSE 0 END, 0) END
+                   AS total_retry_count
+        FROM payments p
+        LEFT JOIN (SELECT payment_id, count(*) AS attempt_count,
+                   count(*) FILTER (WHERE attempt_status = 'Failed') AS failed_attempt_count,
+                   max(attempt_number) AS max_attempt_number FROM attempts GROUP BY payment_id) a
+               ON a.payment_id = p.payment_id
+        LEFT JOIN (SELECT payment_id, count(*) AS event_count, count(retry_count) AS known,
+                   CAST(sum(coalesce(retry_count, 0)) AS BIGINT) AS total_retry_count FROM lifecycle GROUP BY payment_id) e
+               ON e.payment_id = p.payment_id""",
+        STATE,
+    ),
+    "gold_following_merchants": _with(
+        """SELECT CAST(p.payment_id AS VARCHAR) AS payment_id, CAST(p.merchant_id AS VARCHAR) AS merchant_id,
+               CASE WHEN m.merchant_id % 3 = 0 THEN 'New ' || m.merchant_name ELSE m.merchant_name END AS merchant_name,
+               p.amount
+        FROM payments p LEFT JOIN merchants m ON m.merchant_id = p.merchant_id"""
+    ),
     "static_typed_state": _with(
         """SELECT 'merchant_bank_accounts' AS dataset,
                'ACC' || lpad(CAST(payment_id AS VARCHAR), 12, '0') AS id,

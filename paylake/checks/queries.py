@@ -9,14 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylake.checks.views import ACTIVITY, Views, cents
-from paylake.functions import measures as M
 from paylake.functions.scalars import bad_timestamps
 from paylake.operators import quality
 from paylake.operators.latest import keep_latest
 from paylake.operators.upsert import upsert
-from paylake.plans import gold, incremental, reports
+from paylake.functions import distinct
+from paylake.functions import measures as M
+from paylake.plans import deltas, gold, incremental, reports
 from paylake.session import scratch_dir
-from paylake.sources import events
+from paylake.sources import bucketed, events, monthly
 from paylake.sources.tables import Lake, stream_folder
 from paylake.specs import ENTITIES, STATIC, entity_for_table, static_for_table
 from paylake.streaming import bronze as bronze_job
@@ -24,6 +25,7 @@ from paylake.streaming import gold as gold_job
 from paylake.streaming import pipeline
 from paylake.streaming import silver as silver_job
 from paylake.streaming import static as static_job
+from paylake.streaming import winners as winners_job
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -222,10 +224,8 @@ def malformed_events(v: Views) -> DataFrame:
 
 
 def _errors(log: DataFrame, numbers: str = "strict") -> DataFrame:
-    judged = events.parse_all(log, ACTIVITY, numbers).select(
-        "topic", "offset", quality.batch_errors(ACTIVITY, numbers).alias("errors")
-    )
-    bad = judged.where(F.size("errors") > 0)
+    judged = quality.judged(events.parse_all(log, ACTIVITY, numbers), ACTIVITY, numbers)
+    bad = judged.select("topic", "offset", "errors").where(F.size("errors") > 0)
     return bad.select("topic", "offset", F.array_join("errors", ",").alias("errors"))
 
 
@@ -413,6 +413,111 @@ def incremental_financial_operations(v: Views) -> DataFrame:
     )
 
 
+# --- state kept up, cut and merged -----------------------------------------------
+
+
+def _stored(v: Views, rows: DataFrame, name: str) -> DataFrame:
+    path = scratch_dir(v.spark, name)
+    rows.write.mode("overwrite").parquet(path)
+    return v.spark.read.schema(rows.schema).parquet(path)
+
+
+def _latest_facts(v: Views) -> dict[str, DataFrame]:
+    """Facts with one row per id, as the state tables have them."""
+    found = {"payments": v.payments()}
+    for name, rows, key, time in (
+        ("refunds", v.refund_lines(), "refund_id", "requested_at"),
+        ("chargebacks", v.chargeback_lines(), "chargeback_id", "created_at"),
+        ("settlements", v.settlement_lines(), "settlement_id", "initiated_at"),
+    ):
+        placed = rows.withColumn("_partition", F.col("_arrival") % 3)
+        found[name] = keep_latest(placed, [key], [time, "_partition", "_arrival"]).drop("_partition", "_arrival")
+    lines = v.table("lineitem").withColumn("attempt_id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    found["payment_attempts"] = keep_latest(lines, ["attempt_id"], _LINE_ORDER).select(
+        "attempt_id",
+        F.col("l_orderkey").alias("payment_id"),
+        (F.col("l_suppkey") % 25).alias("gateway_id"),
+        F.col("l_linenumber").alias("attempt_number"),
+        F.when(F.col("l_returnflag") == "R", "Failed").when(F.col("l_returnflag") == "A", "Success").otherwise("Pending").alias("attempt_status"),
+    )
+    return found
+
+
+def _kept_up(v: Views, table: str, dimension: DataFrame) -> DataFrame:
+    """The metric table from its stored parts and the changes of every fourth payment."""
+    parts = deltas.PARTS[table]
+
+    def images(facts: dict[str, DataFrame]) -> DataFrame:
+        topics = {n: t for n, t in deltas.FACTS.items() if t in parts.topics()}
+        return reduce(DataFrame.unionByName, [deltas.images(facts[n], t) for n, t in topics.items()])
+
+    before = _latest_facts(v)
+    moved = _moved_payments(v)
+    stored = _stored(v, deltas.accumulate(images(before), parts), "parts")
+    changed = deltas.changes(v.payments().where("payment_id % 4 = 0"), moved, deltas.PAYMENT)
+    now = {**before, "payments": v.payments().where("payment_id % 4 <> 0").unionByName(moved)}
+    updated = deltas.update(stored, changed, parts, lambda keys: images(now).join(keys, parts.key, "left_semi"))
+    whole = deltas.merged(stored, updated, parts)
+    typed = whole.withColumn(parts.key, F.col(parts.key).cast(dimension.schema[parts.key].dataType))
+    rows = deltas.metric_rows(dimension, typed, parts)
+    return rows.select(*[_local_time(c) if c == "last_payment_completed_at" else c for c in rows.columns])
+
+
+_add("kept_up_merchant_performance", lambda v: _kept_up(v, "merchant_performance", v.merchants()))
+_add("kept_up_gateway_performance", lambda v: _kept_up(v, "gateway_performance", v.gateways()))
+
+
+_GRAINS = {"payments": gold.payment_day, "refunds": gold.refund_day, "chargebacks": gold.chargeback_day, "settlements": gold.settlement_day}
+
+
+def _facts_of_days(v: Views) -> dict[str, DataFrame]:
+    return {"payments": v.payments(), "refunds": v.refunds(), "chargebacks": v.chargebacks(), "settlements": v.settlements()}
+
+
+def _monthly(v: Views) -> dict[str, DataFrame]:
+    tables = {}
+    for name, rows in _facts_of_days(v).items():
+        path = scratch_dir(v.spark, f"monthly-{name}")
+        monthly.write(rows, path, _GRAINS[name]())
+        tables[name] = monthly.read(v.spark, path, rows.schema)
+    return tables
+
+
+@_register
+def monthly_financial_operations(v: Views) -> DataFrame:
+    """The days of one week rebuilt from facts that are laid out by month."""
+    return incremental.rebuild("financial_operations", incremental.affected_days(_touched(v)), *_monthly(v).values())
+
+
+@_register
+def bucketed_payment_performance(v: Views) -> DataFrame:
+    """The payment table from tables that are bucketed by the payment."""
+    facts = {
+        "payments": v.payments(), "attempts": v.attempts(), "events": v.payment_events(),
+        "refunds": v.refunds(), "chargebacks": v.chargebacks(), "settlements": v.settlements(),
+    }
+    tables = {}
+    for name, rows in facts.items():
+        path = scratch_dir(v.spark, f"bucketed-{name}")
+        tables[name] = bucketed.write(rows, f"bucketed_{name}_{path[-6:].lower().replace('-', '_')}", "payment_id", 8, path)
+    return gold.payment_performance(
+        tables["payments"], v.merchants(), v.gateways(), v.payment_methods(), tables["attempts"], tables["events"],
+        tables["refunds"], tables["chargebacks"], tables["settlements"], children_first=True,
+    )
+
+
+@_register
+def attempts_by_merged_days(v: Views) -> DataFrame:
+    """Distinct attempts of each gateway from stored sets of ids of each day, merged."""
+    attempts = v.table("lineitem").select(
+        (F.col("l_suppkey") % 25).cast("int").alias("gateway_id"),
+        F.to_date("l_shipdate").alias("day"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("attempt_id"),
+    )
+    sets = _stored(v, distinct.id_sets(attempts, ["gateway_id", "day"], "attempt_id"), "id-sets")
+    return distinct.counts(sets, ["gateway_id"], "attempt_count")
+
+
 # --- streaming -------------------------------------------------------------------
 
 _RUNS: dict[tuple[str, str, str], Lake] = {}
@@ -616,6 +721,59 @@ def silver_replay_state(v: Views) -> DataFrame:
     return _payment_state(_once(v, "replay", run, newer_wins=False))
 
 
+@_register
+def silver_winners_state(v: Views) -> DataFrame:
+    """The same two drops as above, the winners kept in the state store; the second run resumes from the checkpoint."""
+
+    def run(lake: Lake) -> None:
+        spec = entity_for_table("payments")
+        for log in (v.payment_log(), v.log_of_payments(_older_payments(v))):
+            stream = events.prepare_bronze(_records(lake, log))
+            bronze_job.ingest(stream, lake, f"{lake.root}/checkpoints/bronze")
+            winners_job.run(pipeline.raw_log(lake), lake, spec, f"{lake.root}/checkpoints/winners")
+
+    return _payment_state(_once(v, "winners", run, newer_wins=False))
+
+
+@_register
+def gold_after_loads(v: Views) -> DataFrame:
+    """Payment metrics after a second load of the static data changes some attempts and lifecycle events and
+    takes others away, without a new event."""
+
+    def run(lake: Lake) -> None:
+        paths = _static_csv(v, lake)
+        pipeline.run(lake, _records(lake, v.payment_log()), f"{lake.root}/checkpoints", static_paths=paths)
+        later = dict(paths)
+        for name, number in (("payment_attempts", "attempt_number"), ("payment_events", "retry_count")):
+            later[name] = f"{paths[name]}-later"
+            rows = v.spark.read.option("header", True).csv(paths[name]).where("payment_id % 7 <> 0")
+            more = F.when(F.expr("payment_id % 5 = 0"), F.col(number).cast("int") + 1).otherwise(F.col(number).cast("int"))
+            rows.withColumn(number, more).write.mode("overwrite").option("header", True).csv(later[name])
+        records = stream_folder(v.spark, f"{lake.root}/drop", v.spark.read.parquet(f"{lake.root}/drop").schema)
+        pipeline.run(lake, records, f"{lake.root}/checkpoints", static_paths=later)
+
+    rows = gold_job.gold_table(_once(v, "loads", run, newer_wins=False), "payment_performance").read()
+    return rows.select("payment_id", "attempt_count", "failed_attempt_count", "max_attempt_number", "event_count", "total_retry_count")
+
+
+@_register
+def gold_following_merchants(v: Views) -> DataFrame:
+    """The names in payment rows after merchants were renamed, with ``follow_dimensions``."""
+
+    def run(lake: Lake) -> None:
+        renamed = v.merchants().where("merchant_id % 3 = 0").withColumn("merchant_name", F.concat(F.lit("New "), "merchant_name"))
+        log = events.table_to_events(
+            renamed, "merchants", F.to_timestamp(F.lit("2021-01-01 00:00:00")), F.col("merchant_id") % 3, F.col("merchant_id") + 10**9,
+            F.to_timestamp(F.lit("2021-01-01 00:00:00")),
+        )
+        options = gold_job.GoldOptions(tables=("payment_performance",), follow_dimensions=True)
+        for drop in (v.merchant_log().unionByName(v.payment_log()), log):
+            pipeline.run(lake, _records(lake, drop), f"{lake.root}/checkpoints", gold_options=options)
+
+    rows = gold_job.gold_table(_once(v, "following", run, newer_wins=False), "payment_performance").read()
+    return rows.select("payment_id", "merchant_id", "merchant_name", "amount")
+
+
 @_register
 def gold_after_moves(v: Views) -> DataFrame:
     """Metric rows after a second drop moves every fourth payment to another merchant,

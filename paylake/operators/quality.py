@@ -182,6 +182,18 @@ def batch_errors(specs: Sequence[EntitySpec], numbers: str = "strict") -> Column
     return errors
 
 
+def judged(
+    parsed: DataFrame, specs: Sequence[EntitySpec], numbers: str = "strict", name: str = "errors"
+) -> DataFrame:
+    """The records with their reasons in one column, each parsed and judged once.
+
+    Spark moves a filter on the reasons below the projection that makes them and below the parse, and writes
+    the parse out anew for every field that they mention. It does not do so for a column that depends on where a
+    row is; this one asks for the number of the partition, which is never below zero.
+    """
+    return parsed.withColumn(name, F.when(F.spark_partition_id() >= 0, batch_errors(specs, numbers)))
+
+
 def _unreadable(spec: EntitySpec, numbers: str) -> dict[str, Column]:
     """For fields sent as text: whether there is text that gives no value."""
     tests = {}

@@ -263,5 +263,7 @@ def metric_rows(dimension: DataFrame, stored: DataFrame, parts: Parts) -> DataFr
     joined = dimension.select(*parts.columns).join(stored, parts.key, "left")
     average = F.when(F.col("timed_payments") > 0, F.col("processing_time_ms") / F.col("timed_payments"))
     joined = joined.withColumn("avg_processing_time_ms", average)
+    # An attempt's number is an int, as in the full build.
+    joined = joined.withColumns({c: F.col(c).cast("int") for c in ("max_attempt_number",) if c in joined.columns})
     shown = [F.col(m) if m == "last_payment_completed_at" else or_zero(m) for m in parts.measures]
     return joined.select(*parts.columns, *shown)

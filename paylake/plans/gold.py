@@ -68,13 +68,27 @@ def payment_performance(
     chargebacks: DataFrame,
     settlements: DataFrame,
     ids_unique: bool = False,
+    children_first: bool = False,
 ) -> DataFrame:
-    """One row per payment, 34 columns."""
-    # Narrow dimensions first: while a large dimension forces a shuffle of the
-    # payments, the rows do not carry the child measures yet.
+    """One row per payment, 34 columns.
+
+    Narrow dimensions come first: while a large dimension forces a shuffle of the
+    payments, the rows do not carry the child measures yet. ``children_first`` is for payments and
+    facts in tables bucketed by the payment: their joins need no shuffle as long as none comes before.
+    """
+    children = [
+        M.rollup(attempts, "payment_id", M.attempts, ids_unique),
+        M.rollup(events, "payment_id", M.lifecycle_events, ids_unique),
+        M.rollup(refunds, "payment_id", M.refunds, ids_unique),
+        M.rollup(chargebacks, "payment_id", M.chargebacks, ids_unique),
+        M.rollup(settlements, "payment_id", M.settlements, ids_unique),
+    ]
+    start = payments.select(*PAYMENT_COLUMNS)
+    if children_first:
+        start = _left_join_all(start, "payment_id", children)
+        children = []
     described = (
-        payments.select(*PAYMENT_COLUMNS)
-        .join(
+        start.join(
             merchants.select("merchant_id", "merchant_name", "industry", "risk_level"),
             "merchant_id",
             "left",
@@ -90,13 +104,6 @@ def payment_performance(
             "left",
         )
     )
-    children = [
-        M.rollup(attempts, "payment_id", M.attempts, ids_unique),
-        M.rollup(events, "payment_id", M.lifecycle_events, ids_unique),
-        M.rollup(refunds, "payment_id", M.refunds, ids_unique),
-        M.rollup(chargebacks, "payment_id", M.chargebacks, ids_unique),
-        M.rollup(settlements, "payment_id", M.settlements, ids_unique),
-    ]
     return _left_join_all(described, "payment_id", children).select(
         *PAYMENT_COLUMNS,
         "merchant_name", "industry", "risk_level",

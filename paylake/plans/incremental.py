@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from paylake.operators.keys import distinct_keys, restrict, restrict_by
 from paylake.plans import gold
+from paylake.sources import monthly
 from paylake.specs import ENTITIES, PAYMENT_TOPICS
 
 # Timestamps that may set the day of a payment, refund, chargeback or settlement.
@@ -99,7 +100,8 @@ def rebuild(table: str, keys: DataFrame, *inputs: DataFrame, **options) -> DataF
     Payments: facts are reduced to the keys first; a payment has few rows of each.
     Days: few and hot, so a shuffle on them would gather whole days in one task. The type
     bounds the set at 3.7 million four-byte values, so it always fits a broadcast, and the
-    facts are filtered where they are read.
+    facts are filtered where they are read. Facts that are laid out by month are read from the months of the
+    days alone.
     Merchants and gateways: one may hold a third of all facts, so the facts are rolled up,
     combined before the shuffle, and the rows of the result are reduced. Spark moves
     the semi-join below the roll-up only if the key set is small enough to broadcast. A batch
@@ -115,7 +117,10 @@ def rebuild(table: str, keys: DataFrame, *inputs: DataFrame, **options) -> DataF
         on = "operation_date"
         days = F.broadcast(distinct_keys(keys, on))
         grains = (gold.payment_day(), gold.refund_day(), gold.chargeback_day(), gold.settlement_day())
-        inputs = [restrict_by(i, days, g, on) for i, g in zip(inputs, grains, strict=True)]
+        inputs = [
+            monthly.of_days(i, keys, g, on) if monthly.MONTH in i.columns else restrict_by(i, days, g, on)
+            for i, g in zip(inputs, grains, strict=True)
+        ]
         return build(*inputs, **options)
     on = "merchant_id" if table == "merchant_performance" else "gateway_id"
     return restrict(build(*inputs, **options), keys.select(on), on)

@@ -89,6 +89,8 @@ def process_batch(
     parsed = events.parse_all(batch, options.specs, options.numbers)
     if options.on_bad == "fail":
         parsed = parsed.drop("raw_payload")  # only the quarantine needs the text
+    else:
+        parsed = quality.judged(parsed, options.specs, options.numbers)
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         report = quality.event_report(parsed, options.specs, options.numbers)
@@ -102,9 +104,7 @@ def process_batch(
         def update(spec: EntitySpec) -> None:
             accepted = parsed
             if options.on_bad == "quarantine":
-                accepted = _set_aside(
-                    lake, parsed, spec, by_topic[spec.topic], name, options.numbers
-                )
+                accepted = _set_aside(lake, parsed, spec, by_topic[spec.topic], name)
             write_silver(events.entity_rows(accepted, spec, options.numbers), lake, spec, name)
 
         run_together(lake.spark, [partial(update, spec) for spec in present])
@@ -113,7 +113,7 @@ def process_batch(
 
 
 def _set_aside(
-    lake: Lake, parsed: DataFrame, spec: EntitySpec, counts: dict, name: str, numbers: str
+    lake: Lake, parsed: DataFrame, spec: EntitySpec, counts: dict, name: str
 ) -> DataFrame:
     """Write the topic's bad records to its quarantine table; return the others."""
     problems = counts["malformed"] + sum(
@@ -121,9 +121,8 @@ def _set_aside(
     )
     if not problems:
         return parsed
-    judged = parsed.where(F.col("topic") == spec.topic).withColumn(
-        "errors", quality.row_errors(spec, numbers)
-    )
+    # Cached with its reasons: good and bad rows are two looks at the same column.
+    judged = parsed.where(F.col("topic") == spec.topic)
     bad = judged.where(F.size("errors") > 0)
     table = lake.keyed(QUARANTINE, spec.table, ("topic", "partition", "offset"))
     columns = ("topic", "partition", "offset", "kafka_timestamp", "raw_payload", "errors")
