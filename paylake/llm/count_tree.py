@@ -19,8 +19,8 @@ another equal slice still joins it with every linked set. Nothing is lost by tha
 
 In a bucket the least member is first compared with the others, so a group of near copies
 becomes a component by a comparison for each member. Then the trees of buckets that still hold several
-components are joined, points of different components only: first each point with the best of every other
-component, and, once these are verified, all pairs that are left. Crowded buckets are cut into blocks, and
+components are joined, points of different components only: each point with its best partner, and, once
+these are verified, all pairs that are left. Crowded buckets are cut into blocks, and
 each task joins two blocks. Every linked pair of different components is compared, so the components are
 those of all links.
 
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import binaries, bounded_batches, map_texts, pick, ragged, stored
+from paylake.llm.common import bounded_batches, map_texts, pick, ragged, stored
 from paylake.llm.neardup import components, fingerprint, full_sets, mix, shingle_sets, verify
 
 #: A link needs 100 * intersection >= PERCENT * union.
@@ -48,13 +48,13 @@ PERCENT = 85
 WORDS = 4
 
 #: Coordinates of a point.
-GROUPS = 64
+GROUPS = 256
 
 #: Entries of a node of a tree.
 FANOUT = 16
 
 #: A bucket of more members is crowded; one of more than a block is joined block by block.
-CROWDED, BLOCK = 128, 1024
+CROWDED, BLOCK = 128, 512
 
 
 def radius(size: int) -> int:
@@ -117,6 +117,19 @@ def points(sets: list[np.ndarray]) -> np.ndarray:
     return flat.reshape(-1, GROUPS).astype(np.int32)
 
 
+def packed(point: np.ndarray) -> bytes:
+    """A point in bytes: one for each count, or four if one of them needs more."""
+    return (point.astype(np.uint8) if point.max(initial=0) < 256 else point.astype("<u4")).tobytes()
+
+
+def unpacked(column: list[bytes]) -> np.ndarray:
+    """Points from bytes, a row for each; 16 bits suffice for most."""
+    if all(len(p) == GROUPS for p in column):
+        return np.frombuffer(b"".join(column), np.uint8).reshape(-1, GROUPS).astype(np.int16)
+    kinds = {GROUPS: np.uint8, 4 * GROUPS: np.dtype("<u4")}
+    return np.stack([np.frombuffer(p, kinds[len(p)]).astype(np.int64) for p in column])
+
+
 def sign(docs: DataFrame, words: int) -> DataFrame:
     """Replaces the text by n_shingles, print (of the set), point, and keys with the margin left, for the own and the lower band."""
 
@@ -133,7 +146,7 @@ def sign(docs: DataFrame, words: int) -> DataFrame:
         return {
             "n_shingles": sizes,
             "print": pa.array(map(fingerprint, sets), pa.binary()),
-            "point": binaries(points(sets).ravel(), np.full(len(sets), GROUPS), 4),
+            "point": pa.array(map(packed, points(sets)), pa.binary()),
             "keys": lists(keys),
             "low_keys": lists(low_keys),
             "spare": spare,
@@ -209,6 +222,10 @@ class Tree:
         return a[there], b[there]
 
 
+def _share(point: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.minimum(point[a], point[b]).sum(axis=1, dtype=np.int64) / (size[a] + size[b])
+
+
 def _joined(node: np.ndarray, part: np.ndarray, component: np.ndarray, size: np.ndarray, point: np.ndarray, best: bool) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of nodes of different components that one unit of work finds possible."""
     if len(node) <= FANOUT:
@@ -227,13 +244,12 @@ def _joined(node: np.ndarray, part: np.ndarray, component: np.ndarray, size: np.
     apart = component[a] != component[b]
     a, b = a[apart], b[apart]
     if best and len(a):
-        # Of each entry and each component that it may be linked with, the pair with the largest bound.
-        shared = np.concatenate([np.minimum(point[a[c : c + 4096]], point[b[c : c + 4096]]).sum(axis=1) for c in range(0, len(a), 4096)])
-        score = shared / (size[a] + size[b])
+        # Of each entry the partner with the largest bound for their sizes.
+        score = np.concatenate([_share(point, size, a[c : c + 4096], b[c : c + 4096]) for c in range(0, len(a), 4096)])
         mine, other, score = np.concatenate((a, b)), np.concatenate((b, a)), np.concatenate((score, score))
-        order = np.lexsort((-score, component[other], mine))
+        order = np.lexsort((node[other], -score, mine))
         mine, other = mine[order], other[order]
-        first = np.concatenate(([True], (mine[1:] != mine[:-1]) | (component[other][1:] != component[other][:-1])))
+        first = np.concatenate(([True], mine[1:] != mine[:-1]))
         a, b = mine[first], other[first]
     return node[a], node[b]
 
@@ -268,6 +284,9 @@ def _join_buckets(rows: DataFrame, best: bool) -> DataFrame:
                 if key != tuple(names[a]) and waiting:
                     found.append(unit(waiting))
                     waiting = []
+                    if sum(len(f[0]) for f in found) > 1 << 16:
+                        yield from sent(found)
+                        found = []
                 key = tuple(names[a])
                 waiting.append(batch.slice(a, b - a).select(list(parts)))
             yield from sent(found)
@@ -279,7 +298,7 @@ def _join_buckets(rows: DataFrame, best: bool) -> DataFrame:
         part, node, component, size = (whole.column(c).to_numpy() for c in parts[:4])
         if component.min() == component.max():
             return node[:0], node[:0]
-        point = np.frombuffer(b"".join(whole.column("point").to_pylist()), np.int32).reshape(-1, GROUPS)
+        point = unpacked(whole.column("point").to_pylist())
         return _joined(node, part, component, size, point, best)
 
     def sent(found) -> Iterator[pa.RecordBatch]:
@@ -294,7 +313,9 @@ def _possible(pairs: DataFrame, about: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            point = [np.frombuffer(b"".join(batch.column(f"point_{c}").to_pylist()), np.int32).reshape(-1, GROUPS) for c in "uv"]
+            if not batch.num_rows:
+                continue
+            point = [unpacked(batch.column(f"point_{c}").to_pylist()) for c in "uv"]
             size = [batch.column(f"n_{c}").to_numpy() for c in "uv"]
             fit = may_link(point[0], size[0], point[1], size[1])
             yield batch.select(["u", "v"]).filter(pa.array(fit))
@@ -354,9 +375,10 @@ def group(docs: DataFrame, words: int = WORDS) -> DataFrame:
     tried = stored(_possible(members.where("node > pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct(), about), "pairs")
     found = components(_linked(tried, docs, sets, words))
     for best in (True, False):
-        pairs = stored(_join_buckets(_open(members, about, found), best).join(tried, ["u", "v"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            continue
+        possible = stored(_join_buckets(_open(members, about, found), best), "possible")
+        if possible.isEmpty():
+            break
+        pairs = stored(possible.join(tried, ["u", "v"], "left_anti"), "pairs")
         tried = tried.union(pairs)
         # Links and stars have the same components.
         found = components(found.union(_linked(pairs, docs, sets, words)))
