@@ -3,12 +3,12 @@
 A document's set holds the hashes of its word shingles. Documents with equal sets are
 one class, found by a fingerprint of the set; only classes go on. Every element of a set
 goes through the slots of the signature in an order of its own and offers its rank and
-a random fraction; a slot keeps the least offer. The orders are affine permutations
-modulo a prime, of which any two slots get all pairs of ranks equally often, as with
-shuffled ones. After some ranks all slots are filled, and the rest is not looked at.
+a random fraction; a slot keeps the least offer. The orders are permutations by a small network keyed by the
+element, which numpy makes for all elements of a rank at once. After some ranks all slots are filled,
+and the rest is not looked at.
 
-Classes that agree in a band of slots share a bucket. Sets of up to ``SMALL`` elements, for which
-affine orders are not random enough, get exact keys in place of bands: of elements in one common
+Classes that agree in a band of slots share a bucket. Sets of up to ``SMALL`` elements get exact keys
+in place of bands: of elements in one common
 order, the first ``SHARED`` that two linked sets share stand near the front of both, so each set
 has a key for every choice of ``SHARED`` of its first elements. Pairs within a bucket are not
 listed. First the least member is compared with the others, on their full sets, and what
@@ -18,8 +18,8 @@ largest one are compared with the members of other components, unless sizes or p
 prove that they are no link: a group of hashes of which one set has an odd and the other an
 even number holds an element that only one has. That is a bound, no estimate, so no linked
 pair of a bucket that could join two components is left out. The one error at the threshold: a
-pair whose smaller set has more than ``SMALL`` elements shares no bucket with a probability of 3 in
-a million for independent slots (32 bands of 5 slots at 0.8).
+pair whose smaller set has more than ``SMALL`` elements shares no bucket with a probability of 1 in
+8 million for independent slots (40 bands of 5 slots at 0.8).
 
 Defined results: a document is its ``doc_id``; rows that repeat an id are one document
 with several texts. Without words or text the set is empty and the document alone.
@@ -39,20 +39,17 @@ from pyspark.sql import functions as F
 
 from paylake.llm.common import binaries, bounded_batches, map_texts, pick, ragged, stored
 
-#: Slots of a signature, a prime. Bands times rows of them make the buckets.
-SLOTS = 1021
-BANDS = 32
+#: Slots of a signature, a power of 4. Bands times rows of them make the buckets.
+SLOTS = 256
+BANDS = 40
 ROWS = 5
 
+#: Rounds of the network that permutes the slots.
+ROUNDS = 6
+
 #: 64-bit words of the parities of a set, a bit for each group of hashes, and of their first fold.
 PARITY_WORDS, FOLDED_WORDS = 64, 8
 
-#: 64-bit words of a sketch, with four bits of sixteen slots each, and those looked at first.
-WORDS, FIRST_WORDS = 63, 10
-
-#: How far estimates may be below the threshold: by the whole sketch, and by its first words.
-SLACK, FIRST_SLACK = 0.046, 0.12
-
 #: A link needs 100 * intersection >= PERCENT * union.
 PERCENT = 80
 
@@ -102,24 +99,33 @@ def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     return sets
 
 
+def order(keys: np.ndarray, rank: int, slots: int = SLOTS) -> np.ndarray:
+    """The slot that each element, by its mixed hash, visits at a rank: a permutation of the slots of its own."""
+    half = np.uint64((slots.bit_length() - 1) // 2)
+    mask = (np.uint64(1) << half) - np.uint64(1)
+    a, b = (np.full(len(keys), part, np.uint64) for part in (np.uint64(rank) >> half, np.uint64(rank) & mask))
+    for turn in range(ROUNDS):
+        a, b = b, a ^ (mix(keys + (b << np.uint64(3)) + np.uint64(turn)) & mask)
+    return (a << half) | b
+
+
 def signatures(sets: list[np.ndarray], slots: int = SLOTS) -> np.ndarray:
     """SuperMinHash: a row of ``slots`` values for each set; unset ones for an empty set."""
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
     out = np.full(len(sets) * slots, _UNSET)
     element = np.concatenate([*sets, np.zeros(0, np.uint64)])
     owner = np.repeat(np.arange(len(sets)), sizes)
+    key = mix(element)
     for rank in range(slots):
         if not len(element):
             break
-        prime = np.uint64(slots)
-        step = element // prime % np.uint64(slots - 1) + np.uint64(1)
-        slot = (step * np.uint64(rank) + element) % prime
+        slot = order(key, rank, slots)
         fraction = mix(element + np.uint64((rank + 1) * 0x9E3779B97F4A7C15 % 2**64)) >> np.uint64(32)
         np.minimum.at(out, owner * slots + slot.astype(np.int64), np.uint64(rank << 32) | fraction)
         # A filled slot can only be offered more from the next rank on.
         open_sets = (out.reshape(-1, slots) == _UNSET).any(axis=1)
         left = open_sets[owner]
-        element, owner = element[left], owner[left]
+        element, owner, key = element[left], owner[left], key[left]
     return out.reshape(-1, slots)
 
 
@@ -166,12 +172,6 @@ def bucket_keys(sets: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
-def sketches(signature: np.ndarray) -> np.ndarray:
-    """The low four bits of the first slots, sixteen in a word: for estimates, ``group`` does not use them."""
-    low = (signature[:, : WORDS * 16] & np.uint64(15)).reshape(-1, WORDS, 16)
-    return np.bitwise_or.reduce(low << (np.uint64(4) * np.arange(16, dtype=np.uint64)), axis=2).view(np.int64)
-
-
 def parities(sets: list[np.ndarray]) -> np.ndarray:
     """Whether a set has an odd number of each group of hashes; in front the same for fewer, larger groups."""
     element = np.concatenate([*sets, np.zeros(0, np.uint64)])
@@ -207,26 +207,6 @@ def sign(docs: DataFrame, words: int) -> DataFrame:
     return map_texts(docs, "n_shingles long, print binary, bands array<bigint>, parity array<bigint>", lambda: work)
 
 
-def _differing(one: Column, two: Column) -> Column:
-    """How many of sixteen slots differ between two words."""
-    x = one.bitwiseXOR(two)
-    x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-    x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-    return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-
-
-def _most_differing(words: int, slack: float) -> int:
-    """Slots that may differ if the similarity is ``slack`` below the threshold; equal by chance: one in sixteen."""
-    return int(words * 16 * (1 - (PERCENT / 100 - slack)) * 15 / 16)
-
-
-def alike(one: Column, two: Column) -> Column:
-    """Whether two sketches make a link likely: a glance at the first words, then all. Links may look unlikely."""
-    first = sum((_differing(one[i], two[i]) for i in range(1, FIRST_WORDS)), _differing(one[0], two[0]))
-    every = F.aggregate(F.zip_with(one, two, _differing), F.lit(0), lambda a, x: a + x)
-    return (first <= _most_differing(FIRST_WORDS, FIRST_SLACK)) & (every <= _most_differing(WORDS, SLACK))
-
-
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Union-find over the links that a task has: a link from each node to the least it reaches."""
     parent: dict[int, int] = {}
@@ -318,39 +298,30 @@ def group(docs: DataFrame, words: int) -> DataFrame:
     docs = pick(docs, "doc_id", "text")
     signed = stored(sign(docs, words), "signed")
     known = signed.where("doc_id is not null and n_shingles > 0")
-    classes = stored(
-        known.groupBy("print").agg(
-            F.min("doc_id").alias("node"),
-            F.max("doc_id").alias("last"),
-            *(F.any_value(c).alias(c) for c in ("n_shingles", "bands", "parity")),
-        ),
-        "classes",
-    )
-    copies = (
-        known.select("print", F.col("doc_id").alias("u"))
-        .join(classes.where("last > node").select("print", F.col("node").alias("v")), "print")
-        .where("u > v")
-        .select("u", "v")
-    )
+    classes = known.groupBy("print").agg(F.min("doc_id").alias("node"), F.max("doc_id").alias("last")).where("last > node")
+    copies = known.select("print", "doc_id").join(stored(classes.drop("last"), "classes"), "print").where("doc_id > node")
+    copies = stored(copies.distinct(), "copies")
+    # One row for each class; its keys are not shuffled with it.
+    first = known.join(copies, ["doc_id", "print"], "left_anti").withColumnRenamed("doc_id", "node")
 
-    rows = classes.select("node", F.explode("bands").alias("key"))
+    rows = first.select("node", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("pivot")).where("members > 1")
-    members = stored(rows.join(stored(shared.drop("members"), "shared"), "key"), "members")
+    members = stored(rows.join(stored(shared.drop("members"), "shared"), "key").distinct(), "members")
+    about = first.join(members.select("node").distinct(), "node", "left_semi")
+    about = stored(about.select("node", "print", F.col("n_shingles").alias("n"), "bands", "parity").dropDuplicates(["node", "print"]), "about")
     # Full sets of the classes that share a bucket. A repeated id may have several texts: the print tells them apart.
-    about = classes.join(members.select("node").distinct(), "node", "left_semi")
-    about = stored(about.select("node", "print", F.col("n_shingles").alias("n"), "bands", "parity"), "about")
-    sets = full_sets(docs, about.select("node", "print"), words)
+    sets = full_sets(docs, stored(about.select("node", "print"), "wanted"), words)
 
     pairs = members.where("node > pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
-    first = stored(_possible(pairs, about), "pairs")
-    links = stored(verify(first, sets), "links")
+    tried = stored(_possible(pairs, about), "pairs")
+    links = stored(verify(tried, sets), "links")
     found = components(links)
-    rest = stored(_cross_pairs(members, about, found).join(first, ["u", "v"], "left_anti"), "cross")
+    rest = stored(_cross_pairs(members, about, found).join(tried, ["u", "v"], "left_anti"), "cross")
     # Few of these are links, so half of the hashes goes first.
     rest = stored(verify(rest, sets, "short"), "near")
     # Links and stars have the same components.
     found = found.union(stored(verify(rest, sets), "links"))
-    every = components(found.union(copies))
+    every = components(found.union(copies.select(F.col("doc_id").alias("u"), F.col("node").alias("v"))))
     return (
         signed.select("doc_id", "n_shingles")
         .join(every.withColumnRenamed("u", "doc_id"), "doc_id", "left")
