@@ -452,7 +452,7 @@ def _kept_up(v: Views, table: str, dimension: DataFrame) -> DataFrame:
         return reduce(DataFrame.unionByName, [deltas.images(facts[n], t) for n, t in topics.items()])
 
     before = _latest_facts(v)
-    moved = _moved_payments(v)
+    moved = _stored(v, _moved_payments(v), "moved")
     stored = _stored(v, deltas.accumulate(images(before), parts), "parts")
     changed = deltas.changes(v.payments().where("payment_id % 4 = 0"), moved, deltas.PAYMENT)
     now = {**before, "payments": v.payments().where("payment_id % 4 <> 0").unionByName(moved)}

@@ -21,4 +21,4 @@ def write(rows: DataFrame, name: str, key: str, buckets: int, path: str | None =
 
 def buckets_for(total_bytes: int, bucket_bytes: int = 256 * 1024 * 1024) -> int:
     """The least power of 2 that keeps a bucket of evenly spread keys below ``bucket_bytes``."""
-    return 1 << max(0, (-(-total_bytes // bucket_bytes) - 1).bit_length())
+    return 1 << (max(1, -(-total_bytes // bucket_bytes)) - 1).bit_length()

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylake.operators.latest import keep_latest
+from paylake.operators.upsert import upsert
 from paylake.sources import files
 from paylake.specs import ARRIVAL_ORDER
 
@@ -148,14 +149,12 @@ class FolderTable:
         for key in self.keys:
             any_null = any_null | F.col(key).isNull()
         apart = F.when(any_null, F.col(SEQUENCE))
-        touched = changes.select(*self.keys).distinct()
-        untouched = full.join(touched, self.keys, "left_anti")
-        if self.newer_wins:
-            changes = changes.unionByName(full.join(touched, self.keys, "left_semi"))
+        # Removals carry no arrival order, so a table has either them or ``newer_wins``.
         order = [*ARRIVAL_ORDER, SEQUENCE] if self.newer_wins else [SEQUENCE]
-        latest = keep_latest(changes, [*self.keys, apart], order)
-        current = latest.where(~F.coalesce(REMOVED, F.lit(False))).select(*columns)
-        return untouched.select(*columns).unionByName(current)
+        latest = keep_latest(changes, [*self.keys, apart], order).select(*columns, REMOVED)
+        stored = full.select(*columns).withColumn(REMOVED, F.lit(False))
+        current = upsert(stored, latest, self.keys, self.newer_wins)
+        return current.where(~F.coalesce(REMOVED, F.lit(False))).select(*columns)
 
     def upsert(
         self, rows: DataFrame, batch: str | None = None, remove: DataFrame | None = None

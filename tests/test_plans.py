@@ -3,13 +3,14 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from paylake.checks.queries import QUERIES
+from paylake.checks.queries import QUERIES, _monthly
 from paylake.checks.views import Views
 from paylake.functions import measures as M
 from paylake.operators.keys import restrict
 from paylake.operators.latest import keep_latest
-from paylake.plans import gold, incremental
+from paylake.plans import deltas, gold, incremental
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -201,3 +202,82 @@ def test_hot_merchant_among_payments_of(spark, no_broadcasts):
         assert "skew=true" in plan(counted)
     finally:
         keys.unpersist()
+
+
+def test_events_are_parsed_once_and_not_in_filters(spark):
+    for name in ("unreadable_values", "refused_events"):
+        text = plan(QUERIES[name](spark, FOLDER))
+        filters = [line for line in text.splitlines() if re.search(r"\bFilter\b", line)]
+        assert filters and not any("from_json" in line for line in filters), name
+        # One for each of the five topics.
+        assert text.count("from_json") == 5, name
+
+
+def scans(df):
+    """The file scans of a plan that has run, with their metrics."""
+    found = []
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            walk(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            walk(node.plan())
+        elif name == "FileSourceScanExec":
+            metrics = node.metrics()
+            found.append((node.toString(), metrics.apply("numFiles").value()))
+        children = node.children()
+        for i in range(children.length()):
+            walk(children.apply(i))
+
+    query = df._jdf.queryExecution()
+    df._jdf.collectToPython()
+    walk(query.executedPlan())
+    return found
+
+
+def test_days_read_their_months_alone(spark):
+    v = Views.of(spark, FOLDER)
+    tables = list(_monthly(v).values())
+    # As the job has them: cached.
+    days = spark.sql("SELECT DATE '1995-03-04' AS operation_date").cache()
+    part = incremental.rebuild("financial_operations", days, *tables)
+    assert len(re.findall(r"PartitionFilters: \[[^\n]*dynamicpruning", plan(part))) == 4
+    read = scans(part)
+    whole = scans(gold.financial_operations(*tables))
+    assert len(read) == len(whole) == 4
+    # One month of seven years.
+    assert 0 < sum(n for _, n in read) * 20 < sum(n for _, n in whole)
+
+
+def test_bucketed_facts_need_no_shuffle(spark):
+    text = plan(QUERIES["bucketed_payment_performance"](spark, FOLDER))
+    assert "Exchange hashpartitioning(payment_id" not in text
+    assert text.count("Bucketed: true") == 6
+
+
+def test_merged_counts_shuffle_no_ids(spark):
+    text = plan(QUERIES["attempts_by_merged_days"](spark, FOLDER))
+    assert "attempt_id" not in text.replace("attempt_count", "")
+    assert len(re.findall("Exchange hashpartitioning", text)) == 2
+
+
+def test_parts_are_updated_without_facts(spark, tmp_path):
+    def stored_as(rows, name):
+        rows.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    parts = deltas.PARTS["merchant_performance"]
+    v = Views.of(spark, FOLDER)
+    stored = stored_as(deltas.accumulate(deltas.images(v.payments(), deltas.PAYMENT), parts), "parts")
+    old = v.payments().where("payment_id = 8")
+    changed = stored_as(deltas.changes(old, old.withColumn("amount", F.col("amount") + 5), deltas.PAYMENT), "changes")
+
+    def facts(keys):
+        raise AssertionError("facts were read")
+
+    updated = deltas.update(stored, changed, parts, facts)
+    text = plan(updated)
+    assert "orders" not in text and "lineitem" not in text
+    before = {r["merchant_id"]: r["total_payment_amount"] for r in stored.collect()}
+    assert [r["total_payment_amount"] - before[r["merchant_id"]] for r in updated.collect()] == [5]
