@@ -1,15 +1,19 @@
 """Nearest neighbours by inner product from randomly rotated one-bit codes.
 
-Vectors are turned by a random rotation and only the signs of the turned components are kept,
-packed, with two correction scalars: the length, and the inner product of the unit vector
-with its own code. From these an inner product with a query is estimated without
-bias, with a bound on the error that holds but for a small probability. In a block of
-candidates the exact scores of a few with the best estimates give a score that the ``k``
-nearest must reach, and all whose upper bound reaches it are reranked on the original
-vectors. The block's best go on, and the best of all blocks are the result.
+Vectors are scaled to length 1, padded to at least ``CODE_BITS`` dimensions and turned by a random rotation, and only the
+signs of the turned components are kept, packed into words, with two correction scalars: the length,
+and the inner product of the unit vector with its own code. A query is turned the same way and its components are rounded to
+``QUERY_BITS`` bits, which lie in one plane of words for each bit: the inner product of query and code is then a sum of
+numbers of bits set in both. Divided by the correction scalar it estimates the inner product without bias, with a bound
+on the error that holds but for a small probability.
 
-Queries and candidates are dealt to blocks of bounded size and each block of queries meets each
-block of candidates in one task, so no vector set is ever whole in one place.
+Codes alone meet: queries and candidates are dealt to blocks and each block of queries meets each
+block of candidates in one task, twice. The first time each query gets a score that its ``k`` nearest must reach,
+the ``k``-th greatest lower bound over all blocks. The second time the candidates whose upper bound reaches it are found. These
+are joined with the original vectors and reranked exactly.
+
+Lengths are kept apart from directions and in double precision, so very small and very large vectors are like any
+others; where a bound overflows it rules nothing out.
 
 Defined results: vectors that are null, zero or empty, hold null or non-finite components, have
 another length than most, or have no id take no part. Of rows that repeat an id the
@@ -30,78 +34,87 @@ from paylake.llm.common import bounded_batches, stored
 
 K = 20
 
-#: Rows that meet in one task, at most about so many.
-QUERY_BLOCK = 4096
-CANDIDATE_BLOCK = 8192
+#: Bits of a code at least; more dimensions have a bit each.
+CODE_BITS = 512
 
-#: Queries handled at once inside a task.
-QUERIES_AT_ONCE = 64
+#: Bits of a rounded component of a query.
+QUERY_BITS = 4
+
+#: Rows that meet in one task, at most about so many.
+QUERY_BLOCK = 2048
+CANDIDATE_BLOCK = 32768
 
-#: Errors stay within this many times their scale, but for a chance of about 1 in 40 on the side that matters.
-ERROR_FACTOR = 2.0
+#: Errors stay within this many times their scale, but for a chance of about 1 in 160 on the side that matters.
+ERROR_FACTOR = 2.5
 
 SEED = 20240607
 
 
-def rotation(dimension: int, seed: int = SEED) -> np.ndarray:
-    """A random rotation, the same in every task."""
-    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((dimension, dimension)))
-    return q * np.sign(np.diag(r))
+def code_bits(dimension: int) -> int:
+    return max(CODE_BITS, -(-dimension // 64) * 64)
+
+
+def rotation(dimension: int, bits: int | None = None, seed: int = SEED) -> np.ndarray:
+    """The rows of a random rotation of ``bits`` dimensions that turn vectors with zeros behind; the same in every task."""
+    wide = bits or code_bits(dimension)
+    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((wide, dimension)))
+    return (q * np.sign(np.diag(r))).T
+
+
+def units(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Directions and lengths; components are scaled first, so that no square is lost or overflows."""
+    largest = np.abs(vectors).max(axis=1)
+    scaled = vectors / largest[:, None]
+    size = np.sqrt((scaled * scaled).sum(axis=1))
+    with np.errstate(over="ignore"):
+        return scaled / size[:, None], largest * size
 
 
 def encode(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Packed sign bits, lengths, and inner products of the unit vectors with their codes."""
-    length = np.sqrt((vectors * vectors).sum(axis=1))
-    turned = (vectors / length[:, None]) @ turn
-    positive = turned > 0
+    """Codes (words of 64 sign bits), lengths, and inner products of the unit vectors with their codes."""
+    direction, length = units(vectors)
+    turned = direction @ turn
     agreement = np.abs(turned).sum(axis=1) / np.sqrt(turned.shape[1])
-    return np.packbits(positive, axis=1), length, agreement
-
-
-def estimate(
-    queries: np.ndarray, codes: np.ndarray, length: np.ndarray, agreement: np.ndarray, turn: np.ndarray, factor: float = ERROR_FACTOR
-) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner products of queries (rows) with coded vectors (columns), and error bounds."""
-    dimension = turn.shape[0]
-    signs = np.unpackbits(codes, axis=1, count=dimension).astype(np.float32) * 2 - 1
-    turned = (queries @ turn).astype(np.float32)
-    found = turned @ signs.T * (length / (agreement * np.sqrt(dimension))).astype(np.float32)
-    scale = np.sqrt(np.maximum(1 / agreement**2 - 1, 0) / max(dimension - 1, 1)) * length
-    size = np.sqrt((queries * queries).sum(axis=1))
-    # Sums in single precision may be off by a little on their own.
-    return found, (size[:, None] * (factor * scale + 1e-4 * length)[None, :]).astype(np.float32)
-
-
-def best_of_block(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, codes, length, agreement, turn: np.ndarray, k: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The ``k`` best candidates of each query: query ids, candidate ids, exact scores."""
-    out = []
-    for a in range(0, len(queries), QUERIES_AT_ONCE):
-        own, own_ids = queries[a : a + QUERIES_AT_ONCE], query_ids[a : a + QUERIES_AT_ONCE]
-        found, bound = estimate(own, codes, length, agreement, turn)
-        other = ids[None, :] != own_ids[:, None]
-        found[~other] = -np.inf
-        least = np.full(len(own), -np.inf)
-        if found.shape[1] > 2 * k:
-            likely = np.argpartition(found, -2 * k, axis=1)[:, -2 * k :]
-            exact = np.einsum("qd,qcd->qc", own, vectors[likely])
-            # The own row may be among these, but no more than one of them.
-            exact[~np.take_along_axis(other, likely, axis=1)] = -np.inf
-            least = np.partition(exact, -k, axis=1)[:, -k]
-            # Room for another order of the same sum.
-            least -= 1e-9 * np.abs(least)
-        row, column = np.nonzero(other & (found + bound >= least[:, None]))
-        score = np.empty(len(row))
-        for b in range(0, len(row), 1 << 16):
-            part = slice(b, b + (1 << 16))
-            score[part] = (own[row[part]] * vectors[column[part]]).sum(axis=1)
-        order = np.lexsort((ids[column], -score, row))
-        row, column, score = row[order], column[order], score[order]
-        starts = np.searchsorted(row, np.arange(len(own)))
-        top = np.arange(len(row)) - starts[row] < k
-        out.append((own_ids[row[top]], ids[column[top]], score[top]))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+    return np.packbits(turned > 0, axis=1, bitorder="little").view(np.uint64), length, agreement
+
+
+def rounded(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Queries as bit planes (query, bit, word), least values, steps between values, and sums of the components."""
+    turned = units(vectors)[0] @ turn
+    low = turned.min(axis=1)
+    step = np.maximum((turned.max(axis=1) - low) / (2**QUERY_BITS - 1), 1e-300)
+    number = np.rint((turned - low[:, None]) / step[:, None]).astype(np.uint8)
+    planes = [np.packbits((number >> b) & 1, axis=1, bitorder="little").view(np.uint64) for b in range(QUERY_BITS)]
+    return np.stack(planes, axis=1), low, step, turned.sum(axis=1)
+
+
+def cosines(planes: np.ndarray, low, step, total, codes: np.ndarray, ones: np.ndarray, agreement: np.ndarray) -> np.ndarray:
+    """Estimated cosines of one query with coded vectors. ``codes`` has a row for each word, ``ones`` the bits set in a code."""
+    both = np.zeros(codes.shape[1], np.int32)
+    for b in range(QUERY_BITS):
+        found = np.zeros(codes.shape[1], np.int32)
+        for w in range(len(codes)):
+            found += np.bitwise_count(codes[w] & planes[b, w])
+        both += found << b
+    bits = 64 * len(codes)
+    return (2 * (low * ones + step * both) - total) / (np.sqrt(bits) * agreement)
+
+
+def margins(step: float, bits: int, agreement: np.ndarray, factor: float = ERROR_FACTOR) -> np.ndarray:
+    """How far the estimates may be off: by the code, and by the rounding of the query."""
+    by_code = np.maximum(1 / agreement**2 - 1, 0) / max(bits - 1, 1)
+    return factor * np.sqrt(by_code + step**2 / 12 / agreement**2)
+
+
+def bounds(queries, codes: np.ndarray, length: np.ndarray, agreement: np.ndarray, factor: float = ERROR_FACTOR) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each rounded query the least and greatest values that its inner products with the coded vectors may have, over its length."""
+    words = np.ascontiguousarray(codes.T)
+    ones = np.bitwise_count(words).sum(axis=0, dtype=np.int64)
+    for planes, low, step, total in zip(*queries, strict=True):
+        found = cosines(planes, low, step, total, words, ones, agreement)
+        off = margins(step, 64 * len(words), agreement, factor)
+        with np.errstate(over="ignore", under="ignore"):
+            yield (found - off) * length, (found + off) * length
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -113,21 +126,48 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def coded(sound: DataFrame, dimension: int) -> DataFrame:
-    """The index: every vector with its code and correction scalars."""
+    """The index: every id with its code, length and agreement."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = rotation(dimension)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            vectors = batch.column("vector").flatten().to_numpy().reshape(-1, dimension)
-            codes, length, agreement = encode(vectors, turn)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([c.tobytes() for c in codes]), pa.array(length), pa.array(agreement), pa.array([v.tobytes() for v in vectors])],
-                names=["id", "code", "length", "agreement", "vector"],
-            )
+            if batch.num_rows:
+                codes, length, agreement = encode(_matrix(batch.column("vector"), dimension), turn)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), pa.array(map(bytes, codes), pa.binary()), pa.array(length), pa.array(agreement)],
+                    names=["id", "code", "length", "agreement"],
+                )
 
-    return bounded_batches(sound).mapInArrow(run, "id long, code binary, length double, agreement double, vector binary")
+    return bounded_batches(sound).mapInArrow(run, "id long, code binary, length double, agreement double")
+
+
+def asked(sound: DataFrame, dimension: int) -> DataFrame:
+    """The queries: ids with their bit planes and what their values are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = rotation(dimension)
+        for batch in batches:
+            if batch.num_rows:
+                planes, *values = rounded(_matrix(batch.column("vector"), dimension), turn)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), pa.array(map(bytes, planes), pa.binary()), *map(pa.array, values)],
+                    names=["query_id", "planes", "low", "step", "total"],
+                )
+
+    return bounded_batches(sound).mapInArrow(run, "query_id long, planes binary, low double, step double, total double")
+
+
+def _matrix(column: pa.ListArray, dimension: int) -> np.ndarray:
+    return column.flatten().to_numpy().reshape(-1, dimension)
+
+
+def _words(column: pd.Series, *shape: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint64).reshape(len(column), *shape)
+
+
+def _sides(left: pd.DataFrame, right: pd.DataFrame, words: int):
+    queries = (_words(left["planes"], QUERY_BITS, words), left["low"].to_numpy(), left["step"].to_numpy(), left["total"].to_numpy())
+    return queries, _words(right["code"], words), right["length"].to_numpy(), right["agreement"].to_numpy()
 
 
 def search(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
@@ -136,47 +176,62 @@ def search(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
     ``vectors`` has an id and an array of numbers; ``is_query`` is a condition on ``id``.
     """
     sound = stored(usable(vectors), "vectors")
-    sizes = {r.n: r["count"] for r in sound.groupBy(F.size("vector").alias("n")).count().collect()}
-    # Lengths are few; of equally frequent ones the larger counts.
-    dimension = max(sizes, key=lambda n: (sizes[n], n), default=1)
+    common = sound.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
+    # Of equally frequent lengths the larger counts.
+    dimension, number = (common[0].n, common[0]["count"]) if common else (1, 0)
     sound = sound.where(F.size("vector") == dimension)
+    words = code_bits(dimension) // 64
     index = stored(coded(sound, dimension), "codes")
-    number = sizes.get(dimension, 0)
-    asked = index.where(is_query)
-    query_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    queries = stored(asked(sound.where(is_query), dimension), "queries")
+    query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     blocks = max(1, -(-number // CANDIDATE_BLOCK))
-    hashed = F.xxhash64("id")
-    queries = asked.select(
-        F.col("id").alias("query_id"),
-        "vector",
-        F.pmod(hashed, F.lit(query_blocks)).alias("qb"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("cb"),
-    )
-    candidates = index.select(
-        "id",
-        "code",
-        "length",
-        "agreement",
-        "vector",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))).alias("qb"),
-        F.pmod(hashed, F.lit(blocks)).alias("cb"),
-    )
-
-    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-        right = right.sort_values("id")
-
-        def matrix(column: pd.Series) -> np.ndarray:
-            return np.frombuffer(b"".join(column), np.float64).reshape(-1, dimension)
-
-        codes = np.frombuffer(b"".join(right["code"]), np.uint8).reshape(len(right), -1)
-        found = best_of_block(
-            left["query_id"].to_numpy(), matrix(left["vector"]), right["id"].to_numpy(), matrix(right["vector"]), codes,
-            right["length"].to_numpy(), right["agreement"].to_numpy(), rotation(dimension), k,
-        )
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), found, strict=True)))
-
-    met = queries.groupBy("qb", "cb").cogroup(candidates.groupBy("qb", "cb")).applyInPandas(meet, "query_id long, vec_id long, score double")
+
+    def every(count: int, name: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))).alias(name)
+
+    def dealt(rows: DataFrame):
+        """Queries and candidates in their blocks, each beside every block of the other side."""
+        own = F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).alias("qb")
+        other = F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("cb")
+        left = rows.select("*", own, every(blocks, "cb"))
+        return left.groupBy("qb", "cb").cogroup(index.select("*", every(query_blocks, "qb"), other).groupBy("qb", "cb"))
+
+    def lows(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            ids = right["id"].to_numpy()
+            for query, (low, _) in zip(left["query_id"], bounds(*_sides(left, right, words)), strict=True):
+                low = low[(ids != query) & ~np.isnan(low)]
+                best = low if len(low) <= k else np.partition(low, -k)[-k:]
+                out.append(pd.DataFrame({"query_id": np.full(len(best), query), "low": best}))
+        return pd.concat(out) if out else pd.DataFrame({"query_id": np.zeros(0, np.int64), "low": np.zeros(0)})
+
+    nth = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("low")))
+    lower = dealt(queries).applyInPandas(lows, "query_id long, low double").withColumn("nth", nth).where(F.col("nth") <= k)
+    least = stored(lower.where(F.col("nth") == k).select("query_id", F.col("low").alias("least")), "least")
+
+    def likely(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            ids = right["id"].to_numpy()
+            values = zip(left["query_id"], left["least"], bounds(*_sides(left, right, words)), strict=True)
+            for query, least_value, (_, high) in values:
+                # With fewer candidates than k, or a bound that is no number, nothing is ruled out.
+                found = ids[(ids != query) & ~(high < least_value)]
+                out.append(pd.DataFrame({"query_id": np.full(len(found), query), "vec_id": found}))
+        return pd.concat(out) if out else pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64)})
+
+    bound = queries.join(least, "query_id", "left")
+    pairs = stored(dealt(bound).applyInPandas(likely, "query_id long, vec_id long"), "likely")
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+                score = (_matrix(batch.column("one"), dimension) * _matrix(batch.column("two"), dimension)).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("vec_id"), pa.array(score)], names=["query_id", "vec_id", "score"])
+
+    sides = [sound.select(F.col("id").alias(c), F.col("vector").alias(v)) for c, v in (("query_id", "one"), ("vec_id", "two"))]
+    both = pairs.join(sides[0], "query_id").join(sides[1], "vec_id").select("query_id", "vec_id", "one", "two")
+    exact = bounded_batches(both).mapInArrow(scored, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return met.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return exact.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

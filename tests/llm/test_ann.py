@@ -70,24 +70,65 @@ def test_estimates_stay_in_their_bounds():
     draw = np.random.default_rng(4)
     vectors, queries = draw.standard_normal((4000, 64)) * draw.uniform(0.1, 9, (4000, 1)), draw.standard_normal((50, 64))
     turn = ann.rotation(64)
+    assert turn.shape == (64, ann.CODE_BITS)
     assert turn @ turn.T == pytest.approx(np.eye(64))
-    found, bound = ann.estimate(queries, *ann.encode(vectors, turn), turn)
-    error = found - queries @ vectors.T
-    assert (np.abs(error) <= bound).mean() > 0.94
-    assert abs((error / np.linalg.norm(vectors, axis=1)).mean()) < 0.01
-
-
-def test_only_vectors_that_can_win_are_reranked(monkeypatch):
-    draw = np.random.default_rng(4)
-    vectors = draw.standard_normal((8000, 64))
-    turn = ann.rotation(64)
-    reranked = []
-    lexsort = np.lexsort
-    monkeypatch.setattr(ann.np, "lexsort", lambda keys: reranked.append(len(keys[0])) or lexsort(keys))
-    ids = np.arange(8000)
-    found = ann.best_of_block(ids[:64], vectors[:64], ids, vectors, *ann.encode(vectors, turn), turn, 20)
-    assert sum(reranked) < 0.3 * 64 * 8000
-    scores = vectors[:64] @ vectors.T
-    scores[ids[:64], ids[:64]] = -np.inf
-    best = {(q, v) for q in range(64) for v in np.argsort(-scores[q])[:20].tolist()}
-    assert len(best & set(zip(found[0].tolist(), found[1].tolist(), strict=True))) > 0.98 * len(best)
+    codes, length, agreement = ann.encode(vectors, turn)
+    assert codes.shape == (4000, ann.CODE_BITS // 64) and length == pytest.approx(np.linalg.norm(vectors, axis=1))
+    low, high = (np.stack(x) for x in zip(*ann.bounds(ann.rounded(queries, turn), codes, length, agreement), strict=True))
+    exact = queries / np.linalg.norm(queries, axis=1)[:, None] @ vectors.T
+    assert ((low <= exact) & (exact <= high)).mean() > 0.98
+    assert abs(((low + high) / 2 - exact).mean() / length.mean()) < 0.002
+    # Bounds that would rule out little are no use.
+    assert ((high - low) / length).mean() < 0.25
+
+
+def test_codes_are_counted_like_the_sums_they_stand_for():
+    draw = np.random.default_rng(7)
+    vectors, query = draw.standard_normal((300, 70)), draw.standard_normal((1, 70))
+    turn = ann.rotation(70)
+    codes, _, agreement = ann.encode(vectors, turn)
+    planes, low, step, total = ann.rounded(query, turn)
+    words = np.ascontiguousarray(codes.T)
+    got = ann.cosines(planes[0], low[0], step[0], total[0], words, np.bitwise_count(words).sum(axis=0), agreement)
+    turned = (query / np.linalg.norm(query) @ turn)[0]
+    values = low[0] + step[0] * np.rint((turned - low[0]) / step[0])
+    positive = (vectors / np.linalg.norm(vectors, axis=1)[:, None] @ turn) > 0
+    expected = (2 * positive @ values - turned.sum()) / np.sqrt(turn.shape[1]) / agreement
+    assert got == pytest.approx(expected)
+
+
+def double_frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+
+@pytest.mark.parametrize("scale", [1e-150, 1e-24, 1.0, 1e18, 1e150, None])
+def test_all_scales(spark, folder, scale):
+    """None: vectors of very different scales beside each other."""
+    draw = np.random.default_rng(11)
+    rows = []
+    for i in range(200):
+        own = scale or float(10.0 ** draw.integers(-140, 140))
+        rows.append((i, [float(x) for x in draw.standard_normal(16) * own]))
+    got = sorted(map(tuple, QUERIES["op6_one_bit_codes"](spark, folder(embeddings=double_frame(spark, rows))).collect()))
+    expected = brute(rows)
+    assert len(got) == len(expected) == 200
+    assert recall(got, expected) > 0.97
+    scores = {i: np.array(v) for i, v in rows}
+    assert all(s == pytest.approx(float((scores[q] * scores[v]).sum()), rel=1e-9) for q, _, v, s in got)
+
+
+def test_blocks_hold_codes_alone(spark):
+    plan = QUERIES["op6_one_bit_codes"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInPandas" not in plan  # Both passes are done and stored; what is left reranks.
+
+
+def test_few_candidates_are_reranked(spark, monkeypatch):
+    seen = []
+    keep = ann.stored
+    monkeypatch.setattr(ann, "stored", lambda df, name: seen.append((name, keep(df, name))) or seen[-1][1])
+    table = "/root/testdata/sf0.1"
+    QUERIES["op6_one_bit_codes"](spark, table).count()
+    tables = dict(seen)
+    assert not {"vector", "one", "two"} & {*tables["codes"].columns, *tables["queries"].columns}
+    # A hundred queries against 2000 rows.
+    assert tables["likely"].count() < 0.2 * 100 * 2000
