@@ -38,8 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import bounded_batches, map_texts, pick, ragged, stored
-from paylake.llm.neardup import components, fingerprint, full_sets, mix, shingle_sets, verify
+from paylake.llm.common import binaries, bounded_batches, map_texts, pick, ragged, stored
+from paylake.llm.neardup import components, fingerprint, mix, shingle_sets, verify
+from paylake.operators.keys import bit_set
 
 #: A link needs 100 * intersection >= PERCENT * union.
 PERCENT = 85
@@ -130,8 +131,15 @@ def unpacked(column: list[bytes]) -> np.ndarray:
     return np.stack([np.frombuffer(p, kinds[len(p)]).astype(np.int64) for p in column])
 
 
+def halves(sets: list[np.ndarray]) -> dict[str, np.ndarray]:
+    """``node`` and ``other``: 128 bits that tell sets apart."""
+    both = np.frombuffer(b"".join(map(fingerprint, sets)), np.int64).reshape(-1, 2)
+    return {"node": both[:, 0], "other": both[:, 1]}
+
+
 def sign(docs: DataFrame, words: int) -> DataFrame:
-    """Replaces the text by n_shingles, print (of the set), point, and keys with the margin left, for the own and the lower band."""
+    """Replaces the text by n_shingles, node and other (two halves of the set's fingerprint), point, and keys with the margin
+    left, for the own and the lower band."""
 
     def lists(values) -> pa.Array:
         edges = ragged(np.fromiter(map(len, values), np.int64, len(values)))
@@ -145,7 +153,7 @@ def sign(docs: DataFrame, words: int) -> DataFrame:
         low_keys, low_spare = slice_keys(sets, below)
         return {
             "n_shingles": sizes,
-            "print": pa.array(map(fingerprint, sets), pa.binary()),
+            **halves(sets),
             "point": pa.array(map(packed, points(sets)), pa.binary()),
             "keys": lists(keys),
             "low_keys": lists(low_keys),
@@ -153,7 +161,7 @@ def sign(docs: DataFrame, words: int) -> DataFrame:
             "low_spare": low_spare,
         }
 
-    schema = "n_shingles long, print binary, point binary, keys array<bigint>, low_keys array<bigint>, spare long, low_spare long"
+    schema = "n_shingles long, node long, other long, point binary, keys array<bigint>, low_keys array<bigint>, spare long, low_spare long"
     return map_texts(docs, schema, lambda: work)
 
 
@@ -321,25 +329,30 @@ def _possible(pairs: DataFrame, about: DataFrame) -> DataFrame:
             yield batch.select(["u", "v"]).filter(pa.array(fit))
 
     sides = [about.select(F.col("node").alias(c), F.col("point").alias(f"point_{c}"), F.col("n").alias(f"n_{c}")) for c in "uv"]
-    return bounded_batches(pairs.join(sides[0], "u").join(sides[1], "v")).mapInArrow(run, "u long, v long").distinct()
+    return bounded_batches(pairs.join(sides[0], "u").join(sides[1], "v")).mapInArrow(run, "u long, v long")
 
 
 def _members(sets: DataFrame) -> DataFrame:
-    """(key, node, pivot) of all buckets with several sets, without those that a set may leave."""
+    """(key, node, pivot) of all buckets with several sets, without those that a set may leave.
+
+    Copies of a set give equal rows, which are one before they are counted for good.
+    """
     tagged = F.concat(
         F.transform("keys", lambda k: F.struct(k.alias("key"), F.lit(False).alias("low"))),
         F.transform("low_keys", lambda k: F.struct(k.alias("key"), F.lit(True).alias("low"))),
     )
     rows = sets.select("node", F.explode(tagged).alias("k")).select("node", "k.key", "k.low")
-    shared = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    found = stored(rows.join(stored(shared, "shared"), "key"), "members")
+    repeated = stored(rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "repeated")
+    # Most keys come once. Those rows are dropped where they are made, before the join shuffles.
+    rows = bit_set(repeated, "key").maybe(rows, "key")
+    found = stored(rows.distinct().join(repeated, "key"), "members")
     crowded = found.where(F.col("members") > CROWDED)
     spare = F.when(F.col("low"), F.col("low_spare")).otherwise(F.col("spare"))
-    # A repeated id may stand for several sets: the one with least room decides.
-    room = sets.groupBy("node").agg(F.min("spare").alias("spare"), F.min("low_spare").alias("low_spare"))
+    room = sets.join(crowded.select("node").distinct(), "node", "left_semi").groupBy("node")
+    room = room.agg(F.min("spare").alias("spare"), F.min("low_spare").alias("low_spare"))
     leaving = crowded.groupBy("node", "low").count().join(room, "node").where(F.col("count") <= spare).select("node", "low")
     stay = crowded.join(stored(leaving, "leaving"), ["node", "low"], "left_anti")
-    left = stored(found.where(F.col("members") <= CROWDED).select("key", "node").union(stay.select("key", "node")).distinct(), "staying")
+    left = stored(found.where(F.col("members") <= CROWDED).select("key", "node").union(stay.select("key", "node")), "staying")
     several = left.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("pivot")).where("c > 1").select("key", "pivot")
     return stored(left.join(stored(several, "pivots"), "key"), "buckets")
 
@@ -349,31 +362,49 @@ def _open(members: DataFrame, about: DataFrame, found: DataFrame) -> DataFrame:
     named = members.select("key", "node").join(found.select(F.col("u").alias("node"), "v"), "node", "left")
     named = stored(named.select("key", "node", F.coalesce("v", "node").alias("component")), "named")
     mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    return stored(named.join(stored(mixed, "mixed"), "key").join(about.select("node", "n", "point"), "node"), "open")
+    return stored(named.join(stored(mixed, "mixed"), "key").join(about, "node"), "open")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, words: int) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, signed: DataFrame, words: int) -> DataFrame:
     """Those pairs that are links, by the full sets of their nodes, which are made from the texts again."""
-    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    wanted = stored(sets.select("node", "print").join(nodes, "node", "left_semi"), "wanted")
-    return stored(verify(pairs, full_sets(docs, wanted, words), percent=PERCENT), "links")
+    nodes = stored(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct(), "nodes")
+    # One document for each node; a bit set keeps other texts out of the join.
+    narrow = signed.where("doc_id is not null and n_shingles > 0").select("doc_id", "node")
+    wanted = stored(narrow.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "wanted")
+    texts = bit_set(wanted, "doc_id").maybe(docs, "doc_id").join(wanted, "doc_id")
+
+    def work(found: list[str | None]) -> dict:
+        own = shingle_sets(found, words)
+        counts = np.fromiter(map(len, own), np.int64, len(own))
+        flat = np.concatenate([*own, np.zeros(0, np.uint64)])
+        return {"made": halves(own)["node"], "elements": binaries(flat, counts, 8)}
+
+    # A repeated id may have several texts: only that of the node counts.
+    sets = map_texts(texts, "made long, elements binary", lambda: work).where("made = node")
+    return stored(verify(pairs, stored(sets.select("node", "elements").dropDuplicates(["node"]), "sets"), percent=PERCENT), "links")
+
+
+def _told_apart(signed: DataFrame) -> DataFrame:
+    """Different sets have different nodes: where half a fingerprint is not enough, the other half counts."""
+    narrow = signed.where("n_shingles > 0").groupBy("node").agg(F.min("other").alias("low"), F.max("other").alias("high"))
+    # Of n sets about n * n / 2 ** 65 pairs agree in 64 bits.
+    same = [r.node for r in narrow.where("low <> high").select("node").collect()]
+    return signed.withColumn("node", F.when(F.col("node").isin(same), F.col("other")).otherwise(F.col("node"))) if same else signed
 
 
 def group(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of all documents: the least id that links reach."""
     docs = pick(docs, "doc_id", "text")
-    signed = stored(sign(docs, words), "signed")
+    signed = _told_apart(stored(sign(docs, words), "signed"))
     known = signed.where("doc_id is not null and n_shingles > 0")
-    classes = known.groupBy("print").agg(F.min("doc_id").alias("node"), F.max("doc_id").alias("last")).where("last > node")
-    copies = known.select("print", "doc_id").join(stored(classes.drop("last"), "classes"), "print").where("doc_id > node")
-    copies = stored(copies.distinct(), "copies")
-    sets = known.join(copies, ["doc_id", "print"], "left_anti").withColumnRenamed("doc_id", "node")
-    members = _members(sets)
-    about = sets.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("n_shingles").alias("n"), "point")
-    about = stored(about.distinct(), "about")
-
-    tried = stored(_possible(members.where("node > pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct(), about), "pairs")
-    found = components(_linked(tried, docs, sets, words))
+    members = _members(known)
+    shared = members.select("node").distinct()
+    about = known.select("node", F.col("n_shingles").alias("n"), "point").join(shared, "node", "left_semi")
+    about = stored(about.dropDuplicates(["node"]), "about")
+
+    first = members.where("node > pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
+    tried = stored(_possible(first, about), "pairs")
+    found = components(_linked(tried, docs, signed, words))
     for best in (True, False):
         possible = stored(_join_buckets(_open(members, about, found), best), "possible")
         if possible.isEmpty():
@@ -381,10 +412,19 @@ def group(docs: DataFrame, words: int = WORDS) -> DataFrame:
         pairs = stored(possible.join(tried, ["u", "v"], "left_anti"), "pairs")
         tried = tried.union(pairs)
         # Links and stars have the same components.
-        found = components(found.union(_linked(pairs, docs, sets, words)))
-    every = components(found.union(copies.select(F.col("doc_id").alias("u"), F.col("node").alias("v"))))
+        found = components(found.union(_linked(pairs, docs, signed, words)))
+
+    # The sets of a repeated id are linked by it.
+    ids = known.select("doc_id", "node")
+    several = ids.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("u")).where("v < u").select("doc_id", "v")
+    both = ids.join(several, "doc_id").select(F.col("node").alias("u"), "v").where("u <> v")
+    every = components(found.union(both))
+    named = ids.join(every.withColumnRenamed("u", "node"), "node", "left").select("doc_id", F.coalesce("v", "node").alias("component"))
+    named = stored(named.distinct(), "components")
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    of_doc = named.join(least, "component").select("doc_id", "component_id").where("doc_id > component_id")
     return (
         signed.select("doc_id", "n_shingles")
-        .join(every.withColumnRenamed("u", "doc_id"), "doc_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("v", "doc_id").alias("component_id"))
+        .join(of_doc, "doc_id", "left")
+        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     )
