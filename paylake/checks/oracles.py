@@ -488,6 +488,11 @@ ORACLES: dict[str, str] = {
         WHERE payment_id IN ({_AFFECTED.format(key="payment_id")})""",
         WEEK,
     ),
+    "prefiltered_payment_performance": _with(
+        f"""SELECT * FROM ({PP})
+        WHERE payment_id IN ({_AFFECTED.format(key="payment_id")})""",
+        WEEK,
+    ),
     "incremental_merchant_performance": _with(
         f"""SELECT * FROM ({MP})
         WHERE merchant_id IN ({_AFFECTED.format(key="merchant_id")})""",

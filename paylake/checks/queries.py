@@ -387,6 +387,16 @@ def incremental_payment_performance(v: Views) -> DataFrame:
     )
 
 
+@_register
+def prefiltered_payment_performance(v: Views) -> DataFrame:
+    """The same through a bit set of the keys, as for a key set that is too large to broadcast."""
+    keys = _stored(v, _as_number(incremental.affected_payments(_touched(v)), "bigint"), "keys")
+    return incremental.rebuild(
+        "payment_performance", keys, v.payments(), v.merchants(), v.gateways(), v.payment_methods(), v.attempts(),
+        v.payment_events(), v.refunds(), v.chargebacks(), v.settlements(), prefilter=True,
+    )
+
+
 @_register
 def incremental_merchant_performance(v: Views) -> DataFrame:
     return incremental.rebuild(

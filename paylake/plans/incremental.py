@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylake.operators.keys import distinct_keys, restrict, restrict_by
+from paylake.operators.keys import bit_set, distinct_keys, restrict, restrict_by
 from paylake.plans import gold
 from paylake.sources import monthly
 from paylake.specs import ENTITIES, PAYMENT_TOPICS
@@ -92,12 +92,15 @@ def payments_of(payments: DataFrame, dimension_keys: DataFrame, on: str) -> Data
     return distinct_keys(restrict(payments.select("payment_id", on), named, on), "payment_id")
 
 
-def rebuild(table: str, keys: DataFrame, *inputs: DataFrame, **options) -> DataFrame:
+def rebuild(
+    table: str, keys: DataFrame, *inputs: DataFrame, prefilter: bool = False, **options
+) -> DataFrame:
     """The rows of a metric table whose key is in ``keys``.
 
     ``inputs`` and ``options`` are those of the builder of the same name in ``gold``.
 
-    Payments: facts are reduced to the keys first; a payment has few rows of each.
+    Payments: facts are reduced to the keys first; a payment has few rows of each. For a key set beyond what Spark
+    broadcasts, ``prefilter`` drops most other facts by a bit set of the keys before the shuffle.
     Days: few and hot, so a shuffle on them would gather whole days in one task. The type
     bounds the set at 3.7 million four-byte values, so it always fits a broadcast, and the
     facts are filtered where they are read. Facts that are laid out by month are read from the months of the
@@ -111,7 +114,9 @@ def rebuild(table: str, keys: DataFrame, *inputs: DataFrame, **options) -> DataF
     if table == "payment_performance":
         on = "payment_id"
         # The three dimension tables behind the payments have no payment id.
-        inputs = [restrict(i, keys, on) if on in i.columns else i for i in inputs]
+        bits = bit_set(keys, on) if prefilter else None
+        reduced = [i if bits is None or on not in i.columns else bits.maybe(i, on) for i in inputs]
+        inputs = [restrict(i, keys, on) if on in i.columns else i for i in reduced]
         return build(*inputs, **options)
     if table == "financial_operations":
         on = "operation_date"

@@ -51,6 +51,10 @@ _INPUTS = {
 }
 
 
+#: Keys of a batch beyond which facts pass a bit set of them before they are shuffled.
+LARGE = 200_000
+
+
 @dataclass(frozen=True)
 class GoldOptions:
     """``track_moves``: follow the log of changes, also into the groups that a row has left; without it
@@ -231,8 +235,9 @@ def _update(
                 refresh_parts(lake, table, state, keep)
             # Counting fills the cache, so Spark knows the size of the key set
             # when it chooses how to join it.
-            if keys.count() > 0:
-                rows = _from_parts(lake, table, keys, state) if by_parts else _rebuild(table, keys, state)
+            number = keys.count()
+            if number > 0:
+                rows = _from_parts(lake, table, keys, state) if by_parts else _rebuild(table, keys, state, number > LARGE)
                 write_gold(rows, lake, table, name, keys)
 
         run_together(lake.spark, [partial(update, table) for table in tables])
@@ -246,9 +251,9 @@ def _full(table: str, s: dict[str, DataFrame]) -> DataFrame:
     return getattr(gold, table)(*[s[name] for name in _INPUTS[table]], ids_unique=True)
 
 
-def _rebuild(table: str, keys: DataFrame, s: dict[str, DataFrame]) -> DataFrame:
+def _rebuild(table: str, keys: DataFrame, s: dict[str, DataFrame], large: bool = False) -> DataFrame:
     inputs = [s[name] for name in _INPUTS[table]]
-    return incremental.rebuild(table, keys, *inputs, ids_unique=True)
+    return incremental.rebuild(table, keys, *inputs, prefilter=large, ids_unique=True)
 
 
 def rebuild_all(lake: Lake, tables: Sequence[str] = tuple(GRAINS)) -> None:

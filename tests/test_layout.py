@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from paylake.functions import distinct
 from paylake.operators import snapshots
+from paylake.operators.keys import bit_set, restrict, restrict_large
 from paylake.plans import deltas
 from paylake.sources import bucketed, monthly
 from paylake.streaming import winners
@@ -155,3 +156,39 @@ def test_images_of_rows_without_some_columns(spark, topic):
     row = spark.createDataFrame([("x",)], f"{deltas.IDS[topic]} string")
     image = deltas.images(row, topic, -1).first()
     assert (image["entity_id"], image["weight"], image["amount"], image["operation_dates"] or []) == ("x", -1, None, [])
+
+
+def test_bit_set_drops_most_other_rows_and_no_key(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("id", "IF(id % 100 = 0, NULL, CONCAT('k', id)) AS k")
+    keys = spark.range(0, 20_000, 37).selectExpr("CONCAT('k', id) AS k")
+    keys.write.parquet(f"{tmp_path}/keys")
+    keys = spark.read.parquet(f"{tmp_path}/keys")
+    exact = {r["id"] for r in restrict(rows, keys, "k").collect()}
+    near = {r["id"] for r in bit_set(keys, "k").maybe(rows, "k").collect()}
+    assert exact <= near and len(near) < len(exact) + 0.1 * 20_000
+    assert {r["id"] for r in restrict_large(rows, keys, "k").collect()} == exact
+    # A set that is far too small for its keys lets others pass, and still loses none.
+    small = bit_set(keys, "k", most_words=2)
+    assert small.size == 2 and exact <= {r["id"] for r in small.maybe(rows, "k").collect()}
+    assert bit_set(keys.where("false"), "k").maybe(rows, "k").isEmpty()
+    # All 64 bits of a word are used.
+    numbers = spark.range(5000).cache()
+    assert bit_set(numbers, "id").maybe(spark.range(5000), "id").count() == 5000
+
+
+def test_large_key_sets_shuffle_few_other_rows(spark, tmp_path):
+    """With broadcasts of key sets off, the rows before the exact join are nearly those behind it."""
+    rows = spark.range(50_000).selectExpr("id", "id * 7 AS k")
+    spark.range(0, 50_000, 50).selectExpr("id * 7 AS k").write.parquet(f"{tmp_path}/keys")
+    keys = spark.read.parquet(f"{tmp_path}/keys")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        passed = bit_set(keys, "k").maybe(rows, "k")
+        assert 1000 <= passed.count() < 1000 + 0.08 * 50_000
+        found = restrict_large(rows, keys, "k")
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and text.count("BroadcastHashJoin") == 1
+        assert found.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
