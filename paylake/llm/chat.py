@@ -1,21 +1,20 @@
 """Tool calls of conversations linked with their results, in order, checked and serialised.
 
-All of it is DataFrame expressions. Calls and results meet by identifier in one join of
-unique keys, so a repeated identifier multiplies nothing. A conversation is put in
-a topological order: a result stands behind its call even if it was written before it, and else
-the written order holds. Places are counted in two steps, inside stretches of a conversation
-and over the stretches, so that a very long conversation is spread over tasks. Arguments
-are checked against a schema of the tool and written as canonical JSON: sorted keys,
+All of it is DataFrame expressions. Calls and results are nodes with a place of their own. Equal rows are rolled up to
+one with a number, and the first call and the first result of each identifier meet by shuffled hash joins of unique
+keys, so a repeated identifier multiplies nothing. A conversation is put in a topological order: a result
+stands behind its call even if it was written before it, a call whose arguments name another call of the conversation stands
+behind that call's result, and else the written order holds. Rounds over the calls that depend on others
+settle these first; calls in a cycle never settle, keep their written position and are reported. Places are
+counted in two steps, inside stretches of a conversation and over the stretches, so that a very long conversation is
+spread over tasks. Arguments are checked against a schema of the tool and written as canonical JSON: sorted keys,
 no white space.
 
-Defined results: of calls, or results, that repeat an identifier, the first written counts, of
-those the least text, and ``copies`` says how many there were. A call without a result is
-``unanswered``, a result without a call an ``orphan``. What has no conversation or no
+Defined results: of calls, or results, that repeat an identifier, the first written is linked, of
+those the least text; every further copy has a row and a place with status ``duplicate``, and is checked and written
+too. A call without a result is ``unanswered``, a result without a call an ``orphan``. What has no conversation or no
 identifier is ``unidentified`` and has no place. Arguments that are no JSON object have
 the error ``not an object`` and null in the JSON.
-
-``link`` has one place for a call with its result. ``sequence`` has a row and a place for each
-of them and for each copy, from which a conversation can be written back.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paylake.llm.common import pick
+from paylake.llm.common import pick, stored
 
 #: Positions counted together in one group.
 STRETCH = 1024
@@ -77,10 +76,26 @@ def results_of_turns(messages: DataFrame) -> DataFrame:
     return rows.select("conv_id", identifier.alias("id"), F.col("turn").alias("position"), F.col("text").alias("content"))
 
 
-def _unique(rows: DataFrame, *values: str) -> DataFrame:
-    """One row for each conversation and identifier: the first, and the number of copies."""
-    first = F.min(F.struct("position", *values))
-    return rows.groupBy("conv_id", "id").agg(first.alias("first"), F.count("*").alias("copies"))
+def calls_of_table(messages: DataFrame) -> DataFrame:
+    """Calls that messages hold as JSON, and the turns of plain conversations that stand for calls."""
+    rows = pick(messages, "conv_id", "turn", "role", "text")
+    plain = rows.where(~F.coalesce(_is_result(), F.lit(False)))
+    return calls_of_messages(rows).unionByName(calls_of_turns(plain))
+
+
+def results_of_table(messages: DataFrame) -> DataFrame:
+    """Results that messages hold as JSON, and the turns of plain conversations that stand for results."""
+    rows = pick(messages, "conv_id", "turn", "role", "text")
+    plain = rows.where(~F.coalesce(_has_calls(), F.lit(False)))
+    return results_of_messages(rows.where(_is_result())).unionByName(results_of_turns(plain))
+
+
+def _has_calls() -> Column:
+    return (F.col("role") == "assistant") & F.get_json_object("text", "$.tool_calls").isNotNull()
+
+
+def _is_result() -> Column:
+    return (F.col("role") == "tool") & F.get_json_object("text", "$.tool_call_id").isNotNull()
 
 
 def errors(arguments: Column, name: Column, schema: Schema) -> Column:
@@ -111,75 +126,52 @@ def errors(arguments: Column, name: Column, schema: Schema) -> Column:
     return F.when(keys.isNull(), F.array(F.lit("not an object"))).otherwise(by_tool)
 
 
-def _places(calls: DataFrame, results: DataFrame) -> DataFrame:
-    """The place of each identifier in its conversation, from 0.
+def _needs(calls: DataFrame) -> DataFrame:
+    """(conv_id, id, needs): calls that name another call, or themselves, in an argument. Unique identifiers.
 
-    A call's position is its own; a result is never in front of its call and goes with it.
+    Only hashes of arguments are shuffled.
     """
-    sides = [r.groupBy("conv_id", "id").agg(F.min("position").alias(c)) for r, c in ((calls, "c_at"), (results, "r_at"))]
-    joined = sides[0].join(sides[1], ["conv_id", "id"], "full")
-    rows = joined.select("conv_id", "id", F.coalesce("c_at", "r_at").alias("position"))
-    rows = rows.withColumn("stretch", F.floor(F.col("position") / STRETCH))
-    sizes = rows.groupBy("conv_id", "stretch").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("conv_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select(
-        F.col("conv_id").alias("b_conv"), F.col("stretch").alias("b_stretch"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+    values = F.explode(F.map_values(F.from_json("body", "map<string,string>")))
+    named = calls.select("conv_id", "id", values.alias("value")).where("value is not null")
+    named = named.select("conv_id", "id", F.xxhash64("value").alias("hash"), F.crc32(F.col("value").cast("binary")).alias("check"))
+    known = calls.select(
+        "conv_id", F.col("id").alias("needs"), F.xxhash64("id").alias("hash"), F.crc32(F.col("id").cast("binary")).alias("check")
     )
-    inside = F.row_number().over(Window.partitionBy("conv_id", "stretch").orderBy("position", "id")) - 1
-    same = (F.col("conv_id") == F.col("b_conv")) & F.col("stretch").eqNullSafe(F.col("b_stretch"))
-    return rows.withColumn("inside", inside).join(before, same).select("conv_id", "id", (F.col("before") + F.col("inside")).alias("place"))
+    return named.join(known.hint("shuffle_hash"), ["conv_id", "hash", "check"]).select("conv_id", "id", "needs").distinct()
 
 
-def link(calls: DataFrame, results: DataFrame, schema: Schema) -> DataFrame:
-    """One row for each call with its result: place in the conversation, status, errors and JSON.
+def _settled(firsts: DataFrame) -> DataFrame:
+    """For calls that depend on others, or that others depend on: ``from_at`` and ``level`` in the order, ``cycle``.
 
-    ``calls`` has conv_id, id, position, name and arguments (JSON text), ``results``
-    conv_id, id, position and content. Columns of the result: conv_id, call_id, name, status,
-    place (from 0), copies, valid, errors (joined by ``; ``), json.
+    ``firsts`` has conv_id, id and the first call ``c`` and result ``r`` of each identifier. A round settles all calls whose
+    needs are settled; there are as many rounds as the longest chain has calls.
     """
-    known = F.col("conv_id").isNotNull() & F.col("id").isNotNull()
-    asked = _unique(calls.where(known), "name", "arguments").select("conv_id", "id", F.col("first").alias("c"), F.col("copies").alias("c_copies"))
-    given = _unique(results.where(known), "content").select("conv_id", "id", F.col("first").alias("r"), F.col("copies").alias("r_copies"))
-    joined = asked.join(given, ["conv_id", "id"], "full")
-    joined = joined.withColumn("status", F.when(F.col("r").isNull(), "unanswered").when(F.col("c").isNull(), "orphan").otherwise("linked"))
-    unnamed = (
-        calls.where(~known).select("conv_id", "id", F.struct("position", "name", "arguments").alias("c"), F.lit(None).alias("r"))
-    ).unionByName(results.where(~known).select("conv_id", "id", F.lit(None).alias("c"), F.struct("position", "content").alias("r")))
-
-    # Places need no texts, so these are not shuffled for them: they stay with their identifier.
-    placed = joined.join(_places(calls.where(known), results.where(known)), ["conv_id", "id"])
-    copies = F.coalesce("c_copies", F.lit(0)) + F.coalesce("r_copies", F.lit(0))
-    rows = placed.select("conv_id", "id", "c", "r", "status", "place", copies.alias("copies"))
-    rows = rows.unionByName(
-        unnamed.select("conv_id", "id", "c", "r", F.lit("unidentified").alias("status"), F.lit(None).cast("long").alias("place"), F.lit(1).cast("long").alias("copies"))
-    )
-    wrong = F.when(F.col("c").isNull(), F.array().cast("array<string>")).otherwise(errors(F.col("c.arguments"), F.col("c.name"), schema))
-    rows = rows.withColumn("wrong", wrong)
-    sound = F.when(~F.array_contains("wrong", "not an object"), F.try_parse_json("c.arguments"))
-    text = F.to_json(
-        F.struct(
-            F.when(F.col("c").isNotNull(), F.struct(sound.alias("arguments"), F.col("id"), F.col("c.name").alias("name"))).alias("call"),
-            F.when(F.col("r").isNotNull(), F.struct(F.col("r.content").alias("content"), F.col("id").alias("tool_call_id"))).alias("result"),
-        ),
-        {"ignoreNullFields": "false"},
-    )
-    return rows.select(
-        "conv_id",
-        F.col("id").alias("call_id"),
-        F.col("c.name").alias("name"),
-        "status",
-        "place",
-        "copies",
-        (F.size("wrong") == 0).alias("valid"),
-        F.array_join("wrong", "; ").alias("errors"),
-        text.alias("json"),
-    )
+    key = ["conv_id", "id"]
+    calls = firsts.where("c is not null").select(*key, F.col("c.position").alias("at"), F.col("r.position").alias("answered"), F.col("c.body").alias("body"))
+    edges = stored(_needs(calls), "needs")
+    nodes = edges.select(*key).union(edges.select("conv_id", "needs")).distinct()
+    calls = stored(calls.drop("body").join(nodes, key, "left_semi"), "calls")
+    wanted = edges.groupBy(*key).agg(F.count("*").alias("n"))
+    done = calls.join(wanted, key, "left_anti").select(*key, "at", "answered", F.lit(0).alias("level"))
+    done = stored(done, "settled")
+    while True:
+        ready = done.select("conv_id", F.col("id").alias("needs"), F.greatest("at", "answered").alias("behind"), "level")
+        met = edges.join(done.select(*key), key, "left_anti").join(ready, ["conv_id", "needs"]).groupBy(*key)
+        met = met.agg(F.count("*").alias("n"), F.max("behind").alias("behind"), (F.max("level") + 1).alias("level"))
+        now = met.join(wanted, [*key, "n"], "left_semi").join(calls, key)
+        now = stored(now.select(*key, F.greatest("at", "behind").alias("at"), "answered", "level"), "settled")
+        if now.isEmpty():
+            break
+        done = done.union(now)
+    rest = calls.join(done.select(*key), key, "left_anti").select(*key, "at", F.lit(0).alias("level"), F.lit(True).alias("cycle"))
+    return done.select(*key, "at", "level", F.lit(False).alias("cycle")).union(rest).withColumnRenamed("at", "from_at")
 
 
 def sequence(calls: DataFrame, results: DataFrame, schema: Schema) -> DataFrame:
     """One row for each call and for each result, also those that repeat an identifier, in topological order.
 
-    A result stands at its own position or, if that is not behind its call's, behind the calls there.
+    A result stands at its own position or, if that is not behind its call's, behind the calls there; a call
+    stands behind the results of the calls that its arguments name.
     Columns of the result: conv_id, id, kind (call or result), name, status (of further copies
     ``duplicate``), position (as written), place (from 0), partner_place (of the linked
     result or call), valid, errors, json.
@@ -196,31 +188,39 @@ def sequence(calls: DataFrame, results: DataFrame, schema: Schema) -> DataFrame:
     firsts = equal.groupBy("conv_id", "id").agg(
         *(F.min(F.when(F.col("side") == side, one)).alias(c) for side, c in ((0, "c"), (1, "r")))
     )
-    joined = equal.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).join(firsts, ["conv_id", "id"])
+    firsts = stored(firsts, "firsts")
+    joined = equal.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).join(firsts.hint("shuffle_hash"), ["conv_id", "id"])
+    joined = joined.join(_settled(firsts).hint("shuffle_hash"), ["conv_id", "id"], "left")
     is_first = (F.col("copy") == 1) & F.when(F.col("side") == 0, one.eqNullSafe(F.col("c"))).otherwise(one.eqNullSafe(F.col("r")))
     both = F.col("c").isNotNull() & F.col("r").isNotNull()
     status = F.when(~is_first, "duplicate").when(both, "linked").otherwise(F.when(F.col("side") == 0, "unanswered").otherwise("orphan"))
-    at = F.when(F.col("side") == 0, F.col("position")).otherwise(F.greatest("position", "c.position"))
-    nodes = joined.select(*rows.columns, "copy", status.alias("status"), at.alias("at")).withColumn("stretch", F.floor(F.col("at") / STRETCH))
+    own = F.when(is_first, F.coalesce("from_at", "position")).otherwise(F.col("position"))
+    at = F.when(F.col("side") == 0, own).otherwise(F.greatest("position", "c.position", "from_at"))
+    cycle = (F.col("side") == 0) & is_first & F.coalesce("cycle", F.lit(False))
+    level = F.when(is_first | (F.col("side") == 1), F.coalesce("level", F.lit(0))).otherwise(0)
+    nodes = joined.select(*rows.columns, "copy", status.alias("status"), at.alias("at"), level.alias("level"), cycle.alias("cycle"))
+    nodes = nodes.withColumn("stretch", F.floor(F.col("at") / STRETCH))
 
     sizes = nodes.groupBy("conv_id", "stretch").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("conv_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select(
         F.col("conv_id").alias("b_conv"), F.col("stretch").alias("b_stretch"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
     )
-    order = Window.partitionBy("conv_id", "stretch").orderBy("at", "side", "id", "position", "name", "body", "copy")
+    order = Window.partitionBy("conv_id", "stretch").orderBy("at", "level", "side", "id", "position", "name", "body", "copy")
     same = (F.col("conv_id") == F.col("b_conv")) & F.col("stretch").eqNullSafe(F.col("b_stretch"))
-    placed = nodes.withColumn("inside", F.row_number().over(order) - 1).join(before, same)
-    placed = placed.select(*rows.columns, "status", (F.col("before") + F.col("inside")).alias("place"))
+    placed = nodes.withColumn("inside", F.row_number().over(order) - 1).join(before.hint("shuffle_hash"), same)
+    placed = placed.select(*rows.columns, "status", "cycle", (F.col("before") + F.col("inside")).alias("place"))
     partners = placed.where("status = 'linked'").select("conv_id", "id", (1 - F.col("side")).alias("side"), "status", F.col("place").alias("partner_place"))
-    placed = placed.join(partners, ["conv_id", "id", "side", "status"], "left").select(*rows.columns, "status", "place", "partner_place")
+    placed = placed.join(partners.hint("shuffle_hash"), ["conv_id", "id", "side", "status"], "left")
+    placed = placed.select(*rows.columns, "status", "cycle", "place", "partner_place")
     none = F.lit(None).cast("long")
-    unnamed = rows.where(~known).select(*rows.columns, F.lit("unidentified").alias("status"), none.alias("place"), none.alias("partner_place"))
+    unnamed = rows.where(~known).select(*rows.columns, F.lit("unidentified").alias("status"), F.lit(False).alias("cycle"), none.alias("place"), none.alias("partner_place"))
 
     every = placed.unionByName(unnamed)
     is_call = F.col("side") == 0
     every = every.withColumn("wrong", F.when(is_call, errors(F.col("body"), F.col("name"), schema)).otherwise(F.array().cast("array<string>")))
     sound = F.when(~F.array_contains("wrong", "not an object"), F.try_parse_json("body"))
+    every = every.withColumn("wrong", F.when(F.col("cycle"), F.array_append("wrong", F.lit("cycle"))).otherwise(F.col("wrong")))
     keep_nulls = {"ignoreNullFields": "false"}
     call = F.to_json(F.struct(sound.alias("arguments"), "id", "name"), keep_nulls)
     result = F.to_json(F.struct(F.col("body").alias("content"), F.col("id").alias("tool_call_id")), keep_nulls)
@@ -242,38 +242,44 @@ def sequence(calls: DataFrame, results: DataFrame, schema: Schema) -> DataFrame:
 #: The rows of the query over plain conversations, in SQL. The limits are those of TURN_SCHEMA.
 TURNS_SQL = """
 WITH m AS (SELECT conv_id, turn, role, text FROM conversations),
-asked AS (
-  SELECT conv_id, id, min({'position': turn, 'name': name, 'arguments': arguments, 'text': text}) AS c, count(*) AS n FROM (
-    SELECT conv_id, turn, text, conv_id || ':' || turn AS id,
-           '{' || CASE WHEN text IS NULL THEN '' ELSE '"text":' || CAST(to_json(text) AS VARCHAR) || ',' END || '"turn":' || turn || '}' AS arguments,
-           CASE role WHEN 'user' THEN 'reply' WHEN 'system' THEN 'configure' ELSE 'note' END AS name
-    FROM m WHERE role IS DISTINCT FROM 'assistant')
-  GROUP BY conv_id, id),
-given AS (
-  SELECT conv_id, id, min({'position': turn, 'content': text}) AS r, count(*) AS n FROM (
-    SELECT conv_id, turn, text, conv_id || ':' || (turn - 1) AS id FROM m WHERE role = 'assistant')
-  GROUP BY conv_id, id),
-linked AS (
-  SELECT conv_id, id, c, r, coalesce(asked.n, 0) + coalesce(given.n, 0) AS copies,
-         coalesce(c.position, r.position) AS position
-  FROM asked FULL JOIN given USING (conv_id, id)),
+nodes AS (
+  SELECT conv_id, CASE WHEN turn IS NOT NULL THEN concat_ws(':', conv_id, turn) END AS id, 0 AS side, turn AS position,
+         CASE role WHEN 'user' THEN 'reply' WHEN 'system' THEN 'configure' ELSE 'note' END AS name,
+         '{' || concat_ws(',', CASE WHEN text IS NOT NULL THEN '"text":' || CAST(to_json(text) AS VARCHAR) END,
+                          CASE WHEN turn IS NOT NULL THEN '"turn":' || turn END) || '}' AS body, text
+  FROM m WHERE role IS DISTINCT FROM 'assistant'
+  UNION ALL
+  SELECT conv_id, CASE WHEN turn IS NOT NULL THEN concat_ws(':', conv_id, turn - 1) END, 1, turn, NULL, text, NULL
+  FROM m WHERE role = 'assistant'),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, id, side ORDER BY position, name NULLS FIRST, body NULLS FIRST) AS nth,
+         min(CASE WHEN side = 0 THEN position END) OVER (PARTITION BY conv_id, id) AS called,
+         count(DISTINCT side) OVER (PARTITION BY conv_id, id) AS sides
+  FROM nodes WHERE conv_id IS NOT NULL AND id IS NOT NULL),
+placed AS (
+  SELECT conv_id, id, side, position, name, body, text,
+         CASE WHEN nth > 1 THEN 'duplicate' WHEN sides = 2 THEN 'linked' WHEN side = 0 THEN 'unanswered' ELSE 'orphan' END AS status,
+         row_number() OVER (PARTITION BY conv_id ORDER BY
+           CASE WHEN side = 0 THEN position ELSE greatest(position, coalesce(called, position)) END,
+           side, id, position, name NULLS FIRST, body NULLS FIRST) - 1 AS place
+  FROM numbered),
+every AS (
+  SELECT *, CASE WHEN status = 'linked' THEN sum(place) FILTER (status = 'linked') OVER (PARTITION BY conv_id, id) - place END
+    AS partner_place FROM placed
+  UNION ALL
+  SELECT conv_id, id, side, position, name, body, text, 'unidentified', NULL, NULL FROM nodes WHERE conv_id IS NULL OR id IS NULL),
 checked AS (
-  SELECT *, CASE WHEN c IS NULL THEN ''
-    WHEN c.name = 'reply' THEN concat_ws('; ',
-      CASE WHEN c.text IS NULL THEN 'missing text' WHEN length(c.text) NOT BETWEEN 1 AND 400 THEN 'range text' END,
-      CASE WHEN c.position < 0 THEN 'range turn' END)
-    WHEN c.name = 'configure' THEN concat_ws('; ',
-      CASE WHEN c.text IS NULL THEN 'missing text' WHEN length(c.text) NOT BETWEEN 1 AND 4000 THEN 'range text' END,
-      CASE WHEN c.position <> 0 THEN 'range turn' END)
-    ELSE concat_ws('; ', CASE WHEN c.position < 0 THEN 'range turn' END) END AS errors
-  FROM linked)
-SELECT conv_id, id AS call_id, c.name AS name,
-  CASE WHEN r IS NULL THEN 'unanswered' WHEN c IS NULL THEN 'orphan' ELSE 'linked' END AS status,
-  row_number() OVER (PARTITION BY conv_id ORDER BY position, id) - 1 AS place,
-  CAST(copies AS BIGINT) AS copies, errors = '' AS valid, errors,
-  '{"call":' || CASE WHEN c IS NULL THEN 'null' ELSE '{"arguments":' || c.arguments || ',"id":'
-      || CAST(to_json(id) AS VARCHAR) || ',"name":"' || c.name || '"}' END
-    || ',"result":' || CASE WHEN r IS NULL THEN 'null' ELSE '{"content":' || CASE WHEN r.content IS NULL THEN 'null' ELSE CAST(to_json(r.content) AS VARCHAR) END
-      || ',"tool_call_id":' || CAST(to_json(id) AS VARCHAR) || '}' END || '}' AS json
+  SELECT *, CASE WHEN side = 1 THEN '' ELSE concat_ws('; ',
+      CASE WHEN name <> 'note' AND text IS NULL THEN 'missing text'
+           WHEN name = 'reply' AND length(text) NOT BETWEEN 1 AND 400 THEN 'range text'
+           WHEN name = 'configure' AND length(text) NOT BETWEEN 1 AND 4000 THEN 'range text' END,
+      CASE WHEN position IS NULL THEN 'missing turn'
+           WHEN position < 0 OR (name = 'configure' AND position > 0) THEN 'range turn' END) END AS errors
+  FROM every)
+SELECT conv_id, id, CASE WHEN side = 0 THEN 'call' ELSE 'result' END AS kind, name, status, position, place,
+  CAST(partner_place AS BIGINT) AS partner_place, errors = '' AS valid, errors,
+  CASE WHEN side = 0 THEN '{"arguments":' || body || ',"id":' || coalesce(CAST(to_json(id) AS VARCHAR), 'null') || ',"name":"' || name || '"}'
+    ELSE '{"content":' || coalesce(CAST(to_json(body) AS VARCHAR), 'null') || ',"tool_call_id":'
+      || coalesce(CAST(to_json(id) AS VARCHAR), 'null') || '}' END AS json
 FROM checked
 """

@@ -36,7 +36,7 @@ def op3_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
-    return chat.link(chat.calls_of_turns(turns), chat.results_of_turns(turns), chat.TURN_SCHEMA)
+    return chat.sequence(chat.calls_of_table(turns), chat.results_of_table(turns), chat.TURN_SCHEMA)
 
 
 #: The rules of the query.

@@ -84,16 +84,48 @@ def test_messages_with_tool_calls(spark):
         (1, 3, "assistant", "plain text"),
     ]
     messages = rows_frame(spark, rows)
-    got = {r.call_id: r for r in chat.link(chat.calls_of_messages(messages), chat.results_of_messages(messages), SCHEMA).collect()}
+    rows = chat.sequence(chat.calls_of_messages(messages), chat.results_of_messages(messages), SCHEMA).collect()
+    got = {(r.kind, r.id): r for r in rows}
     assert {i: (r.status, r.place, r.errors) for i, r in got.items()} == {
-        "a": ("unanswered", 0, "unknown tool other"),
-        "b": ("linked", 1, ""),
-        "c": ("orphan", 2, ""),
+        ("call", "a"): ("unanswered", 0, "unknown tool other"),
+        ("call", "b"): ("linked", 1, ""),
+        ("result", "b"): ("linked", 2, ""),
+        ("result", "c"): ("orphan", 3, ""),
     }
     # The result written before its call stands behind it; keys are sorted and there is no white space.
-    assert got["b"].json == (
-        '{"call":{"arguments":{"most":2,"what":"x"},"id":"b","name":"find"},"result":{"content":"early","tool_call_id":"b"}}'
-    )
+    assert got["call", "b"].json == '{"arguments":{"most":2,"what":"x"},"id":"b","name":"find"}'
+    assert got["result", "b"].json == '{"content":"early","tool_call_id":"b"}'
+    # Beside plain turns, in the query's own way.
+    mixed = rows_frame(spark, [(1, i, r, t) for i, r, t in ((0, "tool", json.dumps({"tool_call_id": "b", "content": "early"})), (1, "assistant", json.dumps(call)), (5, "user", "hi"), (6, "assistant", "ho"))])
+    found = chat.sequence(chat.calls_of_table(mixed), chat.results_of_table(mixed), chat.TURN_SCHEMA).collect()
+    assert sorted((r.kind, r.id, r.status) for r in found) == [
+        ("call", "1:5", "linked"), ("call", "a", "unanswered"), ("call", "b", "linked"), ("result", "1:5", "linked"), ("result", "b", "linked"),
+    ]
+
+
+def test_calls_stand_behind_what_their_arguments_name(spark):
+    def call(i, position, *needs):
+        return (1, i, position, "find", json.dumps({"what": "x", **{f"k{n}": v for n, v in enumerate(needs)}}))
+
+    # c needs b needs a, all written the wrong way round; d and e need each other, f needs one of these, g itself.
+    calls = [call("c", 0, "b"), call("b", 1, "a"), call("a", 2), call("d", 3, "e"), call("e", 4, "d"), call("f", 5, "d"), call("g", 6, "g"), call("h", 7, "zz", "a")]
+    results = [(1, "a", 5, "of a"), (1, "b", 3, "of b"), (1, "c", 9, "of c")]
+    rows = chat.sequence(
+        spark.createDataFrame(calls, "conv_id long, id string, position long, name string, arguments string"),
+        spark.createDataFrame(results, "conv_id long, id string, position long, content string"),
+        SCHEMA,
+    ).collect()
+    order = [(r.kind[0], r.id) for r in sorted(rows, key=lambda r: r.place)]
+    assert order.index(("r", "a")) < order.index(("c", "b")) < order.index(("r", "b")) < order.index(("c", "c")) < order.index(("r", "c"))
+    assert order.index(("c", "a")) < order.index(("r", "a")) < order.index(("c", "h"))
+    assert len(order) == 11 and sorted(r.place for r in rows) == list(range(11))
+    assert {r.id for r in rows if "cycle" in r.errors} == {"d", "e", "f", "g"}
+    assert [i for k, i in order if k == "c" and i in "defg"] == ["d", "e", "f", "g"]
+
+
+def test_joins_are_hash_joins(spark):
+    plan = QUERIES[NAME](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ShuffledHashJoin") >= 3 and "SortMergeJoin" not in plan
 
 
 def test_sequence_keeps_the_order_of_results_and_all_copies(spark, monkeypatch):
