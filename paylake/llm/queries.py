@@ -117,6 +117,42 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_double_array_trie": op13_double_array_trie,
 }
 
+def shingle_groups_sql(words: int, percent: int, more: str = "") -> str:
+    """Groups of documents by shingles that they share, in SQL: all pairs, then all that links reach."""
+    return f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+    lambda w: w <> '') AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + {words} - 1], ' ') AS shingle
+  FROM split, LATERAL (SELECT unnest(range(1, greatest(len(words) - {words} + 1, 1) + 1)) AS i)
+  WHERE len(words) > 0
+), sizes AS (
+  SELECT d.doc_id, count(s.shingle) AS n FROM documents d LEFT JOIN shingles s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+), shared AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT u, v FROM shared JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v
+  WHERE 100 * shared.n >= {percent} * (a.n + b.n - shared.n)
+), sides AS (
+  SELECT u, v FROM links UNION ALL SELECT v, u FROM links
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, s.v FROM reach r JOIN sides s ON s.u = r.other
+), least AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, n AS n_shingles, component_id{more} FROM sizes JOIN least USING (doc_id)
+"""
+
+
 #: The other operators use tokenizers, compressors, hashes or models that SQL does not have;
 #: tests/llm compares them with brute force.
-ORACLES: dict[str, str] = {"op4_tool_calls": chat.TURNS_SQL, "op13_double_array_trie": turn_trie.SQL}
+ORACLES: dict[str, str] = {
+    "op4_tool_calls": chat.TURNS_SQL,
+    "op8_superminhash": shingle_groups_sql(2, 80, ", doc_id = component_id AS kept"),
+    "op12_count_tree": shingle_groups_sql(4, 85),
+    "op13_double_array_trie": turn_trie.SQL,
+}
