@@ -38,9 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import binaries, bounded_batches, map_texts, pick, ragged, stored
-from paylake.llm.neardup import components, fingerprint, mix, shingle_sets, verify
-from paylake.operators.keys import bit_set
+from paylake.llm.buckets import best_partners, join_members, mixed, repeated, with_pivots
+from paylake.llm.common import bounded_batches, map_texts, pick, ragged, stored
+from paylake.llm.neardup import component_ids, components, halves, linked, mix, shingle_sets, told_apart
 
 #: A link needs 100 * intersection >= PERCENT * union.
 PERCENT = 85
@@ -131,12 +131,6 @@ def unpacked(column: list[bytes]) -> np.ndarray:
     return np.stack([np.frombuffer(p, kinds[len(p)]).astype(np.int64) for p in column])
 
 
-def halves(sets: list[np.ndarray]) -> dict[str, np.ndarray]:
-    """``node`` and ``other``: 128 bits that tell sets apart."""
-    both = np.frombuffer(b"".join(map(fingerprint, sets)), np.int64).reshape(-1, 2)
-    return {"node": both[:, 0], "other": both[:, 1]}
-
-
 def sign(docs: DataFrame, words: int) -> DataFrame:
     """Replaces the text by n_shingles, node and other (two halves of the set's fingerprint), point, and keys with the margin
     left, for the own and the lower band."""
@@ -252,13 +246,8 @@ def _joined(node: np.ndarray, part: np.ndarray, component: np.ndarray, size: np.
     apart = component[a] != component[b]
     a, b = a[apart], b[apart]
     if best and len(a):
-        # Of each entry the partner with the largest bound for their sizes.
         score = np.concatenate([_share(point, size, a[c : c + 4096], b[c : c + 4096]) for c in range(0, len(a), 4096)])
-        mine, other, score = np.concatenate((a, b)), np.concatenate((b, a)), np.concatenate((score, score))
-        order = np.lexsort((node[other], -score, mine))
-        mine, other = mine[order], other[order]
-        first = np.concatenate(([True], mine[1:] != mine[:-1]))
-        a, b = mine[first], other[first]
+        a, b = best_partners(node, a, b, score)
     return node[a], node[b]
 
 
@@ -267,53 +256,11 @@ def _join_buckets(rows: DataFrame, best: bool) -> DataFrame:
 
     ``rows`` has key, node, component, n and point.
     """
-    sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    many = stored(sizes.where("blocks > 1"), "many")
-    one = rows.join(many, "key", "left_anti").withColumns({c: F.lit(0).cast("long") for c in ("i", "j", "part")})
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long")
-    cut = rows.join(many, "key").withColumn("part", block)
-    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumns(
-        {"i": F.least("part", "other"), "j": F.greatest("part", "other")}
-    )
-    columns = ("key", "i", "j", "part", "node", "component", "n", "point")
-    units = one.select(*columns).unionByName(cut.select(*columns))
-    dealt = units.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    parts = ("part", "node", "component", "n", "point")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, key = [], None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            names = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
-            edges = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1).tolist(), len(names)]
-            found = []
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                if key != tuple(names[a]) and waiting:
-                    found.append(unit(waiting))
-                    waiting = []
-                    if sum(len(f[0]) for f in found) > 1 << 16:
-                        yield from sent(found)
-                        found = []
-                key = tuple(names[a])
-                waiting.append(batch.slice(a, b - a).select(list(parts)))
-            yield from sent(found)
-        if waiting:
-            yield from sent([unit(waiting)])
-
-    def unit(pieces: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
-        whole = pa.Table.from_batches(pieces)
-        part, node, component, size = (whole.column(c).to_numpy() for c in parts[:4])
-        if component.min() == component.max():
-            return node[:0], node[:0]
-        point = unpacked(whole.column("point").to_pylist())
-        return _joined(node, part, component, size, point, best)
-
-    def sent(found) -> Iterator[pa.RecordBatch]:
-        u, v = (np.concatenate([*(f[k] for f in found), np.zeros(0, np.int64)]).astype(np.int64) for k in (0, 1))
-        yield pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], names=["u", "v"])
-
-    return bounded_batches(dealt).mapInArrow(run, "u long, v long").where("u > v").distinct()
+    def joined(node, part, component, table):
+        return _joined(node, part, component, table.column("n").to_numpy(), unpacked(table.column("point").to_pylist()), best)
+
+    return join_members(rows, joined, BLOCK)
 
 
 def _possible(pairs: DataFrame, about: DataFrame) -> DataFrame:
@@ -342,60 +289,21 @@ def _members(sets: DataFrame) -> DataFrame:
         F.transform("low_keys", lambda k: F.struct(k.alias("key"), F.lit(True).alias("low"))),
     )
     rows = sets.select("node", F.explode(tagged).alias("k")).select("node", "k.key", "k.low")
-    repeated = stored(rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "repeated")
-    # Most keys come once. Those rows are dropped where they are made, before the join shuffles.
-    rows = bit_set(repeated, "key").maybe(rows, "key")
-    found = stored(rows.distinct().join(repeated, "key"), "members")
+    found = repeated(rows)
     crowded = found.where(F.col("members") > CROWDED)
     spare = F.when(F.col("low"), F.col("low_spare")).otherwise(F.col("spare"))
     room = sets.join(crowded.select("node").distinct(), "node", "left_semi").groupBy("node")
     room = room.agg(F.min("spare").alias("spare"), F.min("low_spare").alias("low_spare"))
     leaving = crowded.groupBy("node", "low").count().join(room, "node").where(F.col("count") <= spare).select("node", "low")
     stay = crowded.join(stored(leaving, "leaving"), ["node", "low"], "left_anti")
-    left = stored(found.where(F.col("members") <= CROWDED).select("key", "node").union(stay.select("key", "node")), "staying")
-    several = left.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("pivot")).where("c > 1").select("key", "pivot")
-    return stored(left.join(stored(several, "pivots"), "key"), "buckets")
-
-
-def _open(members: DataFrame, about: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components, with component, size and point."""
-    named = members.select("key", "node").join(found.select(F.col("u").alias("node"), "v"), "node", "left")
-    named = stored(named.select("key", "node", F.coalesce("v", "node").alias("component")), "named")
-    mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    return stored(named.join(stored(mixed, "mixed"), "key").join(about, "node"), "open")
-
-
-def _linked(pairs: DataFrame, docs: DataFrame, signed: DataFrame, words: int) -> DataFrame:
-    """Those pairs that are links, by the full sets of their nodes, which are made from the texts again."""
-    nodes = stored(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct(), "nodes")
-    # One document for each node; a bit set keeps other texts out of the join.
-    narrow = signed.where("doc_id is not null and n_shingles > 0").select("doc_id", "node")
-    wanted = stored(narrow.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "wanted")
-    texts = bit_set(wanted, "doc_id").maybe(docs, "doc_id").join(wanted, "doc_id")
-
-    def work(found: list[str | None]) -> dict:
-        own = shingle_sets(found, words)
-        counts = np.fromiter(map(len, own), np.int64, len(own))
-        flat = np.concatenate([*own, np.zeros(0, np.uint64)])
-        return {"made": halves(own)["node"], "elements": binaries(flat, counts, 8)}
-
-    # A repeated id may have several texts: only that of the node counts.
-    sets = map_texts(texts, "made long, elements binary", lambda: work).where("made = node")
-    return stored(verify(pairs, stored(sets.select("node", "elements").dropDuplicates(["node"]), "sets"), percent=PERCENT), "links")
-
-
-def _told_apart(signed: DataFrame) -> DataFrame:
-    """Different sets have different nodes: where half a fingerprint is not enough, the other half counts."""
-    narrow = signed.where("n_shingles > 0").groupBy("node").agg(F.min("other").alias("low"), F.max("other").alias("high"))
-    # Of n sets about n * n / 2 ** 65 pairs agree in 64 bits.
-    same = [r.node for r in narrow.where("low <> high").select("node").collect()]
-    return signed.withColumn("node", F.when(F.col("node").isin(same), F.col("other")).otherwise(F.col("node"))) if same else signed
+    left = found.where(F.col("members") <= CROWDED).select("key", "node").union(stay.select("key", "node"))
+    return with_pivots(stored(left, "staying"))
 
 
 def group(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of all documents: the least id that links reach."""
     docs = pick(docs, "doc_id", "text")
-    signed = _told_apart(stored(sign(docs, words), "signed"))
+    signed = told_apart(stored(sign(docs, words), "signed"))
     known = signed.where("doc_id is not null and n_shingles > 0")
     members = _members(known)
     shared = members.select("node").distinct()
@@ -404,25 +312,17 @@ def group(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     first = members.where("node > pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
     tried = stored(_possible(first, about), "pairs")
-    found = components(_linked(tried, docs, signed, words))
+    found = components(linked(tried, docs, signed, words, PERCENT))
     for best in (True, False):
-        possible = stored(_join_buckets(_open(members, about, found), best), "possible")
+        possible = stored(_join_buckets(mixed(members, about, found), best), "possible")
         if possible.isEmpty():
             break
         pairs = stored(possible.join(tried, ["u", "v"], "left_anti"), "pairs")
         tried = tried.union(pairs)
         # Links and stars have the same components.
-        found = components(found.union(_linked(pairs, docs, signed, words)))
-
-    # The sets of a repeated id are linked by it.
-    ids = known.select("doc_id", "node")
-    several = ids.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("u")).where("v < u").select("doc_id", "v")
-    both = ids.join(several, "doc_id").select(F.col("node").alias("u"), "v").where("u <> v")
-    every = components(found.union(both))
-    named = ids.join(every.withColumnRenamed("u", "node"), "node", "left").select("doc_id", F.coalesce("v", "node").alias("component"))
-    named = stored(named.distinct(), "components")
-    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_doc = named.join(least, "component").select("doc_id", "component_id").where("doc_id > component_id")
+        found = components(found.union(linked(pairs, docs, signed, words, PERCENT)))
+
+    of_doc = component_ids(known.select("doc_id", "node"), found)
     return (
         signed.select("doc_id", "n_shingles")
         .join(of_doc, "doc_id", "left")

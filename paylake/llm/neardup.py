@@ -13,8 +13,8 @@ order, the first ``SHARED`` that two linked sets share stand near the front of b
 has a key for every choice of ``SHARED`` of its first elements. Pairs within a bucket are not
 listed. First the least member is compared with the others, on their full sets, and what
 is linked becomes one component: a group of copies costs a comparison for each
-member. Then, in buckets that still hold several components, members outside the
-largest one are compared with the members of other components, unless sizes or parities
+member. Then, in buckets that still hold several components, members of different ones are compared, first
+each with its best partner and at last all pairs that are left, unless sizes or parities
 prove that they are no link: a group of hashes of which one set has an odd and the other an
 even number holds an element that only one has. That is a bound, no estimate, so no linked
 pair of a bucket that could join two components is left out. The one error at the threshold: a
@@ -37,7 +37,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paylake.llm.buckets import best_partners, join_members, mixed, repeated, with_pivots
 from paylake.llm.common import binaries, bounded_batches, map_texts, pick, ragged, stored
+from paylake.operators.keys import bit_set
 
 #: Slots of a signature, a power of 4. Bands times rows of them make the buckets.
 SLOTS = 256
@@ -56,6 +58,9 @@ PERCENT = 80
 #: Sets of up to so many elements are found by exact keys, of so many shared elements each.
 SMALL, SHARED = 24, 3
 
+#: A bucket of more members is joined block by block.
+BLOCK = 1024
+
 #: The largest set that may be linked with a small one.
 LARGEST_PARTNER = 100 * SMALL // PERCENT
 
@@ -188,8 +193,25 @@ def fingerprint(elements: np.ndarray) -> bytes:
     return hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
 
 
+def halves(sets: list[np.ndarray]) -> dict[str, np.ndarray]:
+    """``node`` and ``other``: 128 bits that tell sets apart."""
+    both = np.frombuffer(b"".join(map(fingerprint, sets)), np.int64).reshape(-1, 2)
+    return {"node": both[:, 0], "other": both[:, 1]}
+
+
+def told_apart(signed: DataFrame) -> DataFrame:
+    """Different sets have different nodes: where half a fingerprint is not enough, the other half counts.
+
+    Of n sets about n * n / 2 ** 65 pairs agree in 64 bits; these few are collected.
+    """
+    narrow = signed.where("n_shingles > 0").groupBy("node").agg(F.min("other").alias("low"), F.max("other").alias("high"))
+    same = [r.node for r in narrow.where("low <> high").select("node").collect()]
+    return signed.withColumn("node", F.when(F.col("node").isin(same), F.col("other")).otherwise(F.col("node"))) if same else signed
+
+
 def sign(docs: DataFrame, words: int) -> DataFrame:
-    """Replaces the text by ``n_shingles``, ``print`` (of the set), ``bands`` (keys of its buckets) and ``parity``."""
+    """Replaces the text by ``n_shingles``, ``node`` and ``other`` (two halves of the set's fingerprint), ``bands`` (keys of
+    its buckets) and ``parity``."""
 
     def lists(values) -> pa.Array:
         edges = ragged(np.fromiter(map(len, values), np.int64, len(values)))
@@ -199,12 +221,12 @@ def sign(docs: DataFrame, words: int) -> DataFrame:
         sets = shingle_sets(texts, words)
         return {
             "n_shingles": np.fromiter(map(len, sets), np.int64, len(sets)),
-            "print": pa.array(map(fingerprint, sets), pa.binary()),
+            **halves(sets),
             "bands": lists(bucket_keys(sets)),
             "parity": lists(parities(sets)),
         }
 
-    return map_texts(docs, "n_shingles long, print binary, bands array<bigint>, parity array<bigint>", lambda: work)
+    return map_texts(docs, "n_shingles long, node long, other long, bands array<bigint>, parity array<bigint>", lambda: work)
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,94 +286,103 @@ def _stars(links: DataFrame) -> bool:
     return several.union(chained).isEmpty()
 
 
-def verify(pairs: DataFrame, sets: DataFrame, column: str = "elements", percent: int = PERCENT) -> DataFrame:
-    """Those pairs (u, v) that are linked. ``sets`` has the full set of every ``node``.
-
-    With the column ``short``, the lower halves of the hashes: all linked pairs and perhaps a few
-    more. Two elements that are equal in it can only add to what is shared.
-    """
-    kind = np.uint64 if column == "elements" else np.uint32
+def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Those pairs (u, v) that are linked. ``sets`` has the full set of every ``node``: its sorted hashes as ``elements``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             mine, other = batch.column("set_u"), batch.column("set_v")
             keep = []
             for i in range(batch.num_rows):
-                a = np.frombuffer(mine[i].as_buffer(), kind)
-                b = np.frombuffer(other[i].as_buffer(), kind)
+                a = np.frombuffer(mine[i].as_buffer(), np.uint64)
+                b = np.frombuffer(other[i].as_buffer(), np.uint64)
                 both = np.sort(np.concatenate((a, b)), kind="stable")
                 shared = int(np.count_nonzero(both[1:] == both[:-1]))
                 keep.append(100 * shared >= percent * (len(a) + len(b) - shared))
             found = pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], names=["u", "v"])
             yield found.filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("node").alias("u"), F.col(column).alias("set_u"))
-    right = sets.select(F.col("node").alias("v"), F.col(column).alias("set_v"))
+    left = sets.select(F.col("node").alias("u"), F.col("elements").alias("set_u"))
+    right = sets.select(F.col("node").alias("v"), F.col("elements").alias("set_v"))
     return bounded_batches(pairs.join(left, "u").join(right, "v")).mapInArrow(run, "u long, v long")
 
 
+def linked(pairs: DataFrame, docs: DataFrame, signed: DataFrame, words: int, percent: int = PERCENT) -> DataFrame:
+    """Those pairs of nodes that are links, by full sets, which are made from the texts of these nodes again; stored."""
+    nodes = stored(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct(), "nodes")
+    # One document for each node; a bit set keeps other texts out of the join.
+    narrow = signed.where("doc_id is not null and n_shingles > 0").select("doc_id", "node", "other")
+    wanted = narrow.join(nodes, "node").groupBy("node", "other").agg(F.min("doc_id").alias("doc_id"))
+    wanted = stored(wanted, "wanted")
+    texts = bit_set(wanted, "doc_id").maybe(docs, "doc_id").join(wanted, "doc_id")
+
+    def work(found: list[str | None]) -> dict:
+        own = shingle_sets(found, words)
+        counts = np.fromiter(map(len, own), np.int64, len(own))
+        made = halves(own)
+        return {
+            "made": made["node"],
+            "made_other": made["other"],
+            "elements": binaries(np.concatenate([*own, np.zeros(0, np.uint64)]), counts, 8),
+        }
+
+    # A repeated id may have several texts: only that of the node counts. A node may be the other half.
+    sets = map_texts(texts, "made long, made_other long, elements binary", lambda: work).where("made_other = other and node in (made, made_other)")
+    sets = stored(sets.select("node", "elements").dropDuplicates(["node"]), "sets")
+    return stored(verify(pairs, sets, percent), "links")
+
+
+def component_ids(ids: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc_id, component_id) of the documents that are not the least of their component.
+
+    ``ids`` has a (doc_id, node) row for each document and each of its sets, ``found`` nodes ``u`` with the least node ``v`` of
+    their component. The sets of a repeated id are linked by it.
+    """
+    several = ids.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("u")).where("v < u").select("doc_id", "v")
+    both = ids.join(several, "doc_id").select(F.col("node").alias("u"), "v").where("u <> v")
+    every = components(found.union(both))
+    named = ids.join(every.withColumnRenamed("u", "node"), "node", "left").select("doc_id", F.coalesce("v", "node").alias("component"))
+    named = stored(named.distinct(), "components")
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return named.join(least, "component").select("doc_id", "component_id").where("doc_id > component_id")
+
+
 def group(docs: DataFrame, words: int) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of all documents.
 
     Linked documents are a component; it is named for its least id, and that one is kept.
     """
     docs = pick(docs, "doc_id", "text")
-    signed = stored(sign(docs, words), "signed")
+    signed = told_apart(stored(sign(docs, words), "signed"))
     known = signed.where("doc_id is not null and n_shingles > 0")
-    classes = known.groupBy("print").agg(F.min("doc_id").alias("node"), F.max("doc_id").alias("last")).where("last > node")
-    copies = known.select("print", "doc_id").join(stored(classes.drop("last"), "classes"), "print").where("doc_id > node")
-    copies = stored(copies.distinct(), "copies")
-    # One row for each class; its keys are not shuffled with it.
-    first = known.join(copies, ["doc_id", "print"], "left_anti").withColumnRenamed("doc_id", "node")
-
-    rows = first.select("node", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("pivot")).where("members > 1")
-    members = stored(rows.join(stored(shared.drop("members"), "shared"), "key").distinct(), "members")
-    about = first.join(members.select("node").distinct(), "node", "left_semi")
-    about = stored(about.select("node", "print", F.col("n_shingles").alias("n"), "bands", "parity").dropDuplicates(["node", "print"]), "about")
-    # Full sets of the classes that share a bucket. A repeated id may have several texts: the print tells them apart.
-    sets = full_sets(docs, stored(about.select("node", "print"), "wanted"), words)
-
-    pairs = members.where("node > pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
-    tried = stored(_possible(pairs, about), "pairs")
-    links = stored(verify(tried, sets), "links")
-    found = components(links)
-    rest = stored(_cross_pairs(members, about, found).join(tried, ["u", "v"], "left_anti"), "cross")
-    # Few of these are links, so half of the hashes goes first.
-    rest = stored(verify(rest, sets, "short"), "near")
-    # Links and stars have the same components.
-    found = found.union(stored(verify(rest, sets), "links"))
-    every = components(found.union(copies.select(F.col("doc_id").alias("u"), F.col("node").alias("v"))))
+    members = with_pivots(repeated(known.select("node", F.explode("bands").alias("key"))))
+    about = known.select("node", F.col("n_shingles").alias("n"), "parity").join(members.select("node").distinct(), "node", "left_semi")
+    about = stored(about.dropDuplicates(["node"]), "about")
+
+    first = members.where("node > pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
+    tried = stored(_possible(first, about), "pairs")
+    found = components(linked(tried, docs, signed, words))
+    for best in (True, False):
+        possible = stored(join_members(mixed(members, about, found), _joined(best), BLOCK), "possible")
+        if possible.isEmpty():
+            break
+        pairs = stored(possible.join(tried, ["u", "v"], "left_anti"), "pairs")
+        tried = tried.union(pairs)
+        # Links and stars have the same components.
+        found = components(found.union(linked(pairs, docs, signed, words)))
+    of_doc = component_ids(known.select("doc_id", "node"), found)
     return (
         signed.select("doc_id", "n_shingles")
-        .join(every.withColumnRenamed("u", "doc_id"), "doc_id", "left")
+        .join(of_doc, "doc_id", "left")
         .select(
             "doc_id",
             "n_shingles",
-            F.coalesce("v", "doc_id").alias("component_id"),
-            F.coalesce(F.col("v").isNull(), F.lit(True)).alias("kept"),
+            F.coalesce("component_id", "doc_id").alias("component_id"),
+            F.col("component_id").isNull().alias("kept"),
         )
     )
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``node``, ``elements`` (its sorted shingle hashes) and ``short`` (their lower halves) of the wanted nodes and prints."""
-
-    def work(found: list[str | None]) -> dict:
-        own = shingle_sets(found, words)
-        counts = np.fromiter(map(len, own), np.int64, len(own))
-        flat = np.concatenate([*own, np.zeros(0, np.uint64)])
-        return {
-            "found": pa.array(map(fingerprint, own), pa.binary()),
-            "elements": binaries(flat, counts, 8),
-            "short": binaries(flat.astype(np.uint32), counts, 4),
-        }
-
-    texts = docs.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id")
-    sets = map_texts(texts, "found binary, elements binary, short binary", lambda: work).where("found = print")
-    return stored(sets.select(F.col("doc_id").alias("node"), "elements", "short"), "sets")
-
-
 def _sizes_fit(one: Column, two: Column) -> Column:
     """Sizes alone may rule a link out."""
     return 100 * F.least(one, two) >= PERCENT * F.greatest(one, two)
@@ -379,29 +410,39 @@ def _possible(pairs: DataFrame, about: DataFrame) -> DataFrame:
     return both.where(fit).select("u", "v")
 
 
-def _cross_pairs(members: DataFrame, about: DataFrame, found: DataFrame) -> DataFrame:
-    """Possible pairs of different components that share a bucket, each once.
-
-    Of the largest component of a bucket no two members are compared, and a pair comes out of
-    that of its common buckets only whose key is least.
-    """
-    named = members.select("key", "node").join(found.select(F.col("u").alias("node"), "v"), "node", "left")
-    named = stored(named.select("key", "node", F.coalesce("v", "node").alias("component")), "named")
-    mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    rows = named.join(stored(mixed.select("key"), "mixed"), "key")
-    sizes = rows.groupBy("key", "component").count()
-    largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("largest"))
-    rows = rows.join(stored(largest, "largest"), "key")
-    rows = stored(rows.join(about.drop("print"), "node"), "open")
-    a, b = rows.where("component <> largest").alias("a"), rows.alias("b")
-    each_once = (F.col("b.component") == F.col("b.largest")) | (F.col("a.node") < F.col("b.node"))
-    least = F.array_min(F.array_intersect("a.bands", "b.bands"))
-    cross = b.join(
-        a,
-        (F.col("a.key") == F.col("b.key"))
-        & (F.col("a.component") != F.col("b.component"))
-        & each_once
-        & may_link(F.col("a.n"), F.col("b.n"), F.col("a.parity"), F.col("b.parity"))
-        & (F.col("a.key") == least),
-    )
-    return cross.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v"))
+def differing(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """For each row of parities how many groups differ."""
+    return np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
+
+
+def _joined(best: bool):
+    """Finds the pairs of members of different components that sizes and parities leave possible, a few rows at a time."""
+
+    def joined(node, part, component, table):
+        size = table.column("n").to_numpy()
+        parity = table.column("parity").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
+        fold, whole = np.ascontiguousarray(parity[:, :FOLDED_WORDS]), np.ascontiguousarray(parity[:, FOLDED_WORDS:])
+        two_blocks = part.min() < part.max()
+        rows, others, scores = [], [], []
+        for a in range(0, len(node), 32):
+            own = np.arange(a, min(a + 32, len(node)))
+            fit = component[own][:, None] != component[None, :]
+            fit &= (part[own][:, None] < part[None, :]) if two_blocks else (own[:, None] < np.arange(len(node))[None, :])
+            fit &= 100 * np.minimum(size[own][:, None], size[None, :]) >= PERCENT * np.maximum(size[own][:, None], size[None, :])
+            x, y = np.nonzero(fit)
+            x = own[x]
+            # A link has (100 + PERCENT) * differing elements <= (100 - PERCENT) * all.
+            most = (100 - PERCENT) * (size[x] + size[y]) // (100 + PERCENT)
+            near = differing(fold[x], fold[y]) <= most
+            x, y, most = x[near], y[near], most[near]
+            apart = np.concatenate([differing(whole[x[c : c + 8192]], whole[y[c : c + 8192]]) for c in range(0, len(x), 8192)] or [most[:0]])
+            near = apart <= most
+            rows.append(x[near])
+            others.append(y[near])
+            scores.append(-apart[near] / (size[x[near]] + size[y[near]]))
+        x, y = np.concatenate(rows), np.concatenate(others)
+        if best and len(x):
+            x, y = best_partners(node, x, y, np.concatenate(scores))
+        return node[x], node[y]
+
+    return joined
