@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paylake.session import scratch_dir
@@ -51,18 +51,25 @@ def read(spark: SparkSession, sf_dir: str, table: str, *names: str) -> DataFrame
     return pick(whole, *names)
 
 
+#: Groups that a sample is drawn for: the most frequent ones.
+MOST_GROUPS = 256
+
+
 def sampled(rows: DataFrame, group: str, number: int) -> DataFrame:
     """About ``number`` rows of each group, or all if there are fewer, by a hash of ``doc_id``.
 
-    The groups are few. Each gets a bound for the hash from its number of rows, so no group is
-    sorted or brought together. Rows without group or id are left out.
+    Each group gets a bound for the hash from its number of rows, so no group is sorted or brought together. What
+    comes out is bounded whatever the data: rows that repeat an id are in or out together, but no group has more than twice
+    ``number``, and only the ``MOST_GROUPS`` most frequent groups have a sample. Rows without group or id are left out.
     """
-    sizes = {r[0]: r[1] for r in rows.groupBy(group).count().collect() if r[0] is not None}
+    known = rows.where(F.col(group).isNotNull() & F.col("doc_id").isNotNull())
+    sizes = known.groupBy(group).count().orderBy(F.desc("count"), group).limit(MOST_GROUPS).collect()
     within = F.lit(False)
-    for name, size in sizes.items():
+    for name, size in sizes:
         share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(min(1, number / size) * (1 << 30))
         within = within | ((F.col(group) == name) & share)
-    return rows.where(within & F.col("doc_id").isNotNull())
+    nth = F.row_number().over(Window.partitionBy(group).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64(*rows.columns)))
+    return known.where(within).withColumn("_nth", nth).where(F.col("_nth") <= 2 * number).drop("_nth")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

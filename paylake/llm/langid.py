@@ -2,7 +2,8 @@
 
 For each language a zstandard dictionary of raw content is made from labelled
 documents. A text is compressed with each dictionary; the language whose dictionary
-makes it smallest wins. Case and all characters but letters are levelled first.
+makes it smallest wins. Case and all characters but letters are levelled first; vowel signs that are marks of their own,
+as in Indic scripts, count as spaces, in texts and dictionaries alike.
 Long texts are compressed in pieces, so that the dictionary counts all along the
 text and not only where it begins; short ones in several rotations, as one size in
 whole bytes says little. A narrow margin to the second language is a rejection.

@@ -1,7 +1,8 @@
 """URL rules, and a naive Bayes verdict on the words in a URL where no rule fits.
 
 Names run words together. A unigram Viterbi search splits every run of letters of host
-and path into the likeliest words, by the ranks of a public vocabulary. A multinomial
+and path into the likeliest words, by the ranks of a public vocabulary; percent-encoding is undone before, and a run with
+letters of other scripts is a word of its own. A multinomial
 naive Bayes classifier over the words, told apart by whether they stand in host or path,
 learns from the URLs that the rules decide, all of them, and judges the others.
 Words are hashed to ``BUCKETS`` features, so the model has a fixed size.
@@ -18,6 +19,7 @@ import math
 import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +51,8 @@ SEED_SHARE = 0.005
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-RUNS = re.compile("[a-z]+|[0-9]+")
+#: Runs of letters of any script, and of digits.
+RUNS = re.compile(r"[^\W\d_]+|[0-9]+")
 
 Rule = tuple[str, str]
 
@@ -119,10 +122,16 @@ class Splitter:
         return self.seen[run]
 
     def words(self, text: str) -> list[str]:
-        """All words of a text; numbers stand as their length."""
+        """All words of a text, percent-encoding undone; numbers stand as their length.
+
+        Runs of a-z are split; a run with other letters is a word of its own.
+        """
         out: list[str] = []
-        for run in RUNS.findall(text.lower()):
-            out += self.split(run) if run[0].isalpha() else [f"#{min(len(run), 9)}"]
+        for run in RUNS.findall(unquote(text).lower()):
+            if run[0] in "0123456789":
+                out.append(f"#{min(len(run), 9)}")
+            else:
+                out += self.split(run) if run.isascii() else [run]
         return out
 
 

@@ -1,8 +1,9 @@
+import re
 import zlib
 
 from pyspark.sql import functions as F
 
-from paylake.llm import langid
+from paylake.llm import common, langid
 from paylake.llm.queries import QUERIES
 
 
@@ -62,3 +63,43 @@ def test_a_language_of_long_documents_has_a_dictionary(spark):
     assert sorted(made) == ["de", "en"]
     assert len(made["de"]) <= langid.SAMPLE_CHARS
     assert [r.lang_pred for r in langid.predict(make(spark, [(1, german * 300, None)]).select("doc_id", "text"), made).collect()] == ["de"]
+
+
+def test_predictions_against_plain_sizes(spark):
+    """Every text compressed piece by piece with each dictionary, a fresh compressor each time."""
+    import zstandard
+
+    table = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{table}/documents.parquet").select("doc_id", "text", "lang")
+    made = langid.fit(docs.where(~langid.held_out()))
+
+    def size(data, lang):
+        content = zstandard.ZstdCompressionDict(made[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        options = {"write_checksum": False, "write_content_size": False, "write_dict_id": False}
+        return len(zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=content, **options).compress(data))
+
+    def expected(text):
+        if not text or not any(c.isalpha() for c in text):
+            return "und", 0.0
+        data = " ".join(re.split(r"[\W\d_]+", text.lower())).encode()
+        if len(data) < 512:
+            step = max(1, len(data) // 8)
+            parts = [data[a:] + data[:a] for a in range(0, len(data), step)]
+        else:
+            parts = [data[a : a + 2048] for a in range(0, len(data), 2048)]
+        sizes = sorted((sum(size(p, lang) for p in parts), lang) for lang in made)
+        return sizes[0][1], (sizes[1][0] - sizes[0][0]) / sizes[1][0]
+
+    got = {r.doc_id: (r.lang_pred, r.score) for r in QUERIES["op10_compression_langid"](spark, table).collect()}
+    for row in docs.collect():
+        lang, score = expected(row.text)
+        assert got[row.doc_id][0] == lang and abs(got[row.doc_id][1] - score) < 1e-12
+
+
+def test_samples_are_bounded(spark, monkeypatch):
+    rows = [(7, "the same words", "en")] * 900 + [(i, f"words {i}", "en") for i in range(100, 400)] + [(i, "worte", f"l{i % 40:02d}") for i in range(1000, 1200)]
+    taken = common.sampled(make(spark, rows).select("doc_id", "text", "lang"), "lang", 20).groupBy("lang").count().collect()
+    assert all(r["count"] <= 40 for r in taken)
+    monkeypatch.setattr(common, "MOST_GROUPS", 3)
+    found = common.sampled(make(spark, rows).select("doc_id", "text", "lang"), "lang", 20).select("lang").distinct().collect()
+    assert {r.lang for r in found} <= {"en", "l00", "l01"}

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -107,3 +109,50 @@ def test_query_on_unusual_rows(spark, documents, folder):
 
 def test_query_on_empty_table(spark, documents, folder):
     check([], QUERIES["op9_credential_linking"](spark, folder(documents=documents([]))))
+
+
+def test_linked_spans_against_all_pairs():
+    """Random texts; every candidate is compared with every other span, one by one."""
+    draw = random.Random(17)
+
+    def token():
+        kind = draw.randrange(9)
+        mixed = "".join(draw.choice("abcXYZ019") for _ in range(34)) + "aZ9"
+        return {
+            0: f"client_id={draw.choice('ab')}user{draw.randrange(10**4)}", 1: mixed, 2: "AKIA" + "B7" * 10,
+            3: "https://example.com/" + draw.choice(["x", mixed]), 4: "password: hunter" + str(draw.randrange(100)), 5: "0123456789abcdef" * 2,
+            6: "\n\n", 7: "word " * draw.randrange(60), 8: f"key_id={mixed}",
+        }[kind]
+
+    def brute(text):
+        base = secrets.base_spans(text)
+        breaks = [m.start() for m in secrets.EMPTY_LINE.finditer(text)]
+
+        def overlap(a, b):
+            return a[1] < b[2] and b[1] < a[2]
+
+        def near(a, b):
+            low = max([a[1] - secrets.WITHIN, 0, *[x for x in breaks if x < a[1]]])
+            high = min([a[2] + secrets.WITHIN, *[x for x in breaks if x >= a[1]]])
+            return b[1] < high and b[2] > low
+
+        def candidates(kind, pattern, test=lambda t: True):
+            spans = [(kind, *m.span()) for m in pattern.finditer(text) if test(m[0])]
+            return [s for s in spans if not any(overlap(s, b) for b in base)]
+
+        idents = candidates("ident", secrets.IDENT)
+        weak = candidates("secret", secrets.SECRET, lambda t: any(map(str.isupper, t)) and any(map(str.islower, t)) and any(map(str.isdigit, t)))
+        access, strong = [s for s in base if s[0] == "access"], [s for s in base if s[0] != "access"]
+        found_idents = [s for s in idents if any(near(s, o) and not overlap(s, o) for o in weak + strong)]
+        found_weak = [s for s in weak if any(near(s, o) and not overlap(s, o) for o in access + idents)]
+        ends = [s for s in candidates("endpoint", secrets.ENDPOINT) if any(near(s, o) for o in access + found_idents)]
+        ends = [s for s in ends if any(near(s, o) for o in found_weak + strong)]
+        return sorted(found_idents + found_weak + ends)
+
+    seen = Counter()
+    for _ in range(1500):
+        text = draw.choice([" ", "\n"]).join(token() for _ in range(draw.randrange(1, 9)))
+        got = sorted(secrets.linked_spans(text, secrets.base_spans(text)))
+        assert got == brute(text), text
+        seen.update(s[0] for s in got)
+    assert min(seen[k] for k in secrets.LINKED_KINDS) > 50

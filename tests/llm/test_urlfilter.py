@@ -1,4 +1,6 @@
+import math
 import re
+from collections import Counter
 
 import pytest
 
@@ -87,3 +89,46 @@ def test_bayes_learns_from_decided_urls(spark):
     odds = {r.page_id: r.log_odds for r in urlfilter.score(urls, urlfilter.fit(urls)).collect()}
     assert odds[500] > urlfilter.THRESHOLD
     assert odds[501] < 0
+
+
+def test_other_scripts_and_percent_encoding_count():
+    splitter = urlfilter.Splitter()
+    assert splitter.words("/%D0%BD%D0%BE%D0%B2%D0%BE%D1%81%D1%82%D0%B8/Caf\u00e9-42%20freeonline") == ["\u043d\u043e\u0432\u043e\u0441\u0442\u0438", "caf\u00e9", "#2", "free", "online"]
+    assert splitter.words("%zz%") == splitter.words("%ZZ%")
+
+
+def test_verdicts_against_plain_counting(spark):
+    """Multinomial naive Bayes over the words of all URLs that rules decide, by counters."""
+    rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "url").collect()]
+    splitter = urlfilter.Splitter()
+    actions = {rule: action for action, rule in URL_RULES}
+
+    def words(url):
+        host, path, _, _ = brute(url)
+        return [urlfilter.feature(place, w) for place, text in (("host", host), ("path", path)) for w in splitter.words(text)]
+
+    counts, urls = {"allow": Counter(), "block": Counter()}, Counter()
+    for _, url in rows:
+        rule = brute(url)[2]
+        if rule:
+            urls[actions[rule]] += 1
+            counts[actions[rule]].update(words(url))
+    extra = urlfilter.SEED_SHARE * max(counts["block"].total(), 1 / urlfilter.SEED_SHARE)
+    for word in urlfilter.SEED_WORDS:
+        for place in ("host", "path"):
+            counts["block"][urlfilter.feature(place, word)] += extra
+
+    def log_odds(url):
+        found = words(url)
+        odds = math.log((urls["block"] + 1) / (urls["allow"] + 1)) if found else 0.0
+        for f in found:
+            if counts["block"][f] + counts["allow"][f]:
+                part = [math.log((counts[c][f] + 0.5) / (counts[c].total() + 0.5 * urlfilter.BUCKETS)) for c in ("block", "allow")]
+                odds += part[0] - part[1]
+        return odds
+
+    got = {r.page_id: r for r in QUERIES["op5_url_words"](spark, SMALL).collect()}
+    for i, url in rows:
+        assert got[i].log_odds == pytest.approx(log_odds(url), abs=1e-6)
+        if not brute(url)[2]:
+            assert got[i].verdict == ("block" if log_odds(url) >= urlfilter.THRESHOLD else "allow")
