@@ -247,27 +247,27 @@ _DONE = _LINE_STATE.format(condition="l_linestatus = 'F'")
 
 _ACTIVITY_CENTS = "CAST(ROUND(value * 100) AS BIGINT)"
 
-# The records that arrive in one week.
-WEEK = {
+# The records that arrive in one month.
+BATCH = {
     **VIEWS,
     **{
-        f"week_{table}": f"""SELECT * FROM {table}
-            WHERE {time} >= DATE '1995-03-01' AND {time} < DATE '1995-03-08'"""
+        f"batch_{table}": f"""SELECT * FROM {table}
+            WHERE {time} >= DATE '1995-03-01' AND {time} < DATE '1995-04-01'"""
         for table, time in (
             ("payments", "initiated_at"), ("refunds", "requested_at"),
             ("chargebacks", "created_at"), ("settlements", "initiated_at"),
         )
     },
 }
-_AFFECTED = """SELECT {key} FROM week_payments UNION SELECT {key} FROM week_refunds
-    UNION SELECT {key} FROM week_chargebacks UNION SELECT {key} FROM week_settlements"""
-_AFFECTED_DAYS = """SELECT CAST(initiated_at AS DATE) AS operation_date FROM week_payments
-    UNION SELECT CAST(completed_at AS DATE) FROM week_payments WHERE completed_at IS NOT NULL
-    UNION SELECT CAST(requested_at AS DATE) FROM week_refunds
-    UNION SELECT CAST(completed_at AS DATE) FROM week_refunds WHERE completed_at IS NOT NULL
-    UNION SELECT CAST(created_at AS DATE) FROM week_chargebacks
-    UNION SELECT CAST(initiated_at AS DATE) FROM week_settlements
-    UNION SELECT CAST(completed_at AS DATE) FROM week_settlements
+_AFFECTED = """SELECT {key} FROM batch_payments UNION SELECT {key} FROM batch_refunds
+    UNION SELECT {key} FROM batch_chargebacks UNION SELECT {key} FROM batch_settlements"""
+_AFFECTED_DAYS = """SELECT CAST(initiated_at AS DATE) AS operation_date FROM batch_payments
+    UNION SELECT CAST(completed_at AS DATE) FROM batch_payments WHERE completed_at IS NOT NULL
+    UNION SELECT CAST(requested_at AS DATE) FROM batch_refunds
+    UNION SELECT CAST(completed_at AS DATE) FROM batch_refunds WHERE completed_at IS NOT NULL
+    UNION SELECT CAST(created_at AS DATE) FROM batch_chargebacks
+    UNION SELECT CAST(initiated_at AS DATE) FROM batch_settlements
+    UNION SELECT CAST(completed_at AS DATE) FROM batch_settlements
           WHERE completed_at IS NOT NULL"""
 
 # Every fourth payment with another merchant, gateway and day.
@@ -476,33 +476,33 @@ ORACLES: dict[str, str] = {
     "upsert_ties": f"""SELECT * REPLACE (
             CASE WHEN l_orderkey % 2 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity)
         FROM ({_ALL_LINES})""",
-    "affected_payments": _with(_AFFECTED.format(key="payment_id"), WEEK),
-    "affected_merchants": _with(_AFFECTED.format(key="merchant_id"), WEEK),
+    "affected_payments": _with(_AFFECTED.format(key="payment_id"), BATCH),
+    "affected_merchants": _with(_AFFECTED.format(key="merchant_id"), BATCH),
     "affected_gateways": _with(
         """SELECT DISTINCT gateway_id FROM payments
         WHERE gateway_id IN (SELECT gateway_id FROM gateways WHERE provider = 'ASIA')"""
     ),
-    "affected_days": _with(_AFFECTED_DAYS, WEEK),
+    "affected_days": _with(_AFFECTED_DAYS, BATCH),
     "incremental_payment_performance": _with(
         f"""SELECT * FROM ({PP})
         WHERE payment_id IN ({_AFFECTED.format(key="payment_id")})""",
-        WEEK,
+        BATCH,
     ),
     "prefiltered_payment_performance": _with(
         f"""SELECT * FROM ({PP})
         WHERE payment_id IN ({_AFFECTED.format(key="payment_id")})""",
-        WEEK,
+        BATCH,
     ),
     "incremental_merchant_performance": _with(
         f"""SELECT * FROM ({MP})
         WHERE merchant_id IN ({_AFFECTED.format(key="merchant_id")})""",
-        WEEK,
+        BATCH,
     ),
     "incremental_gateway_performance": _with(
         f"SELECT * FROM ({GP}) WHERE provider = 'ASIA'"
     ),
     "incremental_financial_operations": _with(
-        f"SELECT * FROM ({FO}) WHERE operation_date IN ({_AFFECTED_DAYS})", WEEK
+        f"SELECT * FROM ({FO}) WHERE operation_date IN ({_AFFECTED_DAYS})", BATCH
     ),
     "bronze_stream_counts": """SELECT event_type || '-events' AS topic, count(*) AS event_count
         FROM events GROUP BY event_type ORDER BY topic""",
@@ -566,7 +566,7 @@ ORACLES: dict[str, str] = {
     "kept_up_merchant_performance": _with(MP, MOVED_STATE),
     "kept_up_gateway_performance": _with(GP, MOVED_STATE),
     "monthly_financial_operations": _with(
-        f"SELECT * FROM ({FO}) WHERE operation_date IN ({_AFFECTED_DAYS})", WEEK
+        f"SELECT * FROM ({FO}) WHERE operation_date IN ({_AFFECTED_DAYS})", BATCH
     ),
     "bucketed_payment_performance": _with(PP),
     "attempts_by_merged_days": _with(

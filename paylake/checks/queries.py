@@ -326,19 +326,19 @@ _add(
 
 
 # --- incremental -----------------------------------------------------------------
-# The batch: the events of all four topics that arrive in one week; for gateways the
+# The batch: the events of all four topics that arrive in one month; for gateways the
 # payments through those of one region. Keys in JSON are text; the views hold numbers.
 
-WEEK = ("1995-03-01", "1995-03-08")
+MONTH = ("1995-03-01", "1995-04-01")
 REGION = "ASIA"
 
 
 def _touched(v: Views) -> DataFrame:
     logs = (v.payment_log(), v.refund_log(), v.chargeback_log(), v.settlement_log())
-    start, end = (F.lit(day).cast("timestamp") for day in WEEK)
+    start, end = (F.lit(day).cast("timestamp") for day in MONTH)
     arrived = F.col("kafka_timestamp")
-    week = reduce(DataFrame.unionByName, logs).where((arrived >= start) & (arrived < end))
-    return incremental.touched_rows(week)
+    batch = reduce(DataFrame.unionByName, logs).where((arrived >= start) & (arrived < end))
+    return incremental.touched_rows(batch)
 
 
 def _gateways_of_region(v: Views) -> DataFrame:
@@ -358,19 +358,15 @@ _add(
     "affected_merchants",
     lambda v: _as_number(incremental.affected_merchants(_touched(v)), "bigint"),
 )
-_add(
-    "affected_gateways",
-    lambda v: _as_number(
-        incremental.affected_gateways(
-            incremental.touched_rows(
-                v.log_of_payments(
-                    v.payments().join(_gateways_of_region(v), "gateway_id", "left_semi")
-                )
-            )
-        ),
-        "int",
-    ),
-)
+
+
+def _affected_gateways(v: Views) -> DataFrame:
+    rows = v.payments().join(_gateways_of_region(v), "gateway_id", "left_semi")
+    touched = incremental.touched_rows(v.log_of_payments(rows))
+    return _as_number(incremental.affected_gateways(touched), "int")
+
+
+_add("affected_gateways", _affected_gateways)
 _add(
     "affected_days",
     lambda v: incremental.affected_days(_touched(v)),
@@ -409,8 +405,7 @@ def incremental_merchant_performance(v: Views) -> DataFrame:
 @_register
 def incremental_gateway_performance(v: Views) -> DataFrame:
     return incremental.rebuild(
-        "gateway_performance",_gateways_of_region(v), v.gateways(), v.payments(),
-        v.attempts(),
+        "gateway_performance", _affected_gateways(v), v.gateways(), v.payments(), v.attempts(),
     )
 
 
@@ -495,7 +490,7 @@ def _monthly(v: Views) -> dict[str, DataFrame]:
 
 @_register
 def monthly_financial_operations(v: Views) -> DataFrame:
-    """The days of one week rebuilt from facts that are laid out by month."""
+    """The days of one month of events rebuilt from facts that are laid out by month."""
     return incremental.rebuild("financial_operations", incremental.affected_days(_touched(v)), *_monthly(v).values())
 
 
