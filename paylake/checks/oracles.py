@@ -424,6 +424,11 @@ ORACLES: dict[str, str] = {
         FROM events
         WHERE event_type IN ('error', 'view', 'purchase')
            OR (event_type = 'signup' AND {_ACTIVITY_CENTS} > 0)""",
+    "undeclared_fields": """SELECT event_type || '-events' AS topic, field, count(*) AS records,
+            CASE field WHEN 'user_id' THEN 'BIGINT' ELSE 'STRING' END AS kind
+        FROM events, (VALUES ('user_id'), ('props'), ('created_at')) AS f(field)
+        WHERE NOT (event_type = 'click' AND field = 'user_id')
+        GROUP BY event_type, field""",
     "bad_event_times": """SELECT count(*) FILTER (WHERE event_type = 'error') AS bad_created_at,
             CAST(0 AS BIGINT) AS bad_due_date FROM events""",
     "required_nulls": """SELECT CAST(0 AS BIGINT) AS payment_id, CAST(0 AS BIGINT) AS merchant_id,
@@ -572,6 +577,11 @@ ORACLES: dict[str, str] = {
     "attempts_by_merged_days": _with(
         "SELECT gateway_id, count(DISTINCT attempt_id) AS attempt_count FROM attempts GROUP BY gateway_id"
     ),
+    "silver_added_column_state": _with(
+        """SELECT CAST(payment_id AS VARCHAR) AS id, amount,
+               CASE WHEN payment_id % 3 = 0 THEN processing_time_ms END AS processing_time_ms
+        FROM payments"""
+    ),
     "silver_winners_state": _with(
         """SELECT CAST(payment_id AS VARCHAR) AS payment_id,
                CASE WHEN payment_id % 3 = 0 THEN amount + 1 ELSE amount END AS amount,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from paylake.plans import deltas, gold, incremental, reports
 from paylake.session import scratch_dir
 from paylake.sources import bucketed, events, monthly
 from paylake.sources.tables import Lake, stream_folder
-from paylake.specs import ENTITIES, STATIC, entity_for_table, static_for_table
+from paylake.specs import ENTITIES, STATIC, EntitySpec, entity_for_table, static_for_table
 from paylake.streaming import bronze as bronze_job
 from paylake.streaming import gold as gold_job
 from paylake.streaming import pipeline
@@ -241,6 +242,16 @@ def unreadable_values(v: Views) -> DataFrame:
     return _errors(v.activity_log(F.col("value") - 100), "tolerant")
 
 
+@_register
+def undeclared_fields(v: Views) -> DataFrame:
+    """The fields of activity records that a narrower declaration would leave out, with their types."""
+    narrow = tuple(
+        EntitySpec(s.topic, s.table, s.keys, "event_id bigint, value bigint" + (", user_id bigint" if s.table == "click" else ""))
+        for s in ACTIVITY
+    )
+    return events.undeclared_fields(v.activity_log(F.col("value")), narrow)
+
+
 @_register
 def bad_event_times(v: Views) -> DataFrame:
     """Texts that do not parse as a time, counted without failing."""
@@ -726,6 +737,26 @@ def silver_replay_state(v: Views) -> DataFrame:
     return _payment_state(_once(v, "replay", run, newer_wins=False))
 
 
+@_register
+def silver_added_column_state(v: Views) -> DataFrame:
+    """Payments from two drops; the second, every third payment again, has a column that the first did not have."""
+
+    def run(lake: Lake) -> None:
+        spec = entity_for_table("payments")
+        columns = [f for f in spec.payload.split(", ") if not f.startswith("processing_time_ms")]
+        narrow = replace(spec, payload=", ".join(columns))
+        first = lake, v.log_of_payments(v.payments().drop("processing_time_ms"))
+        again = lake, v.log_of_payments(v.payments().where("payment_id % 3 = 0"))
+        for (where, log), own in ((first, narrow), (again, spec)):
+            stream = events.prepare_bronze(_records(where, log))
+            bronze_job.ingest(stream, lake, f"{lake.root}/checkpoints/bronze")
+            options = silver_job.SilverOptions(specs=(own,))
+            silver_job.run(pipeline.raw_log(lake), lake, f"{lake.root}/checkpoints/silver", options)
+
+    lake = _once(v, "added", run, newer_wins=False)
+    return _entity(lake, "payments", "amount", "processing_time_ms").drop("entity")
+
+
 @_register
 def silver_winners_state(v: Views) -> DataFrame:
     """The same two drops as above, the winners kept in the state store; the second run resumes from the checkpoint."""

@@ -175,3 +175,21 @@ def entity_rows(parsed: DataFrame, spec: EntitySpec, numbers: str = "strict") ->
         *[payload_field(spec, c, numbers).alias(c) for c in names],
     )
     return transform_event(rows)
+
+
+def undeclared_fields(bronze: DataFrame, specs: Sequence[EntitySpec] = ENTITIES) -> DataFrame:
+    """How often payloads have fields that their topic does not declare, which parsing leaves out: a report of drift.
+
+    Columns: topic, field, records, and ``kind``, the type that holds all its values. The text is parsed once, into
+    a VARIANT; fields that come and go need no schema.
+    """
+    known = bronze.where(F.col("topic").isin(*[s.topic for s in specs]))
+    payload = F.try_variant_get(F.try_parse_json("raw_payload"), "$.payload", "map<string,variant>")
+    declared = F.lit(None).cast("array<string>")
+    for s in specs:
+        names = F.array(*map(F.lit, s.payload_schema.fieldNames()))
+        declared = F.when(F.col("topic") == s.topic, names).otherwise(declared)
+    each = known.select("topic", declared.alias("_declared"), F.explode(payload).alias("field", "value"))
+    drift = each.where(~F.array_contains("_declared", F.col("field")))
+    kind = F.schema_of_variant_agg("value").alias("kind")
+    return drift.groupBy("topic", "field").agg(F.count(F.lit(1)).alias("records"), kind)

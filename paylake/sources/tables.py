@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from paylake.operators.latest import keep_latest
 from paylake.operators.upsert import upsert
-from paylake.sources import files
+from paylake.sources import evolution, files
 from paylake.specs import ARRIVAL_ORDER
 
 SEQUENCE = "_sequence"
@@ -111,16 +111,17 @@ class FolderTable:
     def _paths(self, folders: Sequence[_Folder]) -> list[str]:
         return [f"{self.path}/{f.name}" for f in folders]
 
+    def _stored_schema(self, folders: Sequence[_Folder]) -> T.StructType:
+        stored = self.spark.read.parquet(*self._paths(folders[-1:])).schema
+        return T.StructType([f for f in stored.fields if f.name not in (SEQUENCE, REMOVED)])
+
     @property
     def schema(self) -> T.StructType:
         if self._schema is None:
             folders = self._folders()
             if not folders:
                 raise ValueError(f"no table at {self.path} and no schema given")
-            stored = self.spark.read.parquet(*self._paths(folders[-1:])).schema
-            self._schema = T.StructType(
-                [f for f in stored.fields if f.name not in (SEQUENCE, REMOVED)]
-            )
+            self._schema = self._stored_schema(folders)
         return self._schema
 
     def _scan(self, folders: Sequence[_Folder]) -> DataFrame:
@@ -172,6 +173,7 @@ class FolderTable:
         if not folders:
             self._write(rows.select(*(self._schema or rows.schema).fieldNames()), 0, "full", batch)
             return True
+        evolution.check(self.path, self._stored_schema(folders), rows.select(*self.schema.fieldNames()).schema)
         names = self.schema.fieldNames()
         changed = with_removals(rows.select(*names), remove, self.keys).select(*names, REMOVED)
         sequence = folders[-1].sequence + 1
