@@ -319,8 +319,10 @@ def group(docs: DataFrame, words: int = WORDS) -> DataFrame:
             break
         pairs = stored(possible.join(tried, ["u", "v"], "left_anti"), "pairs")
         tried = tried.union(pairs)
-        # Links and stars have the same components.
-        found = components(found.union(linked(pairs, docs, signed, words, PERCENT)))
+        links = linked(pairs, docs, signed, words, PERCENT)
+        if not links.isEmpty():
+            # Links and stars have the same components.
+            found = components(found.union(links))
 
     of_doc = component_ids(known.select("doc_id", "node"), found)
     return (

@@ -58,6 +58,9 @@ PERCENT = 80
 #: Sets of up to so many elements are found by exact keys, of so many shared elements each.
 SMALL, SHARED = 24, 3
 
+#: Links, two numbers each, that one task may join.
+ONE_TASK = 500_000
+
 #: A bucket of more members is joined block by block.
 BLOCK = 1024
 
@@ -263,11 +266,13 @@ def _least(links: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """Nodes ``u`` with the least node ``v`` of their component; that node itself is left out.
 
-    Links are pairs (u, v) of numbers. Every task first joins what it has by union-find;
-    then large and small stars alternate until each component is one star.
+    Links are pairs (u, v) of numbers. Few links are joined by union-find in one task. Of more, every task first joins
+    what it has; then large and small stars alternate until each component is one star.
     """
     links = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct()
-    # Few links are few partitions after the shuffle, and the forest of a single one is the result.
+    links = stored(links, "distinct")
+    if links.count() <= ONE_TASK:
+        return stored(links.coalesce(1).mapInArrow(_forest, "u long, v long"), "forest")
     links = stored(links.mapInArrow(_forest, "u long, v long"), "forest")
     while not _stars(links):
         both = stored(links.union(links.select("v", "u")), "both")
@@ -339,8 +344,8 @@ def component_ids(ids: DataFrame, found: DataFrame) -> DataFrame:
     their component. The sets of a repeated id are linked by it.
     """
     several = ids.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("u")).where("v < u").select("doc_id", "v")
-    both = ids.join(several, "doc_id").select(F.col("node").alias("u"), "v").where("u <> v")
-    every = components(found.union(both))
+    both = stored(ids.join(several, "doc_id").select(F.col("node").alias("u"), "v").where("u <> v"), "both")
+    every = found if both.isEmpty() else components(found.union(both))
     named = ids.join(every.withColumnRenamed("u", "node"), "node", "left").select("doc_id", F.coalesce("v", "node").alias("component"))
     named = stored(named.distinct(), "components")
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -368,8 +373,10 @@ def group(docs: DataFrame, words: int) -> DataFrame:
             break
         pairs = stored(possible.join(tried, ["u", "v"], "left_anti"), "pairs")
         tried = tried.union(pairs)
-        # Links and stars have the same components.
-        found = components(found.union(linked(pairs, docs, signed, words)))
+        links = linked(pairs, docs, signed, words)
+        if not links.isEmpty():
+            # Links and stars have the same components.
+            found = components(found.union(links))
     of_doc = component_ids(known.select("doc_id", "node"), found)
     return (
         signed.select("doc_id", "n_shingles")

@@ -190,7 +190,9 @@ def test_parities_never_rule_out_a_link(spark):
     assert not any(r.may for r in got if (r.shared, r.own) in ((60, 40), (800, 300)))
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one_task", [0, neardup.ONE_TASK])
+def test_components(spark, monkeypatch, one_task):
+    monkeypatch.setattr(neardup, "ONE_TASK", one_task)
     draw = random.Random(1)
     links = [(i, i + 1) for i in range(100, 300)] + [(0, i) for i in range(400, 700)] + [(draw.randrange(1000, 3000), draw.randrange(1000, 3000)) for _ in range(900)]
     parent = {}
