@@ -77,19 +77,22 @@ def join_members(rows: DataFrame, joined: Joined, block: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], names=["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, key, found = [], None, []
+        waiting, key, found, pairs = [], None, [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             names = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
+            if not pairs:
+                found = []
             edges = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1).tolist(), len(names)]
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 if key != tuple(names[a]) and waiting:
                     found.append(unit(waiting))
                     waiting = []
-                    if sum(len(f[0]) for f in found) > AT_ONCE:
+                    pairs += len(found[-1][0])
+                    if pairs > AT_ONCE:
                         yield sent(found)
-                        found = []
+                        found, pairs = [], 0
                 key = tuple(names[a])
                 waiting.append(batch.slice(a, b - a))
         if waiting:
