@@ -1,7 +1,8 @@
 """State tables laid out by the month that sets a row's day.
 
-A batch names days, and days name months: as a broadcast set they become a filter on the
-partitions (dynamic partition pruning), so a batch of one day reads one month of facts, not all.
+A batch names days, and days name months: these become a filter on the partitions, so a batch of one day reads
+one month of facts, not all. (Dynamic pruning by the broadcast days was tried: the plan had it, but at run
+time Spark did not find the broadcast again and read everything.)
 
 The tables are plain Parquet folders partitioned by ``MONTH``; rows without a day are a partition of their own.
 """
@@ -14,15 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylake.operators.keys import distinct_keys
+from paylake.operators.keys import distinct_keys, restrict_by
 from paylake.sources import files
 
 MONTH = "_month"
 
-#: Days are kept if they are later; Spark prunes partitions only for a side that some comparison filters.
-FIRST_DAY = "0001-01-01"
-
-
 def month_of(day: Column) -> Column:
     return F.trunc(day, "MM").alias(MONTH)
 
@@ -66,7 +63,11 @@ def replace(spark: SparkSession, path: str, old: DataFrame, new: DataFrame, keys
 
 
 def of_days(facts: DataFrame, days: DataFrame, day: Column, on: str) -> DataFrame:
-    """The facts of some days, read from their months alone. ``days`` has a column ``on`` and fits a broadcast."""
-    known = distinct_keys(days, on).where(F.col(on) > F.lit(FIRST_DAY).cast("date"))
-    known = F.broadcast(known.withColumn(MONTH, F.trunc(on, "MM")))
-    return facts.withColumn(on, day).join(known, [on, MONTH], "left_semi").drop(on, MONTH)
+    """The facts of some days, read from their months alone. ``days`` has a column ``on`` and fits a broadcast.
+
+    The months come to the driver, twelve for a year, and become a filter on the partitions.
+    """
+    known = distinct_keys(days, on)
+    months = [r[0] for r in known.select(F.trunc(on, "MM")).distinct().collect()]
+    here = facts.where(F.col(MONTH).isin(months)).drop(MONTH)
+    return restrict_by(here, F.broadcast(known), day, on)
