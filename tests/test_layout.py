@@ -192,3 +192,15 @@ def test_large_key_sets_shuffle_few_other_rows(spark, tmp_path):
         assert found.count() == 1000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_sets_of_scattered_ids_are_no_larger_than_the_facts(spark, tmp_path):
+    """Groups with one id in each neighbourhood, as days have: a word for each, not four kilobytes."""
+    facts = spark.range(20_000).selectExpr("id % 50 AS day", "(id * 7919) % 20000003 - 5000000 AS id")
+    sets = distinct.id_sets(facts, ["day"], "id")
+    assert {f.name: f.dataType.simpleString() for f in sets.schema} == {"day": "bigint", distinct.BUCKET: "bigint", distinct.BITS: "bigint"}
+    assert sets.count() <= 20_000
+    assert "SortAggregate" not in sets._jdf.queryExecution().executedPlan().toString()
+    assert sum(r["n"] for r in distinct.counts(sets, ["day"], "n").collect()) == 20_000
+    edges = spark.createDataFrame([("a", i) for i in (-65, -64, -1, 0, 63, 64, 2**62, -(2**63), 2**63 - 1, 63)], "g string, id bigint")
+    assert distinct.counts(distinct.id_sets(edges, ["g"], "id"), ["g"], "n").first()["n"] == 9
