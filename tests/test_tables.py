@@ -6,7 +6,8 @@ from pyspark.errors import UnsupportedOperationException
 
 from paylake.operators.latest import keep_latest
 from paylake.operators.upsert import upsert
-from paylake.session import cluster_conf, scratch_dir, shuffle_partitions
+from paylake.checks.views import Views
+from paylake.session import MIB, cluster_conf, fit_partitions, scratch_dir, shuffle_partitions
 from paylake.sources.kafka import kafka_options, stream_options
 from paylake.sources.static import read_csv
 from paylake.sources.tables import (
@@ -223,3 +224,22 @@ def test_partitions_follow_the_data():
     assert shuffle_partitions(1) == 200
     assert shuffle_partitions(100 * 1024**4) == 409600
     assert cluster_conf(1024**4)["spark.sql.shuffle.partitions"] == "4096"
+
+
+def test_partitions_follow_the_input(spark, tmp_path):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        fit_partitions(spark, 10 * MIB)
+        assert {n: spark.conf.get(n, None) for n in names} == before
+        fit_partitions(spark, 6 * 1024 * MIB)
+        assert [spark.conf.get(n) for n in names] == ["1536", str(16 * MIB)]
+        fit_partitions(spark, MIB)
+        assert spark.conf.get(names[0]) == "1536"
+    finally:
+        for n, value in before.items():
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
+    spark.range(10).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(10).write.parquet(f"{tmp_path}/lineitem.parquet")
+    v = Views.of(spark, str(tmp_path))
+    assert v.fact_bytes() == sum(f.stat().st_size for f in tmp_path.rglob("*") if f.is_file() and not f.name.startswith(".")) > 0
