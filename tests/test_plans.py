@@ -279,3 +279,11 @@ def test_parts_are_updated_without_facts(spark, tmp_path):
     assert "orders" not in text and "lineitem" not in text
     before = {r["merchant_id"]: r["total_payment_amount"] for r in stored.collect()}
     assert [r["total_payment_amount"] - before[r["merchant_id"]] for r in updated.collect()] == [5]
+
+
+def test_buckets_follow_the_input(spark, monkeypatch):
+    v = Views.of(spark, FOLDER)
+    assert "out of 8" in plan(QUERIES["bucketed_payment_performance"](spark, FOLDER))
+    monkeypatch.setattr(v, "_bytes", 33 * 4 * 1024 * 1024)
+    monkeypatch.setattr("paylake.checks.views.fit_partitions", lambda *_: None)
+    assert "out of 64" in plan(QUERIES["bucketed_payment_performance"](spark, FOLDER))
