@@ -4,10 +4,12 @@ import datetime as dt
 import json
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from paylake.checks.queries import _records
 from paylake.operators.upsert import upsert
 from paylake.sources.events import prepare_bronze
 from paylake.sources.tables import Lake, stream_folder
@@ -485,3 +487,37 @@ def test_static_loads_reach_the_metrics(spark, tmp_path):
     payments = by_key(metric(lake, "payment_performance"))
     assert [payments[p]["gateway_name"] for p in ("p1", "p2", "p3")] == ["New", "New", "Other"]
     assert by_key(metric(lake, "gateway_performance"))["g1"]["gateway_name"] == "New"
+
+
+def test_first_load_is_logged_without_a_comparison(spark, tmp_path, monkeypatch):
+    spec = static_for_table("payment_methods")
+    lake = Lake(spark, f"{tmp_path}/lake")
+    table = lake.keyed("silver", spec.table, spec.keys, spec.schema)
+    rows = spark.createDataFrame([("a",), ("b",), (None,)], f"{spec.keys[0]} string")
+    rows = rows.select(*[F.col(f.name) if f.name in spec.keys else F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
+
+    def compared(*_):
+        raise AssertionError("compared with nothing")
+
+    monkeypatch.setattr(moves, "changed_keys", compared)
+    moves.record_load(lake, spec, table, rows)
+    got = moves.changes(lake, moves.entries(lake)).select("entity_id", "weight").collect()
+    assert sorted(map(tuple, got)) == [("a", 1), ("b", 1)]
+    table.overwrite(rows)
+    with pytest.raises(AssertionError, match="compared"):
+        moves.record_load(lake, spec, table, rows)
+
+
+def test_raw_log_is_dropped_and_taken_in_without_moving_its_text(spark, tmp_path):
+    lake = Lake(spark, f"{tmp_path}/lake")
+    log = spark.range(3000).selectExpr(
+        "CONCAT('t', id % 3) AS topic", "0 AS partition", "id AS offset", "TIMESTAMP '2024-01-01' AS kafka_timestamp", "REPEAT('x', 200) AS raw_payload"
+    ).repartition(3)
+    stream = prepare_bronze(_records(lake, log))
+    # As many files as the log has partitions: nothing is dealt anew.
+    assert len(list((tmp_path / "lake/drop").glob("*.parquet"))) == 3
+    bronze.ingest(stream, lake, f"{tmp_path}/checkpoint")
+    written = list((tmp_path / "lake/bronze").rglob("*.parquet"))
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in written} == {"ZSTD"}
+    assert spark.read.parquet(lake.location("bronze", bronze.RAW_EVENTS)).count() == 3000
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == str(bronze.OPEN_FILES)
