@@ -11,8 +11,7 @@ by a public sentencepiece vocabulary, word by word:
 * ``token_entropy``: the entropy of the document's tokens, in bits.
 
 Each language, and each script, has bands for them. They are fitted as quantiles of
-documents labelled good, from a bounded sample; where there are too few, wide bands
-by script hold.
+all documents labelled good; where there are too few, wide bands by script hold.
 
 Defined results: a null text has no words and fails the base rules, as an empty one
 does; a document without a language, or in one without bands, takes those of its
@@ -31,19 +30,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylake.llm.bpe import REMEMBERED_WORDS, Runs
-from paylake.llm.common import map_texts, pick, sampled
+from paylake.llm.common import map_texts, pick, stored
+from paylake.operators.keys import bit_set, restrict
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
-#: Labelled documents for each language, about, from which bands are fitted.
-SAMPLE_PER_LANGUAGE = 2000
-
 #: With fewer labelled documents a language or script has no bands of its own.
 LEAST_LABELLED = 100
 
 #: The share of good documents that may lie beyond each edge of a band.
 TAIL = 0.001
 
+#: The share at each end whose values are told apart when edges are fitted: more than ``TAIL``, also of ``LEAST_LABELLED``.
+INNER = 0.03
+
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 
@@ -183,37 +183,39 @@ def base_failed() -> Column:
     return few | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
 
 
-def fit_bands(docs: DataFrame, labels: DataFrame, path: str = PIECES, sample: int = SAMPLE_PER_LANGUAGE) -> dict:
-    """Bands by ("lang" or "script", name), from documents labelled good.
+def fit_bands(docs: DataFrame, labels: DataFrame, path: str = PIECES) -> dict:
+    """Bands by ("lang" or "script", name), from all documents labelled good.
 
-    A sample of about ``sample`` documents a language, by a hash of their ids, so
-    what reaches the driver and the executors is bounded by the number of languages.
+    Texts stay where they are read: a bit set of the labelled ids drops most others before they are measured, then
+    the measures alone are joined. Quantiles are exact; values that lie well inside count as one, so a group
+    brings together its tails only.
     """
-    good = pick(labels, "doc_id", "quality").where("quality = 1").select("doc_id")
-    known = pick(docs, "doc_id", "lang").join(good, "doc_id", "left_semi")
-    chosen = sampled(known, "lang", sample).select("doc_id").distinct()
-    texts = pick(docs, "doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
-    rows = measure(texts.drop("doc_id"), path).where(~base_failed())
+    known = pick(docs, "doc_id", "lang", "text")
+    good = pick(labels, "doc_id", "quality").where("quality = 1").select(F.col("doc_id").cast(known.schema["doc_id"].dataType))
+    near = measure(bit_set(good, "doc_id").maybe(known, "doc_id"), path).where(~base_failed())
+    rows = stored(restrict(near, good, "doc_id").select("lang", "script", *FITTED), "labelled")
+    either = F.explode(F.array(*(F.struct(F.lit(k).alias("by"), F.col(k).alias("name")) for k in ("lang", "script"))))
+    keyed = rows.select(either.alias("_key"), *FITTED).select("_key.by", "_key.name", *FITTED).where("name is not null")
+    inner = [F.percentile_approx(c, [INNER, 1 - INNER], 10_000).alias(f"_{c}") for c in FITTED]
+    groups = keyed.groupBy("by", "name").agg(F.count("*").alias("_n"), *inner).where(F.col("_n") >= LEAST_LABELLED)
     edges = F.array(F.lit(TAIL), F.lit(1 - TAIL))
     found = {}
-    by_either = rows.select(
-        F.explode(F.array(*(F.struct(F.lit(k).alias("by"), F.col(k).alias("name")) for k in ("lang", "script")))).alias("key"),
-        *FITTED,
-    )
     for r in (
-        by_either.where("key.name is not null")
-        .groupBy("key")
-        .agg(
-            F.count("*").alias("n"),
-            *(F.percentile(c, edges).alias(c) for c in FITTED),
-        )
-        .where(F.col("n") >= LEAST_LABELLED)
+        keyed.join(F.broadcast(groups), ["by", "name"])
+        .groupBy("by", "name")
+        .agg(*(F.percentile(_ends(c), edges).alias(c) for c in FITTED))
         .collect()
     ):
-        found[r.key.by, r.key.name] = (*r.chars_per_token, *r.tokens_per_word, r.byte_share[1], r.token_entropy[0])
+        found[r.by, r.name] = (*r.chars_per_token, *r.tokens_per_word, r.byte_share[1], r.token_entropy[0])
     return found
 
 
+def _ends(column: str) -> Column:
+    """The value, or the lower inner bound for all values between the bounds: the order of the tails is unchanged."""
+    low, high = F.col(f"_{column}")[0], F.col(f"_{column}")[1]
+    return F.when((F.col(column) > low) & (F.col(column) < high), low).otherwise(F.col(column))
+
+
 def judge(measured: DataFrame, bands: dict) -> DataFrame:
     """Adds ``base_failed`` and ``kept`` to measured documents that have a ``lang`` column."""
 

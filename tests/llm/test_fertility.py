@@ -86,3 +86,19 @@ def test_query_keeps_good_documents(spark):
     shares = {r.quality: r.kept for r in got.where("not base_failed").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
     assert shares[1] > 0.97
     assert shares[0] < 0.5
+
+
+def test_bands_come_from_all_labelled_documents(spark):
+    draw = np.random.default_rng(4)
+    words = np.array([f"{a}{b}{n}" for a in "bcdfg" for b in ("at", "orium", "é", "日") for n in range(40)])
+    rows = [(i, "xx" if i % 50 else None, " ".join(draw.choice(words[: 40 + i % 700], 60))) for i in range(5000)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(8).cache()
+    labels = spark.createDataFrame([*((i, int(i % 10 > 0)) for i in range(5000)), (None, 1), (7, 1)], "doc_id long, quality int")
+    got = quality.fit_bands(docs, labels)
+    good = quality.measure(docs).where(~quality.base_failed()).where("doc_id % 10 > 0").collect()
+    assert ("lang", "xx") in got and any(by == "script" for by, _ in got)
+    for (by, name), band in got.items():
+        of = {c: [r[c] for r in good if r[by] == name] for c in quality.FITTED}
+        ends = {c: np.quantile(of[c], [quality.TAIL, 1 - quality.TAIL]) for c in quality.FITTED}
+        want = (*ends["chars_per_token"], *ends["tokens_per_word"], ends["byte_share"][1], ends["token_entropy"][0])
+        assert band == pytest.approx(want, rel=1e-12)
