@@ -10,7 +10,10 @@ from paylake.checks.views import Views
 from paylake.functions import measures as M
 from paylake.operators.keys import restrict
 from paylake.operators.latest import keep_latest
+from paylake.operators.upsert import upsert
 from paylake.plans import deltas, gold, incremental
+from paylake.session import keep
+from paylake.sources.tables import FolderTable
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -287,3 +290,35 @@ def test_buckets_follow_the_input(spark, monkeypatch):
     monkeypatch.setattr(v, "_bytes", 33 * 4 * 1024 * 1024)
     monkeypatch.setattr("paylake.checks.views.fit_partitions", lambda *_: None)
     assert "out of 64" in plan(QUERIES["bucketed_payment_performance"](spark, FOLDER))
+
+
+def test_kept_frames_have_no_partition_for_a_few_rows(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        kept = keep(spark.range(1000).selectExpr("id % 100 AS k").distinct())
+        assert kept.count() == 100
+        assert kept.rdd.getNumPartitions() < 50
+        kept.unpersist()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_a_table_without_rows_needs_no_join(spark, tmp_path):
+    rows = spark.range(10).selectExpr("id AS k", "id AS v")
+    empty = FolderTable(spark, f"{tmp_path}/none", ["k"], rows.schema).read()
+    for joined in (rows.join(empty, "k", "left_anti"), upsert(empty, rows, ["k"]), restrict(empty, rows, "k").unionByName(rows)):
+        assert "Join" not in joined._jdf.queryExecution().optimizedPlan().toString()
+        assert joined.count() == 10
+
+
+@pytest.mark.parametrize("option", ["prefilter", "most"])
+def test_large_sets_of_payments_are_joined_once(spark, option):
+    v = Views.of(spark, FOLDER)
+    inputs = (v.payments(), v.merchants(), v.gateways(), v.payment_methods(), v.attempts(), v.payment_events(), v.refunds(),
+              v.chargebacks(), v.settlements())
+    keys = v.payments().where("payment_id % 5 = 0").select("payment_id")
+    rebuilt = incremental.rebuild("payment_performance", keys, *inputs, **{option: True})
+    plan = rebuilt._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") == 1
+    expected = restrict(gold.payment_performance(*inputs), keys, "payment_id")
+    assert rebuilt.exceptAll(expected).isEmpty() and expected.exceptAll(rebuilt).isEmpty()
