@@ -84,8 +84,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:
-    """Has Spark send rows to Python in batches of bounded size, however long the texts are."""
+    """Has Spark send rows to Python in batches of bounded size, however long the texts are.
+
+    Files are read in smaller batches too: the reader holds the texts of a whole batch, by default 4096 rows, in one array.
+    """
     conf = df.sparkSession.conf
+    conf.set("spark.sql.parquet.columnarReaderBatchSize", "512")
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     return df

@@ -104,3 +104,19 @@ def test_query_on_unusual_rows(spark, documents, folder, monkeypatch):
 
 def test_query_on_empty_table(spark, documents, folder):
     assert QUERIES["op2_best_fit_packing"](spark, folder(documents=documents([]))).collect() == []
+
+
+def batches_read(plan):
+    """The batches that came out of the files under a plan."""
+    own = plan.metrics().get("numInputBatches")
+    found = own.get().value() if own.isDefined() else 0
+    below = plan.children()
+    return found + sum(batches_read(below.apply(i)) for i in range(below.size()))
+
+
+def test_texts_are_read_a_bounded_batch_at_a_time(spark, documents, folder):
+    spark.conf.unset("spark.sql.parquet.columnarReaderBatchSize")
+    path = folder(documents=documents([(i, "some words " * 50) for i in range(3000)]).coalesce(1))
+    cut = packing.pieces(spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text"))
+    assert len(cut.collect()) == 3000
+    assert batches_read(cut._jdf.queryExecution().executedPlan()) >= 3000 // 512
