@@ -2,8 +2,8 @@
 
 A vocabulary file of the tokenizers library (word-end BPE over bytes, lower case)
 is read as it is. Words of many texts are encoded together: their symbols stand in
-one flat array, the ranks of neighbouring pairs are found by binary search over the
-sorted pair keys, and in every round each word merges its lowest-ranked pair.
+one flat array, the ranks of neighbouring pairs are looked up in a hash table, and in
+every round each word merges its lowest-ranked pair.
 
 Defined results: a null text counts as empty and has no ids; a text that holds a
 special token as plain text gives that token's id, as the library does. Rows are
@@ -41,6 +41,10 @@ OTHER_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u
 
 NO_RANK = np.iinfo(np.int32).max
 
+#: Pairs are looked up in so many slots (a power of two), by the high bits of their product with an odd number.
+SLOT_BITS = 18
+SLOT_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
 
 def _characters(test) -> str:
     return "".join(re.escape(chr(c)) for c in [*range(PLAIN_BELOW), 0x307] if test(chr(c)))
@@ -115,8 +119,16 @@ class WordBpe:
         if len(set(self.product.tolist())) < len(pairs) or (np.maximum(made[left], made[right]) >= np.arange(len(pairs))).any():
             raise ValueError("the merges are not in training order")
         keys = left * self.size + right
-        self.order = np.argsort(keys).astype(np.int32)
+        # A slot holds the first pair that falls into it; the others are sorted for a binary search.
+        slots = self._slots(keys)
+        at, first = np.unique(slots, return_index=True)
+        self.slot_keys, self.slot_ranks = np.full(1 << SLOT_BITS, -1, np.int64), np.full(1 << SLOT_BITS, NO_RANK, np.int32)
+        self.slot_keys[at], self.slot_ranks[at] = keys[first], first
+        others = np.setdiff1d(np.arange(len(keys)), first)
+        self.order = others[np.argsort(keys[others])].astype(np.int32)
         self.keys = keys[self.order]
+        self.shared = np.zeros(1 << SLOT_BITS, bool)
+        self.shared[slots[others]] = True
         letters = _characters(lambda c: unicodedata.category(c)[0] == "L")
         numbers = _characters(lambda c: unicodedata.category(c)[0] == "N")
         spaces = "\t-\r \x85\xa0"
@@ -158,8 +170,11 @@ class WordBpe:
 
     def encode(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and their number in each text."""
-        if max(len(self.chunks.index), len(self.words.index)) > REMEMBERED_WORDS:
-            self._forget()
+        # Words come again more often than chunks, and cost more: they stay when chunks go.
+        if len(self.chunks.index) > REMEMBERED_WORDS:
+            self.chunks = Runs()
+        if len(self.words.index) > REMEMBERED_WORDS:
+            self.words = Runs()
         counts, chunks = [], []
         for text in texts:
             found = self.chunk_list(text) if text else []
@@ -201,8 +216,18 @@ class WordBpe:
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = left.astype(np.int64) * self.size + right
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.order[at], NO_RANK)
+        slots = self._slots(keys)
+        same = self.slot_keys[slots] == keys
+        ranks = np.where(same, self.slot_ranks[slots], NO_RANK)
+        more = np.flatnonzero(self.shared[slots] & ~same)
+        if len(more):
+            at = np.minimum(np.searchsorted(self.keys, keys[more]), len(self.keys) - 1)
+            ranks[more] = np.where(self.keys[at] == keys[more], self.order[at], NO_RANK)
+        return ranks
+
+    @staticmethod
+    def _slots(keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * SLOT_FACTOR >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
     def merge(self, data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of non-empty words, given by their bytes and sizes, and their number in each."""

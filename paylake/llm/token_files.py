@@ -41,38 +41,60 @@ ESCAPE = 0
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
 
+#: The same by selector; an escape takes one id.
+TAKEN = np.concatenate(([1], COUNTS))
+BITS = np.concatenate(([0], WIDTHS)).astype(np.uint64)
+
 
 def encode_words(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     """The words of an id stream, and the words in each block."""
     ids = ids.astype(np.uint64)
     n = len(ids)
-    at = np.arange(n)
-    block_end = np.minimum((at // block + 1) * block, n)
-    selector = np.full(n, ESCAPE, np.int64)
+    need = np.zeros(-(-n // block) * block, np.uint8)
+    need[n:] = 255
+    highest = int(ids.max(initial=0))
+    plain = ids.astype(np.uint32) if highest < 1 << 32 else ids
+    for width in WIDTHS[WIDTHS < highest.bit_length()].tolist():
+        # The number of widths too narrow for an id.
+        need[:n] += plain >= plain.dtype.type(1 << width)
+    # A block in a row; what stands past its end fits no width.
+    most = {1: np.pad(need.reshape(-1, block), ((0, 0), (0, int(COUNTS[0]))), constant_values=255)}
+    selector = np.full((len(need) // block, block), ESCAPE, np.uint8)
     # From the fewest to the most ids in a word: the last that fits stays.
     for number in range(len(COUNTS), 0, -1):
-        wide = ids >> np.uint64(WIDTHS[number - 1]) != 0
-        # The first id from here on that is too wide, or the end of the block.
-        limit = np.minimum.accumulate(np.where(wide, at, block_end)[::-1])[::-1]
-        selector[np.minimum(limit, block_end) - at >= COUNTS[number - 1]] = number
-    taken = np.where(selector == ESCAPE, 1, COUNTS[selector - 1])
+        count = int(COUNTS[number - 1])
+        if count not in most:
+            # The most of so many ids from here on, by that of fewer ones, which overlap.
+            fewer = max(c for c in most if c < count)
+            while 2 * fewer < count:
+                most[2 * fewer] = np.maximum(most[fewer][:, :-fewer], most[fewer][:, fewer:])
+                fewer *= 2
+            most[count] = np.maximum(most[fewer][:, : fewer - count], most[fewer][:, count - fewer :])
+        selector[most[count][:, :block] < number] = number
+    selector = selector.ravel()[:n]
+    taken = TAKEN[selector]
     # Follow the words of all blocks side by side.
-    begins = np.zeros(n + 1, bool)
+    begins = np.zeros(n, bool)
     here = np.arange(0, n, block)
     ends = np.minimum(here + block, n)
     while len(here):
         begins[here] = True
         here = here + taken[here]
         left = here < ends
-        here, ends = here[left], ends[left]
-    first = np.flatnonzero(begins[:n])
-    owner = np.cumsum(begins[:n]) - 1
-    chosen = selector[first]
-    shift = (at - first[owner]) * WIDTHS[chosen - 1][owner]
-    escaped = selector[first] == ESCAPE
-    value = np.where(escaped[owner], np.uint64(0), ids << shift.astype(np.uint64)) if n else ids
-    words = np.bitwise_or.reduceat(value, first) if n else value
-    words |= chosen.astype(np.uint64) << np.uint64(60)
+        if not left.all():
+            here, ends = here[left], ends[left]
+    first = np.flatnonzero(begins)
+    chosen = selector[first].astype(np.uint64)
+    escaped = chosen == ESCAPE
+    words = chosen << np.uint64(60)
+    # The first id of every word, then the second of those that have one, and so on.
+    going = np.flatnonzero(~escaped)
+    counts, widths = TAKEN[selector[first]], BITS[selector[first]]
+    for j in range(int(COUNTS[0])):
+        going = going[counts[going] > j]
+        if not len(going):
+            break
+        words[going] |= ids[first[going] + j] << widths[going] * np.uint64(j)
     per_block = np.bincount(first // block, minlength=-(-n // block))
     if escaped.any():
         where = np.flatnonzero(escaped)

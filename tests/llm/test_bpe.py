@@ -70,3 +70,32 @@ def test_decode_operator(spark):
     rows = spark.createDataFrame([(1, "Hello, world"), (2, None)], "doc_id long, text string")
     back = bpe.decode(bpe.encode(rows).drop("n_tokens")).orderBy("doc_id").collect()
     assert [r.decoded for r in back] == ["hello</w> ,</w> world</w>", ""]
+
+
+def test_words_stay_when_chunks_go(monkeypatch):
+    merged = []
+    merge = bpe.WordBpe.merge
+    monkeypatch.setattr(bpe.WordBpe, "merge", lambda self, data, sizes: merged.append(len(sizes)) or merge(self, data, sizes))
+    monkeypatch.setattr(bpe, "REMEMBERED_WORDS", 20)
+    encoder = bpe.load()
+    texts = [" ".join(a + b for b in "1234567") for a in ("one", "two", "three", "four")]
+    for text in texts * 2:
+        ids, _ = encoder.encode([text])
+        assert ids.tolist() == by_library([text])[0]
+    # Four words, seven digits and the line end.
+    assert sum(merged) == 12
+
+
+def test_every_pair_has_its_rank():
+    encoder = bpe.load()
+    assert encoder.shared.any()
+    for slots in (encoder.slot_keys[encoder.slot_keys >= 0], encoder.keys):
+        left, right = slots // encoder.size, slots % encoder.size
+        ranks = encoder.ranks(left, right)
+        assert (ranks < bpe.NO_RANK).all()
+        by_bytes = [encoder.token_bytes[a] + encoder.token_bytes[b] for a, b in zip(left, right, strict=True)]
+        assert by_bytes == [encoder.token_bytes[p] for p in encoder.product[ranks]]
+    known = {*encoder.slot_keys.tolist(), *encoder.keys.tolist()}
+    left, right = np.random.default_rng(1).integers(0, encoder.size, (2, 100_000))
+    none = encoder.ranks(left, right) == bpe.NO_RANK
+    assert none.tolist() == [k not in known for k in (left * encoder.size + right).tolist()]

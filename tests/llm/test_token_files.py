@@ -57,3 +57,28 @@ def test_query_on_unusual_rows(spark, documents, folder, monkeypatch, at_once):
 
 def test_query_on_empty_table(spark, documents, folder):
     check([], QUERIES["op7_token_files"](spark, folder(documents=documents([]))))
+
+
+def first_fit(ids, block):
+    """The selector of each word, one id after another."""
+    chosen = []
+    for a in range(0, len(ids), block):
+        part = ids[a : a + block]
+        while part:
+            fits = [k for k, (c, w) in enumerate(zip(token_files.COUNTS, token_files.WIDTHS, strict=True), 1) if c <= len(part) and all(x >> int(w) == 0 for x in part[:c])]
+            chosen.append(fits[0] if fits else token_files.ESCAPE)
+            part = part[int(token_files.TAKEN[chosen[-1]]) :]
+    return chosen
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 61), st.integers(1, 70)), max_size=12), st.integers(1, 150))
+def test_each_word_takes_as_many_ids_as_fit(runs, block):
+    ids = [(1 << bits) - 1 for bits, number in runs for _ in range(number)]
+    words, _ = token_files.encode_words(np.array(ids, np.uint64), block)
+    selectors, whole = [], False
+    for word in words.tolist():
+        if not whole:
+            selectors.append(word >> 60)
+        whole = not whole and word >> 60 == token_files.ESCAPE
+    assert selectors == first_fit(ids, block)
