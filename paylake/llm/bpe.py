@@ -29,7 +29,7 @@ from paylake.llm.common import binaries, map_texts
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
-#: Distinct words whose ids a task remembers before it starts afresh.
+#: Distinct words whose ids a task remembers before it starts afresh, and as many chunks.
 REMEMBERED_WORDS = 200_000
 
 #: Below this code point composition changes nothing and the library's classes are the
