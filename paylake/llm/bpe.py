@@ -1,7 +1,8 @@
 """Byte-pair encoding of words in batched numpy rounds, and decoding.
 
 A vocabulary file of the tokenizers library (word-end BPE over bytes, lower case)
-is read as it is. Words of many texts are encoded together: their symbols stand in
+is read as it is. Texts are cut into words on their bytes, by numpy, and each distinct word
+of many texts is looked up once. New words are encoded together: their symbols stand in
 one flat array, the ranks of neighbouring pairs are looked up in a hash table, and in
 every round each word merges its lowest-ranked pair.
 
@@ -23,21 +24,42 @@ from functools import cached_property, lru_cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from paylake.llm.common import binaries, map_texts
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
-#: Distinct words whose ids a task remembers before it starts afresh, and as many chunks.
+#: Distinct words whose ids a task remembers before it starts afresh, and as many words of odd chunks.
 REMEMBERED_WORDS = 200_000
 
 #: Below this code point composition changes nothing and the library's classes are the
 #: plain Unicode categories; texts beyond it are split by the library's own parts.
 PLAIN_BELOW = 0x180
 
-#: White space of the library, where Python counts more characters as such.
-OTHER_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+#: Kinds of bytes. Chunks with odd ones, or with what may be a special token, go to the library's rules whole.
+SPACE, LETTER, NUMBER, OTHER, ODD = range(5)
+SPACES = b"\t\n\v\f\r "
+
+
+def _kind(byte: int) -> int:
+    if byte in SPACES:
+        return SPACE
+    if byte >= 0x80:
+        # U+00C0 to U+00FF, which start with 0xC3, are letters, but for the signs for times and divided by.
+        return LETTER if byte == 0xC3 or byte < 0xC0 and byte not in (0x97, 0xB7) else ODD
+    return LETTER if chr(byte).isalpha() else NUMBER if chr(byte).isdigit() else OTHER if byte else ODD
+
+
+KINDS = bytes(map(_kind, range(256)))
+
+#: The lower case of the letters that are not odd, byte by byte.
+LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A or 0x80 <= b <= 0x9E else b for b in range(256))
+
+APOSTROPHE = ord("'")
+ENDINGS = np.frombuffer(b"stmd", np.uint8)
+LONG_ENDINGS = np.frombuffer(b"revell", ">u2").astype(np.uint16)
 
 NO_RANK = np.iinfo(np.int32).max
 
@@ -84,10 +106,58 @@ class Runs:
 
     def runs(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the numbered keys, one after another, and their number in each."""
-        lengths = self.lengths[at]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(self.starts[at] - ends + lengths, lengths) + np.arange(total)], lengths
+        return gather(self.flat, self.starts, self.lengths, at)
+
+
+def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbered runs of a flat array, one after another, and their lengths."""
+    lengths = lengths[at]
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(starts[at] - ends + lengths, lengths) + np.arange(total)], lengths
+
+
+def cut(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The pieces of a text in UTF-8: where they begin, their sizes, the bytes of all, and which are whole chunks.
+
+    A piece is a word in lower case, or a whole chunk between white space, as it is, that has odd characters or ``<|``.
+    """
+    values = np.frombuffer(data, np.uint8)
+    kinds = np.frombuffer(bytearray(data.translate(KINDS)), np.uint8)
+    if b"<|" in data:
+        kinds[:-1][(values[:-1] == ord("<")) & (values[1:] == ord("|"))] = ODD
+    begins = np.ones(len(data), bool)
+    begins[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == NUMBER)
+    starts = np.flatnonzero(begins)
+    kind, sizes = kinds[starts], np.diff(starts, append=len(data))
+    alone = np.flatnonzero((values[starts[:-1]] == APOSTROPHE) & (sizes[:-1] == 1) & (kind[1:] == LETTER))
+    if len(alone):
+        # An apostrophe takes an ending from the letters after it.
+        at = starts[alone + 1]
+        one = values[at] | 32
+        two = one.astype(np.uint16) << 8 | values[np.minimum(at + 1, len(data) - 1)] | 32
+        long = np.isin(two, LONG_ENDINGS) & (sizes[alone + 1] > 1)
+        taken = np.where(np.isin(one, ENDINGS), 1, np.where(long, 2, 0))
+        starts[alone + 1] += taken
+        left = np.ones(len(starts), bool)
+        left[alone + 1] = taken < sizes[alone + 1]
+        starts, kind = starts[left], kind[left]
+    if has_odd := bool((kind == ODD).any()):
+        space = kind == SPACE
+        chunk = np.cumsum(space)
+        odd = np.zeros(int(chunk[-1]) + 1, bool)
+        odd[chunk[kind == ODD]] = True
+        inside = odd[chunk] & ~space
+        kind[inside] = ODD
+        # Only the first part of such a chunk begins a piece.
+        left = ~inside | np.concatenate(([True], space[:-1]))
+        starts, kind = starts[left], kind[left]
+    piece = kind != SPACE
+    sizes, whole = np.diff(starts, append=len(data))[piece], kind[piece] == ODD
+    flat = np.frombuffer(data.translate(LOWER, SPACES), np.uint8)
+    if has_odd:
+        flat = np.where(np.repeat(whole, sizes), np.frombuffer(data.translate(None, SPACES), np.uint8), flat)
+    return starts[piece], sizes, flat, whole
 
 
 class WordBpe:
@@ -132,8 +202,8 @@ class WordBpe:
         letters = _characters(lambda c: unicodedata.category(c)[0] == "L")
         numbers = _characters(lambda c: unicodedata.category(c)[0] == "N")
         spaces = "\t-\r \x85\xa0"
-        #: The words of chunks that stand on a line each, and the line ends.
-        self.split = re.compile(f"[{letters}]+|\n|'(?:[stmd]|re|ve|ll)|[{numbers}]|[^{spaces}{letters}{numbers}]+").findall
+        #: The words of a chunk.
+        self.split = re.compile(f"[{letters}]+|'(?:[stmd]|re|ve|ll)|[{numbers}]|[^{spaces}{letters}{numbers}]+").findall
         self.beyond = re.compile(f"[^\x00-{chr(PLAIN_BELOW - 1)}]").search
         self._forget()
 
@@ -151,13 +221,7 @@ class WordBpe:
         return other
 
     def _forget(self) -> None:
-        self.chunks, self.words = Runs(), Runs()
-
-    def chunk_list(self, text: str) -> list[str]:
-        """The parts of a text between white space as the library sees it."""
-        if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
-            return [c for c in OTHER_SPACE.split(text) if c]
-        return text.split()
+        self.chunks, self.in_chunks, self.words = {}, 0, Runs()
 
     def word_list(self, chunk: str) -> list[str]:
         """The words of an unusual chunk; a special token is a word."""
@@ -170,31 +234,35 @@ class WordBpe:
 
     def encode(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and their number in each text."""
-        # Words come again more often than chunks, and cost more: they stay when chunks go.
-        if len(self.chunks.index) > REMEMBERED_WORDS:
-            self.chunks = Runs()
+        if self.in_chunks > REMEMBERED_WORDS:
+            self.chunks, self.in_chunks = {}, 0
         if len(self.words.index) > REMEMBERED_WORDS:
             self.words = Runs()
-        counts, chunks = [], []
-        for text in texts:
-            found = self.chunk_list(text) if text else []
-            counts.append(len(found))
-            chunks += found
-        at, new = self.chunks.look_up(chunks)
-        if new:
-            self.chunks.add(*self._ids_of(new))
-        ids, lengths = self.chunks.runs(at)
-        edges = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
+        lines = [t.encode() if t else b"" for t in texts]
+        starts, sizes, flat, whole = cut(b"\n".join(lines))
+        # Only the distinct pieces become Python objects.
+        coded = binaries(flat, sizes).dictionary_encode()
+        at, distinct = coded.indices.to_numpy(), coded.dictionary.cast(pa.string())
+        is_chunk = np.zeros(len(distinct), bool)
+        is_chunk[at[whole]] = True
+        place = np.argsort(np.argsort(is_chunk, kind="stable"), kind="stable") if is_chunk.any() else np.arange(len(distinct))
+        words, chunks = (distinct.filter(pa.array(chosen)).to_pylist() for chosen in (~is_chunk, is_chunk))
+        ids, lengths = gather(*self._ids_of(words, chunks), place[at])
+        # A piece belongs to the line that it begins in.
+        ends = np.cumsum([len(line) + 1 for line in lines], dtype=np.int64)
+        edges = np.concatenate(([0], np.searchsorted(starts, ends)))
         return ids.astype(np.uint32), np.diff(np.concatenate(([0], np.cumsum(lengths)))[edges])
 
-    def _ids_of(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of chunks and their number in each, by the words in them."""
-        joined = "\n".join(chunks)
-        if "<|" in joined or self.beyond(joined):
-            words = [w for c in chunks for w in (*(self.word_list(c) if "<|" in c or self.beyond(c) else self.split(c.lower())), "\n")]
-        else:
-            words = self.split(joined.lower())
-            words.append("\n")
+    def _ids_of(self, words: list[str], chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of words, then those of chunks by the words in them: where each begins, and their number."""
+        n = len(words)
+        # A line end follows the words, and every chunk.
+        words = [*words, "\n"]
+        for chunk in chunks:
+            if chunk not in self.chunks:
+                self.chunks[chunk] = [*self.word_list(chunk), "\n"]
+                self.in_chunks += len(self.chunks[chunk])
+            words += self.chunks[chunk]
         at, new = self.words.look_up(words)
         if new:
             text = "\n".join(w if w != "\n" else "x" for w in new)
@@ -210,9 +278,9 @@ class WordBpe:
                     lengths[i] = len(own)
             self.words.add(ids, lengths)
         ids, lengths = self.words.runs(at)
-        line_end = self.words.index["\n"]
-        ends = np.concatenate(([0], np.cumsum(lengths)[at == line_end]))
-        return ids, np.diff(ends)
+        ends = np.cumsum(lengths)[n:][at[n:] == self.words.index["\n"]]
+        lengths = np.concatenate((lengths[:n], np.diff(ends)))
+        return ids, np.cumsum(lengths) - lengths, lengths
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = left.astype(np.int64) * self.size + right

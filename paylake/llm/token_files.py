@@ -30,6 +30,9 @@ from paylake.session import scratch_dir
 
 BLOCK = 1024
 
+#: Characters of text that a task cuts into words at once: in more text more words repeat.
+CHARS_AT_ONCE = 1 << 22
+
 #: Blocks that a task encodes or decodes at once.
 BLOCKS_AT_ONCE = 256
 
@@ -190,7 +193,7 @@ def write(docs: DataFrame, folder: str, path: str = WORD_BPE, end_id: int | None
             if batch.num_rows and writer is None:
                 writer = _Writer(files, f"{base}/{name}")
             texts = batch.column("text").to_pylist()
-            for a, b in steps(texts):
+            for a, b in steps(texts, CHARS_AT_ONCE):
                 ids, counts = bpe.encode(texts[a:b])
                 if end_id is not None:
                     ids = np.insert(ids, np.cumsum(counts), end_id)

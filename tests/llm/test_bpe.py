@@ -99,3 +99,23 @@ def test_every_pair_has_its_rank():
     left, right = np.random.default_rng(1).integers(0, encoder.size, (2, 100_000))
     none = encoder.ranks(left, right) == bpe.NO_RANK
     assert none.tolist() == [k not in known for k in (left * encoder.size + right).tolist()]
+
+
+def test_repeated_words_are_looked_up_once(monkeypatch):
+    looked_up = []
+    look_up = bpe.Runs.look_up
+    monkeypatch.setattr(bpe.Runs, "look_up", lambda self, keys: looked_up.append(len(keys)) or look_up(self, keys))
+    text = "Some few words, some more \u00c9t\u00e9 \u0153uf " * 1000
+    assert lists([text] * 3) == by_library([text] * 3)
+    # Seven words, the line end after them, and a chunk with its line end.
+    assert sum(looked_up) <= 10
+
+
+PARTS = [*"aAzZ\u00e9\u00c9\u00df\u00d7\u00f7\u00ff\u00aa\u0153\u0152\u0130\u03a3\u0301\u0331Hh19\u00b2'.,<|>\x00\x1c\x7f\x85\xa0\u2003 \t\n"]
+PARTS += ["'s", "'LL", "'re", "'ve", "''s", "'d", "<|endoftext|>", "e\u0301", "H\u0331", "h\u0331", "\u65e5\u672c", "\U0001f600"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS), max_size=12).map("".join), min_size=1, max_size=4))
+def test_cuts_like_the_library(texts):
+    assert lists(texts) == by_library(texts)
