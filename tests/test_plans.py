@@ -12,7 +12,7 @@ from paylake.operators.keys import restrict
 from paylake.operators.latest import keep_latest
 from paylake.operators.upsert import upsert
 from paylake.plans import deltas, gold, incremental
-from paylake.session import keep
+from paylake.session import KEPT_ROWS, keep
 from paylake.sources.tables import FolderTable
 
 FOLDER = "/root/testdata/sf0.001"
@@ -303,6 +303,22 @@ def test_kept_frames_have_no_partition_for_a_few_rows(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_kept_frames_take_no_memory_from_the_executors(spark):
+    def stored():
+        return {i.id(): i for i in spark.sparkContext._jsc.sc().getRDDStorageInfo()}
+
+    before = set(stored())
+    kept = keep(spark.range(20 * KEPT_ROWS).selectExpr("id", "CONCAT(REPEAT('x', 200), id) AS text"))
+    try:
+        assert kept.count() == 20 * KEPT_ROWS
+        (found,) = [i for k, i in stored().items() if k not in before]
+        assert found.memSize() == 0 and found.diskSize() > 0
+        assert kept.where("text = CONCAT(REPEAT('x', 200), id)").count() == 20 * KEPT_ROWS
+    finally:
+        kept.unpersist()
+    assert spark.conf.get("spark.sql.inMemoryColumnarStorage.batchSize") == str(KEPT_ROWS)
+
+
 def test_a_table_without_rows_needs_no_join(spark, tmp_path):
     rows = spark.range(10).selectExpr("id AS k", "id AS v")
     empty = FolderTable(spark, f"{tmp_path}/none", ["k"], rows.schema).read()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from paylake.checks.queries import _records
 from paylake.operators.upsert import upsert
+from paylake.sources import files
 from paylake.sources.events import prepare_bronze
 from paylake.sources.tables import Lake, stream_folder
 from paylake.specs import entity_for_topic, static_for_table
@@ -521,3 +522,24 @@ def test_raw_log_is_dropped_and_taken_in_without_moving_its_text(spark, tmp_path
     assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in written} == {"ZSTD"}
     assert spark.read.parquet(lake.location("bronze", bronze.RAW_EVENTS)).count() == 3000
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == str(bronze.OPEN_FILES)
+
+
+def test_files_of_records_are_written_and_read_in_bounded_row_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "ROW_GROUP", 100_000)
+    spark.conf.unset(files.ROW_GROUP_SETTING)
+    try:
+        lake = Lake(spark, f"{tmp_path}/lake")
+        log = spark.range(0, 3000, 1, 1).selectExpr(
+            "CONCAT('t', id % 3) AS topic", "0 AS partition", "id AS offset", "TIMESTAMP '2024-01-01' AS kafka_timestamp",
+            "CONCAT(SHA2(CONCAT('a', id), 512), SHA2(CONCAT('b', id), 512)) AS raw_payload",
+        )
+        bronze.ingest(prepare_bronze(_records(lake, log)), lake, f"{tmp_path}/checkpoint")
+    finally:
+        spark.conf.unset(files.ROW_GROUP_SETTING)
+    written = {d: [pq.ParquetFile(f).metadata for f in (tmp_path / "lake" / d).rglob("*.parquet")] for d in ("drop", "bronze")}
+    assert {d: sum(m.num_rows for m in found) for d, found in written.items()} == {"drop": 3000, "bronze": 3000}
+    assert written["drop"][0].num_row_groups > 2
+    assert len(written["bronze"]) == 3 and all(m.num_row_groups > 1 for m in written["bronze"])
+    read = spark.read.parquet(lake.location("bronze", bronze.RAW_EVENTS)).drop("kafka_timestamp")
+    expected = log.drop("kafka_timestamp").select(*read.columns)
+    assert read.exceptAll(expected).isEmpty() and expected.exceptAll(read).isEmpty()
